@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PAGE_SIZE = 10_000
+PAGE_SIZE = 10_000  # entries a list may hold
 
 
 def nest(df: DataFrame, shape: Mapping[str, str | Mapping]) -> DataFrame:

@@ -1 +1,197 @@
+"""Event logs: reading, lag, folding, replay; JSON round trips."""
 
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from sluicework.functions.content import row_json
+from sluicework.operators import nested, profile
+from sluicework.plans.registry import query
+from sluicework.session import scratch_path
+from sluicework.sinks import eventlog as producing
+from sluicework.sources import eventlog
+from sluicework.streaming import envelope, fold
+from sluicework.streaming.replay import OrderTables
+
+KINDS = ["click", "error", "purchase", "signup", "view"]
+
+
+@query(
+    "log_read_first_n",
+    """SELECT event_id, event_type FROM events
+       WHERE event_id >= (SELECT max(event_id) + 1 FROM events WHERE event_type = 'signup') - 500
+         AND event_id < (SELECT max(event_id) + 1 FROM events WHERE event_type = 'signup')""",
+)
+def log_read_first_n(t):
+    """A bite of 500 records that ends where the reader of signups stands."""
+    stands = eventlog.high_watermark(t.events.filter(F.col("event_type") == "signup"), "event_id")
+    return eventlog.bite(t.events.select("event_id", "event_type"), stands - 500, 500, "event_id")
+
+
+@query(
+    "replay_to_watermark",
+    """SELECT event_type, count(*) AS n, min(event_id) AS first_offset, max(event_id) AS last_offset
+       FROM events WHERE event_id < (SELECT max(event_id) + 1 FROM events) GROUP BY event_type""",
+)
+def replay_to_watermark(t):
+    end = eventlog.high_watermark(t.events, "event_id")
+    return eventlog.replay(t.events, end, "event_id").groupBy("event_type").agg(
+        F.count("*").alias("n"), F.min("event_id").alias("first_offset"),
+        F.max("event_id").alias("last_offset"),
+    )
+
+
+@query(
+    "reader_lag",
+    """SELECT user_id, max(event_id) + 1 AS position,
+              (SELECT max(event_id) + 1 FROM events) - (max(event_id) + 1) AS lag
+       FROM events GROUP BY user_id""",
+)
+def reader_lag(t):
+    """Every user as a reader who stands after the last event of their own."""
+    positions = t.events.groupBy("user_id").agg((F.max("event_id") + 1).alias("position"))
+    return eventlog.reader_lag(positions, eventlog.high_watermark(t.events, "event_id"))
+
+
+@query(
+    "fold_events",
+    "SELECT user_id, " + ", ".join(
+        f"""arg_max(value, event_id) FILTER (WHERE event_type = '{k}' AND value IS NOT NULL) AS last_{k}"""
+        for k in KINDS
+    ) + ", arg_max(ts, event_id) AS last_ts FROM events GROUP BY user_id",
+)
+def fold_events(t):
+    values = {f"last_{k}": (F.col("value"), F.col("event_type") == k) for k in KINDS}
+    values["last_ts"] = (F.col("ts"), F.lit(True))
+    return fold.latest_values(t.events, ["user_id"], F.col("event_id"), values)
+
+
+@query(
+    "duplicate_keys",
+    """SELECT user_id, event_type, count(*) AS n FROM events
+       GROUP BY user_id, event_type HAVING count(*) > 1""",
+)
+def duplicate_keys(t):
+    return profile.repeated_keys(t.events, ["user_id", "event_type"])
+
+
+@query(
+    "json_roundtrip",
+    """SELECT event_id, ts, user_id, event_type, value, CAST(props ->> '$.k' AS BIGINT) AS k,
+              props ->> '$.k' AS k_text
+       FROM events""",
+)
+def json_roundtrip(t):
+    """Rows with a nested value to JSON and back by the same schema."""
+    nested_rows = t.events.withColumn("props", F.from_json("props", "k BIGINT"))
+    text = nested_rows.select(row_json(nested_rows.schema).alias("value"))
+    back = text.select(F.from_json("value", nested_rows.schema, {"mode": "FAILFAST"}).alias("r"))
+    return back.select(
+        "r.event_id", "r.ts", "r.user_id", "r.event_type", "r.value",
+        F.col("r.props.k").alias("k"), F.col("r.props.k").cast("string").alias("k_text"),
+    )
+
+
+@query(
+    "log_encode",
+    """SELECT CAST(user_id AS VARCHAR) AS key, event_id, ts, event_type, value, props FROM events""",
+)
+def log_encode(t):
+    """Events as (key, value) records, and the fields found in the values."""
+    records = producing.encode(t.events, key="user_id")
+    body = T.StructType([f for f in t.events.schema.fields if f.name != "user_id"])
+    return records.select("key", F.from_json("value", body, {"mode": "FAILFAST"}).alias("r")).select(
+        "key", "r.event_id", "r.ts", "r.event_type", "r.value", "r.props"
+    )
+
+
+def order_log(t):
+    """The orders as the event log of a shop: (key, value, partition, offset, timestamp).
+
+    Orders of priority 4 have no header on the log, those of priority 5 are paid before their header.
+    """
+    key, status, level = F.col("o_orderkey"), F.col("o_orderstatus"), F.col("o_orderpriority")
+    day = F.col("o_orderdate")
+
+    def uuid(salt):
+        return F.upper(F.md5(F.concat(F.lit(salt), key.cast("string"))))
+
+    def body(*columns):
+        return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+
+    none = F.lit(None).cast("string")
+    header = body(
+        key.alias("id"), F.col("o_custkey").alias("customer_id"),
+        day.cast("string").alias("created_at"), none.alias("updated_at"),
+        none.alias("payment_uuid"), none.alias("shipment_uuid"),
+    )
+    payment = body(
+        key.alias("order_id"), uuid("p").alias("payment_uuid"),
+        (day + F.expr("INTERVAL 1 DAY")).cast("string").alias("updated_at"),
+    )
+    shipment = body(
+        key.alias("order_id"), uuid("s").alias("shipment_uuid"),
+        (day + F.expr("INTERVAL 2 DAY")).cast("string").alias("updated_at"),
+    )
+    paid_at = F.when(level == "5-LOW", key * 4).otherwise(key * 4 + 2)
+    events = F.array_compact(F.array(
+        F.when(level != "4-NOT SPECIFIED", F.struct(
+            (key * 4 + 1).alias("offset"), F.lit("Added order header").alias("m"), header.alias("d"))),
+        F.when(status != "O", F.struct(
+            paid_at.alias("offset"), F.lit("Added payment").alias("m"), payment.alias("d"))),
+        F.when(status == "F", F.struct(
+            (key * 4 + 3).alias("offset"), F.lit("Added shipment").alias("m"), shipment.alias("d"))),
+    ))
+    rows = t.orders.select(key.cast("string").alias("key"), day.alias("timestamp"), F.inline(events))
+    encoded = envelope.encode(rows, F.col("m"), F.col("d"), F.col("timestamp"))
+    return encoded.select("key", "value", F.lit(0).alias("partition"), "offset", "timestamp")
+
+
+FOLDED = """SELECT o_orderkey AS id, o_custkey AS customer_id, o_orderdate AS created_at,
+                   CASE WHEN o_orderstatus = 'F' THEN o_orderdate + INTERVAL 2 DAY
+                        WHEN o_orderstatus <> 'O' AND o_orderpriority <> '5-LOW'
+                        THEN o_orderdate + INTERVAL 1 DAY END AS updated_at,
+                   CASE WHEN o_orderstatus <> 'O' AND o_orderpriority <> '5-LOW'
+                        THEN md5('p' || CAST(o_orderkey AS VARCHAR)) END AS payment_uuid,
+                   CASE WHEN o_orderstatus = 'F' THEN md5('s' || CAST(o_orderkey AS VARCHAR)) END
+                       AS shipment_uuid
+            FROM orders WHERE o_orderpriority <> '4-NOT SPECIFIED'"""
+
+
+@query("fold_orders", FOLDED)
+def fold_orders(t):
+    return fold.order_headers(envelope.decode(order_log(t)))
+
+
+@query("replay_stream", FOLDED)
+def replay_stream(t):
+    """The same log on disk, applied as a stream in bites, and the table that comes of it."""
+    root = scratch_path(t.spark, "replay")
+    order_log(t).repartitionByRange("offset").write.json(f"{root}/log")
+    tables = OrderTables(t.spark, f"{root}/tables")
+    log = eventlog.stream_log(t.spark, f"{root}/log", files_per_bite=4)
+    tables.follow(log, f"{root}/reader").awaitTermination()
+    return tables.order_headers()
+
+
+@query(
+    "event_lines",
+    """SELECT l_orderkey AS order_id, l_partkey AS photo_id, count(*) AS quantity,
+              CAST(sum(CAST(l_quantity AS DECIMAL(7,2))) AS DECIMAL(7,2)) AS price
+       FROM lineitem GROUP BY 1, 2""",
+)
+def event_lines(t):
+    """Order details as list-valued events on the log, decoded and unnested."""
+    entries = t.lineitem.groupBy(
+        F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("photo_id")
+    ).agg(
+        F.count("*").alias("quantity"),
+        F.sum(F.col("l_quantity").cast("decimal(7,2)")).cast("string").alias("price"),
+    )
+    lists = nested.paged_lists(
+        entries.withColumn("o", F.col("order_id")), "o", ["order_id", "photo_id", "quantity", "price"]
+    )
+    events = envelope.encode(
+        lists, F.lit("Added order details"), F.to_json("entries"), F.lit("2024-01-01 00:00:00")
+    )
+    log = events.select("value", F.lit(0).alias("partition"), F.col("o").alias("offset"))
+    return fold.order_lines(envelope.decode(log))

@@ -6,32 +6,46 @@ from sluicework.functions import content
 from sluicework.operators import incremental as inc
 from sluicework.operators import reconcile
 from sluicework.plans.registry import query
+from sluicework.session import scratch_path
+from sluicework.sinks.batches import BatchStore
+from sluicework.sources import lines
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
-PERTURBED = """SELECT o_orderkey, o_custkey,
-                      CASE WHEN o_orderkey % 11 = 3 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
-                      CASE WHEN o_orderkey % 22 = 3 THEN NULL ELSE o_totalprice END AS o_totalprice,
-                      o_orderdate
-               FROM orders WHERE o_orderkey % 13 <> 5"""
-OLD = f"SELECT {', '.join(ORDER_COLUMNS)} FROM orders WHERE o_orderkey % 17 <> 2"
+OLD = f"SELECT {', '.join(ORDER_COLUMNS)} FROM orders WHERE o_orderdate < TIMESTAMP '2000-06-01 00:00:00'"
+NEW = """SELECT o_orderkey, o_custkey,
+                CASE WHEN o_orderpriority = '1-URGENT' THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+                CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'P' THEN NULL
+                     ELSE o_totalprice END AS o_totalprice,
+                o_orderdate
+         FROM orders WHERE o_orderstatus <> 'F' OR o_orderdate >= TIMESTAMP '1996-01-01 00:00:00'"""
+# What one transfer brings of it
+CHANGED = f"SELECT * FROM ({NEW}) WHERE o_orderstatus = 'X'"
+
+
+def at(text):
+    return F.to_timestamp_ntz(F.lit(text))
 
 
 def old_copy(t):
-    """The orders as an earlier snapshot: some have not been written yet."""
-    return t.orders.select(*ORDER_COLUMNS).filter(F.col("o_orderkey") % 17 != 2)
-
-
-def perturbed(t):
-    """The orders as a later snapshot: some are gone, some have changed."""
-    key = F.col("o_orderkey")
-    return (
-        t.orders.select(*ORDER_COLUMNS)
-        .filter(key % 13 != 5)
-        .withColumn("o_orderstatus", F.when(key % 11 == 3, "X").otherwise(F.col("o_orderstatus")))
-        .withColumn("o_totalprice", F.when(key % 22 != 3, F.col("o_totalprice")))
+    """The orders as an earlier snapshot: the latest have not been written yet."""
+    return t.orders.select(*ORDER_COLUMNS).filter(F.col("o_orderdate") < at("2000-06-01 00:00:00"))
+
+
+def new_copy(t):
+    """The orders as a later snapshot: old finished ones are gone, urgent ones have changed."""
+    status, urgent = F.col("o_orderstatus"), F.col("o_orderpriority") == "1-URGENT"
+    return t.orders.filter((status != "F") | (F.col("o_orderdate") >= at("1996-01-01 00:00:00"))).select(
+        "o_orderkey", "o_custkey",
+        F.when(urgent, "X").otherwise(status).alias("o_orderstatus"),
+        F.when(~(urgent & (status == "P")), F.col("o_totalprice")).alias("o_totalprice"),
+        "o_orderdate",
     )
 
 
+def changed_rows(t):
+    return new_copy(t).filter(F.col("o_orderstatus") == "X")
+
+
 def half(t):
     """Where the target stands: half of the largest key, read as one number."""
     return t.orders.agg(F.floor(F.coalesce(F.max("o_orderkey"), F.lit(0)) / 2).alias("n")).first()["n"]
@@ -78,27 +92,25 @@ def inc_bounded(t):
         WHERE o_orderkey <= {HALF} AND o_orderdate > TIMESTAMP '1999-06-01 00:00:00'""",
 )
 def inc_changed(t):
-    since = F.to_timestamp_ntz(F.lit("1999-06-01 00:00:00"))
     return inc.changed_since(
-        t.orders.select("o_orderkey", "o_orderdate"), "o_orderkey", half(t), "o_orderdate", since
+        t.orders.select("o_orderkey", "o_orderdate"), "o_orderkey", half(t), "o_orderdate", at("1999-06-01 00:00:00")
     )
 
 
 @query(
     "merge_delete_rewrite",
-    f"""WITH old AS ({OLD}), new AS (SELECT * FROM ({PERTURBED}) WHERE o_orderkey % 5 = 1)
+    f"""WITH old AS ({OLD}), new AS ({CHANGED})
         SELECT * FROM old WHERE NOT EXISTS (SELECT 1 FROM new WHERE new.o_orderkey = old.o_orderkey)
         UNION ALL SELECT * FROM new""",
 )
 def merge_delete_rewrite(t):
-    changed = perturbed(t).filter(F.col("o_orderkey") % 5 == 1)
-    return inc.merge_delete_rewrite(old_copy(t), changed, ["o_orderkey"])
+    return inc.merge_delete_rewrite(old_copy(t), changed_rows(t), ["o_orderkey"])
 
 
 @query(
     "merge_update_columns",
     f"""WITH old AS ({OLD}),
-             new AS (SELECT *, 1 AS hit FROM ({PERTURBED}) WHERE o_orderkey % 5 = 1)
+             new AS (SELECT *, 1 AS hit FROM ({CHANGED}))
         SELECT old.o_orderkey, old.o_custkey,
                CASE WHEN hit = 1 THEN new.o_orderstatus ELSE old.o_orderstatus END AS o_orderstatus,
                CASE WHEN hit = 1 THEN new.o_totalprice ELSE old.o_totalprice END AS o_totalprice,
@@ -106,13 +118,12 @@ def merge_delete_rewrite(t):
         FROM old LEFT JOIN new ON old.o_orderkey = new.o_orderkey""",
 )
 def merge_update_columns(t):
-    changed = perturbed(t).filter(F.col("o_orderkey") % 5 == 1)
     return inc.merge_update_columns(
-        old_copy(t), changed, ["o_orderkey"], ["o_orderstatus", "o_totalprice"], ["o_orderdate"]
+        old_copy(t), changed_rows(t), ["o_orderkey"], ["o_orderstatus", "o_totalprice"], ["o_orderdate"]
     )
 
 
-FEED = f"""old AS ({OLD}), new AS ({PERTURBED}),
+FEED = f"""old AS ({OLD}), new AS ({NEW}),
     gone AS (SELECT * FROM old EXCEPT ALL SELECT * FROM new),
     come AS (SELECT * FROM new EXCEPT ALL SELECT * FROM old)"""
 
@@ -127,20 +138,20 @@ FEED = f"""old AS ({OLD}), new AS ({PERTURBED}),
                CAST(1 AS BIGINT), * FROM come""",
 )
 def change_feed(t):
-    return inc.change_feed(old_copy(t), perturbed(t), ["o_orderkey"])
+    return inc.change_feed(old_copy(t), new_copy(t), ["o_orderkey"])
 
 
-@query("apply_change_feed", PERTURBED)
+@query("apply_change_feed", NEW)
 def apply_change_feed(t):
     """The old snapshot plus its change feed is the new snapshot."""
     old = old_copy(t)
-    feed = inc.change_feed(old, perturbed(t), ["o_orderkey"]).withColumn("lsn", F.col("op"))
+    feed = inc.change_feed(old, new_copy(t), ["o_orderkey"]).withColumn("lsn", F.col("op"))
     return inc.apply_change_feed(old, feed, ["o_orderkey"], ["lsn"])
 
 
 @query(
     "diff_by_column",
-    f"""WITH l AS ({OLD}), r AS ({PERTURBED}),
+    f"""WITH l AS ({OLD}), r AS ({NEW}),
              b AS (SELECT l.*, r.o_custkey AS c2, r.o_orderstatus AS s2, r.o_totalprice AS t2,
                           r.o_orderdate AS d2 FROM l JOIN r ON l.o_orderkey = r.o_orderkey),
              u AS (SELECT count(*) AS n_unmatched FROM l FULL JOIN r ON l.o_orderkey = r.o_orderkey
@@ -156,25 +167,26 @@ def apply_change_feed(t):
 )
 def diff_by_column(t):
     return reconcile.diff_by_column(
-        old_copy(t), perturbed(t), ["o_orderkey"], ORDER_COLUMNS[1:]
+        old_copy(t), new_copy(t), ["o_orderkey"], ORDER_COLUMNS[1:]
     )
 
 
 @query(
     "rows_equal",
-    f"""WITH old AS ({OLD}), new AS ({PERTURBED})
+    f"""WITH old AS ({OLD}), new AS ({NEW})
         SELECT (SELECT count(*) FROM old) AS n_left, (SELECT count(*) FROM new) AS n_right,
                (SELECT count(*) FROM (SELECT * FROM old EXCEPT ALL SELECT * FROM new)) AS n_only_left,
                (SELECT count(*) FROM (SELECT * FROM new EXCEPT ALL SELECT * FROM old)) AS n_only_right,
-               n_only_left = 0 AND n_only_right = 0 AS equal""",
+               (SELECT count(*) FROM (SELECT * FROM old EXCEPT ALL SELECT * FROM new)) = 0
+               AND (SELECT count(*) FROM (SELECT * FROM new EXCEPT ALL SELECT * FROM old)) = 0 AS equal""",
 )
 def rows_equal(t):
-    return reconcile.rows_equal(old_copy(t), perturbed(t))
+    return reconcile.rows_equal(old_copy(t), new_copy(t))
 
 
 @query(
     "facts",
-    f"""WITH old AS ({OLD}), new AS ({PERTURBED}),
+    f"""WITH old AS ({OLD}), new AS ({NEW}),
              c AS (SELECT (SELECT count(*) FROM old) AS l, (SELECT count(*) FROM new) AS r,
                           (SELECT count(*) FROM (SELECT * FROM old EXCEPT ALL SELECT * FROM new)) AS o)
         SELECT 'something was compared' AS fact, l > 0 AND r > 0 AS ok,
@@ -183,7 +195,7 @@ def rows_equal(t):
         UNION ALL SELECT 'no row is missing', o = 0, o::VARCHAR FROM c""",
 )
 def facts(t):
-    counts = reconcile.rows_equal(old_copy(t), perturbed(t))
+    counts = reconcile.rows_equal(old_copy(t), new_copy(t))
     left, right, missing = F.col("n_left"), F.col("n_right"), F.col("n_only_left")
     return reconcile.facts(counts, [
         ("something was compared", (left > 0) & (right > 0),
@@ -195,29 +207,32 @@ def facts(t):
 
 @query(
     "publish_batch",
-    """SELECT 'orders' AS table_name, o_orderkey % 4 AS batch_id, o_orderkey AS order_id, count(*) AS n_rows
-       FROM orders WHERE o_orderkey % 4 IN (1, 2) GROUP BY 2, 3
+    """SELECT 'orders' AS table_name, year(o_orderdate) AS batch_id, o_orderkey AS order_id, count(*) AS n_rows
+       FROM orders WHERE year(o_orderdate) IN (1996, 1998) GROUP BY 2, 3
        UNION ALL
-       SELECT 'lineitem', l_orderkey % 4, l_orderkey, count(*)
-       FROM lineitem WHERE l_orderkey % 4 IN (1, 2) GROUP BY 2, 3""",
+       SELECT 'lineitem', year(l_shipdate), l_orderkey, count(*)
+       FROM lineitem WHERE year(l_shipdate) IN (1996, 1998) GROUP BY 2, 3""",
 )
 def publish_batch(t):
-    """Four batches of two tables are written, two are published; a reader sees those two."""
-    from sluicework.session import scratch_path
-    from sluicework.sinks.batches import BatchStore
-
+    """Two tables are written in batches by year and two batches published; a reader sees those."""
     store = BatchStore(t.spark, scratch_path(t.spark, "batches"))
-    orders = t.orders.select((F.col("o_orderkey") % 4).alias("batch_id"), F.col("o_orderkey").alias("order_id"))
-    lines = t.lineitem.select((F.col("l_orderkey") % 4).alias("batch_id"), F.col("l_orderkey").alias("order_id"))
-    store.write_all({"orders": orders, "lineitem": lines})
-    store.publish([1, 2])
-    parts = [
-        store.read(name).groupBy("batch_id", "order_id").agg(F.count("*").alias("n_rows"))
+    store.write_all({
+        "orders": t.orders.select(
+            F.year("o_orderdate").alias("batch_id"), F.col("o_orderkey").alias("order_id")
+        ),
+        "lineitem": t.lineitem.select(
+            F.year("l_shipdate").alias("batch_id"), F.col("l_orderkey").alias("order_id")
+        ),
+    })
+    store.publish([1996, 1998])
+    seen = store.published()
+    orders, details = [
+        store.read(name, seen).groupBy("batch_id", "order_id").agg(F.count("*").alias("n_rows"))
         .select(F.lit(name).alias("table_name"), F.col("batch_id").cast("bigint").alias("batch_id"),
                 "order_id", "n_rows")
         for name in ("orders", "lineitem")
     ]
-    return parts[0].unionAll(parts[1])
+    return orders.unionAll(details)
 
 
 @query(
@@ -228,8 +243,6 @@ def publish_batch(t):
 )
 def export_json(t):
     """Orders as JSON lines, with null written out, and read back by the same schema."""
-    from sluicework.sources import lines
-
     source = t.orders.select(
         "o_orderkey", "o_orderpriority",
         F.col("o_totalprice").cast("decimal(18,2)").alias("o_totalprice"), "o_orderdate",

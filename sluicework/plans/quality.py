@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluicework.functions.text import clamp
 from sluicework.operators import quality as dq
 from sluicework.plans.registry import query
 
@@ -47,14 +48,15 @@ def checked_sql(color: str, name: str) -> str:
     """The rules as SQL over a colour expression; uniqueness counts the rows that pass the rest."""
     return f"""{name}_rows AS (
         SELECT form.* REPLACE ({color} AS color), color AS given,
-               list_sort(list_filter([
-                   CASE WHEN title IS NULL THEN 'title_null' END,
-                   CASE WHEN ({color}) NOT IN ('Green', 'Yellow', 'Red') THEN 'color_list' END,
-                   CASE WHEN length(status) > 50 THEN 'status_length' END,
-                   CASE WHEN percent = 'unknown' THEN 'percent_type' END,
-                   CASE WHEN TRY_CAST(percent AS INTEGER) NOT BETWEEN 0 AND 100
-                        THEN 'percent_range' END,
-                   CASE WHEN due LIKE 'Late%' THEN 'due_type' END], x -> x IS NOT NULL)) AS r
+               list_sort(
+                   CASE WHEN title IS NULL THEN ['title_null'] ELSE [] END
+                   || CASE WHEN ({color}) NOT IN ('Green', 'Yellow', 'Red')
+                           THEN ['color_list'] ELSE [] END
+                   || CASE WHEN length(status) > 50 THEN ['status_length'] ELSE [] END
+                   || CASE WHEN percent = 'unknown' THEN ['percent_type'] ELSE [] END
+                   || CASE WHEN TRY_CAST(percent AS INTEGER) NOT BETWEEN 0 AND 100
+                           THEN ['percent_range'] ELSE [] END
+                   || CASE WHEN due LIKE 'Late%' THEN ['due_type'] ELSE [] END) AS r
         FROM form),
     {name} AS (
         SELECT position, title, color, status, percent, due, given,
@@ -127,13 +129,12 @@ def dq_quarantine(t):
     "dq_repair",
     f"""WITH {FORM}, {checked_sql(REPAIRED, "c")}
         SELECT position, CASE WHEN len(r) = 0 THEN color ELSE given END AS color,
-               least(greatest(TRY_CAST(percent AS INTEGER), 0), 100) AS clamped,
+               CASE WHEN TRY_CAST(percent AS INTEGER) IS NOT NULL
+                    THEN least(greatest(TRY_CAST(percent AS INTEGER), 0), 100) END AS clamped,
                array_to_string(r, ',') AS reasons
         FROM c""",
 )
 def dq_repair(t):
-    from sluicework.functions.text import clamp
-
     return repaired(t).select(
         "position", "color", clamp(F.col("percent").try_cast("int"), 0, 100).alias("clamped"),
         F.array_join("reasons", ",").alias("reasons"),

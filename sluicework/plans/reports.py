@@ -223,14 +223,14 @@ def three_way_join(t):
 
 
 def gapped(t):
-    """Orders and lines with gaps made on both sides."""
-    orders = t.orders.filter(F.col("o_orderkey") % 7 != 0)
-    lines = t.lineitem.filter(F.col("l_orderkey") % 7 != 1)
+    """Orders and lines that are not complete on either side."""
+    orders = t.orders.filter(F.col("o_orderstatus") != "P")
+    lines = t.lineitem.filter(F.col("l_returnflag") != "R")
     return orders, lines
 
 
-GAPPED = """o AS (SELECT o_orderkey FROM orders WHERE o_orderkey % 7 <> 0),
-            l AS (SELECT l_orderkey FROM lineitem WHERE l_orderkey % 7 <> 1)"""
+GAPPED = """o AS (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P'),
+            l AS (SELECT l_orderkey FROM lineitem WHERE l_returnflag <> 'R')"""
 
 
 @query(
@@ -323,14 +323,15 @@ def content_fingerprints(t):
 @query(
     "unpaid_orders",
     """SELECT o_orderkey, o_custkey FROM orders
-       WHERE o_orderkey % 4 <> 0 AND o_orderkey % 6 = 0 AND o_orderpriority IS NOT NULL""",
+       WHERE o_orderstatus = 'O' AND o_orderpriority = '1-URGENT'""",
 )
 def unpaid_orders(t):
     key = F.col("o_orderkey")
     orders = t.orders.select(
-        "o_orderkey", "o_custkey", "o_orderpriority",
-        F.when(key % 4 == 0, key).alias("payment"), F.when(key % 6 == 0, key).alias("shipment"),
+        "o_orderkey", "o_custkey",
+        F.when(F.col("o_orderstatus") != "O", key).alias("payment"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", key).alias("shipment"),
+    )
+    return orders.filter(F.col("payment").isNull() & F.col("shipment").isNotNull()).select(
+        "o_orderkey", "o_custkey"
     )
-    return orders.filter(
-        F.col("payment").isNull() & F.col("shipment").isNotNull() & F.col("o_orderpriority").isNotNull()
-    ).select("o_orderkey", "o_custkey")

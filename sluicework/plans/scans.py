@@ -6,8 +6,9 @@ from pyspark.sql import types as T
 from sluicework.functions import clock, markup
 from sluicework.functions.content import row_json
 from sluicework.operators import profile, ranking, shape
-from sluicework.plans.registry import query
+from sluicework.plans.registry import TABLES, query
 from sluicework.sources import lines, statements
+from sluicework.sources.collections import find
 
 
 @query("scan_table", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
@@ -100,13 +101,13 @@ def customer_lines(t):
     """Customers as row lines; some lack an attribute and some texts need escaping."""
     c = t.customer
     location = F.when(
-        F.col("c_custkey") % 3 != 0, F.concat(F.col("c_mktsegment"), F.lit(' <"&">\tᵀᴹ'))
+        F.col("c_mktsegment") != "HOUSEHOLD", F.concat(F.col("c_mktsegment"), F.lit(' <"&">\tᵀᴹ'))
     )
     return c.select(
         markup.row_line(
             Id=F.col("c_custkey"),
             Name=F.col("c_name"),
-            NationKey=F.when(F.col("c_custkey") % 5 != 0, F.col("c_nationkey")),
+            NationKey=F.when(F.col("c_acctbal") >= 0, F.col("c_nationkey")),
             acctbal=F.col("c_acctbal").cast("decimal(18,2)"),
             Location=location,
         ).alias("value")
@@ -116,9 +117,9 @@ def customer_lines(t):
 @query(
     "xml_rows",
     """SELECT c_custkey AS id, c_name AS name,
-              CASE WHEN c_custkey % 5 <> 0 THEN c_nationkey END AS nationkey,
+              CASE WHEN c_acctbal >= 0 THEN c_nationkey END AS nationkey,
               CAST(c_acctbal AS DECIMAL(18,2)) AS acctbal,
-              CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment || ' <"&">' || chr(9) || 'ᵀᴹ' END AS location,
+              CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN c_mktsegment || ' <"&">' || chr(9) || 'ᵀᴹ' END AS location,
               CAST(NULL AS VARCHAR) AS emailhash
        FROM customer""",
 )
@@ -130,9 +131,9 @@ def xml_rows(t):
     "attribute_presence",
     """SELECT 'Id' AS attribute, count(*) AS n FROM customer
        UNION ALL SELECT 'Name', count(*) FROM customer
-       UNION ALL SELECT 'NationKey', count(*) FROM customer WHERE c_custkey % 5 <> 0
+       UNION ALL SELECT 'NationKey', count(*) FROM customer WHERE c_acctbal >= 0
        UNION ALL SELECT 'acctbal', count(*) FROM customer
-       UNION ALL SELECT 'Location', count(*) FROM customer WHERE c_custkey % 3 <> 0""",
+       UNION ALL SELECT 'Location', count(*) FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'""",
 )
 def attribute_presence(t):
     return profile.attribute_presence(customer_lines(t))
@@ -233,8 +234,6 @@ def column_map(t):
        ORDER BY c_acctbal DESC, c_custkey LIMIT 10 OFFSET 5""",
 )
 def doc_find(t):
-    from sluicework.sources.collections import find
-
     return find(
         t.customer,
         filter={"c_mktsegment": "BUILDING"},
@@ -278,12 +277,12 @@ def hours_worked(t):
 
 @query(
     "nan_to_null",
-    """SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN value END AS value FROM events""",
+    """SELECT event_id, CASE WHEN event_type <> 'error' THEN value END AS value FROM events""",
 )
 def nan_to_null(t):
     holes = t.events.select(
         "event_id",
-        F.when(F.col("event_id") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("value")).alias("value"),
+        F.when(F.col("event_type") == "error", F.lit(float("nan"))).otherwise(F.col("value")).alias("value"),
     )
     return shape.nan_to_null(holes)
 
@@ -315,9 +314,7 @@ def top_k(t):
     )
 
 
-@query(
-    "pick_one",
-)
+@query("pick_one")
 def pick_one(t):
     unpaid = t.orders.filter(F.col("o_orderstatus") == "O")
     return ranking.pick_one(unpaid.select("o_orderkey", "o_orderstatus"), "o_orderkey", seed=7)
@@ -327,13 +324,10 @@ def pick_one(t):
     "table_information",
     " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS n_rows FROM {name}"
-        for name in ("region nation customer supplier part orders lineitem events documents "
-                     "embeddings pages benchmark labels conversations").split()
+        for name in TABLES
     ),
 )
 def table_information(t):
-    from sluicework.plans.registry import TABLES
-
     return profile.table_information({name: getattr(t, name) for name in TABLES})
 
 
@@ -355,25 +349,25 @@ def union_by_name(t):
     return shape.stack([suppliers, customers])
 
 
-PART_FORM = """SELECT CASE WHEN p_partkey % 10 = 0 THEN CASE WHEN p_partkey % 20 = 0 THEN '' END
-                           WHEN p_partkey % 10 = 1 THEN upper(p_name) || ':' ELSE p_name END AS title,
-                      CASE WHEN p_partkey % 10 > 0 THEN p_brand END AS brand,
-                      CASE WHEN p_partkey % 10 > 1 THEN p_size END AS size
+PART_FORM = """SELECT CASE WHEN p_size < 5 THEN CASE WHEN p_type = 'ECONOMY' THEN '' END
+                           WHEN p_size < 9 THEN upper(p_name) || ':' ELSE p_name END AS title,
+                      CASE WHEN p_size >= 5 THEN p_brand END AS brand,
+                      CASE WHEN p_size >= 9 THEN p_size END AS size
                FROM part"""
 
 
 def part_form(t):
     """Parts as a hand-filled form: blank rows (NULL or empty text) and heading rows in between."""
-    key = F.col("p_partkey")
+    size = F.col("p_size")
     title = (
-        F.when(key % 10 == 0, F.when(key % 20 == 0, F.lit("")))
-        .when(key % 10 == 1, F.concat(F.upper("p_name"), F.lit(":")))
+        F.when(size < 5, F.when(F.col("p_type") == "ECONOMY", F.lit("")))
+        .when(size < 9, F.concat(F.upper("p_name"), F.lit(":")))
         .otherwise(F.col("p_name"))
     )
     return t.part.select(
         title.alias("title"),
-        F.when(key % 10 > 0, F.col("p_brand")).alias("brand"),
-        F.when(key % 10 > 1, F.col("p_size")).alias("size"),
+        F.when(size >= 5, F.col("p_brand")).alias("brand"),
+        F.when(size >= 9, size).alias("size"),
     )
 
 

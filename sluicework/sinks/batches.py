@@ -7,7 +7,8 @@ again replaces its files: a repeated attempt leaves no copies.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,11 +44,15 @@ class BatchStore:
 
     def publish(self, batch_ids: Sequence[int]) -> None:
         """Makes batches visible, all at once. Publishing one twice changes nothing."""
-        ids = sorted(set(batch_ids) | set(self.published()))
+        self.publish_only(set(batch_ids) | set(self.published()))
+
+    def publish_only(self, batch_ids: Iterable[int]) -> None:
+        """Makes exactly these batches visible."""
+        ids = sorted(set(batch_ids))
         jvm = self.spark._jvm
         path = jvm.org.apache.hadoop.fs.Path(self._manifest())
         fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        draft = jvm.org.apache.hadoop.fs.Path(f"{self._manifest()}.{ids[-1] if ids else 0}.{len(ids)}")
+        draft = jvm.org.apache.hadoop.fs.Path(f"{self._manifest()}.{uuid.uuid4().hex}")
         out = fs.create(draft, True)
         out.write("\n".join(map(str, ids)).encode())
         out.close()
@@ -56,9 +61,7 @@ class BatchStore:
         )
         overwrite = self.spark._sc._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
         overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-        context.rename(
-            fs.makeQualified(draft), fs.makeQualified(path), overwrite
-        )
+        context.rename(fs.makeQualified(draft), fs.makeQualified(path), overwrite)
 
     def published(self) -> list[int]:
         """The visible batch ids: one number per batch, never rows."""
