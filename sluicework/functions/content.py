@@ -72,6 +72,5 @@ def converted(text: Column, kind: T.DataType, strict: bool = True, what: str = "
         raise TypeError(f"no conversion from text to {kind.simpleString()} for {what}")
     if not strict:
         return value
-    refused = text.isNotNull() & value.isNull()
     message = F.concat(F.lit(f"{what}: cannot convert '"), text, F.lit(f"' to {kind.simpleString()}"))
-    return F.when(refused, F.raise_error(message).cast(kind)).otherwise(value)
+    return F.coalesce(value, F.when(text.isNotNull(), F.raise_error(message).cast(kind)))

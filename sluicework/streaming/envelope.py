@@ -33,18 +33,21 @@ def decode(log: DataFrame) -> DataFrame:
     other kinds are passed over. A value that is not JSON is an error.
     """
     fast = {"mode": "FAILFAST"}
-    event = F.from_json("value", ENVELOPE, fast)
-    kind = F.lit(None).cast("string")
-    for message, name in MESSAGES.items():
-        kind = F.when(F.col("event.Message") == message, name).otherwise(kind)
-    opened = log.select("partition", "offset", event.alias("event")).withColumn("kind", kind)
+    # inline keeps the parsed envelope in one place; a filter on it would otherwise parse it again
+    opened = log.select(
+        "partition", "offset", F.inline(F.array(F.from_json("value", ENVELOPE, fast)))
+    )
+    kinds = F.create_map(*[F.lit(word) for pair in MESSAGES.items() for word in pair])
+    events = opened.filter(F.col("Message").isin(list(MESSAGES))).withColumn(
+        "kind", kinds[F.col("Message")]
+    )
 
     def body(name: str, schema: str) -> Column:
         return F.when(
-            F.col("kind") == name, F.from_json(F.col("event.Details"), schema, fast)
+            F.col("kind") == name, F.from_json("Details", schema, fast)
         ).alias(name)
 
-    return opened.filter(F.col("kind").isNotNull()).select(
+    return events.select(
         "partition", "offset", "kind",
         body("customer", CUSTOMER), body("header", HEADER),
         body("lines", f"ARRAY<STRUCT<{LINE}>>"),
@@ -70,7 +73,6 @@ def encode(
             F.lit("INFO").alias("Level"), message.alias("Message"),
         )
     )
-    opened = F.substring(head, F.lit(1), F.length(head) - 1)
-    return df.withColumn(
-        "value", F.concat(opened, F.lit(',"Details":'), F.coalesce(details, F.lit("null")), F.lit("}"))
-    )
+    rest = F.substring(head, 2, 2**31 - 1)
+    body = F.coalesce(details, F.lit("null"))
+    return df.withColumn("value", F.concat(F.lit('{"Details":'), body, F.lit(","), rest))

@@ -35,7 +35,7 @@ def fold_orders(events: DataFrame) -> DataFrame:
     at = position()
     header, change = F.col("header"), F.col("change")
     order_id = F.coalesce(F.col("header.id"), F.col("change.order_id")).alias("id")
-    picked = events.filter(header.isNotNull() | change.isNotNull()).select(
+    picked = events.filter(F.col("kind").isin("header", "change")).select(
         order_id, at.alias("at"), "header", "change"
     )
 
@@ -82,13 +82,13 @@ def ignored_changes(events: DataFrame) -> DataFrame:
 
 def customers(events: DataFrame) -> DataFrame:
     """All customers; a repeated id stays visible (see ``repeated_keys``)."""
-    return events.filter(F.col("customer").isNotNull()).select("customer.*")
+    return events.filter(F.col("kind") == "customer").select("customer.*")
 
 
 def order_lines(events: DataFrame) -> DataFrame:
     """The lists of all order-details events, one row per line."""
     return (
-        events.filter(F.col("lines").isNotNull())
+        events.filter(F.col("kind") == "lines")
         .select(F.inline("lines"))
         .withColumn("price", F.col("price").cast("decimal(7,2)"))
     )

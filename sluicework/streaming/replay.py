@@ -74,7 +74,7 @@ class OrderTables:
             return
         events = self.store.read(self.EVENTS, ids).drop("batch_id")
         ends = (
-            events.filter(F.col("header").isNotNull() | F.col("change").isNotNull())
+            events.filter(F.col("kind").isin("header", "change"))
             .groupBy(F.coalesce("header.id", "change.order_id").alias("_id"))
             .agg(F.max(F.struct("partition", "offset")).alias("_at"))
         )
@@ -87,7 +87,7 @@ class OrderTables:
                 F.col(f.name).cast(f.dataType).alias(f.name) for f in header.fields
             ]).alias("header"),
         )
-        others = events.filter(F.col("customer").isNotNull() | F.col("lines").isNotNull())
+        others = events.filter(F.col("kind").isin("customer", "lines"))
         target = -max([i for i in ids if i >= 0] or [self._compacted()]) - 1
         self.store.write(target, {
             self.EVENTS: others.unionByName(headers, allowMissingColumns=True)
