@@ -20,12 +20,32 @@ def fingerprint(content: Column) -> list[Column]:
 
 def json_ready(field: T.StructField) -> Column:
     """The column as JSON should carry it: times and decimals as text, binary refused."""
-    kind, column = field.dataType, F.col(f"`{field.name}`")
-    if has_binary(kind):
+    if has_binary(field.dataType):
         raise TypeError(f"column {field.name} is binary and has no JSON form")
+    return _json_form(F.col(f"`{field.name}`"), field.dataType).alias(field.name)
+
+
+def _json_form(value: Column, kind: T.DataType) -> Column:
     if isinstance(kind, (T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)):
-        column = column.cast("string")
-    return column.alias(field.name)
+        return value.cast("string")
+    if not _has_text_form(kind):
+        return value
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda e: _json_form(e, kind.elementType))
+    if isinstance(kind, T.MapType):
+        return F.transform_values(value, lambda _, v: _json_form(v, kind.valueType))
+    fields = F.struct(*[_json_form(value[f.name], f.dataType).alias(f.name) for f in kind.fields])
+    return F.when(value.isNotNull(), fields)
+
+
+def _has_text_form(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _has_text_form(kind.elementType)
+    if isinstance(kind, T.MapType):
+        return _has_text_form(kind.valueType)
+    if isinstance(kind, T.StructType):
+        return any(_has_text_form(f.dataType) for f in kind.fields)
+    return isinstance(kind, (T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType))
 
 
 def has_binary(kind: T.DataType) -> bool:
