@@ -19,7 +19,9 @@ NAMED_REFERENCES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'
 
 
 def is_row(line: Column) -> Column:
-    return F.ltrim(line).startswith("<row")
+    """A line that starts with a ``row`` element; ``<rows>`` is another element."""
+    start = F.ltrim(line)
+    return start.startswith("<row") & F.substring(start, 5, 1).isin(" ", "\t", "/", ">", "")
 
 
 def attribute_names(line: Column) -> Column:

@@ -1,0 +1,161 @@
+import pytest
+from pyspark.sql import functions as F
+
+from sluicework.operators import incremental as inc
+from sluicework.operators import matching, profile, reconcile
+from sluicework.sinks.batches import BatchStore
+
+COLUMNS = "id int, v string, n int"
+
+
+def frame(spark, *rows, columns=COLUMNS):
+    return spark.createDataFrame(list(rows), columns)
+
+
+def rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_increments_add_up_to_the_full_load(spark, tmp_path):
+    source = spark.range(1, 101).select(F.col("id"), (F.col("id") * 2).alias("v"))
+    path = str(tmp_path / "target")
+    source.limit(0).write.parquet(path)
+    for high in (30, 31, 31, 77, 100):
+        target = spark.read.parquet(path)
+        mark = profile.high_water_mark(target, "id").first()["high_water"]
+        inc.between(source, "id", mark, high).write.mode("append").parquet(path)
+    result = reconcile.rows_equal(spark.read.parquet(path), source).first()
+    assert result["equal"] and result["n_left"] == 100
+    assert inc.above(source, "id", 100).isEmpty()
+
+
+def test_changed_since(spark):
+    source = frame(spark, (1, "2024-01-01", 0), (2, None, 0), (3, "2024-02-01", 0), (4, "2024-03-01", 0))
+    assert [r["id"] for r in inc.changed_since(source, "id", 3, "v", "2024-01-15").collect()] == [3]
+    assert [r["id"] for r in inc.changed_since(source, "id", 3, "v", None).collect()] == [1, 3]
+
+
+def test_merge_delete_rewrite_replaces_all_rows_of_a_key(spark):
+    target = frame(spark, (1, "a", 1), (1, "b", 2), (2, "c", 3))
+    changed = frame(spark, (1, "new", 9), (3, "more", 4))
+    merged = inc.merge_delete_rewrite(target, changed, ["id"])
+    assert rows(merged) == [(1, "new", 9), (2, "c", 3), (3, "more", 4)]
+    assert rows(inc.merge_delete_rewrite(merged, changed, ["id"])) == rows(merged), "twice is once"
+
+
+def test_merge_update_columns(spark):
+    target = frame(spark, (1, "a", 1), (2, "b", 2), (3, "c", 3))
+    changed = frame(spark, (1, "x", 10), (1, "y", 11), (2, None, 12), (9, "z", 13))
+    got = {r["id"]: (r["v"], r["n"]) for r in
+           inc.merge_update_columns(target, changed, ["id"], ["v"], ["n"]).collect()}
+    assert got == {1: ("y", 1), 2: (None, 2), 3: ("c", 3)}
+    kept = {r["id"]: r["v"] for r in
+            inc.merge_update_columns(target, changed, ["id"], ["v"], ["n"], keep_when_null=True).collect()}
+    assert kept == {1: "y", 2: "b", 3: "c"}
+
+
+def test_change_feed_codes(spark):
+    old = frame(spark, (1, "same", 1), (2, "gone", 2), (3, "old", None))
+    new = frame(spark, (1, "same", 1), (3, "new", None), (4, "come", 4))
+    feed = {(r["op"], r["id"], r["v"], r["copies"]) for r in inc.change_feed(old, new, ["id"]).collect()}
+    assert feed == {(1, 2, "gone", 1), (3, 3, "old", 1), (4, 3, "new", 1), (2, 4, "come", 1)}
+
+
+def test_change_feed_of_repeated_keys_keeps_the_count(spark):
+    old = frame(spark, *[(1, "a", 1)] * 3, (1, "b", 1))
+    new = frame(spark, *[(1, "a", 1)] * 1, (1, "c", 1))
+    feed = {(r["op"], r["v"], r["copies"]) for r in inc.change_feed(old, new, ["id"]).collect()}
+    assert feed == {(1, "a", 2), (1, "b", 1), (2, "c", 1)}
+
+
+def test_apply_change_feed_takes_the_last_operation(spark):
+    target = frame(spark, (1, "a", 1), (2, "b", 2))
+    feed = spark.createDataFrame([
+        (10, 3, 1, "a", 1), (11, 4, 1, "a2", 1), (12, 2, 3, "c", 3), (13, 1, 2, "b", 2),
+        (14, 1, 3, "c", 3), (15, 2, 2, "back", 5),
+    ], "lsn int, op int, id int, v string, n int")
+    applied = inc.apply_change_feed(target, feed, ["id"], ["lsn"])
+    assert rows(applied) == [(1, "a2", 1), (2, "back", 5)]
+    assert rows(inc.apply_change_feed(applied, feed, ["id"], ["lsn"])) == rows(applied)
+
+
+def test_diff_names_the_column_and_counts_what_it_compared(spark):
+    left = frame(spark, (1, "a", 1), (2, "b", None), (3, "c", 3), (5, "x", 5), (5, "x", 5))
+    right = frame(spark, (1, "a", 1), (2, "B", None), (4, "d", 4), (5, "x", 5))
+    got = {r["column_name"]: r for r in reconcile.diff_by_column(left, right, ["id"], ["v", "n"]).collect()}
+    assert (got["v"]["n_compared"], got["v"]["n_differing"], got["n"]["n_differing"]) == (2, 1, 0)
+    assert (got["v"]["n_unmatched"], got["v"]["n_repeated"], got["n"]["n_not_null"]) == (2, 1, 1)
+
+
+def test_rows_equal_is_about_copies_and_needs_rows(spark):
+    a, b = frame(spark, (1, "a", 1), (1, "a", 1)), frame(spark, (1, "a", 1))
+    got = reconcile.rows_equal(a, b).first()
+    assert (got["n_only_left"], got["n_only_right"], got["equal"]) == (1, 0, False)
+    assert not reconcile.rows_equal(a.limit(0), b.limit(0)).first()["equal"], "nothing was compared"
+
+
+def test_coverage_and_orphans(spark):
+    heads, lines = frame(spark, (1, "", 0), (2, "", 0)), frame(spark, (2, "", 0), (3, "", 0), (3, "", 0))
+    assert matching.coverage(heads, "id", lines, "id").first()[:] == (2, 2, 1, 1)
+    got = {(r["only_in"], r["id"], r["n_rows"]) for r in
+           matching.orphans_both_ways(heads, ["id"], lines, ["id"]).collect()}
+    assert got == {("left", 1, 1), ("right", 3, 2)}
+
+
+def test_facts(spark):
+    counts = spark.createDataFrame([(3, None)], "a int, b int")
+    got = [tuple(r) for r in reconcile.facts(counts, [
+        ("three", F.col("a") == 3, F.col("a")), ("unknown", F.col("b") == 1, F.lit("none")),
+    ]).collect()]
+    assert got == [("three", True, "3"), ("unknown", False, "none")]
+
+
+def test_a_batch_is_visible_in_all_tables_or_in_none(spark, tmp_path):
+    store = BatchStore(spark, str(tmp_path / "store"))
+    heads, lines = frame(spark, (1, "a", 1)), frame(spark, (1, "x", 1), (1, "y", 2))
+    store.write(1, {"heads": heads, "lines": lines})
+    assert store.published() == []
+    assert store.read("heads").isEmpty() and store.read("lines").isEmpty()
+    store.publish([1])
+    seen = store.published()
+    store.write(2, {"heads": heads, "lines": lines})
+    store.publish([2])
+    store.publish([2])
+    assert store.published() == [1, 2]
+    assert store.read("heads", seen).count() == 1 and store.read("lines", seen).count() == 2
+    assert store.read("heads").count() == 2
+    store.write(2, {"heads": heads, "lines": lines})
+    assert store.read("lines").count() == 4, "a batch written again replaces itself"
+
+
+def test_only_published_partitions_are_read(spark, tmp_path):
+    store = BatchStore(spark, str(tmp_path / "store"))
+    for batch in range(4):
+        store.write(batch, {"t": frame(spark, (batch, "a", 1))})
+    store.publish([1, 3])
+    df = store.read("t")
+    assert sorted(r["id"] for r in df.collect()) == [1, 3]
+    assert "PartitionFilters: [batch_id" in df._jdf.queryExecution().toString()
+
+
+def test_full_reload_keeps_the_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for _ in range(2):
+        frame(spark, (1, "a", 1)).write.mode("overwrite").parquet(path)
+    assert spark.read.parquet(path).count() == 1
+
+
+def test_last_row_per_key(spark):
+    df = frame(spark, (1, "a", 1), (1, "b", 3), (1, "c", 2), (2, "d", 1))
+    assert rows(inc.unique_by(df, ["id"], ["n"])) == [(1, "b", 3), (2, "d", 1)]
+
+
+@pytest.mark.parametrize("n", [1, 3, 8])
+def test_feed_applied_in_bites_is_the_new_snapshot(spark, n):
+    snapshots = [frame(spark, *[(i, f"v{(i * s) % 5}", s) for i in range(20) if (i + s) % 4]) for s in range(n + 1)]
+    state = snapshots[0]
+    for old, new in zip(snapshots, snapshots[1:], strict=False):
+        feed = inc.change_feed(old, new, ["id"]).withColumn("lsn", F.col("op"))
+        state = inc.apply_change_feed(state, feed, ["id"], ["lsn"])
+    result = reconcile.rows_equal(state, snapshots[-1]).first()
+    assert result["equal"] and result["n_left"] == 15
