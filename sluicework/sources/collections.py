@@ -40,7 +40,8 @@ def find(
     """
     result = documents
     for field, value in (filter or {}).items():
-        result = result.filter(F.col(field).eqNullSafe(F.lit(value)))
+        column = F.col(field)
+        result = result.filter(column.isNull() if value is None else column == F.lit(value))
     if sort:
         result = result.orderBy(*[F.desc(f) if way < 0 else F.asc(f) for f, way in sort])
     if skip:
