@@ -1,13 +1,17 @@
-"""Attributes of one-line XML rows, ``<row A="1" B="2" />``, as a map.
+"""Attributes of one-line XML rows, ``<row A="1" B="2" />``.
 
-Attribute names are not known beforehand, so no schema-bound reader fits: names and values are cut
-out by pattern and the references in the values (``&amp;``, ``&#10;``) are resolved.
+Where the target names the attributes, ``from_xml`` reads them. Where they are not known beforehand
+no schema-bound reader fits: names and values are cut out by pattern and the references in the
+values (``&amp;``, ``&#10;``) are resolved.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 NAME = r"[\p{L}_:][\p{L}\p{N}_:.\-]*"
 VALUE = r"""(?:"[^"<]*"|'[^'<]*')"""
@@ -28,31 +32,43 @@ def attribute_names(line: Column) -> Column:
     return F.regexp_extract_all(line, F.lit(ATTRIBUTE), F.lit(1))
 
 
-def attributes(line: Column) -> Column:
-    """Map of attribute name to resolved value; a malformed row line is an error."""
-    values = F.transform(
-        F.regexp_extract_all(line, F.lit(ATTRIBUTE), F.lit(2)),
-        lambda quoted: resolved(F.substring(quoted, F.lit(2), F.length(quoted) - 2)),
-    )
-    pairs = F.map_from_arrays(attribute_names(line), values)
+def attributes(line: Column, fold: bool = False) -> Column:
+    """Map of attribute name to resolved value; a malformed row line is an error.
+
+    For names that are not known beforehand. ``fold`` gives lower-case names.
+    """
+    # As in any XML attribute, a raw tab or line break counts as a blank
+    flat = F.translate(line, "\t\n\r", "   ")
+    quoted = F.regexp_extract_all(flat, F.lit(ATTRIBUTE), F.lit(2))
+    bare = F.transform(quoted, lambda q: F.substring(q, F.lit(2), F.length(q) - 2))
+    names = attribute_names(flat)
+    if fold:
+        names = F.transform(names, F.lower)
     message = F.concat(F.lit("malformed row: "), line)
-    return F.when(line.rlike(ROW_LINE), pairs).otherwise(
-        F.raise_error(message).cast("map<string,string>")
-    )
+    return F.when(
+        line.rlike(ROW_LINE), F.map_from_arrays(names, F.transform(bare, resolved))
+    ).otherwise(F.raise_error(message).cast("map<string,string>"))
+
+
+def known_attributes(line: Column, names: Sequence[str]) -> Column:
+    """The named attributes as a struct of texts; names match in any case, NULL where absent.
+
+    The matching follows ``spark.sql.caseSensitive``, which must be off (see ``folds_names``).
+    """
+    schema = T.StructType([T.StructField(f"_{name}", T.StringType()) for name in names])
+    return F.from_xml(line, schema, {"mode": "FAILFAST", "attributePrefix": "_"})
 
 
-def folded_attributes(line: Column) -> Column:
-    """As ``attributes``, with lower-case names."""
-    return F.transform_keys(attributes(line), lambda name, _: F.lower(name))
+def folds_names(spark: SparkSession) -> bool:
+    return spark.conf.get("spark.sql.caseSensitive").lower() != "true"
 
 
 def resolved(value: Column) -> Column:
     """Attribute text with its references replaced. Text without ``&`` takes the short way."""
-    plain = F.translate(value, "\t\n\r", "   ")
-    named = _numbered(plain)
+    named = F.when(value.contains("&#"), _numbered(value)).otherwise(value)
     for reference, char in NAMED_REFERENCES:
         named = F.replace(named, F.lit(reference), F.lit(char))
-    return F.when(F.contains(value, F.lit("&")), named).otherwise(plain)
+    return F.when(value.contains("&"), named).otherwise(value)
 
 
 def _numbered(value: Column) -> Column:

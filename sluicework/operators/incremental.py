@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +23,17 @@ def between(source: DataFrame, key: str, low: int, high: int) -> DataFrame:
     return source.filter((F.col(key) > low) & (F.col(key) <= high))
 
 
+def transfer_pass(
+    sources: Mapping[str, tuple[DataFrame, str]], low: int, high: int
+) -> dict[str, DataFrame]:
+    """One pass over tables that belong together, each given with its key column.
+
+    All tables get the same two bounds, taken once before the pass, so a parent that arrives while
+    the pass runs is left to the next one together with its children.
+    """
+    return {name: between(df, key, low, high) for name, (df, key) in sources.items()}
+
+
 def changed_since(source: DataFrame, key: str, high: int, changed: str, since) -> DataFrame:
     """Rows the target has (key <= high) that changed after ``since``.
 

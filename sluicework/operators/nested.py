@@ -22,17 +22,20 @@ def nest(df: DataFrame, shape: Mapping[str, str | Mapping]) -> DataFrame:
 
 
 def paged_lists(
-    entries: DataFrame, key: str, columns: Sequence[str], page_size: int = PAGE_SIZE
+    entries: DataFrame, key: str, columns: Sequence[str], page_size: int = PAGE_SIZE,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Per key its entries as sorted lists: (key, page, entries).
 
     A key with up to ``page_size`` entries has one list, page 0. A larger key is spread by hash over
     as many pages as it needs, each its own row and its own group, so no task ever holds the
     whole key. Every entry is on exactly one page. Entries should be distinct within a key (see
-    ``quantities``): copies share a page.
+    ``quantities``): copies share a page. ``counted`` may give the same keys with at least as many
+    rows from a cheaper plan.
     """
     large = (
-        entries.groupBy(key)
+        (entries if counted is None else counted)
+        .groupBy(key)
         .agg(F.count("*").alias("_n"))
         .filter(F.col("_n") > page_size)
         .select(F.col(key).alias("_key"), F.ceil(F.col("_n") / page_size).alias("_pages"))
@@ -66,7 +69,9 @@ def order_documents(
     priced = lines.join(photo, "photo_id").select(
         "order_id", "photo_id", "quantity", "price", "photo"
     )
-    pages = paged_lists(priced, "order_id", ["photo_id", "quantity", "price", "photo"], page_size)
+    pages = paged_lists(
+        priced, "order_id", ["photo_id", "quantity", "price", "photo"], page_size, lines
+    )
     headers = orders.join(customers, "customer_id").select("order_id", "created_at", customer)
     kind = pages.schema["entries"].dataType
     photos = F.coalesce(F.col("entries"), F.array().cast(kind))

@@ -65,10 +65,11 @@ def in_range(column: str, kind: T.DataType, low, high, name: str | None = None)
 
 def check(df: DataFrame, rules: Sequence[Rule | Unique]) -> DataFrame:
     """The rows with the sorted names of the rules they fail."""
-    checks = [r for r in rules if isinstance(r, Rule)]
-    failed = F.array(*[F.when(F.coalesce(r.fails(), F.lit(False)), F.lit(r.name)) for r in checks])
-    failed = failed if checks else F.array().cast("array<string>")
-    result = df.withColumn(REASONS, F.array_sort(F.array_compact(failed)))
+    checks = sorted((r for r in rules if isinstance(r, Rule)), key=lambda r: r.name)
+    none = F.lit("")
+    names = [F.when(F.coalesce(r.fails(), F.lit(False)), F.lit(r.name)).otherwise(none) for r in checks]
+    failed = F.array_remove(F.array(*names), "") if checks else F.array().cast("array<string>")
+    result = df.withColumn(REASONS, failed)
     for rule in rules:
         if isinstance(rule, Unique):
             result = _check_unique(result, rule)

@@ -76,8 +76,8 @@ def paired(left: DataFrame, right: DataFrame, keys: Sequence[str], columns: Sequ
         .agg(
             F.sum("_nl").alias("_nl"),
             F.sum("_nr").alias("_nr"),
-            F.max("_l").alias("_l"),
-            F.max("_r").alias("_r"),
+            F.any_value("_l", F.lit(True)).alias("_l"),
+            F.any_value("_r", F.lit(True)).alias("_r"),
         )
     )
 

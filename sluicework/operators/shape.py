@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,18 +64,18 @@ def align(
     return df.select(*[fitted(f) for f in schema.fields])
 
 
-def from_map(
+def from_texts(
     df: DataFrame,
-    entries: str,
+    text_of: Callable[[str], Column],
     schema: T.StructType,
     column_map: Mapping[str, str] | None = None,
     strict: bool = True,
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Typed columns out of a map of lower-case names to texts. An absent key is NULL."""
+    """Typed columns out of texts that ``text_of`` finds by lower-case source name."""
     wanted = source_names(schema, column_map)
     columns = [
-        converted(F.col(entries)[wanted[f.name]], f.dataType, strict, f.name).alias(f.name)
+        converted(text_of(wanted[f.name]), f.dataType, strict, f.name).alias(f.name)
         for f in schema.fields
     ]
     return df.select(*keep, *columns)

@@ -75,15 +75,16 @@ def inc_bounded(t):
     low = half(t)
     high = low + low // 2
 
-    def counted(df, key, part):
-        picked = inc.between(df.select(F.col(key).alias("order_id")), "order_id", low, high)
-        return picked.groupBy("order_id").agg(F.count("*").alias("n_rows")).select(
-            F.lit(part).alias("part"), "order_id", "n_rows"
-        )
-
-    return counted(t.orders, "o_orderkey", "header").unionAll(
-        counted(t.lineitem, "l_orderkey", "detail")
-    )
+    picked = inc.transfer_pass({
+        "header": (t.orders.select(F.col("o_orderkey").alias("order_id")), "order_id"),
+        "detail": (t.lineitem.select(F.col("l_orderkey").alias("order_id")), "order_id"),
+    }, low, high)
+    headers, details = [
+        df.groupBy("order_id").agg(F.count("*").alias("n_rows"))
+        .select(F.lit(part).alias("part"), "order_id", "n_rows")
+        for part, df in picked.items()
+    ]
+    return headers.unionAll(details)
 
 
 @query(

@@ -33,10 +33,13 @@ class BatchStore:
             df.drop(BATCH).write.mode("overwrite").parquet(f"{self._path(name)}/{BATCH}={batch_id}")
 
     def write_all(self, tables: Mapping[str, DataFrame]) -> None:
-        """Writes rows that carry their batch id. Only the batches that occur are replaced."""
+        """Writes rows that carry their batch id. Only the batches that occur are replaced.
+
+        The rebalance hint gathers a batch into few files and still splits a large one.
+        """
         for name, df in tables.items():
             (
-                df.write.mode("overwrite")
+                df.hint("rebalance", BATCH).write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
                 .partitionBy(BATCH)
                 .parquet(self._path(name))

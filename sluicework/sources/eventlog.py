@@ -20,12 +20,12 @@ RECORD = T.StructType([
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """The whole directory log as it is now."""
-    return spark.read.schema(RECORD).json(path)
+    return spark.read.schema(RECORD).option("mode", "FAILFAST").json(path)
 
 
 def stream_log(spark: SparkSession, path: str, files_per_bite: int | None = None) -> DataFrame:
     """The directory log as a stream; where a reader stands is kept in its checkpoint."""
-    reader = spark.readStream.schema(RECORD)
+    reader = spark.readStream.schema(RECORD).option("mode", "FAILFAST")
     if files_per_bite:
         reader = reader.option("maxFilesPerTrigger", files_per_bite)
     return reader.json(path)

@@ -1,20 +1,20 @@
 """Line-oriented XML and JSON files as typed rows.
 
-A line becomes a map of lower-case names to texts first and columns of the target afterwards, so a
-name in another case or a single bad value can never turn silently into NULLs.
+A line is read into texts by folded names first and converted to the target afterwards, so a name in
+another case or a single bad value can never turn silently into NULLs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluicework.functions.content import folded_json_object
-from sluicework.functions.markup import folded_attributes, is_row
-from sluicework.operators.shape import from_map
+from sluicework.functions.markup import attributes, folds_names, is_row, known_attributes
+from sluicework.operators.shape import from_texts, source_names, stack
 
 # What the first line of a file starts with.
 XML_START, JSON_START = "<?xml", "{"
@@ -23,28 +23,31 @@ BOM = "\ufeff"
 BROADCAST_FILES = 50_000
 
 
-def xml_entries(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Row lines as maps; every other line is passed over."""
-    return lines.filter(is_row(F.col(column))).withColumn("entries", folded_attributes(F.col(column)))
-
-
-def json_entries(lines: DataFrame, column: str = "value") -> DataFrame:
-    """JSON object lines as maps; blank lines are passed over."""
-    return lines.filter(F.trim(column) != "").withColumn("entries", folded_json_object(F.col(column)))
-
-
 def xml_rows(
     lines: DataFrame, schema: T.StructType, column_map: Mapping[str, str] | None = None,
-    strict: bool = True, column: str = "value",
+    strict: bool = True, column: str = "value", keep: Sequence[str] = (),
 ) -> DataFrame:
-    return from_map(xml_entries(lines, column), "entries", schema, column_map, strict)
+    """The row lines of XML text; every other line is passed over."""
+    rows = lines.filter(is_row(F.col(column)))
+    if not folds_names(lines.sparkSession):
+        entries = rows.withColumn("_row", attributes(F.col(column), fold=True))
+        return from_texts(entries, lambda name: F.col("_row")[name], schema, column_map, strict, keep)
+    names = sorted(set(source_names(schema, column_map).values()))
+    parsed = rows.withColumn("_row", known_attributes(F.col(column), names))
+    return from_texts(
+        parsed, lambda name: F.col("_row")[f"_{name}"], schema, column_map, strict, keep
+    )
 
 
 def json_rows(
     lines: DataFrame, schema: T.StructType, column_map: Mapping[str, str] | None = None,
-    strict: bool = True, column: str = "value",
+    strict: bool = True, column: str = "value", keep: Sequence[str] = (),
 ) -> DataFrame:
-    return from_map(json_entries(lines, column), "entries", schema, column_map, strict)
+    """The JSON objects of text lines; blank lines are passed over."""
+    entries = lines.filter(F.trim(column) != "").withColumn(
+        "_row", folded_json_object(F.col(column))
+    )
+    return from_texts(entries, lambda name: F.col("_row")[name], schema, column_map, strict, keep)
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -79,18 +82,16 @@ def import_files(
     ``format`` (``xml`` or ``json``) for all files saves the pass that looks at the first lines.
     """
     lines = read_lines(spark, path)
-    if format is None:
-        formats = file_formats(lines)
-        # One row per file; the driver holds the list of files anyway
-        if len(lines.inputFiles()) <= BROADCAST_FILES:
-            formats = F.broadcast(formats)
-        routed = lines.join(formats, "file")
-    else:
-        routed = lines.withColumn("format", F.lit(format))
-    xml = (F.col("format") == "xml") & is_row(F.col("value"))
-    json = (F.col("format") == "json") & (F.trim("value") != "")
-    parsed = F.when(xml, folded_attributes(F.col("value"))).otherwise(
-        folded_json_object(F.col("value"))
-    )
-    entries = routed.filter(xml | json).withColumn("entries", parsed)
-    return from_map(entries, "entries", schema, column_map, strict, ["file"] if keep_file else [])
+    kept = ["file"] if keep_file else []
+    arguments = {"schema": schema, "column_map": column_map, "strict": strict, "keep": kept}
+    readers = {"xml": xml_rows, "json": json_rows}
+    if format is not None:
+        return readers[format](lines, **arguments)
+    formats = file_formats(lines)
+    # One row per file; the driver holds the list of files anyway
+    if len(lines.inputFiles()) <= BROADCAST_FILES:
+        formats = F.broadcast(formats)
+    routed = lines.join(formats, "file")
+    return stack([
+        reader(routed.filter(F.col("format") == name), **arguments) for name, reader in readers.items()
+    ])

@@ -7,6 +7,8 @@ from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+SHAPES = ("DataFrame", "dict", "list", "single_value")
+
 # Text literals, quoted names and comments are passed over; only the last branch is a parameter
 _AT_NAME = re.compile(
     r"""'(?:[^'\\]|\\.|'')*' | "(?:[^"\\]|\\.|"")*" | `[^`]*` | --[^\n]* | /\*.*?\*/
@@ -29,11 +31,11 @@ def run(
 ):
     """Runs SQL. ``:name``, ``@name`` and ``?`` are bound; ``{table}`` names a given DataFrame.
 
-    ``shape``: ``DataFrame`` (lazy), ``single_value`` (None without rows) or ``dict`` (a lazy
-    iterator of rows, fetched one partition at a time).
+    ``shape``: ``DataFrame`` (lazy), ``single_value`` (None without rows), or ``dict`` or ``list``
+    for a lazy iterator of rows, fetched one partition at a time.
     """
-    if shape not in ("DataFrame", "single_value", "dict"):
-        raise ValueError(f"unknown shape {shape!r}, use DataFrame, single_value or dict")
+    if shape not in SHAPES:
+        raise ValueError(f"unknown shape {shape!r}, use {', '.join(SHAPES)}")
     if parameters is None:
         args = None
     elif isinstance(parameters, Mapping):
@@ -46,7 +48,7 @@ def run(
     result = spark.sql(text, args, **tables)
     if shape == "single_value":
         return single_value(result)
-    return _rows(result) if shape == "dict" else result
+    return result if shape == "DataFrame" else _rows(result, shape)
 
 
 def single_value(df: DataFrame):
@@ -55,6 +57,6 @@ def single_value(df: DataFrame):
     return None if row is None else row[0]
 
 
-def _rows(df: DataFrame) -> Iterator[dict]:
+def _rows(df: DataFrame, shape: str) -> Iterator[dict | tuple]:
     for row in df.toLocalIterator():
-        yield row.asDict(recursive=True)
+        yield row.asDict(recursive=True) if shape == "dict" else tuple(row)

@@ -118,7 +118,7 @@ def test_text_helpers(spark):
 
 def test_attributes_resolve_references(spark):
     line = """  <row Id="1" Name='it&apos;s' About="a&#9;b&#xA;c\\d &lt;p&gt; &amp;lt; &#38;lt; &#x1D544;" Tm="ypercubeᵀᴹ" Empty="" />"""
-    got = one(spark, markup.folded_attributes(F.lit(line)))[0]
+    got = one(spark, markup.attributes(F.lit(line), fold=True))[0]
     assert got == {
         "id": "1", "name": "it's", "about": "a\tb\nc\\d <p> &lt; &lt; 𝕄", "tm": "ypercubeᵀᴹ", "empty": "",
     }

@@ -29,6 +29,19 @@ def test_increments_add_up_to_the_full_load(spark, tmp_path):
     assert inc.above(source, "id", 100).isEmpty()
 
 
+def test_passes_keep_parents_and_children_together(spark):
+    heads = spark.range(1, 21).select("id")
+    lines = spark.range(0, 100).select((F.col("id") % 20 + 1).alias("order_id"))
+    sizes, low = [], 0
+    for high in (15, 15, 20):
+        got = inc.transfer_pass({"h": (heads, "id"), "l": (lines, "order_id")}, low, high)
+        sizes.append((got["h"].count(), got["l"].count()))
+        gaps = matching.coverage(got["h"], "id", got["l"], "order_id").first()
+        assert gaps["n_without_children"] == 0 and gaps["n_without_parent"] == 0
+        low = high
+    assert sizes == [(15, 75), (0, 0), (5, 25)], "the first pass carries the backlog"
+
+
 def test_changed_since(spark):
     source = frame(spark, (1, "2024-01-01", 0), (2, None, 0), (3, "2024-02-01", 0), (4, "2024-03-01", 0))
     assert [r["id"] for r in inc.changed_since(source, "id", 3, "v", "2024-01-15").collect()] == [3]

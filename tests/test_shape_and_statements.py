@@ -82,6 +82,7 @@ def test_run_shapes_and_errors(spark):
     assert statements.run(spark, "SELECT id FROM {t} WHERE id > @x", {"x": 9}, "single_value", t=df) is None
     rows = statements.run(spark, "SELECT id FROM {t} ORDER BY id", shape="dict", t=df)
     assert next(rows) == {"id": 0} and list(rows) == [{"id": 1}, {"id": 2}]
+    assert list(statements.run(spark, "SELECT id, 'x' AS x FROM {t}", shape="list", t=df.limit(1))) == [(0, "x")]
     assert statements.run(spark, "SELECT ? + ? AS s", [1, 2]).first()["s"] == 3
     assert statements.run(spark, "SELECT :a::int + 1 AS s, ':a' AS t", {"a": "4"}).first()[:] == (5, ":a")
     with pytest.raises(Exception, match="UNBOUND_SQL_PARAMETER"):

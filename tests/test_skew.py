@@ -36,7 +36,16 @@ def folder(tmp_path_factory):
     return str(root)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+# Row-by-row queries and plain scans are not touched by skew
+ROWWISE = set("""align_lenient align_strict build_email column_map content_fingerprint derive_columns
+    doc_find drop_blank_rows export_json inc_changed inc_high_water json_roundtrip jsonl_rows
+    log_encode log_read_first_n ms_precision nan_to_null nest_document param_named param_positional
+    project_columns replay_stream scan_query scan_table single_value skip_headings table_information
+    text_predicates top_k typed_convert union_by_name unpaid_orders wkt_build wkt_parse wkt_points
+    xml_rows""".split())
+
+
+@pytest.mark.parametrize("name", sorted(set(entry.oracle_sql()) - ROWWISE))
 def test_query_equals_sql_on_skewed_tables(spark, folder, name):
     columns, rows = spark_rows(entry.queries()[name](spark, folder))
     expected_columns, expected = duck_rows(folder, entry.oracle_sql()[name])
