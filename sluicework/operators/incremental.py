@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluicework.operators.matching import join_per_key
 from sluicework.operators.reconcile import bag_difference
 
 # Operation codes of a change feed.
@@ -55,7 +56,8 @@ def unique_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str])
 def merge_delete_rewrite(target: DataFrame, changed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The target without the keys of ``changed``, plus all rows of ``changed``."""
     gone = changed.select(*keys).distinct()
-    return target.join(gone, list(keys), "left_anti").select(*target.columns).unionByName(changed)
+    kept = join_per_key(target, gone, keys, "left_anti").select(*target.columns)
+    return kept.unionByName(changed)
 
 
 def merge_update_columns(
@@ -70,7 +72,7 @@ def merge_update_columns(
     change = changed.groupBy(*keys).agg(
         F.max_by(F.struct(*columns), F.struct(*order)).alias("_new")
     )
-    joined = target.join(change, list(keys), "left")
+    joined = join_per_key(target, change, keys)
 
     def value(name: str) -> Column:
         if name not in columns:
@@ -94,8 +96,10 @@ def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFram
         F.sum(F.when(F.col("copies") < 0, -F.col("copies")).otherwise(0)).alias("_out"),
         F.sum(F.when(F.col("copies") > 0, F.col("copies")).otherwise(0)).alias("_in"),
     )
-    same = F.lit(True)
-    r, k = rows.alias("r"), kinds.alias("k")
+    # The hash beside the keys: see join_per_key. Keys may be NULL here
+    same = F.col("r._mark") == F.col("k._mark")
+    r = rows.withColumn("_mark", F.xxhash64(*keys)).alias("r")
+    k = kinds.withColumn("_mark", F.xxhash64(*keys)).alias("k")
     for key in keys:
         same = same & F.col(f"r.{key}").eqNullSafe(F.col(f"k.{key}"))
     update = (F.col("_out") == 1) & (F.col("_in") == 1)
@@ -118,5 +122,5 @@ def apply_change_feed(
     last = unique_by(
         feed.filter(F.col(op) != BEFORE).select(*target.columns, op, *position), keys, position
     )
-    kept = target.join(last.select(*keys), list(keys), "left_anti").select(*target.columns)
+    kept = join_per_key(target, last.select(*keys), keys, "left_anti").select(*target.columns)
     return kept.unionByName(last.filter(F.col(op) != DELETED).select(*target.columns))

@@ -1,4 +1,4 @@
-"""Matching parents and children by key.
+"""Matching rows by key.
 
 No join here carries a broadcast hint: Spark broadcasts a side only below
 ``spark.sql.autoBroadcastJoinThreshold``, measured, and otherwise sorts and merges with adaptive
@@ -14,6 +14,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def join_per_key(
+    left: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str = "left"
+) -> DataFrame:
+    """Rows joined with an aggregate that has one row per key; ``how`` keeps the left side.
+
+    Adaptive execution splits a hot partition only where both sides come straight out of a shuffle.
+    An aggregate is already placed by its key and would be joined in place, hot key and all. The
+    hash as a second key makes Spark shuffle the aggregate once more, one row per key.
+    """
+    mark = F.xxhash64(*keys)
+    joined = left.withColumn("_mark", mark).join(
+        per_key.withColumn("_mark", mark), [*keys, "_mark"], how
+    )
+    return joined.drop("_mark")
+
+
 def _per_key(df: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
     renamed = df.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)])
     return renamed.groupBy(*names).agg(F.count("*").alias("n_rows"))

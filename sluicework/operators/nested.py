@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluicework.operators.matching import join_per_key
+
 PAGE_SIZE = 10_000  # entries a list may hold
 
 
@@ -38,14 +40,14 @@ def paged_lists(
         .groupBy(key)
         .agg(F.count("*").alias("_n"))
         .filter(F.col("_n") > page_size)
-        .select(F.col(key).alias("_key"), F.ceil(F.col("_n") / page_size).alias("_pages"))
+        .select(key, F.ceil(F.col("_n") / page_size).alias("_pages"))
     )
     page = F.when(
         F.col("_pages").isNotNull(), F.pmod(F.xxhash64(*columns), F.col("_pages"))
     ).otherwise(F.lit(0))
     # Spread by key and page before collecting: the join may leave the rows partitioned by key alone
     placed = (
-        entries.join(large, F.col(key) == F.col("_key"), "left")
+        join_per_key(entries, large, [key])
         .select(key, page.cast("int").alias("page"), F.struct(*columns).alias("_entry"))
         .repartition(key, "page")
     )

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluicework.functions.content import converted
+from sluicework.operators.matching import join_per_key
 from sluicework.operators.shape import convert
 
 REASONS = "reasons"
@@ -91,7 +92,7 @@ def _check_unique(checked: DataFrame, rule: Unique) -> DataFrame:
         & F.col("_first").isNotNull()
         & (F.col(rule.position) != F.col("_first"))
     )
-    joined = checked.join(firsts, keys, "left")
+    joined = join_per_key(checked, firsts, keys)
     return joined.select(
         *[c for c in checked.columns if c != REASONS],
         F.when(late, F.array(F.lit(rule.name))).otherwise(F.col(REASONS)).alias(REASONS),

@@ -7,6 +7,7 @@ from sluicework.functions import clock, markup
 from sluicework.functions.content import row_json
 from sluicework.operators import profile, ranking, shape
 from sluicework.plans.registry import TABLES, query
+from sluicework.session import scratch_path
 from sluicework.sources import lines, statements
 from sluicework.sources.collections import find
 
@@ -114,19 +115,28 @@ def customer_lines(t):
     )
 
 
-@query(
-    "xml_rows",
-    """SELECT c_custkey AS id, c_name AS name,
+CUSTOMER_SQL = """SELECT c_custkey AS id, c_name AS name,
               CASE WHEN c_acctbal >= 0 THEN c_nationkey END AS nationkey,
               CAST(c_acctbal AS DECIMAL(18,2)) AS acctbal,
               CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN c_mktsegment || ' <"&">' || chr(9) || 'ᵀᴹ' END AS location,
               CAST(NULL AS VARCHAR) AS emailhash
-       FROM customer""",
-)
+       FROM customer"""
+
+
+@query("xml_rows", CUSTOMER_SQL)
 def xml_rows(t):
     return shape.fold_names(lines.xml_rows(customer_lines(t), CUSTOMER))
 
 
+@query("import_files", CUSTOMER_SQL)
+def import_files(t):
+    """The same lines as text files, between lines that are no rows."""
+    path = scratch_path(t.spark, "import")
+    other = t.region.select(F.concat(F.lit("<rows name='"), "r_name", F.lit("'>")).alias("value"))
+    customer_lines(t).unionAll(other).write.text(path)
+    return shape.fold_names(lines.import_files(t.spark, path, CUSTOMER, format="xml"))
+
+
 @query(
     "attribute_presence",
     """SELECT 'Id' AS attribute, count(*) AS n FROM customer

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,7 +18,6 @@ from sluicework.operators.shape import from_texts, source_names, stack
 
 # What the first line of a file starts with.
 XML_START, JSON_START = "<?xml", "{"
-BOM = "\ufeff"
 
 BROADCAST_FILES = 50_000
 
@@ -51,9 +50,9 @@ def json_rows(
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Text lines with their file; a byte order mark is dropped."""
+    """Text lines with their file; Spark drops a byte order mark."""
     return spark.read.text(path).select(
-        F.regexp_replace("value", f"^{BOM}", "").alias("value"),
+        "value",
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("_block"),
     )
@@ -61,15 +60,17 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def file_formats(lines: DataFrame) -> DataFrame:
     """The format of every file (``xml``, ``json`` or NULL), told by its first line."""
-    # The first line sits in the block at offset 0; within a block lines keep their order
-    start = lines.filter(F.col("_block") == 0).withColumn("_at", F.monotonically_increasing_id())
-    return start.groupBy("file").agg(
-        _format_of(F.min_by("value", "_at")).alias("format")
+    # The first line sits in the block at offset 0; within a block lines keep their order, so the
+    # smallest line number wins and carries the code of its line with it
+    line = F.col("value")
+    code = F.when(line.startswith(XML_START), 1).when(line.startswith(JSON_START), 2).otherwise(0)
+    numbered = lines.filter(F.col("_block") == 0).select(
+        "file", (F.monotonically_increasing_id() * 4 + code).alias("_at")
+    )
+    first = F.pmod(F.min("_at"), F.lit(4))
+    return numbered.groupBy("file").agg(
+        F.when(first == 1, "xml").when(first == 2, "json").alias("format")
     )
-
-
-def _format_of(line: Column) -> Column:
-    return F.when(line.startswith(XML_START), "xml").when(line.startswith(JSON_START), "json")
 
 
 def import_files(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from conftest import duck_rows, spark_rows
-from sluicework.operators import matching, nested, profile, ranking, reconcile
+from sluicework.operators import incremental, matching, nested, profile, quality, ranking, reconcile
 from sluicework.plans.registry import TABLES, Tables
 from sluicework.plans.reports import order_documents_of
 from sluicework.sinks import tables as table_sinks
@@ -93,7 +93,9 @@ def test_a_hot_key_is_one_row_per_map_task_before_the_join(spark):
     assert result.agg(F.sum("minutes"), F.sum("n_children")).first()[:] == (540000, 9000)
 
 
-def test_adaptive_execution_splits_a_hot_partition_of_a_row_join(spark):
+@pytest.fixture
+def small_thresholds(spark):
+    """Skew handling at the size of a test: no broadcast, 20 KB is a large partition."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -101,27 +103,84 @@ def test_adaptive_execution_splits_a_hot_partition_of_a_row_join(spark):
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
     }
     before = {k: spark.conf.get(k, None) for k in settings}
-    try:
-        for k, v in settings.items():
-            spark.conf.set(k, v)
-        left = spark.range(0, 200000, 1, 8).select(
-            F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")
-        )
-        right = spark.range(0, 200000, 1, 8).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
-        gone = right.filter("k % 2 = 1 AND k > 5")
-        joined = left.join(right, "k", "left")
-        kept = left.join(gone, "k", "left_anti")
-        assert joined.count() == 200000
-        joined.write.format("noop").mode("overwrite").save()
-        assert kept.count() == left.filter("NOT (k % 2 = 1 AND k > 5)").count()
-        plan = joined._jdf.queryExecution()
-        joined.collect()
-        assert "skew=true" in plan.executedPlan().toString()
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def hot_rows(spark, n=200000):
+    """n rows (k, v, w); key 1 holds a third of them."""
+    return spark.range(0, n, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"),
+        F.col("id").alias("v"), F.lit("old").alias("w"),
+    )
+
+
+def splits(df):
+    """Runs it and tells whether a skewed partition was split."""
+    df.collect()
+    return "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_row_join_splits_the_hot_key(spark, small_thresholds):
+    rows = hot_rows(spark)
+    names = spark.range(0, 200000, 1, 8).select(F.col("id").alias("k"), (F.col("id") * 2).alias("n"))
+    for how, expected in (("inner", 200000), ("left", 200000), ("left_semi", 200000), ("left_anti", 0)):
+        joined = rows.join(names, "k", how)
+        assert splits(joined), how
+        assert joined.count() == expected
+
+
+def test_an_aggregate_joined_in_place_would_not_split(spark, small_thresholds):
+    rows = hot_rows(spark)
+    per_key = rows.groupBy("k").agg(F.count("*").alias("n"))
+    assert not splits(rows.join(per_key, "k", "left"))
+    joined = matching.join_per_key(rows, per_key, ["k"])
+    assert splits(joined) and joined.agg(F.sum(F.lit(1))).first()[0] == 200000
+    assert joined.columns == ["k", "v", "w", "n"]
+
+
+def test_merges_split_the_hot_key(spark, small_thresholds):
+    target = hot_rows(spark)
+    changed = spark.range(0, 50000, 1, 8).select(
+        (F.col("id") * 3 + 5).alias("k"), (-F.col("id")).alias("v"), F.lit("new").alias("w")
+    )
+    gone = target.join(changed, "k", "left_semi").count()
+    rewritten = incremental.merge_delete_rewrite(target, changed, ["k"])
+    assert splits(rewritten) and rewritten.count() == 200000 - gone + 50000
+    updated = incremental.merge_update_columns(target, changed, ["k"], ["w"], ["v"])
+    assert splits(updated) and updated.count() == 200000
+    assert updated.filter("w = 'new'").count() == gone
+    feed = changed.withColumns({"op": F.lit(4), "lsn": F.col("v")})
+    applied = incremental.apply_change_feed(target, feed, ["k"], ["lsn"])
+    assert splits(applied) and applied.count() == 200000 - gone + 50000
+
+
+def test_a_change_feed_splits_the_hot_key(spark, small_thresholds):
+    old = hot_rows(spark, 100000)
+    new = old.withColumn("w", F.lit("new"))
+    feed = incremental.change_feed(old, new, ["k"])
+    assert splits(feed)
+    counts = {r["op"]: r["n"] for r in feed.groupBy("op").agg(F.sum("copies").alias("n")).collect()}
+    single = old.groupBy("k").count().filter("count = 1").count()
+    assert counts == {3: single, 4: single, 1: 100000 - single, 2: 100000 - single}
+
+
+def test_uniqueness_and_paging_split_the_hot_key(spark, small_thresholds):
+    rows = hot_rows(spark)
+    checked = quality.check(rows, [quality.Unique("key", ("k",), "v")])
+    assert splits(checked)
+    assert quality.summary(checked).first()["n"] == 200000 - rows.select("k").distinct().count()
+    pages = nested.paged_lists(rows, "k", ["v"], page_size=1000)
+    assert splits(pages)
+    assert pages.agg(F.sum(F.size("entries"))).first()[0] == 200000
+    assert pages.agg(F.max(F.size("entries"))).first()[0] < 1300
+    assert pages.filter("k = 1").count() == 67
 
 
 def test_row_numbers_with_a_hot_sort_value(spark):

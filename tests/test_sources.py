@@ -188,8 +188,8 @@ def test_timesheets_of_many_workbooks(spark, tmp_path, shared):
 
 
 def test_sheets_keep_blank_rows_until_they_are_dropped(spark, tmp_path):
-    write_workbook(tmp_path / "f.xlsx", {"ProjectStatus": TIMESHEET, "Other": TIMESHEET})
-    rows = workbooks.read_sheets(spark, str(tmp_path / "f.xlsx"), sheet="ProjectStatus")
+    write_workbook(tmp_path / "f.xlsx", {"Status": TIMESHEET, "Other": TIMESHEET})
+    rows = workbooks.read_sheets(spark, str(tmp_path / "f.xlsx"), sheet="Status")
     assert [(r["row_no"], len(r["cells"])) for r in rows.orderBy("row_no").collect()] == [(4, 5), (5, 5), (6, 0), (7, 3)]
 
 

@@ -11,15 +11,14 @@ from sluicework.streaming import envelope, fold
 from sluicework.streaming.metrics import LoadMetrics
 from sluicework.streaming.replay import OrderTables, lag
 
-AT = "2026-08-16T09:46:{:02d}.123000"
-KEYS = {"Added customer": "id", "Added order header": "id"}
+AT = "2025-05-05T10:20:{:02d}.123000"
 
 
 def event(offset, message, details, key=None):
-    value = {"Timestamp": "2026-08-16T09:46:49.123456", "Hostname": "h", "Appname": "shop", "Component": "Order",
+    value = {"Timestamp": "2025-05-05T10:20:30.123456", "Hostname": "h", "Appname": "shop", "Component": "Order",
              "Level": "INFO", "Message": message, "Details": details}
     return {"key": key, "value": json.dumps(value), "partition": 0, "offset": offset,
-            "timestamp": "2026-08-16T09:46:49.123456"}
+            "timestamp": "2025-05-05T10:20:30.123456"}
 
 
 def header(i, customer=1):
