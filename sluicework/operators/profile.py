@@ -79,6 +79,15 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     return unpivot_counts(counts, names, ["n_rows"], {"n_nulls": ""})
 
 
+def all_null_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """How many rows have no value at all: after an import, the trace of names that did not match."""
+    return df.agg(
+        F.count_if(F.coalesce(*[F.col(c).cast("string") for c in columns or df.columns]).isNull())
+        .alias("n_all_null"),
+        F.count("*").alias("n_rows"),
+    )
+
+
 def unpivot_counts(
     counts: DataFrame, names: Sequence[str], keep: Sequence[str], measures: Mapping[str, str]
 ) -> DataFrame:

@@ -41,14 +41,14 @@ def number_rows(df: DataFrame, order: Sequence[Column | str], name: str = "rn")
         .write.parquet(path)
     )
     runs = spark.read.parquet(path).withColumn("_run", F.shiftright("_at", LOCAL_BITS))
-    sizes = runs.groupBy("_run").agg(F.count("*").alias("n")).orderBy("_run").collect()
-    shifts, before = {}, 0
-    for row in sizes:
-        shifts[row["_run"]] = before
-        before += row["n"]
-    if not shifts:
-        return df.withColumn(name, F.lit(None).cast("bigint"))
-    shift = F.create_map(*[F.lit(v) for pair in shifts.items() for v in pair])
+    sizes = {r["_run"]: r["n"] for r in runs.groupBy("_run").agg(F.count("*").alias("n")).collect()}
+    starts, before = [], 0
+    for run in range(max(sizes, default=-1) + 1):
+        starts.append(before)
+        before += sizes.get(run, 0)
+    # One constant array, looked up by position
+    shifts = F.split(F.lit(",".join(map(str, starts))), ",").cast("array<bigint>")
+    shift = F.get(shifts, F.col("_run").cast("int"))
     inside = F.col("_at").bitwiseAND(F.lit((1 << LOCAL_BITS) - 1))
-    number = (shift[F.col("_run")].cast("bigint") + inside + 1).alias(name)
+    number = (shift + inside + 1).alias(name)
     return runs.select(*df.columns, number)

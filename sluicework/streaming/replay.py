@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -95,6 +96,18 @@ class OrderTables:
         self.store.publish_only([target])
 
 
+def until_quiet(query: StreamingQuery, seconds: float, poll: float = 0.2) -> None:
+    """Waits until no record has come for ``seconds``, then stops the query between two batches."""
+    seen, since = None, time.monotonic()
+    while query.isActive:
+        last = query.lastProgress
+        if last and last["numInputRows"] > 0 and last["batchId"] != seen:
+            seen, since = last["batchId"], time.monotonic()
+        if time.monotonic() - since >= seconds and not query.status["isTriggerActive"]:
+            query.stop()
+        time.sleep(poll)
+
+
 def lag(progress: Mapping) -> dict[str, int]:
     """Records a reader is behind, per source, from a query progress with numeric offsets."""
     def total(offsets) -> int:

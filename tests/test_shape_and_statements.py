@@ -106,6 +106,7 @@ def test_literals_for_a_remote_query():
 def test_profiles(spark):
     df = spark.createDataFrame([(1, "a"), (2, None), (None, None)], "x int, s string")
     assert {(r["column_name"], r["n_nulls"]) for r in profile.null_profile(df).collect()} == {("x", 1), ("s", 2)}
+    assert profile.all_null_rows(df).first()[:] == (1, 3)
     empty = df.filter("x > 9")
     assert profile.high_water_mark(empty, "x").first()["high_water"] == 0
     assert {r["n_nulls"] for r in profile.null_profile(empty).collect()} == {0}

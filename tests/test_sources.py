@@ -78,6 +78,25 @@ def test_one_bad_value_is_an_error_not_a_row_of_nulls(spark, tmp_path):
     assert lines.import_files(spark, path, BADGES, strict=False).first()[:] == (None, "n", None)
 
 
+@pytest.mark.parametrize("line", ['<row Id="1"', '<row Id=1 />', '<row Id="1" Name="a<b" />', '<row Id="1" Name="&none;" />'])
+def test_a_malformed_line_is_an_error(spark, tmp_path, line):
+    path = write(tmp_path / "u.xml", f'<?xml version="1.0"?>\n<rows>\n{line}\n</rows>\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        lines.import_files(spark, path, BADGES).collect()
+
+
+def test_names_match_in_any_case_under_either_setting(spark, tmp_path):
+    path = write(tmp_path / "u.xml", '<?xml version="1.0"?>\n  <row ID="7" nAmE="x" date="2024-01-01T00:00:00" ></row>\n')
+    got = []
+    for setting in ("false", "true"):
+        spark.conf.set("spark.sql.caseSensitive", setting)
+        try:
+            got.append(lines.import_files(spark, path, BADGES, {"CreationDate": "Date"}).first()[:])
+        finally:
+            spark.conf.unset("spark.sql.caseSensitive")
+    assert got == [(7, "x", datetime.datetime(2024, 1, 1))] * 2
+
+
 def test_attribute_presence(spark, tmp_path):
     rows = lines.read_lines(spark, write(tmp_path / "Users.xml", USERS_FILE))
     got = {r["attribute"]: r["n"] for r in profile.attribute_presence(rows).collect()}

@@ -9,7 +9,7 @@ from sluicework.operators import profile, reconcile
 from sluicework.sources import eventlog
 from sluicework.streaming import envelope, fold
 from sluicework.streaming.metrics import LoadMetrics
-from sluicework.streaming.replay import OrderTables, lag
+from sluicework.streaming.replay import OrderTables, lag, until_quiet
 
 AT = "2025-05-05T10:20:{:02d}.123000"
 
@@ -127,6 +127,14 @@ def test_a_reader_resumes_and_a_new_reader_replays(spark, log, tmp_path):
     assert folded(other.order_headers()) == folded(tables.order_headers())
 
 
+def test_a_reader_that_waits_stops_when_it_is_quiet(spark, log, tmp_path):
+    tables = OrderTables(spark, str(tmp_path / "tables"))
+    query = tables.follow(eventlog.stream_log(spark, str(log)), str(tmp_path / "r"), processingTime="100 milliseconds")
+    until_quiet(query, 3)
+    assert not query.isActive and query.exception() is None
+    assert folded(tables.order_headers()) == EXPECTED
+
+
 def test_a_batch_applied_twice_counts_once(spark, log, tmp_path):
     tables = OrderTables(spark, str(tmp_path / "tables"))
     whole = eventlog.read_log(spark, str(log))
