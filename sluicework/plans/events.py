@@ -132,16 +132,18 @@ def order_log(t):
         key.alias("order_id"), uuid("s").alias("shipment_uuid"),
         (day + F.expr("INTERVAL 2 DAY")).cast("string").alias("updated_at"),
     )
+    kept = [key.cast("string").alias("key"), day.alias("timestamp")]
+    headers = t.orders.filter(level != "4-NOT SPECIFIED").select(
+        (key * 4 + 1).alias("offset"), F.lit("Added order header").alias("m"), header.alias("d"), *kept
+    )
     paid_at = F.when(level == "5-LOW", key * 4).otherwise(key * 4 + 2)
-    events = F.array_compact(F.array(
-        F.when(level != "4-NOT SPECIFIED", F.struct(
-            (key * 4 + 1).alias("offset"), F.lit("Added order header").alias("m"), header.alias("d"))),
-        F.when(status != "O", F.struct(
-            paid_at.alias("offset"), F.lit("Added payment").alias("m"), payment.alias("d"))),
-        F.when(status == "F", F.struct(
-            (key * 4 + 3).alias("offset"), F.lit("Added shipment").alias("m"), shipment.alias("d"))),
-    ))
-    rows = t.orders.select(key.cast("string").alias("key"), day.alias("timestamp"), F.inline(events))
+    payments = t.orders.filter(status != "O").select(
+        paid_at.alias("offset"), F.lit("Added payment").alias("m"), payment.alias("d"), *kept
+    )
+    shipments = t.orders.filter(status == "F").select(
+        (key * 4 + 3).alias("offset"), F.lit("Added shipment").alias("m"), shipment.alias("d"), *kept
+    )
+    rows = headers.unionAll(payments).unionAll(shipments)
     encoded = envelope.encode(rows, F.col("m"), F.col("d"), F.col("timestamp"))
     return encoded.select("key", "value", F.lit(0).alias("partition"), "offset", "timestamp")
 
