@@ -96,20 +96,13 @@ def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFram
         F.sum(F.when(F.col("copies") < 0, -F.col("copies")).otherwise(0)).alias("_out"),
         F.sum(F.when(F.col("copies") > 0, F.col("copies")).otherwise(0)).alias("_in"),
     )
-    # The hash beside the keys: see join_per_key. Keys may be NULL here
-    same = F.col("r._mark") == F.col("k._mark")
-    r = rows.withColumn("_mark", F.xxhash64(*keys)).alias("r")
-    k = kinds.withColumn("_mark", F.xxhash64(*keys)).alias("k")
-    for key in keys:
-        same = same & F.col(f"r.{key}").eqNullSafe(F.col(f"k.{key}"))
+    joined = join_per_key(rows, kinds, keys, "inner", null_safe=True)
     update = (F.col("_out") == 1) & (F.col("_in") == 1)
     op = (
         F.when(update, F.when(F.col("copies") < 0, BEFORE).otherwise(AFTER))
         .otherwise(F.when(F.col("copies") < 0, DELETED).otherwise(INSERTED))
     )
-    return r.join(k, same).select(
-        op.alias("op"), F.abs("copies").alias("copies"), *[F.col(f"r.{c}").alias(c) for c in old.columns]
-    )
+    return joined.select(op.alias("op"), F.abs("copies").alias("copies"), *old.columns)
 
 
 def apply_change_feed(

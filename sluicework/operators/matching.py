@@ -15,19 +15,25 @@ from pyspark.sql import functions as F
 
 
 def join_per_key(
-    left: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str = "left"
+    left: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str = "left",
+    null_safe: bool = False,
 ) -> DataFrame:
     """Rows joined with an aggregate that has one row per key; ``how`` keeps the left side.
 
     Adaptive execution splits a hot partition only where both sides come straight out of a shuffle.
     An aggregate is already placed by its key and would be joined in place, hot key and all. The
-    hash as a second key makes Spark shuffle the aggregate once more, one row per key.
+    hash as a second key makes Spark shuffle the aggregate once more, one row per key. With
+    ``null_safe`` a NULL key matches NULL.
     """
     mark = F.xxhash64(*keys)
-    joined = left.withColumn("_mark", mark).join(
-        per_key.withColumn("_mark", mark), [*keys, "_mark"], how
-    )
-    return joined.drop("_mark")
+    marked = left.withColumn("_mark", mark)
+    other = per_key.withColumn("_other_mark", mark).withColumnsRenamed({k: f"_other_{k}" for k in keys})
+    condition = F.col("_mark") == F.col("_other_mark")
+    for key in keys:
+        mine, its = F.col(key), F.col(f"_other_{key}")
+        condition = condition & (mine.eqNullSafe(its) if null_safe else mine == its)
+    joined = marked.join(other, condition, how)
+    return joined.drop("_mark", "_other_mark", *[f"_other_{k}" for k in keys])
 
 
 def _per_key(df: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:

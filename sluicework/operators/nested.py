@@ -47,7 +47,7 @@ def paged_lists(
     ).otherwise(F.lit(0))
     # Spread by key and page before collecting: the join may leave the rows partitioned by key alone
     placed = (
-        join_per_key(entries, large, [key])
+        join_per_key(entries, large, [key], null_safe=True)
         .select(key, page.cast("int").alias("page"), F.struct(*columns).alias("_entry"))
         .repartition(key, "page")
     )

@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+_local_roots: dict[str, str] = {}
+
 
 def local_session(cpus: int | str = 8, app: str = "sluicework", **extra: str) -> SparkSession:
     """A single-JVM session. A cluster session comes from the cluster's own launcher."""
@@ -43,11 +45,12 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder")
-    root = tempfile.mkdtemp(prefix="sluicework-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if context.applicationId not in _local_roots:
+        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="sluicework-")
+    return _local_roots[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -81,6 +81,13 @@ def test_paged_lists_keep_every_entry(spark):
     assert pages.filter("k = 1").count() == 10 and pages.filter("k = 2").count() == 1
 
 
+def test_a_hot_null_key_is_paged_too(spark):
+    entries = spark.range(1000).select(F.when(F.col("id") % 3 != 0, F.col("id")).alias("k"), F.col("id").alias("v"))
+    pages = nested.paged_lists(entries, "k", ["v"], page_size=50)
+    assert pages.filter("k IS NULL").count() == 7
+    assert reconcile.rows_equal(pages.select("k", F.inline("entries")), entries).first()["equal"]
+
+
 def test_a_hot_key_is_one_row_per_map_task_before_the_join(spark):
     parents = spark.range(10).select(
         F.col("id").alias("k"), F.to_timestamp_ntz(F.lit("2024-01-01 00:00:00")).alias("a")
