@@ -63,13 +63,15 @@ def order_documents(
     """One document per order (and page): customer struct, photo array, price.
 
     Inputs: orders (order_id, created_at, customer_id), customers (customer_id, …), lines (order_id,
-    photo_id, quantity, price) with one row per order and photo, items (photo_id, …). ``Price`` sums
-    the lines of the page.
+    photo_id, quantity) with one row per order and photo, items (photo_id, price as decimal, …).
+    ``Price`` sums quantity times price over the lines of the page.
     """
     customer = F.struct(*[F.col(c) for c in customers.columns]).alias("Customer")
     photo = items.select(F.col("photo_id"), F.struct(*items.columns).alias("photo"))
+    price_type = T.DecimalType(28, 2)
+    price = (F.col("quantity").cast("decimal(18,0)") * F.col("photo.price")).cast(price_type)
     priced = lines.join(photo, "photo_id").select(
-        "order_id", "photo_id", "quantity", "price", "photo"
+        "order_id", "photo_id", "quantity", price.alias("price"), "photo"
     )
     pages = paged_lists(
         priced, "order_id", ["photo_id", "quantity", "price", "photo"], page_size, lines
@@ -77,7 +79,6 @@ def order_documents(
     headers = orders.join(customers, "customer_id").select("order_id", "created_at", customer)
     kind = pages.schema["entries"].dataType
     photos = F.coalesce(F.col("entries"), F.array().cast(kind))
-    price_type = T.DecimalType(28, 2)
     total = F.aggregate(
         photos, F.lit(0).cast(price_type), lambda s, e: (s + e["price"]).cast(price_type)
     )

@@ -120,7 +120,7 @@ def order_documents_of(t, page_size=nested.PAGE_SIZE):
             F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("name"),
             F.col("c_mktsegment").alias("city"),
         ),
-        order_entries(t),
+        order_entries(t).drop("price"),
         t.part.select(
             F.col("p_partkey").alias("photo_id"), F.col("p_name").alias("name"),
             F.col("p_retailprice").cast("decimal(18,2)").alias("price"),
@@ -132,7 +132,7 @@ def order_documents_of(t, page_size=nested.PAGE_SIZE):
 @query(
     "order_documents",
     """WITH e AS (SELECT l_orderkey, l_partkey, count(*) AS q,
-                         sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS price
+                         sum(CAST(p_retailprice AS DECIMAL(18,2))) AS price
                   FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2)
        SELECT o_orderkey AS order_id, min(o_orderdate) AS created_at, min(c_name) AS customer,
               count(l_partkey) AS n_photos, CAST(coalesce(sum(q), 0) AS BIGINT) AS n_drawn,
