@@ -137,12 +137,13 @@ def parse_geojson(text: Column, srid: int = 4326) -> Column:
     kind = F.lit(None).cast("string")
     for json_name, keyword in GEOJSON_KINDS.items():
         kind = F.when(name == json_name, F.lit(keyword)).otherwise(kind)
+    unknown = F.concat(F.lit("unknown geometry type: "), F.coalesce(name, F.lit("none")))
     parts = (
         F.when(name == "Point", F.array(F.array(F.array(xy(nested(1))))))
         .when(name.isin("LineString", "MultiPoint"), F.array(F.array(line(nested(2)))))
         .when(name.isin("Polygon", "MultiLineString"), F.array(lines(nested(3))))
         .when(name == "MultiPolygon", F.transform(nested(4), lines))
-        .otherwise(F.raise_error(F.concat(F.lit("unknown geometry type: "), F.coalesce(name, F.lit("none")))).cast(PARTS))
+        .otherwise(F.raise_error(unknown).cast(PARTS))
     )
     return F.when(
         text.isNotNull(),

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluicework.operators.shape import align
+from sluicework.operators.shape import align, nan_to_null
 from sluicework.sources.tables import read_query, read_table
 
 
@@ -14,7 +14,7 @@ def append(
     df: DataFrame, url: str, table: str, batch_size: int = 1000, truncate: bool = False,
     strict: bool = False, column_map: Mapping[str, str] | None = None, **options: str,
 ) -> None:
-    """Rows into an existing table, in the columns and types the table has.
+    """Rows into an existing table, in the columns and types the table has; NaN becomes NULL.
 
     ``truncate`` empties the table first and keeps its definition.
     """
@@ -49,7 +49,7 @@ def copy(
 def _write(df, url, table, batch_size, truncate, strict, column_map, options) -> None:
     schema = read_table(df.sparkSession, url, table, **options).schema
     (
-        align(df, schema, strict, column_map)
+        align(nan_to_null(df), schema, strict, column_map)
         .write.format("jdbc")
         .options(url=url, dbtable=table, batchsize=str(batch_size), **options)
         .option("truncate", str(truncate).lower())

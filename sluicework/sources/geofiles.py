@@ -22,7 +22,7 @@ def read_documents(spark: SparkSession, pattern: str, charset: str = "UTF-8") ->
     raw = spark.read.format("binaryFile").load(pattern)
     return raw.select(
         F.element_at(F.split("path", "/"), -1).alias("file"),
-        F.regexp_replace(F.decode("content", charset), "^﻿", "").alias("text"),
+        F.regexp_replace(F.decode("content", charset), "^\ufeff", "").alias("text"),
     )
 
 

@@ -48,7 +48,8 @@ NTZ = {"preferTimestampNTZ": "true"}
 
 
 def test_append_fits_the_rows_to_the_table(spark, grid, database):
-    tables.append(grid.withColumn("unknown", F.lit(1)), database, "GRID", **NTZ)
+    extra = {"unknown": F.lit(1), "Extra": F.lit(float("nan"))}
+    tables.append(grid.withColumns(extra), database, "GRID", **NTZ)
     back = read_table(spark, database, "GRID", **NTZ)
     assert back.count() == 5 and back.filter("EXTRA is not null").count() == 0
     result = reconcile.rows_equal(back.select(*[F.col(c).alias(c.lower()) for c in ("ID", "NAME", "TS", "AMOUNT")]), grid)
