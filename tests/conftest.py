@@ -19,8 +19,6 @@ def spark(tmp_path_factory):
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "6g",
-            # many short jobs: compiling them thoroughly does not pay
-            "spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1",
         }
     )
     yield session
