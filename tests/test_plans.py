@@ -5,6 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from sluicework.plans.registry import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -20,7 +21,7 @@ def plans(spark):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
-    result = {name: plan_of(spark, name) for name in entry.queries()}
+    result = {name: plan_of(spark, name) for name in QUERIES}
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     return result
 
