@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import shutil
 import tempfile
 from pathlib import Path
@@ -12,14 +13,17 @@ _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Hands the package to the application's workers, once; the driver serves the archive."""
+    """Hands the package to the application's workers, once.
+
+    The driver serves the archive as long as it runs, so late executors get it too.
+    """
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
     package = Path(__file__).resolve().parent.parent
-    with tempfile.TemporaryDirectory() as folder:
-        files = Path(folder) / "files"
-        shutil.copytree(package, files / package.name, ignore=shutil.ignore_patterns("__pycache__"))
-        archive = shutil.make_archive(str(Path(folder) / package.name), "zip", files)
-        context.addPyFile(archive)
+    folder = tempfile.mkdtemp(prefix="sluicework-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    files = Path(folder) / "files"
+    shutil.copytree(package, files / package.name, ignore=shutil.ignore_patterns("__pycache__"))
+    context.addPyFile(shutil.make_archive(str(Path(folder) / package.name), "zip", files))
     _shipped.add(context.applicationId)
