@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicework.llm import language_cnn, quality_cnn, quality_rules
+from sluicework.llm import language_cnn, ngram_join, quality_cnn, quality_rules
 from sluicework.llm.shipping import ship
 from sluicework.llm.texts import fold_of
 
@@ -53,6 +53,11 @@ def op8_ngram_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(docs, model).drop("text")
 
 
+@query()
+def op9_forest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(read(spark, sf_dir, "documents"))
+
+
 @query()
 def op10_language_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
