@@ -56,3 +56,8 @@ def components(links: DataFrame) -> DataFrame:
         kind = links.schema["lo"].dataType
         return spark.createDataFrame([], f"node {kind.simpleString()}, root {kind.simpleString()}")
     return labels
+
+
+def bounded(df: DataFrame, rows: int) -> DataFrame:
+    """The table with a broadcast hint if it has at most ``rows`` rows; beyond that Spark shuffles it."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluicework.llm.components import components, written
+from sluicework.llm.components import bounded, components, written
 from sluicework.llm.texts import blocks, mixed, span_hashes, window_hashes, words_of
 
 WORDS, THRESHOLD = 5, 0.8
@@ -37,6 +37,10 @@ LIKELY = 0.55
 NODE = 768
 #: Documents in a block of the verification.
 BLOCK = 512
+#: Candidates up to this many are broadcast to fetch their texts (about 150 bytes each).
+FEW_MEMBERS = 200_000
+#: Dropped ids up to this many are broadcast (8 bytes each).
+FEW_IDS = 1_000_000
 
 ROW = np.uint64(0xD1342543DE82EF95)
 _rng = np.random.default_rng(2024)
@@ -309,7 +313,8 @@ def verified(docs: DataFrame, classes: DataFrame, groups: DataFrame, threshold:
         .withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     )
     texts = docs.select("doc_id", "text")
-    with_text = placed.join(texts, placed["rep"].eqNullSafe(texts["doc_id"]))
+    placed = bounded(written(placed, "placed"), FEW_MEMBERS)
+    with_text = texts.join(placed, texts["doc_id"].eqNullSafe(placed["rep"]))
     others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     spread = with_text.select("comp", "key", "weight", "text", "block", others).select(
         "comp", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
@@ -356,4 +361,5 @@ def join(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 def one_per_group(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents without those that have a smaller id in their group."""
     dropped = join(docs, threshold).filter(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id").distinct()
+    dropped = bounded(written(dropped, "dropped"), FEW_IDS)
     return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)

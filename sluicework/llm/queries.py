@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicework.llm import language_cnn, ngram_join, quality_cnn, quality_rules
+from sluicework.llm import language_cnn, line_dedup, ngram_join, quality_cnn, quality_rules
 from sluicework.llm.shipping import ship
 from sluicework.llm.texts import fold_of
 
@@ -45,6 +45,13 @@ def op1_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= quality_cnn.THRESHOLD).cast("int").alias("predicted"))
 
 
+@query()
+def op4_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_classes(read(spark, sf_dir, "documents")).select(
+        "doc_id", "line_no", F.col("first.doc_id").alias("first_doc_id"),
+        F.col("first.line_no").alias("first_line_no"), "n_class", "kept")
+
+
 @query()
 def op8_ngram_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
