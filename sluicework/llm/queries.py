@@ -7,15 +7,83 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicework.llm import language_cnn, line_dedup, ngram_join, quality_cnn, quality_rules
+from sluicework.llm import (
+    curve_neighbours, extendible_shards, language_cnn, line_dedup, ngram_join, pieces, quality_cnn,
+    quality_rules, source_mix, token_files,
+)
 from sluicework.llm.shipping import ship
 from sluicework.llm.texts import fold_of
+from sluicework.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
+SOURCE_WEIGHTS = (5, 2, 1)
+
+MIX_SQL = r"""
+WITH docs AS (
+    SELECT doc_id, source,
+           coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+           ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':mix'), 1, 13))::BIGINT AS place
+    FROM documents
+), totals AS (
+    SELECT source, sum(size)::BIGINT AS source_size,
+           [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight
+    FROM docs GROUP BY source
+), ranked AS (
+    SELECT *, sum(source_size) OVER ()::BIGINT AS total,
+           coalesce(sum(3 * source_size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS capped,
+           sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_weight
+    FROM totals WINDOW o AS (ORDER BY source_size / weight, source NULLS LAST)
+), levels AS (
+    SELECT *, (total - capped)::DOUBLE / open_weight AS own_level,
+           (total - capped)::DOUBLE / open_weight * weight >= (3 * source_size)::DOUBLE AS clamped
+    FROM ranked
+), goals AS (
+    SELECT source, source_size,
+           CASE WHEN clamped THEN (3 * source_size)::DOUBLE
+                ELSE (SELECT arg_min(l.own_level, l.capped) FROM levels l WHERE NOT l.clamped) * weight END AS target
+    FROM levels
+), running AS (
+    SELECT d.doc_id, d.size, g.source_size, g.target, round(g.target)::BIGINT AS goal,
+           coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.place, d.doc_id
+                                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS earlier
+    FROM docs d JOIN goals g ON d.source IS NOT DISTINCT FROM g.source
+)
+SELECT doc_id, size, source_size, target,
+       CASE WHEN source_size = 0 THEN 0
+            ELSE (goal // source_size) * size
+                 + least(greatest(goal % source_size - earlier, 0), size) END::BIGINT AS taken
+FROM running
+"""
+
+SHARDS_SQL = f"""
+WITH docs AS (
+    SELECT doc_id, coalesce(strlen(text), 0)::BIGINT AS size,
+           ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS bits
+    FROM documents
+), nodes AS (
+    SELECT depth, bits >> (60 - depth) AS prefix, count(*) AS n_rows, sum(size)::BIGINT AS n_bytes,
+           sum(size) <= {extendible_shards.LIMIT} OR min(bits) = max(bits) AS fits
+    FROM docs, (SELECT unnest(range(0, 61))::INT AS depth)
+    GROUP BY depth, prefix
+)
+SELECT d.doc_id, d.size, n.depth || '-' || n.prefix AS shard, n.n_rows AS shard_rows, n.n_bytes AS shard_bytes
+FROM docs d JOIN nodes n ON n.prefix = d.bits >> (60 - n.depth)
+WHERE n.fits AND NOT EXISTS (
+    SELECT 1 FROM nodes p WHERE p.fits AND p.depth < n.depth AND p.prefix = n.prefix >> (n.depth - p.depth))
+"""
+
+
+def tokenizer(name: str) -> str:
+    """The place of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(sql: str | None = None) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,6 +113,18 @@ def op1_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= quality_cnn.THRESHOLD).cast("int").alias("predicted"))
 
 
+@query()
+def op2_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digest(read(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
+@query()
+def op3_zstd_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "tokens")
+    index = token_files.write(read(spark, sf_dir, "documents"), folder, tokenizer("word_bpe_49k.json"))
+    return token_files.digests(token_files.read(index, folder))
+
+
 @query()
 def op4_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_classes(read(spark, sf_dir, "documents")).select(
@@ -52,6 +132,29 @@ def op4_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("first.line_no").alias("first_line_no"), "n_class", "kept")
 
 
+@query()
+def op5_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    return curve_neighbours.search(vectors, F.col("vec_id") % 100 == 0)
+
+
+@query(sql=SHARDS_SQL)
+def op6_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "shards")
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    shards = extendible_shards.write_shards(docs, folder).select(
+        F.concat_ws("-", "depth", "prefix").alias("shard"), "n_rows", "n_bytes")
+    stored = spark.read.schema("doc_id long, text string, shard string").parquet(folder)
+    sized = stored.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("size"), "shard")
+    return sized.join(F.broadcast(shards) if shards.count() <= extendible_shards.FEW_SHARDS else shards, "shard").select(
+        "doc_id", "size", "shard", F.col("n_rows").alias("shard_rows"), F.col("n_bytes").alias("shard_bytes"))
+
+
+@query(sql=MIX_SQL)
+def op7_capped_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mix.shares(read(spark, sf_dir, "documents"), SOURCE_WEIGHTS)
+
+
 @query()
 def op8_ngram_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
