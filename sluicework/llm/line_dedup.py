@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 
 from sluicework.llm.components import bounded, components, written
 
-SHINGLE, BANDS, DRAWN, THRESHOLD = 8, 7, 56, 0.8
+SHINGLE, BANDS, DRAWN, THRESHOLD = 8, 6, 36, 0.8
 #: Candidates must agree in so many of the bins before their texts are compared.
-AGREE = 6
+AGREE = 5
 #: Line keys up to this many are broadcast to fetch their texts (8 bytes each).
 FEW_KEYS = 1_000_000
 SPAN = 2**31
@@ -87,14 +87,19 @@ def candidate_links(sketch: DataFrame) -> DataFrame:
 def verified_links(lines: DataFrame, pairs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The pairs whose shingle sets have at least the Jaccard similarity."""
     keys = written(pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct(), "keys")
-    texts = lines.select("k", "line").join(bounded(keys, FEW_KEYS), "k").groupBy("k").agg(F.min("line").alias("line"))
-    shingle = F.transform(_places("b"), lambda at: F.xxhash64(F.expr("b").substr(at, F.lit(SHINGLE))))
-    sets = written(
-        texts.select("k", F.col("line").cast("binary").alias("b")).select("k", F.array_distinct(shingle).alias("s")), "sets")
-    both = pairs.join(sets.select(F.col("k").alias("a"), F.col("s").alias("sa")), "a").join(
-        sets.select(F.col("k").alias("b"), F.col("s").alias("sb")), "b")
-    shared = F.size(F.array_intersect("sa", "sb"))
-    return both.filter(shared >= threshold * (F.size("sa") + F.size("sb") - shared) - 1e-9).select("a", "b")
+    texts = written(
+        lines.select("k", "line").join(bounded(keys, FEW_KEYS), "k")
+        .groupBy("k").agg(F.min("line").alias("line")).select("k", F.col("line").cast("binary").alias("b")), "texts")
+    # The texts travel, their shingles (eight times as long) are made where they are compared
+    both = pairs.join(texts.select(F.col("k").alias("a"), F.col("b").alias("ta")), "a").join(
+        texts.select(F.col("k").alias("b"), F.col("b").alias("tb")), "b")
+
+    def shingles(text: str) -> Column:
+        return F.transform(_places(text), lambda at: F.xxhash64(F.col(text).substr(at, F.lit(SHINGLE))))
+
+    sets = both.select("a", "b", shingles("ta").alias("sa"), shingles("tb").alias("sb"))
+    shared, all_ = F.size(F.array_intersect("sa", "sb")), F.size(F.array_union("sa", "sb"))
+    return sets.filter(shared >= threshold * all_ - 1e-9).select("a", "b")
 
 
 def line_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
