@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluicework.llm.components import bounded, components, written
+from sluicework.operators.matching import join_per_key
 
 SHINGLE, BANDS, DRAWN, THRESHOLD = 8, 6, 36, 0.8
 #: Candidates must agree in so many of the bins before their texts are compared.
@@ -120,7 +121,7 @@ def line_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         F.when(F.col("root").isNull(), F.col("k2")).otherwise(F.lit(0)).alias("c2"))
     placed = written(placed, "placed")
     firsts = placed.groupBy("c", "c2").agg(F.min(place).alias("first"), F.count("*").alias("n_class"))
-    return placed.join(firsts, ["c", "c2"]).select(
+    return join_per_key(placed, firsts, ["c", "c2"], "inner").select(
         "doc_id", "version", "line_no", "first", "n_class", place.eqNullSafe(F.col("first")).alias("kept"))
 
 

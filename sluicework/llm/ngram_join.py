@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from sluicework.llm.components import bounded, components, written
 from sluicework.llm.texts import blocks, mixed, span_hashes, window_hashes, words_of
+from sluicework.operators.matching import join_per_key
 
 WORDS, THRESHOLD = 5, 0.8
 TREES, DEPTH = 12, 6
@@ -353,7 +354,7 @@ def join(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     per_class = named.join(smallest, "root").select(
         "key", "class_id", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
         (F.col("weight") - 1).alias("n_copies"))
-    return encoded.select("doc_id", "key").join(per_class, "key", "left").select(
+    return join_per_key(encoded.select("doc_id", "key"), per_class, ["key"]).select(
         "doc_id", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("n_copies", F.lit(0)).alias("n_copies"))
 
