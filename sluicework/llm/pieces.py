@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import heapq
 import itertools
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,8 +35,11 @@ MARK = "▁"
 PENALTY = 10.0
 LONG = 32
 N_BEST = 3
-UNITS_KEPT = 200_000
-BLOCK = 2 << 20
+#: Units kept per worker; beyond, the table starts anew.
+UNITS_KEPT = 120_000
+#: Units whose lattices are laid out together.
+TOGETHER = 4_000
+BLOCK = 1 << 20
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -190,34 +194,42 @@ class Segmenter:
 
     def _forget(self) -> None:
         self.slots: dict[bytes, int] = {}
-        self.paths: list[tuple[int, ...]] = []
         self.names: list[bytes] = []
-        self.best: list[float] = []
-        self.gap: list[float] = []
+        self.flat = np.zeros(1 << 16, dtype=np.int32)
+        self.starts = self.sizes = np.zeros(0, dtype=np.int64)
+        self.best = self.gap = np.zeros(0)
         self.lists: dict[tuple[int, int], list] = {}
 
     def _learn(self, raw: list[bytes]) -> None:
         by_length: dict[int, list[int]] = {}
         units = [r.decode(errors="surrogatepass").replace(" ", MARK) for r in raw]
-        found: list = [None] * len(units)
+        paths: list[tuple[int, ...]] = [()] * len(units)
+        best, second = np.zeros(len(units)), np.full(len(units), -np.inf)
         for i, unit in enumerate(units):
             if len(unit) > LONG:
                 two = self.pieces.n_best(unit, 2)
-                found[i] = (two[0][1], two[0][0], two[1][0] if len(two) > 1 else -np.inf)
+                best[i], paths[i] = two[0]
+                second[i] = two[1][0] if len(two) > 1 else -np.inf
             else:
                 by_length.setdefault(len(unit), []).append(i)
         for places in by_length.values():
-            for a in range(0, len(places), 20_000):
-                part = places[a:a + 20_000]
-                paths, best, second = self.pieces.best_of_many([units[i] for i in part])
-                for i, *facts in zip(part, paths, best, second, strict=True):
-                    found[i] = facts
-        for r, (path, best, second) in zip(raw, found, strict=True):
+            for a in range(0, len(places), TOGETHER):
+                part = places[a:a + TOGETHER]
+                found, best[part], second[part] = self.pieces.best_of_many([units[i] for i in part])
+                for i, path in zip(part, found, strict=True):
+                    paths[i] = path
+        used = int(self.sizes.sum())
+        sizes = np.array([len(p) for p in paths], dtype=np.int64)
+        total = int(sizes.sum())
+        while used + total > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[used:used + total] = np.fromiter(itertools.chain.from_iterable(paths), dtype=np.int32, count=total)
+        self.starts = np.r_[self.starts, used + np.cumsum(sizes) - sizes]
+        self.sizes = np.r_[self.sizes, sizes]
+        self.best, self.gap = np.r_[self.best, best], np.r_[self.gap, best - second]
+        for r in raw:
             self.slots[r] = len(self.slots)
-            self.names.append(r)
-            self.paths.append(path)
-            self.best.append(float(best))
-            self.gap.append(float(best - second))
+        self.names.extend(raw)
 
     def encode(self, data: np.ndarray, at: np.ndarray):
         """Ids of all rows, where each row's start, and the units (slots) of all rows, likewise."""
@@ -228,7 +240,7 @@ class Segmenter:
         at = at + np.concatenate([[0], np.cumsum(at[1:] > at[:-1])])
         none = np.zeros(len(at), dtype=np.int64)
         if not len(data):
-            return np.zeros(0, dtype=np.int64), none, np.zeros(0, dtype=np.int64), none
+            return np.zeros(0, dtype=np.int32), none, np.zeros(0, dtype=np.int64), none
         space, feed = data == 32, data == 10
         cut = feed.copy()
         cut[1:] |= feed[:-1]
@@ -241,16 +253,16 @@ class Segmenter:
         raw = units.dictionary.to_pylist()
         if missing := [r for r in raw if r not in self.slots]:
             self._learn(missing)
-        local = np.array([self.slots[r] for r in raw], dtype=np.int64)
-        paths = [self.paths[s] for s in local]
-        sizes = np.array([len(p) for p in paths], dtype=np.int64)
-        flat = np.fromiter(itertools.chain.from_iterable(paths), dtype=np.int64, count=int(sizes.sum()))
-        begins, index = np.cumsum(sizes) - sizes, units.indices.to_numpy()
-        lengths = sizes[index]
+        slots = np.array([self.slots[r] for r in raw], dtype=np.int64)[units.indices.to_numpy()]
+        lengths = self.sizes[slots]
         total = np.concatenate([[0], np.cumsum(lengths)])
-        ids = flat[np.repeat(begins[index] - total[:-1], lengths) + np.arange(total[-1])]
+        ids = self.flat[np.repeat(self.starts[slots] - total[:-1], lengths) + np.arange(total[-1])]
         rows = np.searchsorted(cuts, at)
-        return ids, total[rows], local[index], rows
+        return ids, total[rows], slots, rows
+
+    def path(self, slot: int) -> tuple[int, ...]:
+        """The ids of a unit's best path."""
+        return tuple(self.flat[self.starts[slot]:self.starts[slot] + self.sizes[slot]].tolist())
 
     def _list(self, slot: int, n: int) -> list[tuple[float, tuple[int, ...]]]:
         if (slot, n) not in self.lists:
@@ -263,8 +275,7 @@ class Segmenter:
 
         A change is (place of the unit, rank of its path); the best segmentation has none.
         """
-        gaps = np.array([self.gap[s] for s in slots])
-        best = float(sum(self.best[s] for s in slots))
+        gaps, best = self.gap[slots], float(self.best[slots].sum())
         few = np.lexsort((np.arange(len(gaps)), gaps))[:n - 1] if len(gaps) <= n - 1 else _smallest(gaps, n - 1)
         few = [int(i) for i in few if np.isfinite(gaps[i])]
         lists = [self._list(int(slots[i]), n) for i in few]
@@ -285,7 +296,7 @@ class Segmenter:
         ranks = dict(changes)
         ids: list[int] = []
         for place, slot in enumerate(slots):
-            ids.extend(self._list(int(slot), n)[ranks[place]][1] if place in ranks else self.paths[slot])
+            ids.extend(self._list(int(slot), n)[ranks[place]][1] if place in ranks else self.path(slot))
         return ids
 
 
@@ -315,8 +326,6 @@ def encoded(docs: DataFrame, path: str, n: int = N_BEST) -> DataFrame:
 
 def digest(docs: DataFrame, path: str, n: int = N_BEST) -> DataFrame:
     """Per document: pieces, checksum of the best ids, the N best scores, and whether decoding gives the text back."""
-    import zlib
-
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
