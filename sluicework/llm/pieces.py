@@ -19,6 +19,7 @@ than ``LONG`` characters is handled alone, whatever its length.
 
 from __future__ import annotations
 
+import functools
 import heapq
 import itertools
 import zlib
@@ -36,7 +37,7 @@ PENALTY = 10.0
 LONG = 32
 N_BEST = 3
 #: Units kept per worker; beyond, the table starts anew.
-UNITS_KEPT = 120_000
+UNITS_KEPT = 300_000
 #: Units whose lattices are laid out together.
 TOGETHER = 4_000
 BLOCK = 1 << 20
@@ -300,6 +301,12 @@ class Segmenter:
         return ids
 
 
+@functools.lru_cache(maxsize=1)
+def worker_segmenter(path: str) -> Segmenter:
+    """One segmenter per Python worker, so that its tasks share the units."""
+    return Segmenter(path)
+
+
 def _smallest(gaps: np.ndarray, k: int) -> np.ndarray:
     edge = np.partition(gaps, k - 1)[k - 1]
     chosen = np.flatnonzero(gaps <= edge)
@@ -311,7 +318,7 @@ def encoded(docs: DataFrame, path: str, n: int = N_BEST) -> DataFrame:
     schema = widened(docs.schema, piece_ids="array<int>", n_best_scores="array<double>", decoded="string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segmenter = Segmenter(path)
+        segmenter = worker_segmenter(path)
         for batch, data, at in blocks(batches, limit=BLOCK):
             ids, starts, slots, rows = segmenter.encode(data, at)
             scores = [[s for s, _ in segmenter.n_best(slots[a:b], n)] for a, b in itertools.pairwise(rows)]
@@ -329,7 +336,7 @@ def digest(docs: DataFrame, path: str, n: int = N_BEST) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segmenter = Segmenter(path)
+        segmenter = worker_segmenter(path)
         for batch, data, at in blocks(batches, limit=BLOCK):
             ids, starts, slots, rows = segmenter.encode(data, at)
             wide = ids.astype("<u4")

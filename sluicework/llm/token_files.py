@@ -16,6 +16,7 @@ index. A sample too small for training gives files without a dictionary and an e
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import uuid
 import zlib
@@ -37,7 +38,7 @@ LEVEL = 3
 #: The dictionary's size, and the sample it is trained on: documents, and characters of each.
 DICTIONARY, SAMPLE, SAMPLE_CHARS = 32_768, 600, 6_000
 #: Words kept per worker; beyond, the table starts anew.
-WORDS_KEPT = 300_000
+WORDS_KEPT = 600_000
 BLOCK = 4 << 20
 
 
@@ -94,6 +95,12 @@ class Encoder:
         return ids, total[np.searchsorted(cuts, at)]
 
 
+@functools.lru_cache(maxsize=1)
+def worker_encoder(path: str) -> Encoder:
+    """One encoder per Python worker, so that its tasks share the words."""
+    return Encoder(path)
+
+
 def train_dictionary(docs: DataFrame, path: str) -> bytes:
     """A dictionary from the ids of the sampled documents; empty if they are too few."""
     start = F.pmod(F.xxhash64("doc_id"), F.greatest(F.lit(1), F.length("text") - SAMPLE_CHARS)).cast("int") + 1
@@ -130,7 +137,7 @@ def write(docs: DataFrame, folder: str, path: str) -> DataFrame:
     digest = _hash(dictionary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = Encoder(path), TaskContext.get().partitionId()
+        encoder, part = worker_encoder(path), TaskContext.get().partitionId()
         known = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         frame = zstandard.ZstdCompressor(level=LEVEL, dict_data=known, write_checksum=True)
         # Each attempt has its own file; the index of the attempt that counts names it
