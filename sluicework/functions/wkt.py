@@ -54,8 +54,12 @@ def _bracketed(positions: Column) -> Column:
     return F.concat(F.lit("("), F.array_join(positions, ", "), F.lit(")"))
 
 
-def parse_wkt(text: Column, srid: int = 4326) -> Column:
-    """WKT to the nested struct. Empty text and ``… EMPTY`` have no parts; NULL stays NULL."""
+def parse_wkt(text: Column, srid: int = 4326, strict: bool = True) -> Column:
+    """WKT to the nested struct. Empty text and ``… EMPTY`` have no parts; NULL stays NULL.
+
+    Anything else that is not two-dimensional WKT of a known kind is an error, or NULL if not
+    ``strict``.
+    """
     kind = F.upper(F.regexp_extract(text, r"^\s*([A-Za-z]+)", 1))
     body = F.regexp_extract(text, r"(?s)\((.*)\)", 1)
     groups = F.when(
@@ -64,14 +68,41 @@ def parse_wkt(text: Column, srid: int = 4326) -> Column:
     rings = F.transform(groups, lambda g: F.split(g, r"\)\s*,\s*\("))
     parts = F.transform(rings, lambda rs: F.transform(rs, _positions))
     empty = F.array().cast(PARTS)
+    bare = F.trim(text) == ""
+    none = bare | text.rlike(rf"(?i)^\s*({_KINDS})\s+EMPTY\s*$")
+    geometry = F.struct(
+        kind.alias("kind"), F.lit(srid).alias("srid"), F.when(none, empty).otherwise(parts).alias("parts"))
+    wrong = F.lit(None) if not strict else F.raise_error(F.concat(F.lit("not WKT: "), F.left(text, F.lit(80))))
     return F.when(
         text.isNotNull(),
-        F.struct(
-            kind.alias("kind"),
-            F.lit(srid).alias("srid"),
-            F.when(F.trim(body) == "", empty).otherwise(parts).alias("parts"),
-        ),
+        F.when(none | _well_formed(text, kind, parts), geometry).otherwise(wrong.cast(geometry_type())),
+    )
+
+
+def geometry_type() -> str:
+    return f"struct<kind:string,srid:int,parts:{PARTS}>"
+
+
+_KINDS = "|".join(GEOJSON_KINDS.values())
+NUMBER = r"[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?"
+
+
+def _well_formed(text: Column, kind: Column, parts: Column) -> Column:
+    """Whether the brackets nest as the kind asks and every position is two numbers."""
+    # Positions become p, lists of what is alike become one letter, from the inside out
+    shape = F.regexp_replace(F.regexp_replace(text, r"(?i)^\s*[A-Z]+", ""), r"\s", "")
+    shape = F.regexp_replace(shape, r"[^(),]+", "p")
+    for inner, outer in (("p", "r"), ("r", "t"), ("t", "v")):
+        shape = F.regexp_replace(shape, rf"\({inner}[{inner},]*+\)", outer)
+    fits = (
+        F.when(kind.isin("POINT", "LINESTRING"), shape == "r")
+        .when(kind == "MULTIPOINT", shape.isin("r", "t"))
+        .when(kind.isin("POLYGON", "MULTILINESTRING"), shape == "t")
+        .otherwise((kind == "MULTIPOLYGON") & (shape == "v"))
     )
+    positions = F.flatten(F.flatten(parts))
+    pairs = F.forall(positions, lambda p: F.coalesce(p["x"].rlike(f"^{NUMBER}$") & p["y"].rlike(f"^{NUMBER}$"), F.lit(False)))
+    return fits & pairs & ((kind != "POINT") | (F.size(positions) == 1))
 
 
 def _positions(ring: Column) -> Column:
@@ -80,7 +111,8 @@ def _positions(ring: Column) -> Column:
 
 
 def _xy(text: Column) -> Column:
-    halves = F.split(text, r"\s+")
+    # A third coordinate stays with the second, where it is no number
+    halves = F.split(F.trim(text), r"\s+", 2)
     return F.struct(F.get(halves, 0).alias("x"), F.get(halves, 1).alias("y"))
 
 
@@ -92,8 +124,8 @@ def to_wkt(geometry: Column) -> Column:
     grouped = F.array_join(
         F.transform(rings, lambda g: F.concat(F.lit("("), g, F.lit(")"))), ", "
     )
-    single = kind.isin("POINT", "LINESTRING", "MULTIPOINT")
-    body = F.when(single, flat).otherwise(
+    points = _ring_text(F.flatten(F.flatten(parts)))
+    body = F.when(kind == "MULTIPOINT", points).when(kind.isin("POINT", "LINESTRING"), flat).otherwise(
         F.concat(F.lit("("), F.when(kind == "MULTIPOLYGON", grouped).otherwise(flat), F.lit(")"))
     )
     return F.when(

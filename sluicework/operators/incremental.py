@@ -110,8 +110,17 @@ def apply_change_feed(
 ) -> DataFrame:
     """The target after the last operation of every key, in the order of ``position``.
 
-    Before-images are not operations. A last delete removes the row.
+    Before-images are not operations. A last delete removes the row. A feed with ``copies`` (see
+    ``change_feed``) is the difference of two bags of rows: what it takes out is subtracted, what it
+    brings in is added, as often as it says, so repeated keys and rows come out right too.
     """
+    if "copies" in feed.columns:
+        sign = F.when(F.col(op).isin(DELETED, BEFORE), -F.col("copies")).otherwise(F.col("copies"))
+        rows = target.select("*", F.lit(1).cast("bigint").alias("_n")).unionByName(
+            feed.select(*target.columns, sign.cast("bigint").alias("_n")))
+        left = rows.groupBy(*target.columns).agg(F.sum("_n").alias("_n")).filter(F.col("_n") > 0)
+        copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n")))
+        return left.select(*target.columns, copies.alias("_copy")).drop("_copy")
     last = unique_by(
         feed.filter(F.col(op) != BEFORE).select(*target.columns, op, *position), keys, position
     )

@@ -10,8 +10,6 @@ from pyspark.sql import types as T
 
 from sluicework.operators.matching import join_per_key
 
-PAGE_SIZE = 10_000  # entries a list may hold
-
 
 def nest(df: DataFrame, shape: Mapping[str, str | Mapping]) -> DataFrame:
     """Columns as documents: ``{"_id": "Id", "Name": {"First": "first"}}``."""
@@ -24,10 +22,10 @@ def nest(df: DataFrame, shape: Mapping[str, str | Mapping]) -> DataFrame:
 
 
 def paged_lists(
-    entries: DataFrame, key: str, columns: Sequence[str], page_size: int = PAGE_SIZE,
+    entries: DataFrame, key: str, columns: Sequence[str], page_size: int,
     counted: DataFrame | None = None,
 ) -> DataFrame:
-    """Per key its entries as sorted lists: (key, page, entries).
+    """Per key its entries as sorted lists: (key, page, pages, entries).
 
     A key with up to ``page_size`` entries has one list, page 0. A larger key is spread by hash over
     as many pages as it needs, each its own row and its own group, so no task ever holds the
@@ -48,23 +46,26 @@ def paged_lists(
     # Spread by key and page before collecting: the join may leave the rows partitioned by key alone
     placed = (
         join_per_key(entries, large, [key], null_safe=True)
-        .select(key, page.cast("int").alias("page"), F.struct(*columns).alias("_entry"))
+        .select(key, page.cast("int").alias("page"), F.coalesce("_pages", F.lit(1)).cast("int").alias("pages"), F.struct(*columns).alias("_entry"))
         .repartition(key, "page")
     )
     return placed.groupBy(key, "page").agg(
-        F.sort_array(F.collect_list("_entry")).alias("entries")
+        F.max("pages").alias("pages"), F.sort_array(F.collect_list("_entry")).alias("entries")
     )
 
 
 def order_documents(
     orders: DataFrame, customers: DataFrame, lines: DataFrame, items: DataFrame,
-    page_size: int = PAGE_SIZE,
+    page_size: int,
 ) -> DataFrame:
-    """One document per order (and page): customer struct, photo array, price.
+    """One document per order and page: customer struct, photo array, price.
+
+    An order with more than ``page_size`` photos has ``Pages`` documents, numbered by ``Page``; each
+    of them carries the price of the whole order.
 
     Inputs: orders (order_id, created_at, customer_id), customers (customer_id, …), lines (order_id,
     photo_id, quantity) with one row per order and photo, items (photo_id, price as decimal, …).
-    ``Price`` sums quantity times price over the lines of the page.
+    ``Price`` sums quantity times price over all lines of the order.
     """
     customer = F.struct(*[F.col(c) for c in customers.columns]).alias("Customer")
     photo = items.select(F.col("photo_id"), F.struct(*items.columns).alias("photo"))
@@ -79,18 +80,17 @@ def order_documents(
     headers = orders.join(customers, "customer_id").select("order_id", "created_at", customer)
     kind = pages.schema["entries"].dataType
     photos = F.coalesce(F.col("entries"), F.array().cast(kind))
-    total = F.aggregate(
-        photos, F.lit(0).cast(price_type), lambda s, e: (s + e["price"]).cast(price_type)
-    )
-    return headers.join(pages, "order_id", "left").select(
+    total = priced.groupBy("order_id").agg(F.sum("price").cast(price_type).alias("total"))
+    return headers.join(total, "order_id", "left").join(pages, "order_id", "left").select(
         F.col("order_id").alias("OrderId"),
         F.coalesce("page", F.lit(0)).alias("Page"),
+        F.coalesce("pages", F.lit(1)).alias("Pages"),
         F.col("created_at").alias("CreatedAt"),
         "Customer",
         F.transform(
             photos, lambda e: F.struct(e["quantity"].alias("Quantity"), e["photo"].alias("Photo"))
         ).alias("Photos"),
-        total.alias("Price"),
+        F.coalesce("total", F.lit(0)).cast(price_type).alias("Price"),
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluicework.functions import clock
@@ -24,18 +24,19 @@ def minutes_per_parent(
     """Parents that have children, with ``minutes`` = the sum of (child end - parent start).
 
     The children are reduced to one row per key before the join: the sum of the differences is the
-    sum of the ends less n times the start. A key that holds a third of the children is one row
+    sum of the ends less n times the start. ``n_children`` counts all children; those without an end
+    add no minutes, and without any end ``minutes`` is NULL. A key that holds a third of the children is one row
     per map task in the shuffle, and one row in the join.
     """
     per_key = (
-        children.filter(F.col(end).isNotNull())
-        .groupBy(F.col(child_key).alias("_key"))
-        .agg(F.count("*").alias("_n"), F.sum(clock.epoch_minutes(F.col(end))).alias("_ends"))
+        children.groupBy(F.col(child_key).alias("_key"))
+        .agg(F.count("*").alias("_n"), F.count(end).alias("_filled"),
+             F.sum(clock.epoch_minutes(F.col(end))).alias("_ends"))
     )
     return (
         parents.join(per_key, F.col(key) == F.col("_key"))
-        .withColumn("minutes", F.col("_ends") - F.col("_n") * clock.epoch_minutes(F.col(start)))
-        .drop("_key", "_ends")
+        .withColumn("minutes", F.col("_ends") - F.col("_filled") * clock.epoch_minutes(F.col(start)))
+        .drop("_key", "_ends", "_filled")
         .withColumnRenamed("_n", "n_children")
     )
 
@@ -140,14 +141,30 @@ def table_information(tables: Mapping[str, DataFrame]) -> DataFrame:
     return result
 
 
+def stored_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The Parquet tables of a folder by name, as listed there: a file or folder ``name.parquet`` each."""
+    rows = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+        .load(folder).select(F.regexp_extract("path", r"/([^/]+)\.parquet(/[^/]*)?$", 1).alias("name"))
+        .distinct().orderBy("name").collect()
+    )
+    return {r["name"]: spark.read.parquet(f"{folder.rstrip('/')}/{r['name']}.parquet") for r in rows}
+
+
+def full_information(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per table: ``table_name``, ``n_rows``, ``n_files``, ``n_bytes``."""
+    return table_information(tables).join(table_bytes(tables), "table_name")
+
+
 def table_bytes(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per file-backed table with its file count and size, from the file metadata."""
+    """One row per file-backed table with its file count and size, from the listing of its files."""
     result = None
     for name, df in tables.items():
-        files = df.select("_metadata.file_path", "_metadata.file_size").distinct()
+        # without the content this source reads the listing only
+        files = df.sparkSession.read.format("binaryFile").load(df.inputFiles()).select("path", "length")
         part = files.agg(
             F.count("*").alias("n_files"),
-            F.coalesce(F.sum("file_size"), F.lit(0)).cast("bigint").alias("n_bytes"),
+            F.coalesce(F.sum("length"), F.lit(0)).cast("bigint").alias("n_bytes"),
         ).select(F.lit(name).alias("table_name"), "n_files", "n_bytes")
         result = part if result is None else result.unionAll(part)
     if result is None:

@@ -190,7 +190,7 @@ def event_lines(t):
         F.sum(F.col("l_quantity").cast("decimal(7,2)")).cast("string").alias("price"),
     )
     lists = nested.paged_lists(
-        entries.withColumn("o", F.col("order_id")), "o", ["order_id", "photo_id", "quantity", "price"]
+        entries.withColumn("o", F.col("order_id")), "o", ["order_id", "photo_id", "quantity", "price"], 10_000
     )
     events = envelope.encode(
         lists, F.lit("Added order details"), F.to_json("entries"), F.lit("2024-01-01 00:00:00")

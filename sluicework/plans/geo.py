@@ -105,3 +105,17 @@ def wkt_points(t):
         F.when(F.col("wkt") == "", 0).otherwise(text.occurrences(F.col("wkt"), ",") + 1).alias("n_in_text"),
         wkt.is_empty(F.col("g")).alias("empty"),
     )
+
+
+@query(
+    "geojson_points",
+    """SELECT vec_id, 'MULTIPOINT (' || vec_id || ' ' || label || ', ' || label || ' ' || vec_id || ')' AS wkt,
+              2 AS n_points FROM embeddings""",
+)
+def geojson_points(t):
+    """GeoJSON geometries as text and by their points, read back from that text."""
+    first, second = F.col("vec_id").cast("string"), F.col("label").cast("string")
+    coordinates = F.concat(F.lit("[["), first, F.lit(", "), second, F.lit("], ["), second, F.lit(", "), first, F.lit("]]"))
+    text = F.concat(F.lit('{"type": "MultiPoint", "coordinates": '), coordinates, F.lit("}"))
+    written = t.embeddings.select("vec_id", wkt.to_wkt(wkt.parse_geojson(text)).alias("wkt"))
+    return written.withColumn("n_points", wkt.point_count(wkt.parse_wkt(F.col("wkt"))))

@@ -48,7 +48,7 @@ def changed_rows(t):
 
 def half(t):
     """Where the target stands: half of the largest key, read as one number."""
-    return t.orders.agg(F.floor(F.coalesce(F.max("o_orderkey"), F.lit(0)) / 2).alias("n")).first()["n"]
+    return t.orders.agg(F.expr("coalesce(max(o_orderkey), 0) div 2").alias("n")).first()["n"]
 
 
 HALF = "(SELECT coalesce(max(o_orderkey), 0) // 2 FROM orders)"

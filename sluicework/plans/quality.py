@@ -79,7 +79,7 @@ def form(t):
     return t.orders.select(
         key.alias("position"),
         F.when(key % 97 == 0, None)
-        .when(key % 19 == 0, F.concat(F.lit("P"), F.floor(key / 2).cast("string")))
+        .when(key % 19 == 0, F.concat(F.lit("P"), F.expr("o_orderkey div 2").cast("string")))
         .otherwise(F.concat(F.lit("P"), key.cast("string"))).alias("title"),
         F.when(key % 13 == 0, "DarkRed").when(key % 3 == 0, "Green").when(key % 3 == 1, "Yellow")
         .alias("color"),

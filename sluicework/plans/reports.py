@@ -76,18 +76,18 @@ def length_profile(t):
 
 @query(
     "null_profile",
-    """WITH d AS (SELECT d.doc_id, lang, source, n_chars, quality, toxic
+    """WITH d AS (SELECT d.doc_id, text, lang, source, n_chars, quality, toxic
                   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
        """ + " UNION ALL ".join(
         f"""SELECT count(*) AS n_rows, '{c}' AS column_name,
                    CAST(coalesce(sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END), 0) AS BIGINT) AS n_nulls
             FROM d"""
-        for c in ("doc_id", "lang", "source", "n_chars", "quality", "toxic")
+        for c in ("doc_id", "text", "lang", "source", "n_chars", "quality", "toxic")
     ),
 )
 def null_profile(t):
-    joined = t.documents.drop("text").join(t.labels, "doc_id", "left")
-    return profile.null_profile(joined, ["doc_id", "lang", "source", "n_chars", "quality", "toxic"])
+    joined = t.documents.join(t.labels, "doc_id", "left")
+    return profile.null_profile(joined, ["doc_id", "text", "lang", "source", "n_chars", "quality", "toxic"])
 
 
 @query(
@@ -109,7 +109,7 @@ def order_entries(t):
     )
 
 
-def order_documents_of(t, page_size=nested.PAGE_SIZE):
+def order_documents_of(t, page_size=10_000):
     return nested.order_documents(
         t.orders.select(
             F.col("o_orderkey").alias("order_id"),
@@ -142,7 +142,7 @@ def order_documents_of(t, page_size=nested.PAGE_SIZE):
        GROUP BY o_orderkey""",
 )
 def order_documents(t):
-    """Documents flattened again; the pages of a large order add up."""
+    """Documents flattened again; the pages of a large order add up, each with the order's price."""
     photos = F.col("Photos")
     ids = F.transform(photos, lambda p: p["Photo"]["photo_id"])
     drawn = F.aggregate(photos, F.lit(0).cast("bigint"), lambda s, p: s + p["Quantity"])
@@ -159,7 +159,7 @@ def order_documents(t):
         .agg(
             F.min("created_at").alias("created_at"), F.min("customer").alias("customer"),
             F.sum("n_photos").alias("n_photos"), F.sum("n_drawn").alias("n_drawn"),
-            F.sum("price").cast("decimal(28,2)").alias("price"),
+            F.max("price").alias("price"),
             F.min("first_photo").alias("first_photo"), F.max("last_photo").alias("last_photo"),
         )
     )
@@ -190,7 +190,7 @@ def nest_document(t):
 )
 def explode_lines(t):
     """Order entries packed into list-valued bodies, as events carry them, and unpacked again."""
-    packed = nested.paged_lists(order_entries(t), "order_id", ["photo_id", "quantity", "price"])
+    packed = nested.paged_lists(order_entries(t), "order_id", ["photo_id", "quantity", "price"], 10_000)
     bodies = packed.select(
         F.col("order_id"), F.to_json("entries").alias("body")
     )

@@ -137,6 +137,18 @@ def import_files(t):
     return shape.fold_names(lines.import_files(t.spark, path, CUSTOMER, format="xml"))
 
 
+@query("detect_formats", "SELECT c_custkey AS id FROM customer UNION ALL SELECT o_orderkey FROM orders")
+def detect_formats(t):
+    """XML and JSON files side by side, a blank line first in each, told apart by their lines."""
+    root = scratch_path(t.spark, "formats")
+    row = F.concat(F.lit('\n<?xml version="1.0"?>\n<row Id="'), F.col("c_custkey").cast("string"), F.lit('" />'))
+    t.customer.select(row.alias("value")).write.text(f"{root}/x")
+    document = F.concat(F.lit('\n{"Id": '), F.col("o_orderkey").cast("string"), F.lit("}"))
+    t.orders.select(document.alias("value")).write.text(f"{root}/j")
+    schema = T.StructType([T.StructField("id", T.LongType())])
+    return lines.import_files(t.spark, f"{root}/*/*.txt", schema)
+
+
 @query(
     "attribute_presence",
     """SELECT 'Id' AS attribute, count(*) AS n FROM customer

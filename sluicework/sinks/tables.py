@@ -61,9 +61,11 @@ def _write(df, url, table, batch_size, truncate, strict, column_map, options) ->
 def append_parquet(
     df: DataFrame, path: str, strict: bool = False, column_map: Mapping[str, str] | None = None
 ) -> None:
-    """Rows into an existing parquet table, in the columns and types it has."""
+    """Rows into an existing parquet table, in the columns and types it has; NaN becomes NULL."""
+    if df.isEmpty():
+        raise ValueError("no rows to write, data is empty")
     target = df.sparkSession.read.parquet(path).schema
-    align(df, target, strict, column_map).write.mode("append").parquet(path)
+    align(nan_to_null(df), target, strict, column_map).write.mode("append").parquet(path)
 
 
 def split_by(df: DataFrame, keys: Sequence[str], path: str) -> None:

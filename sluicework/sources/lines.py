@@ -6,7 +6,9 @@ another case or a single bad value can never turn silently into NULLs.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,11 +18,9 @@ from sluicework.functions.content import folded_json_object
 from sluicework.functions.markup import attributes, folds_names, is_row, known_attributes
 from sluicework.operators.shape import from_texts, source_names, stack
 
-# What the first line of a file starts with.
+# How the line starts that tells a file's format.
 XML_START, JSON_START = "<?xml", "{"
 
-BROADCAST_FILES = 50_000
-
 
 def xml_rows(
     lines: DataFrame, schema: T.StructType, column_map: Mapping[str, str] | None = None,
@@ -49,9 +49,9 @@ def json_rows(
     return from_texts(entries, lambda name: F.col("_row")[name], schema, column_map, strict, keep)
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Text lines with their file; Spark drops a byte order mark."""
-    return spark.read.text(path).select(
+    return spark.read.text(path if isinstance(path, str) else list(path)).select(
         "value",
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("_block"),
@@ -59,18 +59,45 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def file_formats(lines: DataFrame) -> DataFrame:
-    """The format of every file (``xml``, ``json`` or NULL), told by its first line."""
-    # The first line sits in the block at offset 0; within a block lines keep their order, so the
-    # smallest line number wins and carries the code of its line with it
+    """Per file the ``format`` (``xml``, ``json`` or NULL) told by its first telling line, and ``late``.
+
+    Other lines are passed over until one tells; ``late`` says that there were such lines.
+    """
+    # Blocks in order, and within a block lines keep their order: the smallest place wins and carries
+    # the code of its line with it
     line = F.col("value")
-    code = F.when(line.startswith(XML_START), 1).when(line.startswith(JSON_START), 2).otherwise(0)
-    numbered = lines.filter(F.col("_block") == 0).select(
-        "file", (F.monotonically_increasing_id() * 4 + code).alias("_at")
-    )
-    first = F.pmod(F.min("_at"), F.lit(4))
-    return numbered.groupBy("file").agg(
-        F.when(first == 1, "xml").when(first == 2, "json").alias("format")
-    )
+    code = F.when(line.startswith(XML_START), 1).when(line.startswith(JSON_START), 2)
+    place = F.struct(F.col("_block"), F.monotonically_increasing_id().alias("_id"), code.alias("code"))
+    found = lines.select("file", place.alias("_at")).groupBy("file").agg(
+        F.min(F.when(F.col("_at.code").isNotNull(), F.col("_at"))).alias("told"), F.min("_at").alias("first"))
+    kind = F.col("told.code")
+    return found.select(
+        "file", F.when(kind == 1, "xml").when(kind == 2, "json").alias("format"),
+        F.coalesce(F.col("told._id") != F.col("first._id"), F.lit(False)).alias("late"))
+
+
+def _told(spark: SparkSession, path: str) -> dict[tuple[str, bool], list[str]]:
+    """The files by (format, late); the driver holds the list of files anyway.
+
+    Most files tell in their first block; only the others are looked through to their end.
+    """
+    starts = read_lines(spark, path).filter(F.col("_block") == 0)
+    files: dict[tuple[str, bool], list[str]] = {}
+    rows = file_formats(starts).collect()
+    if silent := [_as_path(r["file"]) for r in rows if r["format"] is None]:
+        rows += file_formats(read_lines(spark, silent)).collect()
+        told = {r["file"] for r in rows if r["format"]}
+        if left := sorted({r["file"] for r in rows} - told):
+            raise ValueError(f"no line tells the format of {', '.join(left[:5])}")
+    for row in rows:
+        if row["format"]:
+            files.setdefault((row["format"], row["late"]), []).append(_as_path(row["file"]))
+    return files
+
+
+def _as_path(file: str) -> str:
+    """A file's address as a path that matches nothing else."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", unquote(file))
 
 
 def import_files(
@@ -80,19 +107,22 @@ def import_files(
 ) -> DataFrame:
     """Typed rows of all files that match ``path``, each read in its own format.
 
-    ``format`` (``xml`` or ``json``) for all files saves the pass that looks at the first lines.
+    A file's format is told by its first line that starts as one; lines before it are passed over. A
+    file with lines of which none tells is an error. ``format`` (``xml`` or ``json``) for all files
+    saves the pass that looks for these lines.
     """
-    lines = read_lines(spark, path)
     kept = ["file"] if keep_file else []
     arguments = {"schema": schema, "column_map": column_map, "strict": strict, "keep": kept}
     readers = {"xml": xml_rows, "json": json_rows}
     if format is not None:
-        return readers[format](lines, **arguments)
-    formats = file_formats(lines)
-    # One row per file; the driver holds the list of files anyway
-    if len(lines.inputFiles()) <= BROADCAST_FILES:
-        formats = F.broadcast(formats)
-    routed = lines.join(formats, "file")
-    return stack([
-        reader(routed.filter(F.col("format") == name), **arguments) for name, reader in readers.items()
-    ])
+        return readers[format](read_lines(spark, path), **arguments)
+    parts = []
+    for (name, late), files in sorted(_told(spark, path).items()):
+        found = read_lines(spark, files)
+        if late and name == "json":
+            # what stands before the first object is no object
+            found = found.filter(F.col("value").startswith(JSON_START))
+        parts.append(readers[name](found, **arguments))
+    if not parts:
+        return xml_rows(read_lines(spark, path), **arguments)
+    return stack(parts)

@@ -58,15 +58,24 @@ def test_json_rows_with_names_in_any_case_and_a_column_map(spark, tmp_path):
     assert {r["CreationDate"] for r in rows} == {datetime.datetime(2011, 1, 3, 20, 14, 55, 13000), None}
 
 
-def test_formats_are_told_per_file_by_the_first_line(spark, tmp_path):
+def got_d(rows):
+    return next(r["file"][-5:] for r in rows if r["Id"] == 7)
+
+
+def test_formats_are_told_per_file_by_the_first_telling_line(spark, tmp_path):
     write(tmp_path / "a.txt", '<?xml version="1.0"?>\n<r>\n<row Id="1" Name="x" />\n</r>\n')
     write(tmp_path / "b.txt", '{"Id": 2, "Name": "y"}\n{"Id": 3}\n')
-    write(tmp_path / "c.txt", 'notes\n<row Id="4" />\n{"Id": 5}\n')
+    write(tmp_path / "c.txt", '\n# notes\n{"Id": 5}\n{"Id": 6}\n')
+    write(tmp_path / "d [1].txt", '\n<?xml version="1.0"?>\n<row Id="7" />\n')
     pattern = str(tmp_path / "*.txt")
     formats = {r["file"][-5:]: r["format"] for r in lines.file_formats(lines.read_lines(spark, pattern)).collect()}
-    assert formats == {"a.txt": "xml", "b.txt": "json", "c.txt": None}
+    assert sorted(formats.values()) == ["json", "json", "xml", "xml"] and formats["c.txt"] == "json"
     got = lines.import_files(spark, pattern, BADGES, keep_file=True).collect()
-    assert sorted((r["file"][-5:], r["Id"]) for r in got) == [("a.txt", 1), ("b.txt", 2), ("b.txt", 3)]
+    assert sorted((r["file"][-5:], r["Id"]) for r in got) == sorted([
+        ("a.txt", 1), ("b.txt", 2), ("b.txt", 3), ("c.txt", 5), ("c.txt", 6), (got_d(got), 7)])
+    write(tmp_path / "e.txt", "notes\nmore notes\n")
+    with pytest.raises(ValueError, match="no line tells the format of .*e.txt"):
+        lines.import_files(spark, pattern, BADGES)
     known = lines.import_files(spark, str(tmp_path / "a.txt"), BADGES, format="xml")
     assert known.count() == 1
 
