@@ -172,7 +172,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", usable: Colu
         labels = labels.filter(usable)
     sample, share = labelled_sample(labels, label, SAMPLE)
     chunks, kinds, first = sample_chunks(docs, sample, "int", SPAN, SPAN, SPAN, SPANS)
-    ends = np.r_[first[1:], len(chunks)]
+    ends = np.r_[first[1:], len(chunks)] if len(first) else first
     texts = [b"\n".join(c.tobytes().rstrip(b"\0") for c in chunks[a:b]) for a, b in zip(first, ends, strict=True)]
     return train(texts, np.array(kinds, dtype=np.int64), share.first()["share"] or 0.5)
 
