@@ -27,6 +27,8 @@ SPAN = LENGTH + max(WIDTHS) - 1
 #: At most so many documents are learned from, and so many windows of each.
 SAMPLE, SAMPLE_WINDOWS = 4000, 4
 EPOCHS, GROUP, RATE = 6, 128, 0.01
+#: A small sample is gone through more often, up to so many steps.
+STEPS = 300
 UNKNOWN = "und"
 
 
@@ -71,8 +73,9 @@ def train(chunks: np.ndarray, kinds: list[str], first: np.ndarray, seed: int = 1
     code = {name: i for i, name in enumerate(languages)}
     target = np.repeat([code[x] for x in kinds], np.diff(np.r_[first, len(chunks)])) if languages else np.zeros(0)
     steps = Adam(arrays, RATE)
-    for epoch in range(EPOCHS if len(languages) > 1 else 0):
-        steps.rate = RATE * (1 - epoch / EPOCHS)
+    epochs = max(EPOCHS, min(10 * EPOCHS, STEPS * GROUP // max(len(chunks), 1))) if len(languages) > 1 else 0
+    for epoch in range(epochs):
+        steps.rate = RATE * (1 - epoch / epochs)
         order = rng.permutation(len(chunks))
         for i in range(0, len(order), GROUP):
             take = order[i:i + GROUP]

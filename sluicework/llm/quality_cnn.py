@@ -28,6 +28,8 @@ HIDDEN = 16
 #: At most so many labelled documents of each kind are learned from, and so many chunks of each.
 SAMPLE, SAMPLE_CHUNKS = 1500, 6
 EPOCHS, GROUP, RATE = 8, 48, 0.01
+#: A small sample is gone through more often, up to so many steps.
+STEPS = 400
 THRESHOLD = 0.7
 SPAN = LENGTH + max(WIDTHS) - 1
 
@@ -146,8 +148,9 @@ def train(chunks: np.ndarray, kinds: np.ndarray, first: np.ndarray, share: float
     ]
     steps, k = Adam(arrays, RATE), len(WIDTHS)
     ends = np.r_[first[1:], len(chunks)]
-    for epoch in range(EPOCHS):
-        steps.rate = RATE * (1 - epoch / EPOCHS)
+    epochs = max(EPOCHS, min(10 * EPOCHS, STEPS * GROUP // n))
+    for epoch in range(epochs):
+        steps.rate = RATE * (1 - epoch / epochs)
         order = rng.permutation(n)
         for i in range(0, n, GROUP):
             docs = order[i:i + GROUP]
