@@ -105,8 +105,9 @@ class Pieces:
         for end in range(1, len(unit) + 1):
             ahead[end] = max(ahead[start] + score for start, _, score in arcs[end])
         found, order = [], itertools.count()
-        # (minus the best score of any path through it, age, place, score of what is behind, pieces behind)
-        heap = [(-ahead[len(unit)], next(order), len(unit), 0.0, None)]
+        # (minus the best score of any path through it, minus its age, place, score of what is behind,
+        # pieces behind): among ties the newest first, so that equal paths are not all opened side by side
+        heap = [(-ahead[len(unit)], -next(order), len(unit), 0.0, None)]
         while heap and len(found) < n:
             _, _, place, behind, tail = heapq.heappop(heap)
             if place == 0:
@@ -116,8 +117,8 @@ class Pieces:
                     tail = tail[1]
                 found.append((behind, tuple(ids)))
                 continue
-            for start, ids_, score in arcs[place]:
-                heapq.heappush(heap, (-(ahead[start] + score + behind), next(order), start, score + behind, (ids_, tail)))
+            for start, ids_, score in reversed(arcs[place]):
+                heapq.heappush(heap, (-(ahead[start] + score + behind), -next(order), start, score + behind, (ids_, tail)))
         return found
 
     def best_of_many(self, units: list[str]) -> tuple[list[tuple[int, ...]], np.ndarray, np.ndarray]:
