@@ -6,8 +6,8 @@ the other) and ``index`` (Parquet: document, file, offset and length of its fram
 before it in the file, hash of the dictionary). A short document is one small read by its index row;
 a file is bound to its dictionary by the hash.
 
-Encoding goes by word: the tokenizer drops white space and never looks across it, so each different
-word is encoded once per worker and the ids are gathered.
+Encoding goes by word: the tokenizer drops white space and never looks across it, nor from an ASCII
+letter to a stop after it, so each different word is encoded once per worker and the ids are gathered.
 
 Defined results: a NULL text is empty; an empty document holds the end id alone. Documents are in
 ascending order of id (NULL first), repeated rows side by side by text. An empty table gives an empty
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import os
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -37,15 +38,23 @@ END = 1
 LEVEL = 3
 #: The dictionary's size, and the sample it is trained on: documents, and characters of each.
 DICTIONARY, SAMPLE, SAMPLE_CHARS = 32_768, 600, 6_000
-#: Words kept per worker; beyond, the table starts anew.
-WORDS_KEPT = 600_000
+#: Words kept per worker; beyond, the table starts anew. New words are encoded so many at a time.
+WORDS_KEPT, TOGETHER = 600_000, 512
 BLOCK = 4 << 20
+#: A word also ends where one of these follows a letter (all ASCII: no special token has the like).
+STOPS = b".,;:!?)"
+
+IS_LETTER, IS_STOP = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
+IS_LETTER[[*range(65, 91), *range(97, 123)]] = True
+IS_STOP[list(STOPS)] = True
 
 
 class Encoder:
     """The ids of texts, word by word, with a table of the words seen."""
 
     def __init__(self, path: str) -> None:
+        # Spark's tasks are the parallelism
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self._forget()
 
@@ -56,10 +65,13 @@ class Encoder:
         self.lengths = [np.zeros(0, dtype=np.int64)]
 
     def _learn(self, words: list[bytes]) -> None:
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        ids = [e.ids for e in found]
-        lengths = np.array([len(x) for x in ids], dtype=np.int64)
-        fresh = np.array([i for x in ids for i in x], dtype=np.uint32)
+        # One text of them all: a token's first character tells its word
+        texts = [w.decode() for w in words]
+        found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+        fresh = np.array(found.ids, dtype=np.uint32)
+        first = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        at = np.array(found.offsets, dtype=np.int64).reshape(-1, 2)[:, 0]
+        lengths = np.bincount(np.searchsorted(first, at, side="right") - 1, minlength=len(words))
         while self.used + len(fresh) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         self.flat[self.used:self.used + len(fresh)] = fresh
@@ -76,7 +88,9 @@ class Encoder:
         inside = ~IS_SPACE[data]
         first = inside.copy()
         first[1:] &= ~inside[:-1]
-        cuts = np.union1d(np.flatnonzero(first), at[:-1][at[:-1] < len(data)])
+        first[1:] |= IS_LETTER[data[:-1]] & IS_STOP[data[1:]]
+        first[at[:-1][at[:-1] < len(data)]] = True
+        cuts = np.flatnonzero(first)
         if not len(cuts):
             return np.zeros(0, dtype=np.uint32), np.zeros(len(at), dtype=np.int64)
         ends = np.r_[cuts, len(data)].astype(np.int32)
@@ -84,8 +98,9 @@ class Encoder:
         units = pa.Array.from_buffers(
             pa.binary(), len(cuts), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
         words = units.dictionary.to_pylist()
-        if missing := [w for w in words if w not in self.slots]:
-            self._learn(missing)
+        missing = [w for w in words if w not in self.slots]
+        for i in range(0, len(missing), TOGETHER):
+            self._learn(missing[i:i + TOGETHER])
         if len(self.starts) > 1:
             self.starts, self.lengths = [np.concatenate(self.starts)], [np.concatenate(self.lengths)]
         slot = np.fromiter((self.slots[w] for w in words), dtype=np.int64, count=len(words))[units.indices.to_numpy()]
