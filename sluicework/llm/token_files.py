@@ -119,9 +119,12 @@ def worker_encoder(path: str) -> Encoder:
 def train_dictionary(docs: DataFrame, path: str) -> bytes:
     """A dictionary from the ids of the sampled documents; empty if they are too few."""
     start = F.pmod(F.xxhash64("doc_id"), F.greatest(F.lit(1), F.length("text") - SAMPLE_CHARS)).cast("int") + 1
+    # The ids are chosen first: the texts of every task's candidates would all go to the driver
+    found = docs.filter("text is not null")
+    chosen = found.select("doc_id").filter("doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).distinct()
     rows = (
-        docs.filter("text is not null").select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-        .select(F.col("text").substr(start, F.lit(SAMPLE_CHARS)).alias("text")).collect()
+        found.select("doc_id", F.col("text").substr(start, F.lit(SAMPLE_CHARS)).alias("text"))
+        .join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).orderBy("doc_id").collect()
     )
     encoder, samples = Tokenizer.from_file(path), []
     for row in rows:
