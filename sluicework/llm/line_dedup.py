@@ -4,14 +4,18 @@ A line is the set of its character shingles: ``SHINGLE`` consecutive bytes of it
 offset (a shorter line is one shingle). One hash per shingle fills ``2 * BANDS`` bins with their
 minima; two bins make a band. Lines that share a band are compared with that band's smallest and
 largest line: first by their bins, then by the exact Jaccard similarity of the shingle sets. Verified
-links go to the distributed union-find, and of every component the first line stays.
+links go to the distributed union-find. Where that leaves the members of a band in several components,
+the others are compared too, in pairs of blocks of bounded size, and the links between components found
+there are joined to the first. So every pair that shares a band and agrees in ``AGREE`` bins is verified
+or already connected. Of every component the first line stays.
 
 A long line draws its minima from the shingles whose hash is below a limit set by the line's length,
 about ``DRAWN`` of them: a bin's minimum is the same with or without the others. Lines of few different
 words, of which too few would pass, use all their shingles. Verification uses all of them always.
 
 Equal lines are one node from the start, so a line with a third of all copies is one row. A band gives
-two candidate links per line, never all pairs.
+two candidate links per line as rows; what its blocks compare stays within a row, and only links between
+different components come out.
 
 Defined results: lines without a word are left alone and never dropped; NULL and empty texts have no
 lines. "First" is by document id (NULL first), then the text's hash, then the line's place, so rows
@@ -31,6 +35,8 @@ SHINGLE, BANDS, DRAWN, THRESHOLD = 8, 6, 36, 0.8
 AGREE = 5
 #: Line keys up to this many are broadcast to fetch their texts (8 bytes each).
 FEW_KEYS = 1_000_000
+#: Lines, and bytes of lines, in a block of the comparison within a band (on average; a longer line is whole).
+BLOCK, BLOCK_BYTES = 64, 1 << 18
 SPAN = 2**31
 HAS_WORD = r"[^\x20\x09-\x0D]"
 
@@ -67,13 +73,16 @@ def sketches(lines: DataFrame) -> DataFrame:
     return drawn.groupBy("k").agg(*(F.min(F.when(F.col("bin") == i, F.col("h"))).alias(f"m{i}") for i in range(2 * BANDS)))
 
 
-def candidate_links(sketch: DataFrame) -> DataFrame:
-    """``(a, b)``: lines that share a band with one of its two ends and agree in ``AGREE`` bins."""
-    bands = F.array(*(
+def _bands() -> Column:
+    return F.array(*(
         F.when(F.coalesce(f"m{2 * i}", f"m{2 * i + 1}").isNotNull(),
                F.xxhash64(F.lit(i), F.coalesce(f"m{2 * i}", F.lit(-1)), F.coalesce(f"m{2 * i + 1}", F.lit(-1))))
         for i in range(BANDS)))
-    rows = sketch.select("k", F.explode(bands).alias("band")).filter("band is not null")
+
+
+def candidate_links(sketch: DataFrame) -> DataFrame:
+    """``(a, b)``: lines that share a band with one of its two ends and agree in ``AGREE`` bins."""
+    rows = sketch.select("k", F.explode(_bands()).alias("band")).filter("band is not null")
     ends = rows.groupBy("band").agg(F.min("k").alias("low"), F.max("k").alias("high")).filter("low < high")
     pairs = rows.join(ends, "band").select("k", F.explode(F.array("low", "high")).alias("end"))
     pairs = pairs.filter("k <> end").select(F.least("k", "end").alias("a"), F.greatest("k", "end").alias("b")).distinct()
@@ -85,12 +94,17 @@ def candidate_links(sketch: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").filter(agree >= AGREE).select("a", "b")
 
 
-def verified_links(lines: DataFrame, pairs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The pairs whose shingle sets have at least the Jaccard similarity."""
-    keys = written(pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct(), "keys")
-    texts = written(
+def _texts(lines: DataFrame, keys: DataFrame) -> DataFrame:
+    """``(k, b)``: the bytes of the lines with these keys."""
+    keys = written(keys.distinct(), "keys")
+    return written(
         lines.select("k", "line").join(bounded(keys, FEW_KEYS), "k")
         .groupBy("k").agg(F.min("line").alias("line")).select("k", F.col("line").cast("binary").alias("b")), "texts")
+
+
+def verified_links(lines: DataFrame, pairs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The pairs whose shingle sets have at least the Jaccard similarity."""
+    texts = _texts(lines, pairs.select(F.explode(F.array("a", "b")).alias("k")))
     # The texts travel, their shingles (eight times as long) are made where they are compared
     both = pairs.join(texts.select(F.col("k").alias("a"), F.col("b").alias("ta")), "a").join(
         texts.select(F.col("k").alias("b"), F.col("b").alias("tb")), "b")
@@ -103,6 +117,81 @@ def verified_links(lines: DataFrame, pairs: DataFrame, threshold: float = THRESH
     return sets.filter(shared >= threshold * all_ - 1e-9).select("a", "b")
 
 
+def open_members(sketch: DataFrame, roots: DataFrame) -> DataFrame:
+    """``(band, at, k, c, bands, bits)``: the lines between the ends of bands that lie in several components.
+
+    ``bits`` has 4 bits of every bin: bins that agree have equal bits, so no candidate is missed by them.
+    """
+    width = 64 // (2 * BANDS)
+    bits = F.lit(0).cast("long")
+    for i in range(2 * BANDS):
+        bits = F.shiftleft(bits, width).bitwiseOR(
+            F.pmod(F.xxhash64(F.coalesce(f"m{i}", F.lit(-1))), F.lit(2**width)))
+    rows = sketch.select("k", _bands().alias("bands"), bits.alias("bits")).join(
+        roots.withColumnRenamed("node", "k"), "k", "left")
+    rows = written(rows.select(F.coalesce("root", "k").alias("c"), "k", "bands", "bits"), "banded")
+    rows = rows.select("*", F.posexplode("bands").alias("at", "band")).filter("band is not null")
+    # Of up to three lines every pair has an end in it
+    open_ = rows.groupBy("band").agg(
+        F.min("k").alias("low"), F.max("k").alias("high"), F.count("*").alias("n"),
+        F.min("c").alias("c_low"), F.max("c").alias("c_high")).filter("n > 3 and c_low < c_high")
+    members = join_per_key(rows, open_.select("band", "low", "high"), ["band"], "inner")
+    return members.filter("k <> low and k <> high").select("band", "at", "k", "c", "bands", "bits")
+
+
+def links_within(lines: DataFrame, members: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``(a, b)``: components joined by a verified pair of lines of one band, each pair of blocks on its own."""
+    members = written(members, "members")
+    texts = _texts(lines, members.select("k"))
+    members = written(members.join(texts, "k"), "open")
+    parts = members.groupBy("band").agg(F.ceil(F.greatest(
+        F.count("*") / BLOCK, F.sum(F.length("b")) / BLOCK_BYTES)).cast("int").alias("blocks"))
+    placed = join_per_key(members, parts, ["band"], "inner").withColumn(
+        "block", F.pmod(F.xxhash64("k", "band"), F.col("blocks")).cast("int"))
+    spread = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
+        "band", "at", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+        F.struct((F.col("block") > F.col("other")).alias("side"), "k", "c", "bits", "bands", "b").alias("x"))
+    met = spread.groupBy("band", "at", "i", "j").agg(F.collect_list("x").alias("xs")).filter(F.size("xs") > 1)
+    width = 64 // (2 * BANDS)
+    ones = sum(1 << (width * i) for i in range(2 * BANDS))
+
+    def likely(x: Column, y: Column) -> Column:
+        apart = x["bits"].bitwiseXOR(y["bits"])
+        for step in (1, 2):
+            apart = apart.bitwiseOR(F.shiftrightunsigned(apart, step))
+        agree = 2 * BANDS - F.bit_count(apart.bitwiseAND(F.lit(ones)))
+        # Lines that share several bands meet in the first of them
+        before = F.arrays_overlap(F.slice(x["bands"], 1, F.col("at")), F.slice(y["bands"], 1, F.col("at")))
+        return (
+            (x["c"] != y["c"]) & ((x["side"] != y["side"]) | (F.col("i") == F.col("j"))) & (agree >= AGREE)
+            & ~F.coalesce(before, F.lit(False)))
+
+    def once(column: Column) -> Column:
+        # An explode keeps what is made once per row out of the lambdas that use it again and again
+        return F.explode(F.array(column))
+
+    near = met.select("at", "i", "j", once(F.filter("xs", lambda x: F.exists("xs", lambda y: likely(x, y)))).alias("xs"))
+    near = near.filter(F.size("xs") > 1)
+
+    def shingled(x: Column) -> Column:
+        places = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(x["b"]) - (SHINGLE - 1)))
+        s = F.array_distinct(F.transform(places, lambda at: F.xxhash64(x["b"].substr(at, F.lit(SHINGLE)))))
+        return F.struct(*(x[name].alias(name) for name in ("side", "k", "c", "bits", "bands")), s.alias("s"))
+
+    sets = near.select("at", "i", "j", once(F.transform("xs", shingled)).alias("xs"))
+
+    def alike(x: Column, y: Column) -> Column:
+        both = F.size(x["s"]) + F.size(y["s"])
+        shared = F.size(F.array_intersect(x["s"], y["s"]))
+        sized = F.least(F.size(x["s"]), F.size(y["s"])) >= threshold * F.greatest(F.size(x["s"]), F.size(y["s"])) - 1e-9
+        return (x["k"] < y["k"]) & likely(x, y) & sized & (shared >= threshold * (both - shared) - 1e-9)
+
+    links = F.flatten(F.transform("xs", lambda x: F.transform(
+        F.filter("xs", lambda y: alike(x, y)),
+        lambda y: F.struct(F.least(x["c"], y["c"]).alias("a"), F.greatest(x["c"], y["c"]).alias("b")))))
+    return sets.select(F.inline(F.array_distinct(links)))
+
+
 def line_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Every line with a word, the first line of its class, and whether it is that line.
 
@@ -113,6 +202,12 @@ def line_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     sketch = written(sketches(lines), "sketches")
     pairs = written(candidate_links(sketch), "pairs")
     roots = components(verified_links(lines, pairs, threshold))
+    # Links between components name them by their roots
+    more = components(links_within(lines, open_members(sketch, roots), threshold))
+    to = more.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+    roots = written(
+        roots.join(to, F.col("root") == F.col("_node"), "left")
+        .select("node", F.coalesce("_root", "root").alias("root")).unionByName(more), "roots")
     nodes = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
     place = F.struct("doc_id", "version", "line_no")
     # Equal lines are told by 128 bits; lines in a fuzzy class by their node

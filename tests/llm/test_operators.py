@@ -198,6 +198,37 @@ def test_lines(spark, odd, none):
     assert line_dedup.without_repeats(none).count() == 0
 
 
+def brute_line_classes(lines):
+    """The number of classes of these different lines."""
+    sets = [frozenset(x.encode()[k:k + 8] for k in range(max(1, len(x.encode()) - 7))) for x in lines]
+    pairs = [(i, j) for i, j in itertools.combinations(range(len(sets)), 2)
+             if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    return len(set(union(pairs, range(len(sets))).values()))
+
+
+def found_line_classes(spark, lines):
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    return line_dedup.line_classes(docs).select("first").distinct().count()
+
+
+@pytest.mark.parametrize("blocks", [64, 16])
+def test_lines_near_one_but_not_each_other(spark, monkeypatch, blocks):
+    monkeypatch.setattr(line_dedup, "BLOCK", blocks)
+    rng = np.random.default_rng(11)
+    lines = []
+    for copies in (300, 20, 20, 5):
+        original = "".join(map(chr, rng.integers(97, 123, 200)))
+        lines.append(original)
+        for _ in range(copies):
+            copy = list(original)
+            for at in (rng.integers(8, 90), rng.integers(110, 190)):
+                copy[at] = "#%&$"[rng.integers(4)]
+            lines.append("".join(copy))
+    lines = list(dict.fromkeys(lines))
+    assert brute_line_classes(lines) == 4
+    assert found_line_classes(spark, lines) == 4
+
+
 def test_groups_of_documents(spark, odd, none):
     docs = {r["doc_id"]: WORD.findall(r["text"]) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
     sets = {i: {tuple(w[k:k + 5]) for k in range(len(w) - 4)} or ({tuple(w)} if w else set()) for i, w in docs.items()}
