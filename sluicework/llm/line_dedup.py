@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 from sluicework.llm.components import bounded, components, written
 from sluicework.operators.matching import join_per_key
 
-SHINGLE, BANDS, DRAWN, THRESHOLD = 8, 6, 36, 0.8
+SHINGLE, BANDS, DRAWN, THRESHOLD = 8, 7, 56, 0.8
 #: Candidates must agree in so many of the bins before their texts are compared.
-AGREE = 5
+AGREE = 6
 #: Line keys up to this many are broadcast to fetch their texts (8 bytes each).
 FEW_KEYS = 1_000_000
 #: Lines, and bytes of lines, in a block of the comparison within a band (on average; a longer line is whole).

@@ -229,6 +229,12 @@ def test_lines_near_one_but_not_each_other(spark, monkeypatch, blocks):
     assert found_line_classes(spark, lines) == 4
 
 
+def test_a_pair_at_the_threshold_shares_a_band():
+    """The search is not narrowed to save disk: at most one pair of a thousand at 0.8 shares no band."""
+    assert (1 - line_dedup.THRESHOLD**2) ** line_dedup.BANDS < 1e-3
+    assert line_dedup.DRAWN >= 4 * 2 * line_dedup.BANDS and line_dedup.AGREE <= 6
+
+
 def test_groups_of_documents(spark, odd, none):
     docs = {r["doc_id"]: WORD.findall(r["text"]) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
     sets = {i: {tuple(w[k:k + 5]) for k in range(len(w) - 4)} or ({tuple(w)} if w else set()) for i, w in docs.items()}
