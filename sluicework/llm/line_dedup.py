@@ -10,8 +10,9 @@ there are joined to the first. So every pair that shares a band and agrees in ``
 or already connected. Of every component the first line stays.
 
 A long line draws its minima from the shingles whose hash is below a limit set by the line's length,
-about ``DRAWN`` of them: a bin's minimum is the same with or without the others. Lines of few different
-words, of which too few would pass, use all their shingles. Verification uses all of them always.
+at most about ``DRAWN`` of them: the minimum of a bin that drew one is the same with or without the
+others. A line with a bin that drew none uses all its shingles, as repetitive lines do. So a sketch
+depends on nothing but the set of shingles. Verification uses all of them always.
 
 Equal lines are one node from the start, so a line with a third of all copies is one row. A band gives
 two candidate links per line as rows; what its blocks compare stays within a row, and only links between
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from sluicework.llm.components import bounded, components, written
 from sluicework.operators.matching import join_per_key
 
-SHINGLE, BANDS, DRAWN, THRESHOLD = 8, 7, 56, 0.8
+SHINGLE, BANDS, DRAWN, THRESHOLD = 8, 7, 84, 0.8
 #: Candidates must agree in so many of the bins before their texts are compared.
 AGREE = 6
 #: Line keys up to this many are broadcast to fetch their texts (8 bytes each).
@@ -53,12 +54,8 @@ def _places(binary: str) -> Column:
     return F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(binary) - (SHINGLE - 1)))
 
 
-def sketches(lines: DataFrame) -> DataFrame:
-    """``(k, m0, m1, …)``: the minima of the bins of every different line."""
-    words = F.split("line", " ")
-    n = F.octet_length("line") - (SHINGLE - 1)
-    varied = F.size(F.array_distinct(words)) * 4 >= F.size(words)
-    limit = F.when((n > DRAWN) & varied, (F.lit(SPAN * DRAWN) / n).cast("long")).otherwise(F.lit(SPAN).cast("long"))
+def _minima(lines: DataFrame, limit: Column) -> DataFrame:
+    """``(k, limit, m0, m1, …)``: the minima below the limit; a line has its row even if it draws none."""
     # Generated code computes what the sequence refers to once per line, and any other column again in
     # every step of the explode. The limit is never negative; naming it and ``k`` makes them once too.
     first = F.when((F.col("limit") < 0) & (F.col("k") == 0), 2).otherwise(1)
@@ -66,11 +63,24 @@ def sketches(lines: DataFrame) -> DataFrame:
     drawn = (
         lines.select("k", F.col("line").cast("binary").alias("b"), limit.alias("limit"))
         .select("k", "b", "limit", F.explode(places).alias("at"))
-        .select("k", "limit", F.hash(F.expr(f"substring(b, at, {SHINGLE})")).bitwiseAND(F.lit(SPAN - 1)).cast("int").alias("h"))
-        .filter(F.col("h") < F.col("limit"))
-        .select("k", "h", (F.col("h") % (2 * BANDS)).alias("bin"))
+        .select("k", "limit", "at", F.hash(F.expr(f"substring(b, at, {SHINGLE})")).bitwiseAND(F.lit(SPAN - 1)).cast("int").alias("h"))
+        .filter((F.col("h") < F.col("limit")) | (F.col("at") == 1))
+        .select("k", "limit", "h", F.when(F.col("h") < F.col("limit"), F.col("h") % (2 * BANDS)).alias("bin"))
     )
-    return drawn.groupBy("k").agg(*(F.min(F.when(F.col("bin") == i, F.col("h"))).alias(f"m{i}") for i in range(2 * BANDS)))
+    return drawn.groupBy("k", "limit").agg(
+        *(F.min(F.when(F.col("bin") == i, F.col("h"))).alias(f"m{i}") for i in range(2 * BANDS)))
+
+
+def sketches(lines: DataFrame) -> DataFrame:
+    """``(k, m0, m1, …)``: the minima of the bins of every different line, over all its shingles."""
+    n = F.octet_length("line") - (SHINGLE - 1)
+    limit = F.when(n > DRAWN, (F.lit(SPAN * DRAWN) / n).cast("long")).otherwise(F.lit(SPAN).cast("long"))
+    drawn = written(_minima(lines, limit), "drawn")
+    empty = sum(F.col(f"m{i}").isNull().cast("int") for i in range(2 * BANDS)) > 0
+    short = (F.col("limit") < SPAN) & empty
+    keys = bounded(written(drawn.filter(short).select("k"), "short"), FEW_KEYS)
+    whole = _minima(lines.join(keys, "k", "left_semi"), F.lit(SPAN).cast("long"))
+    return drawn.filter(~short).unionByName(whole).drop("limit")
 
 
 def _bands() -> Column:

@@ -235,6 +235,18 @@ def test_a_pair_at_the_threshold_shares_a_band():
     assert line_dedup.DRAWN >= 4 * 2 * line_dedup.BANDS and line_dedup.AGREE <= 6
 
 
+def test_long_lines_of_few_shingles(spark):
+    """Equal shingle sets meet at any length, with or without spaces."""
+    cells = ["=", "-", "日本", "ab\t", "1,2;", "na "]
+    lines = [(cell * 200)[:n] for cell in cells for n in range(60, 137, 4)]
+    lines = [x for x in dict.fromkeys(lines)]
+    assert brute_line_classes(lines) == len(cells)
+    assert found_line_classes(spark, lines) == len(cells)
+    docs = spark.createDataFrame([(0, "\n".join(lines))], "doc_id long, text string")
+    rows = line_dedup.sketches(line_dedup.lines_of(docs)).collect()
+    assert len(rows) == len(lines) and all(any(x is not None for x in r[1:]) for r in rows)
+
+
 def test_groups_of_documents(spark, odd, none):
     docs = {r["doc_id"]: WORD.findall(r["text"]) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
     sets = {i: {tuple(w[k:k + 5]) for k in range(len(w) - 4)} or ({tuple(w)} if w else set()) for i, w in docs.items()}
