@@ -79,7 +79,7 @@ def sketches(lines: DataFrame) -> DataFrame:
     empty = sum(F.col(f"m{i}").isNull().cast("int") for i in range(2 * BANDS)) > 0
     short = (F.col("limit") < SPAN) & empty
     keys = bounded(written(drawn.filter(short).select("k"), "short"), FEW_KEYS)
-    whole = _minima(lines.join(keys, "k", "left_semi"), F.lit(SPAN).cast("long"))
+    whole = written(_minima(lines.join(keys, "k", "left_semi"), F.lit(SPAN).cast("long")), "whole")
     return drawn.filter(~short).unionByName(whole).drop("limit")
 
 
@@ -90,11 +90,17 @@ def _bands() -> Column:
         for i in range(BANDS)))
 
 
-def candidate_links(sketch: DataFrame) -> DataFrame:
+def shared_bands(sketch: DataFrame) -> DataFrame:
+    """``(band, at, k, low, high, n)``: the bands of several lines, with their two ends and how many they are."""
+    rows = sketch.select("k", F.posexplode(_bands()).alias("at", "band")).filter("band is not null")
+    ends = rows.groupBy("band").agg(
+        F.min("k").alias("low"), F.max("k").alias("high"), F.count("*").alias("n")).filter("low < high")
+    return rows.join(ends, "band")
+
+
+def candidate_links(sketch: DataFrame, shared: DataFrame) -> DataFrame:
     """``(a, b)``: lines that share a band with one of its two ends and agree in ``AGREE`` bins."""
-    rows = sketch.select("k", F.explode(_bands()).alias("band")).filter("band is not null")
-    ends = rows.groupBy("band").agg(F.min("k").alias("low"), F.max("k").alias("high")).filter("low < high")
-    pairs = rows.join(ends, "band").select("k", F.explode(F.array("low", "high")).alias("end"))
+    pairs = shared.select("k", F.explode(F.array("low", "high")).alias("end"))
     pairs = pairs.filter("k <> end").select(F.least("k", "end").alias("a"), F.greatest("k", "end").alias("b")).distinct()
     bins = [f"m{i}" for i in range(2 * BANDS)]
     left = sketch.select(F.col("k").alias("a"), *(F.col(m).alias(f"a{m}") for m in bins))
@@ -127,33 +133,28 @@ def verified_links(lines: DataFrame, pairs: DataFrame, threshold: float = THRESH
     return sets.filter(shared >= threshold * all_ - 1e-9).select("a", "b")
 
 
-def open_members(sketch: DataFrame, roots: DataFrame) -> DataFrame:
-    """``(band, at, k, c, bands, bits)``: the lines between the ends of bands that lie in several components.
+def open_members(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """``(band, at, k, c)``: the lines between the ends of a band, where they lie in several components."""
+    # Of up to three lines every pair has an end in it
+    rows = shared.filter("n > 3 and k <> low and k <> high").select("band", "at", "k")
+    rows = rows.join(roots.withColumnRenamed("node", "k"), "k", "left").select("band", "at", "k", F.coalesce("root", "k").alias("c"))
+    rows = written(rows, "between")
+    open_ = rows.groupBy("band").agg(F.min("c").alias("c_low"), F.max("c").alias("c_high")).filter("c_low < c_high")
+    return join_per_key(rows, open_, ["band"], "inner").select("band", "at", "k", "c")
+
 
-    ``bits`` has 4 bits of every bin: bins that agree have equal bits, so no candidate is missed by them.
-    """
+def links_within(lines: DataFrame, sketch: DataFrame, members: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``(a, b)``: components joined by a verified pair of lines of one band, each pair of blocks on its own."""
     width = 64 // (2 * BANDS)
+    # A few bits of every bin: bins that agree have equal bits, so no candidate is missed by them
     bits = F.lit(0).cast("long")
     for i in range(2 * BANDS):
         bits = F.shiftleft(bits, width).bitwiseOR(
             F.pmod(F.xxhash64(F.coalesce(f"m{i}", F.lit(-1))), F.lit(2**width)))
-    rows = sketch.select("k", _bands().alias("bands"), bits.alias("bits")).join(
-        roots.withColumnRenamed("node", "k"), "k", "left")
-    rows = written(rows.select(F.coalesce("root", "k").alias("c"), "k", "bands", "bits"), "banded")
-    rows = rows.select("*", F.posexplode("bands").alias("at", "band")).filter("band is not null")
-    # Of up to three lines every pair has an end in it
-    open_ = rows.groupBy("band").agg(
-        F.min("k").alias("low"), F.max("k").alias("high"), F.count("*").alias("n"),
-        F.min("c").alias("c_low"), F.max("c").alias("c_high")).filter("n > 3 and c_low < c_high")
-    members = join_per_key(rows, open_.select("band", "low", "high"), ["band"], "inner")
-    return members.filter("k <> low and k <> high").select("band", "at", "k", "c", "bands", "bits")
-
-
-def links_within(lines: DataFrame, members: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``(a, b)``: components joined by a verified pair of lines of one band, each pair of blocks on its own."""
     members = written(members, "members")
     texts = _texts(lines, members.select("k"))
-    members = written(members.join(texts, "k"), "open")
+    marks = sketch.join(bounded(texts.select("k"), FEW_KEYS), "k").select("k", _bands().alias("bands"), bits.alias("bits"))
+    members = written(members.join(texts.join(marks, "k"), "k"), "open")
     parts = members.groupBy("band").agg(F.ceil(F.greatest(
         F.count("*") / BLOCK, F.sum(F.length("b")) / BLOCK_BYTES)).cast("int").alias("blocks"))
     placed = join_per_key(members, parts, ["band"], "inner").withColumn(
@@ -162,7 +163,6 @@ def links_within(lines: DataFrame, members: DataFrame, threshold: float = THRESH
         "band", "at", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
         F.struct((F.col("block") > F.col("other")).alias("side"), "k", "c", "bits", "bands", "b").alias("x"))
     met = spread.groupBy("band", "at", "i", "j").agg(F.collect_list("x").alias("xs")).filter(F.size("xs") > 1)
-    width = 64 // (2 * BANDS)
     ones = sum(1 << (width * i) for i in range(2 * BANDS))
 
     def likely(x: Column, y: Column) -> Column:
@@ -209,11 +209,12 @@ def line_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     the three), ``n_class`` (lines in the class), ``kept``.
     """
     lines = lines_of(docs)
-    sketch = written(sketches(lines), "sketches")
-    pairs = written(candidate_links(sketch), "pairs")
+    sketch = sketches(lines)
+    shared = written(shared_bands(sketch), "shared")
+    pairs = written(candidate_links(sketch, shared), "pairs")
     roots = components(verified_links(lines, pairs, threshold))
     # Links between components name them by their roots
-    more = components(links_within(lines, open_members(sketch, roots), threshold))
+    more = components(links_within(lines, sketch, open_members(shared, roots), threshold))
     to = more.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
     roots = written(
         roots.join(to, F.col("root") == F.col("_node"), "left")
