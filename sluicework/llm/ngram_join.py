@@ -360,7 +360,31 @@ def join(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def one_per_group(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents without those that have a smaller id in their group."""
-    dropped = join(docs, threshold).filter(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id").distinct()
-    dropped = bounded(written(dropped, "dropped"), FEW_IDS)
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    """One row of every group: the one with the smallest id (NULL first), then the hash of its text and its row.
+
+    An id with several texts loses only the rows that have a partner elsewhere; of equal rows one stays.
+    Rows without a shingle are dropped only as repeats of an equal row.
+    """
+    rest = [F.col(c) for c in docs.columns if c not in ("doc_id", "text")]
+    names = {
+        "doc_id": F.col("doc_id"), "v": F.xxhash64("text"), "v2": F.xxhash64(F.lit(1), "text"),
+        "empty": F.col("text").isNull(), "row": F.xxhash64(F.to_json(F.struct(*rest)) if rest else F.lit("")),
+    }
+    # The rows are told apart by a struct, which is never NULL and sorts a NULL id first
+    rows = docs.select(F.struct(*(c.alias(n) for n, c in names.items())).alias("doc_id"), "text")
+    found = written(join(rows, threshold).select("doc_id", "class_id"), "grouped")
+    stays = F.col("doc_id") == F.col("class_id")
+    marks = found.groupBy("doc_id").agg(F.first(stays).alias("_stays"), F.count("*").alias("_n"))
+    marks = marks.filter("not _stays or _n > 1").select(*(F.col(f"doc_id.{n}").alias(f"_{n}") for n in names), "_stays")
+    marks = written(marks, "dropped")
+
+    def same(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        on = F.lit(True)
+        for n, c in names.items():
+            on = on & c.eqNullSafe(F.col(f"_{n}"))
+        return left.join(bounded(right, FEW_IDS), on, how)
+
+    repeated = marks.filter("_stays")
+    single = same(docs, marks, "left_anti").select(*docs.columns)
+    several = same(docs, repeated, "inner").dropDuplicates([f"_{n}" for n in names]).select(*docs.columns)
+    return single.unionByName(several)

@@ -260,6 +260,22 @@ def test_groups_of_documents(spark, odd, none):
     assert ngram_join.one_per_group(odd).columns == odd.columns and ngram_join.join(none).count() == 0
 
 
+def test_one_row_of_each_group(spark, odd):
+    ship(spark)
+    words = [f"w{k}" for k in range(60)]
+    near, plain, other = " ".join([*words, "x"]), " ".join(words), " ".join(f"u{k}" for k in range(30))
+    third = " ".join(f"t{k}" for k in range(30))
+    rows = [(1, plain, "a"), (5, near, "a"), (5, other, "a"), (7, third, "b"), (7, third, "b"), (None, third, "c"),
+            (8, None, "a"), (8, None, "a"), (9, "", "a"), (9, None, "a"), (9, "", "b"), (10, other, "z"),
+            (11, "solo here", "q"), (11, "solo here", "q"), (11, "solo here", "r")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = collections.Counter(tuple(r) for r in ngram_join.one_per_group(docs).collect())
+    assert set(got.values()) == {1}
+    solo = {r for r in got if r[0] == 11}
+    assert len(solo) == 1 and set(got) - solo == {
+        (1, plain, "a"), (5, other, "a"), (None, third, "c"), (8, None, "a"), (9, "", "a"), (9, None, "a"), (9, "", "b")}
+
+
 def test_a_group_over_several_blocks(spark, odd, monkeypatch):
     monkeypatch.setattr(ngram_join, "BLOCK", 7)
     words = [f"w{k}" for k in range(200)]
