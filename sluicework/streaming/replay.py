@@ -18,21 +18,31 @@ class OrderTables:
     """Customer, order_header and order_detail, kept as decoded events in published batches.
 
     A batch costs what it brings: nothing stored is read or rewritten, and the fold happens on
-    reading. ``compact`` bounds what a reader has to fold. A batch that is applied again (a restart)
-    replaces itself.
+    reading. ``compact`` bounds what a reader has to fold. An event is known by its partition and
+    offset: whatever reader brings it again, and under whatever batch id, it is stored once. Compaction
+    remembers the positions of the events it folds.
     """
 
-    EVENTS = "events"
+    EVENTS, APPLIED = "events", "applied"
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.store = BatchStore(spark, root)
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         """One micro-batch: the function for ``foreachBatch``."""
-        if batch_id <= self._compacted():
-            return
-        self.store.write(batch_id, {self.EVENTS: decode(batch)})
-        self.store.publish([batch_id])
+        ids = self.store.published()
+        events = decode(batch)
+        if ids:
+            known = self._positions(ids).withColumnsRenamed({"partition": "_partition", "offset": "_offset"})
+            events = events.join(
+                known, (F.col("partition") == F.col("_partition")) & (F.col("offset") == F.col("_offset")), "left_anti")
+            # The id may be another reader's, or within the compacted batch
+            if batch_id in ids or batch_id <= self._compacted():
+                batch_id = max(*ids, self._compacted()) + 1
+        self.store.write(batch_id, {self.EVENTS: events})
+        # The rows written are looked at, so the batch is read once
+        if not ids or not self.store.read(self.EVENTS, [batch_id]).isEmpty():
+            self.store.publish([batch_id])
 
     def follow(
         self, log: DataFrame, checkpoint: str, **trigger: object
@@ -52,6 +62,14 @@ class OrderTables:
         # A compacted batch is named after the last batch in it: -n - 1 holds everything up to n
         return max((-i - 1 for i in self.store.published() if i < 0), default=-1)
 
+    def _positions(self, ids: list[int]) -> DataFrame:
+        """Partition and offset of every event applied in these batches, folded ones too."""
+        at = self.store.read(self.EVENTS, ids).select("partition", "offset")
+        folded = [i for i in ids if i < 0]
+        if folded:
+            at = at.unionByName(self.store.read(self.APPLIED, folded).select("partition", "offset"))
+        return at
+
     def events(self) -> DataFrame:
         return self.store.read(self.EVENTS)
 
@@ -91,7 +109,8 @@ class OrderTables:
         others = events.filter(F.col("kind").isin("customer", "lines"))
         target = -max([i for i in ids if i >= 0] or [self._compacted()]) - 1
         self.store.write(target, {
-            self.EVENTS: others.unionByName(headers, allowMissingColumns=True)
+            self.EVENTS: others.unionByName(headers, allowMissingColumns=True),
+            self.APPLIED: self._positions(ids).distinct(),
         })
         self.store.publish_only([target])
 

@@ -176,6 +176,23 @@ def test_compaction_changes_nothing_a_reader_sees(spark, log, tmp_path):
     assert folded(tables.order_headers()) == EXPECTED and tables.store.published() == [-4]
 
 
+def test_a_new_reader_after_compaction_loses_and_doubles_nothing(spark, log, tmp_path):
+    tables = OrderTables(spark, str(tmp_path / "tables"))
+    stream = eventlog.stream_log(spark, str(log), files_per_bite=1)
+    tables.follow(stream, str(tmp_path / "reader")).awaitTermination()
+    bites = eventlog.stream_log(spark, str(log), files_per_bite=2)
+    tables.follow(bites, str(tmp_path / "second")).awaitTermination()
+    assert tables.order_lines().count() == 4 and tables.customers().count() == 2
+    tables.compact()
+    late = {"id": 3, "firstname": "B", "surname": "C", "city": "D", "email": "e"}
+    write_log(tmp_path / "log", [("Added customer", late)], start=70)
+    for reader in ("third", "reader"):
+        tables.follow(bites, str(tmp_path / reader)).awaitTermination()
+    assert tables.order_lines().count() == 4
+    assert sorted(r["id"] for r in tables.customers().collect()) == [1, 2, 3]
+    assert folded(tables.order_headers()) == EXPECTED
+
+
 def test_replay_ends_at_the_watermark_fixed_at_the_start(spark, log, tmp_path):
     whole = eventlog.read_log(spark, str(log))
     end = eventlog.high_watermark(whole)
