@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluicework.llm import (
-    curve_neighbours, extendible_shards, language_cnn, line_dedup, ngram_join, pieces, quality_cnn,
-    quality_rules, source_mix, token_files,
+    curve_neighbours, extendible_shards, language_cnn, line_dedup, ngram_join, packing, phrases, pieces, quality_cnn,
+    quality_rules, source_mix, token_files, tree_negatives,
 )
 from sluicework.llm.shipping import ship
 from sluicework.llm.texts import fold_of
@@ -77,6 +77,66 @@ WHERE n.fits AND NOT EXISTS (
 """
 
 
+NEGATIVES_SQL = """
+WITH rows AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), pairs AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, list_inner_product(a.v, r.v)::BIGINT AS score
+    FROM rows a JOIN rows r ON a.vec_id <> r.vec_id WHERE a.vec_id % 50 = 0
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+       (row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id))::INT AS rank,
+       n.vec_id AS negative_id, p.positive_score, n.score AS negative_score
+FROM positives p JOIN pairs n ON n.anchor_id = p.anchor_id AND NOT n.same
+ AND 50 * p.positive_score <= 100 * n.score AND 100 * n.score <= 95 * p.positive_score
+QUALIFY rank <= 3
+"""
+
+PHRASES_SQL = r"""
+WITH docs AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+    FROM documents
+), pieces AS (
+    SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(t, '[.,;:!?
+-]')), '[^ 	]+') AS w FROM docs
+), spots AS (
+    SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces
+), runs AS (
+    SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+    FROM spots, (SELECT unnest(range(1, 6)) AS m) WHERE i + m - 1 <= len(w)
+), counts AS (
+    SELECT lang, m, phrase, count(*) AS f FROM runs GROUP BY ALL HAVING count(*) >= 100
+), totals AS (
+    SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang
+), several AS (
+    SELECT c.* FROM counts c WHERE m >= 2 AND NOT EXISTS (
+        SELECT 1 FROM counts b WHERE b.lang = c.lang AND b.m > c.m AND 100 * b.f >= 100 * c.f
+           AND contains(' ' || b.phrase || ' ', ' ' || c.phrase || ' '))
+), cuts AS (
+    SELECT lang, phrase, f, m, string_split(phrase, ' ') AS w, unnest(range(1, m)) AS k FROM several
+), scores AS (
+    SELECT c.lang, c.phrase, c.k, c.f AS a, l.f AS l, r.f AS r, t.n,
+           1000::HUGEINT * c.f * t.n // (l.f::HUGEINT * r.f) AS score
+    FROM cuts c JOIN totals t USING (lang)
+    JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:c.k], ' ')
+    JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[c.k + 1:c.m], ' ')
+), lowest AS (
+    SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+)
+SELECT lang, (row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase))::INT AS rank,
+       phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM lowest QUALIFY rank <= 2000
+"""
+
+
 def tokenizer(name: str) -> str:
     """The place of a public vocabulary file."""
     import public_tokenizers
@@ -175,3 +235,20 @@ def op10_language_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language_cnn.fit(docs, usable=fold != 0)
     return language_cnn.predicted(docs.drop("lang"), model).select(
         "doc_id", (fold == 0).alias("held_out"), "lang_pred", "score")
+
+
+@query()
+def op11_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digests(packing.pack(read(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json")))
+
+
+@query(sql=NEGATIVES_SQL)
+def op12_spanning_tree_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"), moved.alias("label"))
+    return tree_negatives.mine(vectors, F.col("vec_id") % 50 == 0)
+
+
+@query(sql=PHRASES_SQL)
+def op13_fingerprint_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir, "documents"))

@@ -1,0 +1,279 @@
+"""Packing, hard negatives and phrases against brute force, and on odd rows."""
+
+import collections
+import itertools
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from sluicework.llm import packing, phrases, tree_negatives
+from sluicework.llm.queries import QUERIES
+from sluicework.llm.shipping import ship
+from tokenizers import Tokenizer
+
+SMALL = "/root/testdata/sf0.001"
+IDS = public_tokenizers.path("word_bpe_49k.json")
+ODD = "doc_id long, text string, lang string, ids string, phrase string, piece string, anchor string"
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Nulls, empty and very long texts, repeated rows, and columns named like results."""
+    ship(spark)
+    rows = [
+        (1, "The cat, the cat and THE CAT: a cat. the\tcat", "en"), (1, "The cat, the cat and THE CAT: a cat. the\tcat", "en"),
+        (2, None, "en"), (3, "", None), (None, "no id. no id", None), (4, " \t\n.,;", "de"), (5, "the cat " * 30_000 + "é日本", "en"),
+        (6, "x" * 100_000, "fr"), (7, "Ab c É\x0bab c É", "und"), (8, "the cat", "de"),
+    ]
+    return spark.createDataFrame([(*r, "a", "b", "c", "d") for r in rows], ODD).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    ship(spark)
+    return spark.createDataFrame([], ODD)
+
+
+def tokens(text, tokenizer=Tokenizer.from_file(IDS)):
+    return [*tokenizer.encode(text or "", add_special_tokens=False).ids, packing.END]
+
+
+def check_packed(pieces, docs):
+    """Every id in one piece, sequences without gaps, and nothing to pad."""
+    known = collections.Counter((d, tuple(t)) for d, t in docs)
+    rows = [(r["doc_id"], r["start"], r["length"], r["doc_tokens"], r["sequence_id"], r["offset"], np.frombuffer(r["ids"], "<u4")) for r in pieces]
+    by_doc, by_sequence = collections.defaultdict(list), collections.defaultdict(list)
+    for doc, start, length, total, sequence, offset, ids in rows:
+        assert length == len(ids) > 0
+        by_doc[doc].append((start, length, total, tuple(ids.tolist())))
+        by_sequence[sequence].append((offset, length))
+    for spans in by_sequence.values():
+        at = 0
+        for offset, length in sorted(spans):
+            assert offset == at
+            at += length
+        assert at <= packing.WINDOW and at & (at - 1) == 0
+    for doc, parts in by_doc.items():
+        mine = [t for (d, t), n in known.items() if d == doc for _ in range(n)]
+        assert sorted(total for start, _, total, _ in parts if start == 0) == sorted(len(t) for t in mine)
+        if len(mine) == 1:
+            parts.sort()
+            assert tuple(itertools.chain.from_iterable(p[3] for p in parts)) == mine[0]
+        assert sum(p[1] for p in parts) == sum(map(len, mine))
+    assert set(by_doc) == {d for d, _ in docs}
+
+
+def test_packing(spark, odd, none):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    for table in (docs, odd):
+        want = [(r["doc_id"], tokens(r["text"])) for r in table.collect()]
+        check_packed(packing.pack(table, IDS).collect(), want)
+    assert packing.pack(none, IDS).count() == 0
+
+
+def test_packing_query(spark):
+    texts = {r["doc_id"]: tokens(r["text"]) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    for r in QUERIES["op11_sum_of_squares_packing"](spark, SMALL).collect():
+        own = texts[r["doc_id"]]
+        assert r["doc_tokens"] == len(own)
+        assert r["ids_crc32"] == zlib.crc32(np.array(own[r["start"]:r["start"] + r["length"]], dtype="<u4").tobytes())
+
+
+def test_level_choice_equals_trying_all():
+    rng = np.random.default_rng(1)
+    packer = packing.Packer(window=24, limit=10_000)
+    for size in rng.integers(1, 24, 300).tolist():
+        now = packer.level[1:24].copy()
+
+        def squares(level, size=size, now=now):
+            after = now.copy()
+            if level:
+                after[level - 1] -= 1
+            if level + size < 24:
+                after[level + size - 1] += 1
+            return int((after**2).sum())
+
+        fits = [h for h in range(1, 24 - size + 1) if now[h - 1]] + [0]
+        costs = {h: squares(h) for h in fits}
+        chosen = packer.choose(size)
+        assert costs[chosen] == min(costs.values())
+        assert chosen == max(h for h in fits if costs[h] == costs[chosen])
+        list(packer.place(packing.Piece("d", 0, np.zeros(size, dtype=np.uint32))))
+
+
+def test_settling_keeps_every_id():
+    rng = np.random.default_rng(2)
+    for limit in (1, 3, 50):
+        packer, done, sizes = packing.Packer(window=64, limit=limit), [], rng.integers(1, 200, 400).tolist()
+        for doc, size in enumerate(sizes):
+            done += packer.place(packing.Piece(doc, 0, np.arange(size, dtype=np.uint32)))
+            assert packer.open <= limit + 1
+        assert all(sum(len(p.ids) for p in window) == 64 for window in done)
+        last = list(packer.finish())
+        assert all((n := sum(len(p.ids) for p in window)) & (n - 1) == 0 for window in last)
+        found = collections.Counter((p.doc, int(i)) for window in done + last for p in window for i in p.ids)
+        assert found == collections.Counter((doc, i) for doc, size in enumerate(sizes) for i in range(size))
+
+
+def hard_negatives(rows):
+    """The contract, pair by pair."""
+    out = []
+    known = {}
+    for vec_id, label, vector in sorted(rows, key=lambda r: (r[0], r[1], r[2])):
+        known.setdefault(vec_id, (label, [int(np.floor(256 * np.float64(x))) for x in vector]))
+    for a, (label, own) in known.items():
+        if a % 50:
+            continue
+        scored = [(-sum(x * y for x, y in zip(own, v, strict=True)), i, other) for i, (other, v) in known.items() if i != a]
+        for s, p, _ in sorted(x for x in scored if x[2] == label)[:5]:
+            fits = sorted((t, i) for t, i, other in scored if other != label and 50 * -s <= 100 * -t <= 95 * -s)
+            out += [(a, p, rank, i, -s, -t) for rank, (t, i) in enumerate(fits[:3], 1)]
+    return sorted(out)
+
+
+def mined(spark, rows, kind="float"):
+    table = spark.createDataFrame(rows, f"vec_id long, label int, vector array<{kind}>, anchor string, rank string, block string")
+    found = tree_negatives.mine(table, F.col("vec_id") % 50 == 0).collect()
+    return sorted(tuple(r[c] for c in ("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")) for r in found)
+
+
+def test_negatives(spark, monkeypatch):
+    ship(spark)
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(6, 8))
+    rows = []
+    for i in range(900):
+        vector = centres[i % 6] + 0.05 * rng.normal(size=8) if i % 3 else np.round(centres[0], 2)
+        rows.append((i, int(rng.integers(0, 4)), [float(np.float32(x)) for x in vector]))
+    wide = [(*r, "x", "y", "z") for r in rows]
+    want = hard_negatives(rows)
+    assert len(want) > 100 and mined(spark, wide) == want and mined(spark, wide, "double") == want
+    monkeypatch.setattr(tree_negatives, "ROWS", 100)
+    monkeypatch.setattr(tree_negatives, "ANCHORS", 4)
+    assert mined(spark, wide) == want
+
+
+def test_negatives_on_odd_rows(spark):
+    ship(spark)
+    zero, one = [0.0, 0.0], [1.0, 0.5]
+    rows = [
+        (0, 1, one), (0, 1, one), (1, 1, one), (2, None, one), (3, 1, None), (4, 1, [1.0, None]), (5, 1, [1.0, float("nan")]),
+        (6, 2, [float("inf"), 1.0]), (None, 1, one), (7, 2, [0.9, 0.4]), (8, 2, [0.9, 0.4]), (9, 2, [0.7, 0.4]), (50, 3, zero),
+        (51, 3, one), (52, 2, zero), (53, 2, [1.0, 0.5, 0.25]), (100, 9, one), (10, 2, [-1.0, -0.5]), (150, 2, [-0.9, -0.5]),
+    ]
+    wide = [(*r, "x", "y", "z") for r in rows]
+    usable = [r for r in rows if r[0] is not None and r[1] is not None and r[2] and len(r[2]) == 2
+              and all(x is not None and np.isfinite(x) for x in r[2])]
+    assert mined(spark, wide) == hard_negatives(usable) != []
+    assert mined(spark, []) == [] and mined(spark, wide[2:3]) == []
+    assert mined(spark, [(1, 1, one, "x", "y", "z")]) == []
+
+
+def test_large_components_are_exact():
+    rows = np.array([[2.0**40, 3.0], [2.0**31, -1.0]])
+    assert tree_negatives.inner(rows, np.array([2.0**20, 1.0])).tolist() == [2**60 + 3, 2**51 - 1]
+
+
+def test_bounds_skip_far_candidates():
+    """A tree over near anchors scores few candidates, and none that counts is missed."""
+    rng = np.random.default_rng(6)
+    centres = np.round(256 * rng.normal(size=(40, 16)))
+    rows = np.concatenate([c + rng.integers(-3, 4, size=(50, 16)) for c in centres])
+    anchors = centres[0] + rng.integers(-3, 4, size=(30, 16))
+    tree = tree_negatives.spanning_tree(anchors)
+    assert {n for n, _, _ in tree} == set(range(30)) and all(p in {t[0] for t in tree[:i]} for i, (_, p, _) in enumerate(tree) if i)
+    bounds = tree_negatives.Bounds(anchors, tree, rows)
+    least = int(0.8 * (anchors[0] @ anchors[0]))
+    found = {n: set(places[scores >= least].tolist()) for n, places, scores in bounds.walk(lambda n, low, high: high >= least)}
+    assert found == {n: set(np.flatnonzero(rows @ anchors[n] >= least).tolist()) for n in range(30)}
+    assert bounds.rescored < 0.2 * 30 * len(rows)
+
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def phrase_counts(rows):
+    f, n = collections.Counter(), collections.Counter()
+    for text, lang in rows:
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            n[lang or "und"] += len(words)
+            for m in range(1, 6):
+                f.update((lang or "und", tuple(words[i:i + m])) for i in range(len(words) - m + 1))
+    return f, n
+
+
+def best_phrases(rows, least, first):
+    f, n = phrase_counts(rows)
+    often = {k: c for k, c in f.items() if c >= least}
+    out = collections.defaultdict(list)
+    for (lang, words), a in often.items():
+        m = len(words)
+        inside = any(
+            other == lang and len(longer) > m and 100 * c >= 100 * a
+            and any(longer[i:i + m] == words for i in range(len(longer) - m + 1)) for (other, longer), c in often.items())
+        if m >= 2 and not inside:
+            cuts = [(1000 * a * n[lang] // (f[lang, words[:k]] * f[lang, words[k:]]), k) for k in range(1, m)]
+            score, k = min(cuts)
+            out[lang].append((-score, -a, " ".join(words).encode(), f[lang, words[:k]], f[lang, words[k:]]))
+    return sorted(
+        (lang, rank, p.decode(), -a, left, right, n[lang], -s)
+        for lang, found in out.items() for rank, (s, a, p, left, right) in enumerate(sorted(found)[:first], 1))
+
+
+def phrase_rows(table, **options):
+    return sorted(tuple(r[c] for c in ("lang", "rank", "phrase", "a", "l", "r", "n", "score")) for r in phrases.collocations(table, **options).collect())
+
+
+def test_phrases(spark, odd, none):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    rows = [(r["text"], r["lang"]) for r in docs.collect()]
+    assert phrase_rows(docs, least=8, first=40) == best_phrases(rows, 8, 40) != []
+    rows = [(r["text"], r["lang"]) for r in odd.collect()]
+    for least in (1, 2, 100):
+        assert phrase_rows(odd, least=least, first=25) == best_phrases(rows, least, 25)
+    assert phrase_rows(none) == []
+
+
+def test_phrases_under_collisions(spark, monkeypatch):
+    """Few counters, and fingerprints of very few bits: the counts stay those of the words."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(30).cache()
+    want = {(lang, " ".join(w)): c for (lang, w), c in phrase_counts([(r["text"], r["lang"]) for r in docs.collect()])[0].items() if c >= 5}
+    own = phrases.Words.fingerprints
+
+    def crowded(self, salts):
+        for length, whole, prints in own(self, salts):
+            yield length, whole, prints & np.uint64(0xFF)
+
+    monkeypatch.setattr(phrases, "SMALLEST", 10)
+    monkeypatch.setattr(phrases, "LARGEST", 10)
+    assert found_phrases(docs, 5) == want
+    verify = phrases._verified(np.full(128, 255, dtype=np.uint8), 1024, ["lang", "length", "phrase", "f"])
+    monkeypatch.setattr(phrases.Words, "fingerprints", crowded)
+    batch = docs.select("doc_id", "text", "lang").toArrow().to_batches()
+    counts = collections.Counter()
+    for part in verify(iter(batch)):
+        for lang, length, phrase, f in zip(*(part.column(c).to_pylist() for c in part.schema.names), strict=True):
+            if length:
+                counts[lang, phrase] += f
+    assert {k: c for k, c in counts.items() if c >= 5} == want
+
+
+def found_phrases(docs, least):
+    return {(r["lang"], r["phrase"]): r["f"] for r in phrases.frequent(docs, least).filter("length > 0").collect()}
+
+
+def test_rolling_fingerprints_follow_the_words():
+    texts = ["a b c d e f. b c d", "x\t a  b c d", "B C"]
+    data = np.frombuffer("".join(texts).encode(), dtype=np.uint8)
+    at = np.cumsum([0, *(len(t.encode()) for t in texts)])
+    words = phrases.Words(data, at)
+    seen = collections.defaultdict(set)
+    for length, whole, prints in words.fingerprints(np.zeros(3, dtype=np.uint64)):
+        for i, p in zip(whole.tolist(), prints.tolist(), strict=True):
+            seen[words.text(i, length)].add(p)
+    assert all(len(p) == 1 for p in seen.values()) and len(set.union(*seen.values())) == len(seen)
+    assert "f b" not in seen and "d x" not in seen and "d b" not in seen and "b c d" in seen
