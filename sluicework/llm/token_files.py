@@ -8,6 +8,8 @@ a file is bound to its dictionary by the hash.
 
 Encoding goes by word: the tokenizer drops white space and never looks across it, nor from an ASCII
 letter to a stop after it, so each different word is encoded once per worker and the ids are gathered.
+Words of ASCII alone are the same in either case, which the tokenizer folds, unless they may hold a
+special token.
 
 Defined results: a NULL text is empty; an empty document holds the end id alone. Documents are in
 ascending order of id (NULL first), repeated rows side by side by text. An empty table gives an empty
@@ -19,12 +21,15 @@ from __future__ import annotations
 import functools
 import hashlib
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 import zstandard
 from pyspark import TaskContext
@@ -47,6 +52,14 @@ STOPS = b".,;:!?)"
 IS_LETTER, IS_STOP = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
 IS_LETTER[[*range(65, 91), *range(97, 123)]] = True
 IS_STOP[list(STOPS)] = True
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+# Bytes of words that stay as they are: what is not ASCII, and what every special token holds
+KEEPS_CASE = np.arange(256) >= 128
+KEEPS_CASE[ord("|")] = True
+
+# What the tokenizer takes as one run, in ASCII, and how the last token of a run ends.
+RUN, RUN_END = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[A-Za-z]+|[0-9]|[^\sA-Za-z0-9]+"), "</w>"
 
 
 class Encoder:
@@ -56,54 +69,89 @@ class Encoder:
         # Spark's tasks are the parallelism
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends_run = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends_run[[i for token, i in vocabulary.items() if token.endswith(RUN_END)]] = True
         self._forget()
 
     def _forget(self) -> None:
-        self.slots: dict[bytes, int] = {}
+        self.words = pa.array([], pa.binary())
         self.flat = np.zeros(1 << 16, dtype=np.uint32)
         self.starts, self.used = [np.zeros(0, dtype=np.int64)], 0
         self.lengths = [np.zeros(0, dtype=np.int64)]
 
-    def _learn(self, words: list[bytes]) -> None:
-        # One text of them all: a token's first character tells its word
-        texts = [w.decode() for w in words]
+    def _ids_of_plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of ASCII words, and how many each word has; None if that can't be told from the ids."""
+        # Without offsets encoding is faster. A run of letters, a digit, or a run of other signs ends in a
+        # token that says so; their number in a word is known from its characters
+        joined = self.tokenizer.encode_batch_fast([" ".join(texts)], add_special_tokens=False)[0].ids
+        fresh = np.array(joined, dtype=np.uint32)
+        last = np.flatnonzero(self.ends_run[fresh])
+        runs = np.cumsum(np.fromiter((len(RUN.findall(t)) for t in texts), dtype=np.int64, count=len(texts)))
+        if len(last) != runs[-1] or last[-1] != len(fresh) - 1:
+            return None
+        return fresh, np.diff(last[runs - 1], prepend=-1)
+
+    def _ids_of_any(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words: a token's first character tells its word."""
         found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
         fresh = np.array(found.ids, dtype=np.uint32)
         first = np.cumsum([0, *(len(t) + 1 for t in texts)])
-        at = np.array(found.offsets, dtype=np.int64).reshape(-1, 2)[:, 0]
-        lengths = np.bincount(np.searchsorted(first, at, side="right") - 1, minlength=len(words))
-        while self.used + len(fresh) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[self.used:self.used + len(fresh)] = fresh
-        self.starts.append(self.used + np.cumsum(lengths) - lengths)
-        self.lengths.append(lengths)
-        self.used += len(fresh)
-        for w in words:
-            self.slots[w] = len(self.slots)
+        at = np.fromiter(chain.from_iterable(found.offsets), dtype=np.int64, count=2 * len(fresh))[::2]
+        return fresh, np.bincount(np.searchsorted(first, at, side="right") - 1, minlength=len(texts))
+
+    def _learn(self, words: pa.Array) -> np.ndarray:
+        """Adds the words to the table and gives their places in it."""
+        texts = [w.decode() for w in words.to_pylist()]
+        plain = np.fromiter((t.isascii() and "|" not in t for t in texts), dtype=bool, count=len(texts))
+        order = []
+        for kind in (True, False):
+            places = np.flatnonzero(plain == kind)
+            for i in range(0, len(places), TOGETHER):
+                some = places[i:i + TOGETHER]
+                chosen = [texts[j] for j in some.tolist()]
+                found = self._ids_of_plain(chosen) if kind else None
+                fresh, lengths = found or self._ids_of_any(chosen)
+                while self.used + len(fresh) > len(self.flat):
+                    self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+                self.flat[self.used:self.used + len(fresh)] = fresh
+                self.starts.append(self.used + np.cumsum(lengths) - lengths)
+                self.lengths.append(lengths)
+                self.used += len(fresh)
+                order.append(some)
+        learned = np.concatenate(order)
+        slots = np.empty(len(learned), dtype=np.int64)
+        slots[learned] = len(self.words) + np.arange(len(learned))
+        self.words = pa.concat_arrays([self.words, words.take(pa.array(learned))])
+        self.starts, self.lengths = [np.concatenate(self.starts)], [np.concatenate(self.lengths)]
+        return slots
 
     def encode(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the rows of a block, and where each row's ids start."""
-        if len(self.slots) > WORDS_KEPT:
+        if len(self.words) > WORDS_KEPT:
             self._forget()
         inside = ~IS_SPACE[data]
         first = inside.copy()
         first[1:] &= ~inside[:-1]
         first[1:] |= IS_LETTER[data[:-1]] & IS_STOP[data[1:]]
-        first[at[:-1][at[:-1] < len(data)]] = True
+        edges = at[:-1][at[:-1] < len(data)]
+        first[edges] |= inside[edges]
         cuts = np.flatnonzero(first)
         if not len(cuts):
             return np.zeros(0, dtype=np.uint32), np.zeros(len(at), dtype=np.int64)
-        ends = np.r_[cuts, len(data)].astype(np.int32)
-        # A unit is a word with the white space after it
+        # Without white space the words lie side by side
+        packed = data[inside]
+        ends = np.r_[np.cumsum(inside)[cuts] - 1, len(packed)].astype(np.int32)
+        folded = ~np.logical_or.reduceat(KEEPS_CASE[packed], ends[:-1])
+        packed = np.where(np.repeat(folded, np.diff(ends)), LOWER[packed], packed)
         units = pa.Array.from_buffers(
-            pa.binary(), len(cuts), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
-        words = units.dictionary.to_pylist()
-        missing = [w for w in words if w not in self.slots]
-        for i in range(0, len(missing), TOGETHER):
-            self._learn(missing[i:i + TOGETHER])
-        if len(self.starts) > 1:
-            self.starts, self.lengths = [np.concatenate(self.starts)], [np.concatenate(self.lengths)]
-        slot = np.fromiter((self.slots[w] for w in words), dtype=np.int64, count=len(words))[units.indices.to_numpy()]
+            pa.binary(), len(cuts), [None, pa.py_buffer(ends), pa.py_buffer(packed)]).dictionary_encode()
+        slots = pc.index_in(units.dictionary, value_set=self.words)
+        missing = slots.is_null()
+        slots = slots.fill_null(0).to_numpy().astype(np.int64)
+        if missing.true_count:
+            slots[missing.to_numpy(zero_copy_only=False)] = self._learn(units.dictionary.filter(missing))
+        slot = slots[units.indices.to_numpy()]
         lengths = self.lengths[0][slot]
         total = np.concatenate([[0], np.cumsum(lengths)])
         ids = self.flat[np.repeat(self.starts[0][slot] - total[:-1], lengths) + np.arange(total[-1])]
