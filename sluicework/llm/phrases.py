@@ -2,19 +2,20 @@
 
 A text is lower-cased (A-Z), split at ``[.,;:!?\\x0A-\\x0D]`` into pieces and those into words. Within a
 block of texts numpy builds prefix polynomials over the words' hashes, so the fingerprint of every run of
-1 to 5 words is a difference of two prefixes times an inverse power. Three passes over the texts:
+1 to 5 words is a difference of two prefixes times an inverse power.
 
-1. Every fingerprint counts in a table of ``2**k`` counters per task; the tables are added up in chunks.
-   A phrase found ``least`` times lies in a counter of at least that. Only the bits travel on.
-2. Fingerprints whose counter, and whose two shorter fingerprints' counters, are that high are counted per
-   block and shuffled as (language, words, fingerprint, count, pointer to the first occurrence). A
-   frequent fingerprint gives a bit again.
-3. Occurrences with such a bit are verified against the text: within a block equal fingerprints must have
-   equal words (others are counted apart), and across blocks the words themselves are the key. Only here,
-   and only for these, phrases become strings. So the counts are exact, whatever collides.
+1. Runs of 1 and 2 words are counted by the high bits of their fingerprint, their cell: every block sends
+   its cells, packed by chunk, and the chunks are added up. A run found ``least`` times lies in a cell of
+   at least that. The number of cells follows the bytes of text, and a task holds one chunk at a time.
+2. The same for runs of 3 to 5 words, of which only those count whose pairs' cells are all that high.
+3. Fingerprints with such cells are counted per block and shuffled as (language, words, fingerprint, count,
+   pointer to the first occurrence). What is frequent then is known by fingerprint.
+4. Occurrences of those are verified against the text: within a block equal fingerprints must have equal
+   words (others are counted apart), and across blocks the words themselves are the key. Only here, and
+   only for these, phrases become strings. So the counts are exact, whatever collides.
 
-The counters are sized by the bytes of text, from 2^18 to 2^24: beyond the upper end more collisions pass
-to the second pass and its shuffle, never to the result.
+What is frequent goes back to the tasks as bits, about 16 per entry and 16 MiB at most. Beyond that
+more falls through to the shuffles of steps 3 and 4, never out of the result.
 
 Defined results: a NULL text is empty, a NULL language is ``und``. Repeated rows count as often as they
 are there. A NULL id matters only to the pointer. An empty table gives no rows. Other columns are not read.
@@ -26,18 +27,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluicework.llm.components import written
+from sluicework.llm.components import bounded, written
 from sluicework.llm.texts import blocks, mixed, span_hashes
 from sluicework.operators.matching import join_per_key
 
 LONGEST, LEAST, FIRST = 5, 100, 2000
 BLOCK = 2 << 20
-#: Counters: about one for so many bytes of text, and the least and greatest power of two of them.
-BYTES_A_COUNTER, SMALLEST, LARGEST = 16, 18, 24
-CHUNK = 1 << 16
+#: Languages up to this many are broadcast with their numbers of words.
+MANY_LANGUAGES = 10_000
+#: Cells: about one for so many bytes of text; the least and greatest power of two, and of a chunk's.
+BYTES_A_CELL, FEWEST, MOST, SMALL_CHUNK, CHUNKS = 4, 20, 38, 18, 16
+#: The power of two of the bits that go to every task, at least and at most.
+LEAST_BITS, MOST_BITS = 16, 27
+#: Fixed value: the bits of one of Spark's bitmaps.
+BITMAP = 1 << 15
 # What separates words, and pieces.
 WORD_ENDS, PIECE_ENDS = b"\x20\x09", b".,;:!?\x0a\x0b\x0c\x0d"
 
@@ -96,8 +103,11 @@ class Words:
             value = (prefix[whole + length] - prefix[whole]) * back[whole]
             yield length, whole, mixed((value ^ own[whole]) + np.uint64(length))
 
-    def text(self, at: int, length: int) -> str:
-        return " ".join(self.dictionary[int(i)].as_py().decode() for i in self.ids[at:at + length])
+    def texts(self, places: np.ndarray, length: int) -> pa.Array:
+        """The runs of words from these places on, joined by single spaces."""
+        ids = self.ids[places[:, None] + np.arange(length)].ravel()
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(places) + 1) * length, pa.int32()), self.dictionary.take(pa.array(ids)))
+        return pc.binary_join(lists, b" ").cast(pa.string())
 
 
 def _salts(batch: pa.RecordBatch) -> np.ndarray:
@@ -108,94 +118,114 @@ def _salts(batch: pa.RecordBatch) -> np.ndarray:
     return span_hashes(data, offsets[:-1], offsets[1:], seed=7)[names.indices.to_numpy()]
 
 
-class Passed:
-    """The fingerprints of a block that may be frequent, by the bits of their counters."""
+class Marks:
+    """Frequent cells or fingerprints as bits. What has no bit is not frequent."""
 
-    def __init__(self, bits: np.ndarray, counters: int) -> None:
-        self.bits, self.mask = bits, np.uint64(counters - 1)
+    def __init__(self, bits: np.ndarray, shift: int) -> None:
+        self.bits, self.shift, self.mask = bits, np.uint64(shift), np.uint64(8 * len(bits) - 1)
 
-    def of(self, words: Words, salts: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        before = None
-        for length, whole, prints in words.fingerprints(salts):
-            spot = (prints & self.mask).astype(np.int64)
-            alive = (self.bits[spot >> 3] >> (spot & 7).astype(np.uint8)) & 1 == 1
-            if before is not None:
-                # Both shorter runs in it must have passed
-                alive &= before[whole] & before[whole + 1]
-            before = np.zeros(len(words.ids) + 1, dtype=bool)
-            before[whole[alive]] = True
-            yield length, whole[alive], prints[alive]
+    def has(self, prints: np.ndarray) -> np.ndarray:
+        spot = (prints >> self.shift & self.mask).astype(np.int64)
+        return (self.bits[spot >> 3] >> (spot & 7).astype(np.uint8)) & 1 == 1
 
 
-def _chunks(counters: np.ndarray, least: int) -> Iterator[pa.RecordBatch]:
-    """A task's counters as rows (chunk, one byte a counter, ``least`` at most)."""
-    size = min(CHUNK, len(counters))
-    for chunk in range(len(counters) // size):
-        part = counters[chunk * size:(chunk + 1) * size]
-        if part.any():
-            packed = np.minimum(part, least).astype(np.uint8).tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([packed], pa.binary())], names=["chunk", "counts"])
+def passed(words: Words, salts: np.ndarray, marks: dict[int, Marks]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The runs that may be frequent: they are marked, as far as there are marks, and so are both shorter runs in them."""
+    before = None
+    for length, whole, prints in words.fingerprints(salts):
+        alive = marks[length].has(prints) if length in marks else np.ones(len(whole), dtype=bool)
+        if before is not None:
+            alive &= before[whole] & before[whole + 1]
+        before = np.zeros(len(words.ids) + 1, dtype=bool)
+        before[whole[alive]] = True
+        yield length, whole[alive], prints[alive]
 
 
-def _added(least: int):
-    """The bits of the chunks whose added counters reach ``least``."""
+def _sizes(text_bytes: int) -> tuple[int, int]:
+    """The powers of two of the cells, and of the cells in a chunk."""
+    cells = min(max((text_bytes // BYTES_A_CELL).bit_length(), FEWEST), MOST)
+    return cells, max(SMALL_CHUNK, cells - CHUNKS)
+
+
+def _cells(cells: int, chunk: int, marks: dict[int, Marks], lengths: tuple[int, ...], least: int):
+    """Per block the cells in use, as (chunk, places and counts in it)."""
+    down, inside = np.uint64(64 - cells), np.uint64((1 << chunk) - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for chunk, counts in zip(batch.column("chunk").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-                fresh = np.frombuffer(counts, dtype=np.uint8)
-                old = sums.get(chunk)
-                sums[chunk] = fresh if old is None else np.minimum(old.astype(np.uint16) + fresh, least).astype(np.uint8)
-        for chunk, counts in sums.items():
-            bits = np.packbits(counts >= least, bitorder="little").tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([bits], pa.binary())], names=["chunk", "bits"])
+        for batch, data, at in blocks(batches, limit=BLOCK):
+            words = Words(data, at)
+            found = [prints >> down for length, _, prints in passed(words, _salts(batch), marks) if length in lengths]
+            used, counts = np.unique(np.concatenate(found or [np.zeros(0, np.uint64)]), return_counts=True)
+            counts = np.minimum(counts, least).astype(np.uint8)
+            of = (used >> np.uint64(chunk)).astype(np.int64)
+            places = (used & inside).astype("<u4")
+            cuts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]]) if len(of) else np.zeros(0, np.int64)
+            ends = np.r_[cuts, len(of)].astype(np.int32)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(of[cuts]), _spans(places, ends, 4), _spans(counts, ends, 1)], names=["chunk", "places", "counts"])
 
     return run
 
 
-def _bits(chunks: DataFrame, counters: int, least: int) -> np.ndarray:
-    """The bits of all counters: at most 2 MiB."""
-    merged = chunks.repartition("chunk").mapInArrow(_added(least), "chunk int, bits binary")
-    size = min(CHUNK, counters) // 8
-    bits = np.zeros(counters // 8, dtype=np.uint8)
-    for row in merged.collect():
-        bits[row["chunk"] * size:(row["chunk"] + 1) * size] = np.frombuffer(row["bits"], dtype=np.uint8)
-    return bits
+def _spans(values: np.ndarray, ends: np.ndarray, width: int) -> pa.Array:
+    return pa.Array.from_buffers(
+        pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends * np.int32(width)), pa.py_buffer(np.ascontiguousarray(values))])
 
 
-CHUNKS = "chunk int, counts binary"
+def _added(chunk: int, least: int):
+    """The cells whose added counts reach ``least``; a chunk's rows come one after the other."""
 
-
-def _counting(counters: int, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, mask = np.zeros(counters, dtype=np.uint32), np.uint64(counters - 1)
-        for batch, data, at in blocks(batches, limit=BLOCK):
-            for _, _, prints in Words(data, at).fingerprints(_salts(batch)):
-                np.add.at(table, (prints & mask).astype(np.int64), np.uint32(1))
-        yield from _chunks(table, least)
-
-    return run
+        now, sums = None, np.zeros(1 << chunk, dtype=np.uint8)
 
+        def close() -> pa.RecordBatch:
+            full = np.flatnonzero(sums >= least) + (now << chunk)
+            sums[:] = 0
+            return pa.RecordBatch.from_arrays([pa.array(full.astype(np.int64))], names=["cell"])
 
-def _marking(counters: int, least: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, mask = np.zeros(counters, dtype=np.uint8), np.uint64(counters - 1)
         for batch in batches:
-            table[(batch.column("print").to_numpy().view(np.uint64) & mask).astype(np.int64)] = least
-        yield from _chunks(table, least)
+            for i, of in enumerate(batch.column("chunk").to_pylist()):
+                if of != now:
+                    if now is not None:
+                        yield close()
+                    now = of
+                places = np.frombuffer(batch.column("places")[i].as_buffer(), dtype="<u4")
+                counts = np.frombuffer(batch.column("counts")[i].as_buffer(), dtype=np.uint8)
+                # Places are different within a row
+                sums[places] = np.minimum(sums[places].astype(np.uint16) + counts, least)
+        if now is not None:
+            yield close()
 
     return run
 
 
-def _pointed(bits: np.ndarray, counters: int, names: list[str]):
+def _marks(values: DataFrame, shift: int) -> Marks:
+    """The marks of a column ``cell``: at most ``2**MOST_BITS`` bits."""
+    power = min(max((16 * values.count()).bit_length(), LEAST_BITS), MOST_BITS)
+    spot = F.col("cell").bitwiseAND(F.lit((1 << power) - 1)) + 1
+    maps = values.select(F.bitmap_bucket_number(spot).alias("bucket"), F.bitmap_bit_position(spot).alias("bit"))
+    bits = np.zeros((1 << power) // 8, dtype=np.uint8)
+    for row in maps.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).collect():
+        start = (row["bucket"] - 1) * BITMAP // 8
+        bits[start:start + BITMAP // 8] = np.frombuffer(row["bits"], dtype=np.uint8)[:len(bits) - start]
+    return Marks(bits, shift)
+
+
+def _frequent_cells(texts: DataFrame, sizes: tuple[int, int], marks: dict[int, Marks], lengths: tuple[int, ...], least: int) -> dict[int, Marks]:
+    cells, chunk = sizes
+    sent = texts.mapInArrow(_cells(cells, chunk, marks, lengths, least), "chunk long, places binary, counts binary")
+    full = written(
+        sent.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(_added(chunk, least), "cell long"), "cells")
+    return dict.fromkeys(lengths, _marks(full, 64 - cells))
+
+
+def _pointed(marks: dict[int, Marks], names: list[str]):
     """Per block and fingerprint: its count, and its first occurrence as document and byte."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        passed = Passed(bits, counters)
         for batch, data, at in blocks(batches, limit=BLOCK):
             words = Words(data, at)
-            for length, whole, prints in passed.of(words, _salts(batch)):
+            for length, whole, prints in passed(words, _salts(batch), marks):
                 found, first, counts = np.unique(prints, return_index=True, return_counts=True)
                 spots = whole[first]
                 rows = pa.array(words.rows[spots])
@@ -208,31 +238,30 @@ def _pointed(bits: np.ndarray, counters: int, names: list[str]):
     return run
 
 
-def _verified(bits: np.ndarray, counters: int, names: list[str]):
+def _verified(marks: dict[int, Marks], names: list[str]):
     """Per block: the words of the passed runs and their counts, and as length 0 all words of a language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        passed = Passed(bits, counters)
         for batch, data, at in blocks(batches, limit=BLOCK):
-            words = Words(data, at)
+            words, salts = Words(data, at), _salts(batch)
             per_row = np.bincount(words.rows, minlength=batch.num_rows).astype(np.int64)
             yield pa.RecordBatch.from_arrays([
                 batch.column("lang"), pa.array(np.zeros(len(per_row), dtype=np.int32)),
                 pa.array([""] * len(per_row), pa.string()), pa.array(per_row)], names=names)
-            for length, whole, prints in passed.of(words, _salts(batch)):
+            for length, whole, prints in passed(words, salts, marks):
                 _, first, group = np.unique(prints, return_index=True, return_inverse=True)
                 head = whole[first][group]
                 same = np.ones(len(whole), dtype=bool)
                 for j in range(length):
                     same &= words.ids[whole + j] == words.ids[head + j]
-                same &= _salts(batch)[words.rows[whole]] == _salts(batch)[words.rows[head]]
+                same &= salts[words.rows[whole]] == salts[words.rows[head]]
                 counts = np.bincount(group[same], minlength=len(first)).astype(np.int64)
                 # What shares a fingerprint with other words counts by itself
                 spots = np.r_[whole[first], whole[~same]]
                 counts = np.r_[counts, np.ones(np.count_nonzero(~same), dtype=np.int64)]
                 yield pa.RecordBatch.from_arrays([
                     batch.column("lang").take(pa.array(words.rows[spots])), pa.array(np.full(len(spots), length, dtype=np.int32)),
-                    pa.array([words.text(i, length) for i in spots.tolist()], pa.string()), pa.array(counts),
+                    words.texts(spots, length), pa.array(counts),
                 ], names=names)
 
     return run
@@ -245,19 +274,19 @@ def frequent(docs: DataFrame, least: int = LEAST) -> DataFrame:
     is 255 at most.
     """
     texts = docs.select("doc_id", "text", F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
-    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    counters = 1 << min(max((size // BYTES_A_COUNTER).bit_length(), SMALLEST), LARGEST)
-    bits = _bits(texts.mapInArrow(_counting(counters, least), CHUNKS), counters, least)
+    sizes = _sizes(texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    marks = _frequent_cells(texts, sizes, {}, (1, 2), least)
+    marks |= _frequent_cells(texts, sizes, marks, (3, 4, 5), least)
     names = ["lang", "length", "print", "n", "doc_id", "at"]
     kind = texts.schema["doc_id"].dataType.simpleString()
     pointed = texts.mapInArrow(
-        _pointed(bits, counters, names), f"lang string, length int, print long, n long, doc_id {kind}, at long")
+        _pointed(marks, names), f"lang string, length int, print long, n long, doc_id {kind}, at long")
     prints = written(
         pointed.groupBy("lang", "length", "print").agg(F.sum("n").alias("n"), F.min(F.struct("doc_id", "at")).alias("first"))
         .filter(F.col("n") >= least), "prints")
-    bits = _bits(prints.select("print").mapInArrow(_marking(counters, least), CHUNKS), counters, least)
+    marks = dict.fromkeys(range(1, LONGEST + 1), _marks(prints.select(F.col("print").alias("cell")), 0))
     names = ["lang", "length", "phrase", "f"]
-    found = texts.mapInArrow(_verified(bits, counters, names), "lang string, length int, phrase string, f long")
+    found = texts.mapInArrow(_verified(marks, names), "lang string, length int, phrase string, f long")
     return written(
         found.groupBy("lang", "length", "phrase").agg(F.sum("f").alias("f"))
         .filter((F.col("f") >= least) | (F.col("length") == 0)), "phrases")
@@ -277,7 +306,7 @@ def scored(phrases: DataFrame) -> DataFrame:
         "lang", "phrase", "a", "k", F.array_join(F.slice(words, F.lit(1), F.col("k")), " ").alias("head"),
         F.array_join(F.slice(words, F.col("k") + 1, F.col("length") - F.col("k")), " ").alias("rest"))
     known = phrases.filter("length > 0").select("lang", "phrase", "f")
-    totals = phrases.filter("length = 0").select("lang", F.col("f").alias("n"))
+    totals = bounded(phrases.filter("length = 0").select("lang", F.col("f").alias("n")), MANY_LANGUAGES)
     cuts = (
         cuts.join(known.select("lang", F.col("phrase").alias("head"), F.col("f").alias("l")), ["lang", "head"])
         .join(known.select("lang", F.col("phrase").alias("rest"), F.col("f").alias("r")), ["lang", "rest"])
@@ -296,6 +325,10 @@ def collocations(docs: DataFrame, least: int = LEAST, first: int = FIRST) -> Dat
     Columns ``lang``, ``rank`` (from 1), ``phrase``, ``a`` (its count), ``l`` and ``r`` (the counts of the
     two parts of its lowest-scoring cut), ``n`` (the words of the language), ``score``.
     """
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = scored(frequent(docs, least)).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= first)
-    return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    by = [F.desc("score"), F.desc("a"), "phrase"]
+    found = scored(frequent(docs, least)).withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(64)))
+    # First within parts of a language, so that none is ranked whole in one task
+    for keys in (["lang", "salt"], ["lang"]):
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*by))
+        found = found.withColumn("rank", rank).filter(F.col("rank") <= first)
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

@@ -248,10 +248,10 @@ def test_phrases_under_collisions(spark, monkeypatch):
         for length, whole, prints in own(self, salts):
             yield length, whole, prints & np.uint64(0xFF)
 
-    monkeypatch.setattr(phrases, "SMALLEST", 10)
-    monkeypatch.setattr(phrases, "LARGEST", 10)
+    for name, value in (("FEWEST", 10), ("MOST", 10), ("SMALL_CHUNK", 8), ("LEAST_BITS", 10), ("MOST_BITS", 10)):
+        monkeypatch.setattr(phrases, name, value)
     assert found_phrases(docs, 5) == want
-    verify = phrases._verified(np.full(128, 255, dtype=np.uint8), 1024, ["lang", "length", "phrase", "f"])
+    verify = phrases._verified({}, ["lang", "length", "phrase", "f"])
     monkeypatch.setattr(phrases.Words, "fingerprints", crowded)
     batch = docs.select("doc_id", "text", "lang").toArrow().to_batches()
     counts = collections.Counter()
@@ -273,7 +273,7 @@ def test_rolling_fingerprints_follow_the_words():
     words = phrases.Words(data, at)
     seen = collections.defaultdict(set)
     for length, whole, prints in words.fingerprints(np.zeros(3, dtype=np.uint64)):
-        for i, p in zip(whole.tolist(), prints.tolist(), strict=True):
-            seen[words.text(i, length)].add(p)
+        for text, p in zip(words.texts(whole, length).to_pylist(), prints.tolist(), strict=True):
+            seen[text].add(p)
     assert all(len(p) == 1 for p in seen.values()) and len(set.union(*seen.values())) == len(seen)
     assert "f b" not in seen and "d x" not in seen and "d b" not in seen and "b c d" in seen
