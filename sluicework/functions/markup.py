@@ -24,8 +24,7 @@ NAMED_REFERENCES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'
 
 def is_row(line: Column) -> Column:
     """A line that starts with a ``row`` element; ``<rows>`` is another element."""
-    start = F.ltrim(line)
-    return start.startswith("<row") & F.substring(start, 5, 1).isin(" ", "\t", "/", ">", "")
+    return line.rlike(r"^\s*<row(?:[ \t/>]|$)")
 
 
 def attribute_names(line: Column) -> Column:

@@ -15,26 +15,45 @@ from sluicework.streaming.replay import OrderTables
 KINDS = ["click", "error", "purchase", "signup", "view"]
 
 
+PARTITIONS = 4
+# Where the reader of signups stands in every partition
+STANDS = """SELECT user_id % 4 AS partition, max(event_id) + 1 AS stands FROM events
+            WHERE event_type = 'signup' GROUP BY 1"""
+
+
+def partitioned(t):
+    """The events as a log of four partitions; every user is on one, and offsets have gaps."""
+    return t.events.withColumn("partition", (F.col("user_id") % PARTITIONS).cast("int"))
+
+
 @query(
     "log_read_first_n",
-    """SELECT event_id, event_type FROM events
-       WHERE event_id >= (SELECT max(event_id) + 1 FROM events WHERE event_type = 'signup') - 500
-         AND event_id < (SELECT max(event_id) + 1 FROM events WHERE event_type = 'signup')""",
+    f"""SELECT CAST(e.user_id % 4 AS INT) AS partition, event_id, event_type FROM events e
+        JOIN ({STANDS}) s ON s.partition = e.user_id % 4
+        WHERE event_id >= stands - 500
+        QUALIFY row_number() OVER (ORDER BY e.user_id % 4, event_id) <= 300""",
 )
 def log_read_first_n(t):
-    """A bite of 500 records that ends where the reader of signups stands."""
-    stands = eventlog.high_watermark(t.events.filter(F.col("event_type") == "signup"), "event_id")
-    return eventlog.bite(t.events.select("event_id", "event_type"), stands - 500, 500, "event_id")
+    """A bite of exactly 300 records, from 500 offsets before where the reader of signups stands."""
+    log = partitioned(t)
+    stands = eventlog.high_watermarks(log.filter(F.col("event_type") == "signup"), "event_id")
+    start = {p: at - 500 for p, at in stands.items()}
+    log = log.filter(F.col("partition").isin(list(start)))
+    return eventlog.bite(log, start, 300, "event_id").select("partition", "event_id", "event_type")
 
 
 @query(
     "replay_to_watermark",
-    """SELECT event_type, count(*) AS n, min(event_id) AS first_offset, max(event_id) AS last_offset
-       FROM events WHERE event_id < (SELECT max(event_id) + 1 FROM events) GROUP BY event_type""",
+    f"""SELECT CAST(e.user_id % 4 AS INT) AS partition, event_type, count(*) AS n, min(event_id) AS first_offset,
+               max(event_id) AS last_offset
+        FROM events e JOIN ({STANDS}) s ON s.partition = e.user_id % 4 AND event_id < stands
+        GROUP BY 1, 2""",
 )
 def replay_to_watermark(t):
-    end = eventlog.high_watermark(t.events, "event_id")
-    return eventlog.replay(t.events, end, "event_id").groupBy("event_type").agg(
+    """A replay that ends where the log ended at its last signup, partition by partition."""
+    log = partitioned(t)
+    ends = eventlog.high_watermarks(log.filter(F.col("event_type") == "signup"), "event_id")
+    return eventlog.replay(log, ends, "event_id").groupBy("partition", "event_type").agg(
         F.count("*").alias("n"), F.min("event_id").alias("first_offset"),
         F.max("event_id").alias("last_offset"),
     )
@@ -42,14 +61,15 @@ def replay_to_watermark(t):
 
 @query(
     "reader_lag",
-    """SELECT user_id, max(event_id) + 1 AS position,
-              (SELECT max(event_id) + 1 FROM events) - (max(event_id) + 1) AS lag
-       FROM events GROUP BY user_id""",
+    """SELECT user_id, CAST(user_id % 4 AS INT) AS partition, max(event_id) + 1 AS position,
+              (SELECT max(event_id) + 1 FROM events f WHERE f.user_id % 4 = e.user_id % 4) - (max(event_id) + 1) AS lag
+       FROM events e GROUP BY user_id""",
 )
 def reader_lag(t):
-    """Every user as a reader who stands after the last event of their own."""
-    positions = t.events.groupBy("user_id").agg((F.max("event_id") + 1).alias("position"))
-    return eventlog.reader_lag(positions, eventlog.high_watermark(t.events, "event_id"))
+    """Every user as a reader of one partition who stands after the last event of their own."""
+    log = partitioned(t)
+    positions = log.groupBy("user_id", "partition").agg((F.max("event_id") + 1).alias("position"))
+    return eventlog.reader_lag(positions, eventlog.high_watermarks(log, "event_id"))
 
 
 @query(
@@ -93,21 +113,25 @@ def json_roundtrip(t):
 
 @query(
     "log_encode",
-    """SELECT CAST(user_id AS VARCHAR) AS key, event_id, ts, event_type, value, props FROM events""",
+    """SELECT CAST(user_id AS VARCHAR) AS key, p AS partition,
+              row_number() OVER (PARTITION BY p ORDER BY event_id) - 1 AS "offset",
+              event_id, ts, event_type, value, props
+       FROM (SELECT *, CAST(('0x' || substr(md5(CAST(user_id AS VARCHAR)), 1, 15))::BIGINT % 4 AS INT) AS p FROM events)""",
 )
 def log_encode(t):
-    """Events as (key, value) records, and the fields found in the values."""
-    records = producing.encode(t.events, key="user_id")
+    """Events as keyed records on four partitions, numbered there, and the fields found in the values."""
+    encoded = producing.encode(t.events, key="user_id").withColumn("_id", F.get_json_object("value", "$.event_id").cast("bigint"))
     body = T.StructType([f for f in t.events.schema.fields if f.name != "user_id"])
-    return records.select("key", F.from_json("value", body, {"mode": "FAILFAST"}).alias("r")).select(
-        "key", "r.event_id", "r.ts", "r.event_type", "r.value", "r.props"
-    )
+    log = producing.records(encoded, ["_id"], PARTITIONS)
+    return log.select(
+        "key", "partition", "offset", F.from_json("value", body, {"mode": "FAILFAST"}).alias("r"),
+    ).select("key", "partition", "offset", "r.event_id", "r.ts", "r.event_type", "r.value", "r.props")
 
 
 def order_log(t):
     """The orders as the event log of a shop: (key, value, partition, offset, timestamp).
 
-    Orders of priority 4 have no header on the log, those of priority 5 are paid before their header.
+    Four partitions, an order on one of them, offsets with gaps. Orders of priority 4 have no header on the log, those of priority 5 are paid before their header.
     """
     key, status, level = F.col("o_orderkey"), F.col("o_orderstatus"), F.col("o_orderpriority")
     day = F.col("o_orderdate")
@@ -145,7 +169,8 @@ def order_log(t):
     )
     rows = headers.unionAll(payments).unionAll(shipments)
     encoded = envelope.encode(rows, F.col("m"), F.col("d"), F.col("timestamp"))
-    return encoded.select("key", "value", F.lit(0).alias("partition"), "offset", "timestamp")
+    partition = (F.col("key").cast("bigint") % PARTITIONS).cast("int").alias("partition")
+    return encoded.select("key", "value", partition, "offset", "timestamp")
 
 
 FOLDED = """SELECT o_orderkey AS id, o_custkey AS customer_id, o_orderdate AS created_at,
@@ -175,6 +200,30 @@ def replay_stream(t):
     return tables.order_headers()
 
 
+@query("replay_twice", FOLDED)
+def replay_twice(t):
+    """The log in parts, out of order, applied by two readers with a compaction between them.
+
+    The first reader sees what comes on time and some records twice in a batch. Then everything is
+    compacted, what was late comes, headers and changes alike, and a new reader reads it all again.
+    """
+    root = scratch_path(t.spark, "twice")
+    log = order_log(t)
+    late = F.pmod(F.xxhash64("partition", "offset"), F.lit(3)) == 0
+    again = F.pmod(F.xxhash64("offset"), F.lit(5)) == 0
+    on_time = log.filter(~late)
+    on_time.unionAll(on_time.filter(again)).write.json(f"{root}/log")
+    tables = OrderTables(t.spark, f"{root}/tables")
+    stream = eventlog.stream_log(t.spark, f"{root}/log", files_per_bite=8)
+    tables.follow(stream, f"{root}/first").awaitTermination()
+    tables.compact()
+    log.filter(late).write.mode("append").json(f"{root}/log")
+    tables.follow(eventlog.stream_log(t.spark, f"{root}/log"), f"{root}/second").awaitTermination()
+    tables.compact()
+    tables.follow(stream, f"{root}/first").awaitTermination()
+    return tables.order_headers()
+
+
 @query(
     "event_lines",
     """SELECT l_orderkey AS order_id, l_partkey AS photo_id, count(*) AS quantity,

@@ -137,14 +137,24 @@ def import_files(t):
     return shape.fold_names(lines.import_files(t.spark, path, CUSTOMER, format="xml"))
 
 
-@query("detect_formats", "SELECT c_custkey AS id FROM customer UNION ALL SELECT o_orderkey FROM orders")
+@query(
+    "detect_formats",
+    """SELECT c_custkey AS id FROM customer UNION ALL SELECT o_orderkey FROM orders
+       UNION ALL SELECT -o_orderkey FROM orders""",
+)
 def detect_formats(t):
-    """XML and JSON files side by side, a blank line first in each, told apart by their lines."""
+    """XML and JSON files side by side, told apart by their lines; every second JSON object is indented.
+
+    A blank line comes first in each but the files of plain orders.
+    """
     root = scratch_path(t.spark, "formats")
     row = F.concat(F.lit('\n<?xml version="1.0"?>\n<row Id="'), F.col("c_custkey").cast("string"), F.lit('" />'))
     t.customer.select(row.alias("value")).write.text(f"{root}/x")
-    document = F.concat(F.lit('\n{"Id": '), F.col("o_orderkey").cast("string"), F.lit("}"))
-    t.orders.select(document.alias("value")).write.text(f"{root}/j")
+    key = F.col("o_orderkey").cast("string")
+    document = F.concat(F.lit('{"Id": '), key, F.lit('}\n\t {"Id": -'), key, F.lit("}"))
+    leads = F.col("o_orderkey") % 3 == 0
+    t.orders.filter(leads).select(F.concat(F.lit("\n"), document).alias("value")).write.text(f"{root}/j")
+    t.orders.filter(~leads).select(document.alias("value")).write.text(f"{root}/p")
     schema = T.StructType([T.StructField("id", T.LongType())])
     return lines.import_files(t.spark, f"{root}/*/*.txt", schema)
 

@@ -16,7 +16,9 @@ from pyspark.sql import types as T
 
 from sluicework.functions.content import folded_json_object
 from sluicework.functions.markup import attributes, folds_names, is_row, known_attributes
+from sluicework.operators.matching import join_per_key
 from sluicework.operators.shape import from_texts, source_names, stack
+from sluicework.session import scratch_path
 
 # How the line starts that tells a file's format.
 XML_START, JSON_START = "<?xml", "{"
@@ -76,6 +78,23 @@ def file_formats(lines: DataFrame) -> DataFrame:
         F.coalesce(F.col("told._id") != F.col("first._id"), F.lit(False)).alias("late"))
 
 
+def after_telling(lines: DataFrame) -> DataFrame:
+    """The lines of files that tell their format late, from the telling line on, with the ``format``.
+
+    The place of the telling line is part of each file's state and decides for each line. The lines are
+    written once with their places, so both passes see the same ones.
+    """
+    path = scratch_path(lines.sparkSession, "lines")
+    lines.withColumn("_id", F.monotonically_increasing_id()).write.parquet(path)
+    placed = lines.sparkSession.read.parquet(path).withColumn("_at", F.struct("_block", "_id"))
+    line = F.col("value")
+    code = F.when(line.startswith(XML_START), "xml").when(line.startswith(JSON_START), "json")
+    told = placed.filter(code.isNotNull()).groupBy("file").agg(F.min(F.struct("_at", code.alias("format"))).alias("told"))
+    # One row per file
+    found = join_per_key(placed, told, ["file"], "inner").filter(F.col("_at") >= F.col("told._at"))
+    return found.select("value", "file", "_block", F.col("told.format").alias("format"))
+
+
 def _told(spark: SparkSession, path: str) -> dict[tuple[str, bool], list[str]]:
     """The files by (format, late); the driver holds the list of files anyway.
 
@@ -116,13 +135,15 @@ def import_files(
     readers = {"xml": xml_rows, "json": json_rows}
     if format is not None:
         return readers[format](read_lines(spark, path), **arguments)
-    parts = []
-    for (name, late), files in sorted(_told(spark, path).items()):
-        found = read_lines(spark, files)
-        if late and name == "json":
-            # what stands before the first object is no object
-            found = found.filter(F.col("value").startswith(JSON_START))
-        parts.append(readers[name](found, **arguments))
+    told, parts = _told(spark, path), []
+    for name, reader in sorted(readers.items()):
+        if files := told.get((name, False)):
+            parts.append(reader(read_lines(spark, files), **arguments))
+    if late := [file for (_, is_late), files in told.items() if is_late for file in files]:
+        found = after_telling(read_lines(spark, late))
+        for name, reader in sorted(readers.items()):
+            if (name, True) in told:
+                parts.append(reader(found.filter(F.col("format") == name), **arguments))
     if not parts:
         return xml_rows(read_lines(spark, path), **arguments)
     return stack(parts)

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from sluicework.functions.clock import iso_timestamp
 from sluicework.streaming.envelope import position
 
+#: The fields of an order's state, each with the position that set it.
+STATE = ["h", "u", "p", "s"]
+
 
 def latest_values(
     events: DataFrame, keys: Sequence[str], order: Column, values: Mapping[str, tuple[Column, Column]],
@@ -26,40 +29,44 @@ def latest_values(
     ])
 
 
-def fold_orders(events: DataFrame) -> DataFrame:
-    """Order headers after all their changes.
+def order_states(events: DataFrame) -> DataFrame:
+    """What is known of every order, each field with the position it was set at.
 
-    Per order: the last header, and of the changes after it the last ``updated_at``, payment and
-    shipment, each on its own. Changes to an order without a header come out with ``known`` false.
+    Columns ``id``, ``h`` (the last header), ``u``, ``p``, ``s`` (the last ``updated_at``, payment and
+    shipment of a change), all structs with ``at``, and ``n_changes``. Orders without a header have a row.
     """
     at = position()
-    header, change = F.col("header"), F.col("change")
     order_id = F.coalesce(F.col("header.id"), F.col("change.order_id")).alias("id")
-    picked = events.filter(F.col("kind").isin("header", "change")).select(
-        order_id, at.alias("at"), "header", "change"
-    )
+    picked = events.filter(F.col("kind").isin("header", "change")).select(order_id, at.alias("at"), "header", "change")
 
     def last(value: Column) -> Column:
-        return F.max_by(
-            F.struct(F.col("at"), value.alias("value")), F.when(value.isNotNull(), F.col("at"))
-        )
+        return F.max_by(F.struct(F.col("at"), value.alias("value")), F.when(value.isNotNull(), F.col("at")))
 
-    folded = picked.groupBy("id").agg(
-        F.max_by(F.struct("at", "header"), F.when(header.isNotNull(), F.col("at"))).alias("h"),
+    return picked.groupBy("id").agg(
+        last(F.col("header")).alias("h"),
         last(F.col("change.updated_at")).alias("u"),
         last(F.col("change.payment_uuid")).alias("p"),
         last(F.col("change.shipment_uuid")).alias("s"),
-        F.count(change).alias("n_changes"),
+        F.count("change").alias("n_changes"),
     )
 
+
+def merged_states(states: DataFrame) -> DataFrame:
+    """One state per order out of several, in any order and number: of every field the last one set."""
+    return states.groupBy("id").agg(
+        *(F.max_by(f, F.col(f)["at"]).alias(f) for f in STATE), F.sum("n_changes").alias("n_changes"))
+
+
+def presented(states: DataFrame) -> DataFrame:
+    """The orders of states: a header's own value counts unless a change after it set another."""
     def now(changed: str, field: str) -> Column:
         newer = F.col(f"{changed}.at") > F.col("h.at")
-        return F.when(newer, F.col(f"{changed}.value")).otherwise(F.col(f"h.header.{field}"))
+        return F.when(newer, F.col(f"{changed}.value")).otherwise(F.col(f"h.value.{field}"))
 
-    return folded.select(
+    return states.select(
         "id",
-        F.col("h.header.customer_id").alias("customer_id"),
-        iso_timestamp(F.col("h.header.created_at")).alias("created_at"),
+        F.col("h.value.customer_id").alias("customer_id"),
+        iso_timestamp(F.col("h.value.created_at")).alias("created_at"),
         iso_timestamp(now("u", "updated_at")).alias("updated_at"),
         F.lower(now("p", "payment_uuid")).alias("payment_uuid"),
         F.lower(now("s", "shipment_uuid")).alias("shipment_uuid"),
@@ -68,6 +75,15 @@ def fold_orders(events: DataFrame) -> DataFrame:
     )
 
 
+def fold_orders(events: DataFrame) -> DataFrame:
+    """Order headers after all their changes.
+
+    Per order: the last header, and of the changes after it the last ``updated_at``, payment and
+    shipment, each on its own. Changes to an order without a header come out with ``known`` false.
+    """
+    return presented(order_states(events))
+
+
 def order_headers(events: DataFrame) -> DataFrame:
     """The rows of the order_header table; changes to unknown orders are ignored."""
     return fold_orders(events).filter("known").drop("known", "n_changes")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,16 +14,57 @@ from sluicework.streaming import fold
 from sluicework.streaming.envelope import decode
 
 
+def ranges_of(records: DataFrame) -> DataFrame:
+    """``(partition, first, last)``: the offsets of every log partition as ranges without gaps."""
+    order = Window.partitionBy("partition").orderBy("offset")
+    at = records.select("partition", "offset").distinct()
+    return (
+        at.withColumn("_run", F.col("offset") - F.row_number().over(order))
+        .groupBy("partition", "_run").agg(F.min("offset").alias("first"), F.max("offset").alias("last")).drop("_run")
+    )
+
+
+def merged_ranges(ranges: DataFrame) -> DataFrame:
+    """The same offsets in as few ranges as they have gaps."""
+    order = Window.partitionBy("partition").orderBy("first", "last")
+    reached = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    starts = F.when(reached.isNull() | (F.col("first") > reached + 1), 1).otherwise(0)
+    runs = ranges.withColumn("_new", starts).withColumn("_run", F.sum("_new").over(order))
+    return runs.groupBy("partition", "_run").agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("_run")
+
+
+def not_within(records: DataFrame, ranges: DataFrame) -> DataFrame:
+    """The records whose offset lies in no range of their partition.
+
+    Ranges and records of a partition pass by in the order of their offsets, so there is no comparison of
+    all with all, however many ranges there are.
+    """
+    names = [c for c in records.columns if c not in ("partition", "offset")]
+    rows = records.select("partition", "offset", F.struct(*names).alias("_row"), F.lit(None).cast("bigint").alias("_last"))
+    known = ranges.select(
+        F.col("partition").cast(records.schema["partition"].dataType), F.col("first").alias("offset"),
+        F.lit(None).cast(rows.schema["_row"].dataType).alias("_row"), F.col("last").alias("_last"))
+    # At one offset a range's start comes before a record
+    order = Window.partitionBy("partition").orderBy("offset", F.col("_last").isNull())
+    reached = F.max("_last").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    marked = rows.unionByName(known).withColumn("_reached", reached)
+    fresh = marked.filter(F.col("_last").isNull() & (F.col("_reached").isNull() | (F.col("_reached") < F.col("offset"))))
+    return fresh.select("partition", "offset", "_row.*").select(*records.columns)
+
+
 class OrderTables:
     """Customer, order_header and order_detail, kept as decoded events in published batches.
 
-    A batch costs what it brings: nothing stored is read or rewritten, and the fold happens on
-    reading. ``compact`` bounds what a reader has to fold. An event is known by its partition and
-    offset: whatever reader brings it again, and under whatever batch id, it is stored once. Compaction
-    remembers the positions of the events it folds.
+    A batch stores its events, and the offsets it brought as ranges; of what is stored it reads the ranges
+    only, which ``compact`` merges. An event is known by its partition and offset: whatever reader brings
+    it again, under whatever batch id, or twice in one batch, it is stored once. The fold happens on reading.
+
+    ``compact`` replaces the events of an order by its state, in which every field has the position that
+    set it. States merge with each other and with later events, so a change or a header that comes late
+    counts as if it had come in time. Changes to an order without a header wait for it.
     """
 
-    EVENTS, APPLIED = "events", "applied"
+    EVENTS, APPLIED, STATES = "events", "applied", "states"
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.store = BatchStore(spark, root)
@@ -31,15 +72,17 @@ class OrderTables:
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         """One micro-batch: the function for ``foreachBatch``."""
         ids = self.store.published()
-        events = decode(batch)
+        fresh = batch.dropDuplicates(["partition", "offset"])
         if ids:
-            known = self._positions(ids).withColumnsRenamed({"partition": "_partition", "offset": "_offset"})
-            events = events.join(
-                known, (F.col("partition") == F.col("_partition")) & (F.col("offset") == F.col("_offset")), "left_anti")
+            fresh = not_within(fresh, self.store.read(self.APPLIED, ids).select("partition", "first", "last"))
             # The id may be another reader's, or within the compacted batch
             if batch_id in ids or batch_id <= self._compacted():
                 batch_id = max(*ids, self._compacted()) + 1
-        self.store.write(batch_id, {self.EVENTS: events})
+        fresh = fresh.persist()
+        try:
+            self.store.write(batch_id, {self.EVENTS: decode(fresh), self.APPLIED: ranges_of(fresh)})
+        finally:
+            fresh.unpersist()
         # The rows written are looked at, so the batch is read once
         if not ids or not self.store.read(self.EVENTS, [batch_id]).isEmpty():
             self.store.publish([batch_id])
@@ -62,55 +105,37 @@ class OrderTables:
         # A compacted batch is named after the last batch in it: -n - 1 holds everything up to n
         return max((-i - 1 for i in self.store.published() if i < 0), default=-1)
 
-    def _positions(self, ids: list[int]) -> DataFrame:
-        """Partition and offset of every event applied in these batches, folded ones too."""
-        at = self.store.read(self.EVENTS, ids).select("partition", "offset")
-        folded = [i for i in ids if i < 0]
-        if folded:
-            at = at.unionByName(self.store.read(self.APPLIED, folded).select("partition", "offset"))
-        return at
+    def _states(self, ids: list[int]) -> DataFrame:
+        states = fold.order_states(self.store.read(self.EVENTS, ids))
+        compacted = [i for i in ids if i < 0]
+        if not compacted:
+            return states
+        return fold.merged_states(states.unionByName(self.store.read(self.STATES, compacted).drop("batch_id")))
 
     def events(self) -> DataFrame:
+        """The stored events; those of compacted orders are in their states."""
         return self.store.read(self.EVENTS)
 
     def customers(self) -> DataFrame:
         return fold.customers(self.events())
 
     def order_headers(self) -> DataFrame:
-        return fold.order_headers(self.events())
+        """The rows of the order_header table; changes to unknown orders are ignored."""
+        return fold.presented(self._states(self.store.published())).filter("known").drop("known", "n_changes")
 
     def order_lines(self) -> DataFrame:
         return fold.order_lines(self.events())
 
     def compact(self) -> None:
-        """Replaces all published batches by one in which every order has one header event.
-
-        Not while a stream is writing. Changes that name no order yet are dropped, as they are when
-        applied one by one.
-        """
+        """Replaces all published batches by one with a state per order. Not while a stream is writing."""
         ids = self.store.published()
         if len(ids) < 2:
             return
-        events = self.store.read(self.EVENTS, ids).drop("batch_id")
-        ends = (
-            events.filter(F.col("kind").isin("header", "change"))
-            .groupBy(F.coalesce("header.id", "change.order_id").alias("_id"))
-            .agg(F.max(F.struct("partition", "offset")).alias("_at"))
-        )
-        header = events.schema["header"].dataType
-        folded = fold.order_headers(events).join(ends, F.col("id") == F.col("_id"))
-        headers = folded.select(
-            F.col("_at.partition").alias("partition"), F.col("_at.offset").alias("offset"),
-            F.lit("header").alias("kind"),
-            F.struct(*[
-                F.col(f.name).cast(f.dataType).alias(f.name) for f in header.fields
-            ]).alias("header"),
-        )
-        others = events.filter(F.col("kind").isin("customer", "lines"))
         target = -max([i for i in ids if i >= 0] or [self._compacted()]) - 1
         self.store.write(target, {
-            self.EVENTS: others.unionByName(headers, allowMissingColumns=True),
-            self.APPLIED: self._positions(ids).distinct(),
+            self.EVENTS: self.store.read(self.EVENTS, ids).filter(F.col("kind").isin("customer", "lines")),
+            self.STATES: self._states(ids),
+            self.APPLIED: merged_ranges(self.store.read(self.APPLIED, ids).select("partition", "first", "last")),
         })
         self.store.publish_only([target])
 
