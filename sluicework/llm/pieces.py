@@ -36,10 +36,11 @@ MARK = "▁"
 PENALTY = 10.0
 LONG = 32
 N_BEST = 3
+NAMES = ("piece_ids", "n_best_scores", "decoded")
 #: Units kept per worker; beyond, the table starts anew.
-UNITS_KEPT = 300_000
+UNITS_KEPT = 200_000
 #: Units whose lattices are laid out together.
-TOGETHER = 4_000
+TOGETHER = 2_000
 BLOCK = 1 << 20
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -66,22 +67,28 @@ class Pieces:
         usual = [self.scores[i] for i in self.ids.values() if self.scores[i] > -1e8]
         self.spelled = min(usual, default=0.0) - PENALTY
         self.longest = max(map(len, self.ids), default=1)
-        keys = np.array([self._hash(p) for p in self.ids], dtype=np.uint64)
+        hashes = [self._hashes(p) for p in self.ids]
+        keys = np.array([h[-1] for h in hashes], dtype=np.uint64)
         order = np.argsort(keys)
         self.keys, self.key_ids = keys[order], np.array(list(self.ids.values()), dtype=np.int64)[order]
         self.maybe = np.zeros(1 << 20, dtype=bool)
         self.maybe[(self.keys >> np.uint64(44)).astype(np.int64)] = True
+        # What no piece starts with need not be read on
+        self.begun = np.zeros(1 << 20, dtype=bool)
+        self.begun[(np.array([x for h in hashes for x in h[:-1]], dtype=np.uint64) >> np.uint64(44)).astype(np.int64)] = True
         self.sizes = np.array([len(r) for r in self.raw], dtype=np.int64)
         self.begins = np.cumsum(self.sizes) - self.sizes
         self.bytes = np.frombuffer(b"".join(self.raw), dtype=np.uint8)
 
     @staticmethod
-    def _hash(piece: str) -> int:
-        h = 0
+    def _hashes(piece: str) -> list[int]:
+        """The hashes of all beginnings of a piece, the whole piece last."""
+        h, found = 0, []
         for c in piece:
             h = (h ^ (ord(c) + 1)) * int(MIX) % 2**64
             h ^= h >> 29
-        return h
+            found.append(h)
+        return found
 
     def arcs(self, unit: str) -> list[list[tuple[int, tuple[int, ...], float]]]:
         """For each end the arcs into it: (start, ids, score), shortest first."""
@@ -121,42 +128,58 @@ class Pieces:
                 heapq.heappush(heap, (-(ahead[start] + score + behind), -next(order), start, score + behind, (ids_, tail)))
         return found
 
-    def best_of_many(self, units: list[str]) -> tuple[list[tuple[int, ...]], np.ndarray, np.ndarray]:
-        """For units of one length: the best path's ids, its score, and the second path's score."""
+    def _arcs_of_many(self, codes: np.ndarray) -> dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]:
+        """For units of one length, as rows of characters: (start, end) to each unit's piece (or -1) and its score."""
+        m, n = codes.shape
+        # All places of all units are read on together, one character a step
+        flat = np.ascontiguousarray(codes.T).ravel()
+        open_, h = np.arange(m * n), np.zeros(m * n, dtype=np.uint64)
+        arcs: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+        for length in range(1, min(self.longest, n) + 1):
+            fits = (n - length + 1) * m
+            inside = int(np.searchsorted(open_, fits))
+            open_ = open_[:inside]
+            h = (h[:inside] ^ (flat[open_ + (length - 1) * m] + np.uint64(1))) * MIX
+            h ^= h >> np.uint64(29)
+            spot = (h >> np.uint64(44)).astype(np.int64)
+            hit = np.flatnonzero(self.maybe[spot])
+            at = np.minimum(np.searchsorted(self.keys, h[hit]), len(self.keys) - 1)
+            same = self.keys[at] == h[hit]
+            found, where = self.key_ids[at[same]], open_[hit[same]]
+            if length == 1 or len(found):
+                ids, score = np.full(fits, -1, dtype=np.int32), np.full(fits, -np.inf)
+                ids[where], score[where] = found, self.scores[found]
+                if length == 1:
+                    score = np.where(ids < 0, self.spelled * _width(flat), score)
+                ids, score = ids.reshape(-1, m), score.reshape(-1, m)
+                for start in range(n) if length == 1 else np.unique(where // m).tolist():
+                    arcs[start, start + length] = (ids[start], score[start])
+            on = self.begun[spot]
+            h, open_ = h[on], open_[on]
+            if not len(open_):
+                break
+        return arcs
+
+    def paths_of_many(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For units of one length: the best paths' ids one after the other, how many each has, and the
+        scores of the best and the second path."""
         m, n = len(units), len(units[0])
         codes = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).reshape(m, n).astype(np.uint64)
-        arcs: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
-        for start in range(n):
-            h = np.zeros(m, dtype=np.uint64)
-            for end in range(start + 1, min(start + self.longest, n) + 1):
-                h = (h ^ (codes[:, end - 1] + np.uint64(1))) * MIX
-                h ^= h >> np.uint64(29)
-                hit = np.flatnonzero(self.maybe[(h >> np.uint64(44)).astype(np.int64)])
-                ids, score = np.full(m, -1, dtype=np.int64), np.full(m, -np.inf)
-                if len(hit):
-                    at = np.minimum(np.searchsorted(self.keys, h[hit]), len(self.keys) - 1)
-                    same = self.keys[at] == h[hit]
-                    ids[hit[same]] = self.key_ids[at[same]]
-                    score[hit[same]] = self.scores[ids[hit[same]]]
-                if end == start + 1:
-                    c = codes[:, start]
-                    width = 1 + (c >= 0x80).astype(np.int64) + (c >= 0x800) + (c >= 0x10000)
-                    score = np.where(ids < 0, self.spelled * width, score)
-                elif not (ids >= 0).any():
-                    continue
-                arcs[start, end] = (ids, score)
-        ahead, step = np.full((n + 1, m), -np.inf), np.zeros((n + 1, m), dtype=np.int64)
+        arcs = self._arcs_of_many(codes)
+        ahead, step = np.full((n + 1, m), -np.inf), np.zeros((n + 1, m), dtype=np.int32)
+        taken = np.full((n + 1, m), -1, dtype=np.int32)
         ahead[0] = 0
         for end in range(1, n + 1):
             for start in range(end - 1, max(end - self.longest, 0) - 1, -1):
                 if (start, end) in arcs:
-                    total = ahead[start] + arcs[start, end][1]
+                    ids, score = arcs[start, end]
+                    total = ahead[start] + score
                     better = total > ahead[end]
-                    ahead[end][better], step[end][better] = total[better], start
+                    ahead[end][better], step[end][better], taken[end][better] = total[better], start, ids[better]
         after = np.full((n + 1, m), -np.inf)
         after[n] = 0
-        for (start, end), (_, score) in sorted(arcs.items(), reverse=True):
-            np.maximum(after[start], score + after[end], out=after[start])
+        for start, end in sorted(arcs, reverse=True):
+            np.maximum(after[start], arcs[start, end][1] + after[end], out=after[start])
         on_best = np.zeros((n + 1, m), dtype=bool)
         on_best[n] = True
         for end in range(n, 0, -1):
@@ -168,16 +191,24 @@ class Pieces:
             through = ahead[start] + score + after[end]
             used = on_best[end] & (step[end] == start)
             np.maximum(second, np.where(used, -np.inf, through), out=second)
-        paths: list[list[int]] = [[] for _ in range(m)]
-        for end in range(1, n + 1):
-            for row in np.flatnonzero(on_best[end]):
-                start = step[end][row]
-                i = arcs[start, end][0][row]
-                if i >= 0:
-                    paths[row].append(int(i))
-                else:
-                    paths[row].extend(int(self.byte_ids[b]) for b in units[row][start].encode(errors="surrogatepass"))
-        return [tuple(p) for p in paths], ahead[n], second
+        on = on_best[1:].T
+        rows, ends = np.nonzero(on)
+        path = taken[1:].T[on].astype(np.int64)
+        # A character without a piece is spelled in bytes
+        sizes = np.where(path < 0, _width(codes[rows, ends]), 1)
+        spelled = np.flatnonzero(path < 0)
+        path = np.repeat(path, sizes)
+        places = np.cumsum(sizes) - sizes
+        for i in spelled.tolist():
+            raw = units[rows[i]][ends[i]].encode(errors="surrogatepass")
+            path[places[i]:places[i] + len(raw)] = self.byte_ids[list(raw)]
+        return path, np.bincount(rows, weights=sizes, minlength=m).astype(np.int64), ahead[n], second
+
+    def best_of_many(self, units: list[str]) -> tuple[list[tuple[int, ...]], np.ndarray, np.ndarray]:
+        """For units of one length: the best path's ids, its score, and the second path's score."""
+        path, sizes, best, second = self.paths_of_many(units)
+        cuts = np.r_[0, np.cumsum(sizes)].tolist()
+        return [tuple(path[a:b].tolist()) for a, b in itertools.pairwise(cuts)], best, second
 
     def decode(self, ids: np.ndarray, starts: np.ndarray) -> list[bytes]:
         """The text of every run of ids, without the space that encoding puts before a text."""
@@ -197,7 +228,7 @@ class Segmenter:
     def _forget(self) -> None:
         self.slots: dict[bytes, int] = {}
         self.names: list[bytes] = []
-        self.flat = np.zeros(1 << 16, dtype=np.int32)
+        self.flat, self.used = np.zeros(0, dtype=np.int32), 0
         self.starts = self.sizes = np.zeros(0, dtype=np.int64)
         self.best = self.gap = np.zeros(0)
         self.lists: dict[tuple[int, int], list] = {}
@@ -205,33 +236,29 @@ class Segmenter:
     def _learn(self, raw: list[bytes]) -> None:
         by_length: dict[int, list[int]] = {}
         units = [r.decode(errors="surrogatepass").replace(" ", MARK) for r in raw]
-        paths: list[tuple[int, ...]] = [()] * len(units)
-        best, second = np.zeros(len(units)), np.full(len(units), -np.inf)
+        order: list[int] = []
+        parts: list[tuple] = [(self.flat[:self.used], self.sizes, self.best, self.gap)]
         for i, unit in enumerate(units):
             if len(unit) > LONG:
                 two = self.pieces.n_best(unit, 2)
-                best[i], paths[i] = two[0]
-                second[i] = two[1][0] if len(two) > 1 else -np.inf
+                best, path = two[0]
+                gap = best - two[1][0] if len(two) > 1 else np.inf
+                parts.append((np.array(path, dtype=np.int64), np.array([len(path)]), np.array([best]), np.array([gap])))
+                order.append(i)
             else:
                 by_length.setdefault(len(unit), []).append(i)
         for places in by_length.values():
             for a in range(0, len(places), TOGETHER):
                 part = places[a:a + TOGETHER]
-                found, best[part], second[part] = self.pieces.best_of_many([units[i] for i in part])
-                for i, path in zip(part, found, strict=True):
-                    paths[i] = path
-        used = int(self.sizes.sum())
-        sizes = np.array([len(p) for p in paths], dtype=np.int64)
-        total = int(sizes.sum())
-        while used + total > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[used:used + total] = np.fromiter(itertools.chain.from_iterable(paths), dtype=np.int32, count=total)
-        self.starts = np.r_[self.starts, used + np.cumsum(sizes) - sizes]
-        self.sizes = np.r_[self.sizes, sizes]
-        self.best, self.gap = np.r_[self.best, best], np.r_[self.gap, best - second]
-        for r in raw:
-            self.slots[r] = len(self.slots)
-        self.names.extend(raw)
+                path, sizes, best, second = self.pieces.paths_of_many([units[i] for i in part])
+                parts.append((path, sizes, best, best - second))
+                order.extend(part)
+        flat, self.sizes, self.best, self.gap = map(np.concatenate, zip(*parts, strict=True))
+        self.starts, self.used = np.cumsum(self.sizes) - self.sizes, len(flat)
+        self.flat = flat.astype(np.int32)
+        for i in order:
+            self.slots[raw[i]] = len(self.slots)
+            self.names.append(raw[i])
 
     def encode(self, data: np.ndarray, at: np.ndarray):
         """Ids of all rows, where each row's start, and the units (slots) of all rows, likewise."""
@@ -302,6 +329,11 @@ class Segmenter:
         return ids
 
 
+def _width(codes: np.ndarray) -> np.ndarray:
+    """How many bytes of UTF-8 each character has."""
+    return 1 + (codes >= 0x80).astype(np.int64) + (codes >= 0x800) + (codes >= 0x10000)
+
+
 @functools.lru_cache(maxsize=1)
 def worker_segmenter(path: str) -> Segmenter:
     """One segmenter per Python worker, so that its tasks share the units."""
@@ -314,9 +346,12 @@ def _smallest(gaps: np.ndarray, k: int) -> np.ndarray:
     return chosen[np.lexsort((chosen, gaps[chosen]))][:k]
 
 
-def encoded(docs: DataFrame, path: str, n: int = N_BEST) -> DataFrame:
-    """Every row with ``piece_ids`` (the best segmentation), ``n_best_scores`` and ``decoded``."""
-    schema = widened(docs.schema, piece_ids="array<int>", n_best_scores="array<double>", decoded="string")
+def encoded(docs: DataFrame, path: str, n: int = N_BEST, names: tuple[str, str, str] = NAMES) -> DataFrame:
+    """Every row with ``piece_ids`` (the best segmentation), ``n_best_scores`` and ``decoded``.
+
+    Their names must be new among the columns.
+    """
+    schema = widened(docs.schema, **dict(zip(names, ("array<int>", "array<double>", "string"), strict=True)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segmenter = worker_segmenter(path)
@@ -327,7 +362,7 @@ def encoded(docs: DataFrame, path: str, n: int = N_BEST) -> DataFrame:
             yield pa.RecordBatch.from_arrays([
                 *batch.columns, pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(ids.astype(np.int32))),
                 pa.array(scores, pa.list_(pa.float64())), pa.array(back, pa.string()),
-            ], names=[*batch.schema.names, "piece_ids", "n_best_scores", "decoded"])
+            ], names=[*batch.schema.names, *names])
 
     return docs.mapInArrow(run, schema)
 
