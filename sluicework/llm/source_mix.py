@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluicework.llm.components import bounded, written
-from sluicework.llm.texts import WORD
+from sluicework.llm.texts import SPACE, WORD
 
 MAX_EPOCHS, SEED = 3, "mix"
 #: The order's hash has 52 bits: 12 for the first histogram, 12 for the second.
@@ -140,16 +140,22 @@ def shares(docs: DataFrame, weights: Sequence[float], max_epochs: int = MAX_EPOC
 
 
 def mixed_rows(docs: DataFrame, weights: Sequence[float], max_epochs: int = MAX_EPOCHS) -> DataFrame:
-    """The mix itself: each document as often as it is taken, the last one of a source cut to its words."""
+    """The mix itself: each document as often as it is taken.
+
+    The last repetition of a source may be part of a document: its text up to the end of the last taken
+    word, white space as it is.
+    """
     mix = Mix(written(sized(docs), "sizes"), weights, max_epochs)
     names = docs.columns
     packed = docs.select(
-        F.struct(*names).alias("_row"), "doc_id", "source", size_of("text").alias("size"), place_of("doc_id").alias("place"))
+        F.struct(*(F.col(f"`{c}`") for c in names)).alias("_row"), "doc_id", "source", size_of("text").alias("size"), place_of("doc_id").alias("place"))
     found = mix.taken(packed)
     whole = F.col("whole") + ((F.col("part") == F.col("size")) & (F.col("size") > 0)).cast("long")
     copies = F.array_repeat(F.lit(None).cast("long"), whole.cast("int"))
     some = F.when((F.col("part") > 0) & (F.col("part") < F.col("size")), F.array("part")).otherwise(F.array().cast("array<long>"))
     rows = found.select("_row", F.explode(F.concat(copies, some)).alias("_words"))
-    cut = F.when(F.col("_words").isNull(), F.col("_row.text")).otherwise(F.array_join(
-        F.slice(F.regexp_extract_all("_row.text", F.lit(f"({WORD})")), F.lit(1), F.col("_words").cast("int")), " "))
-    return rows.select(*(cut.alias("text") if c == "text" else F.col(f"_row.{c}").alias(c) for c in names))
+    # The words with the white space before them: the cut text is a beginning of the text
+    words = F.regexp_extract_all("_row.text", F.lit(f"({SPACE}*{WORD})"))
+    cut = F.when(F.col("_words").isNull(), F.col("_row.text")).otherwise(
+        F.array_join(F.slice(words, F.lit(1), F.col("_words").cast("int")), ""))
+    return rows.select(*(cut.alias("text") if c == "text" else F.col("_row").getField(c).alias(c) for c in names))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,14 +14,17 @@ from pyspark.sql import types as T
 
 # The bytes that separate words.
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
-# Fixed value: what a word is.
+# What a word is, and a character between words.
 WORD = r"[^\x20\x09-\x0D]+"
+SPACE = r"[\x20\x09-\x0D]"
 
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[list(SPACES)] = True
 
 BLOCK_BYTES = 1 << 20
 
+_C = ctypes.CDLL(None)
+
 
 def fold_of(doc_id: Column, folds: int) -> Column:
     """The fold of a document by the checksum of its id; a NULL id is in fold 0."""
@@ -51,7 +55,10 @@ def plain_bytes(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def blocks(
     batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = BLOCK_BYTES
 ) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Consecutive rows with about ``limit`` bytes of text at most; a longer text is a block alone."""
+    """Consecutive rows with about ``limit`` bytes of text at most; a longer text is a block alone.
+
+    At the end the worker, which goes on to other tasks, gives back the memory that is free.
+    """
     for batch in batches:
         data, at = plain_bytes(batch.column(column))
         start, rows = 0, batch.num_rows
@@ -60,6 +67,14 @@ def blocks(
             end = min(max(end, start + 1), rows)
             yield batch.slice(start, end - start), data[at[start]:at[end]], at[start:end + 1] - at[start]
             start = end
+    release_memory()
+
+
+def release_memory() -> None:
+    """Returns free memory to the system, as far as the allocators can."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_C, "malloc_trim"):
+        _C.malloc_trim(0)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
