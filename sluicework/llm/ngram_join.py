@@ -36,8 +36,10 @@ RECALL = 0.995
 LIKELY = 0.55
 #: More documents than this below one node are taken as linked, verification decides.
 NODE = 768
-#: Documents in a block of the verification.
-BLOCK = 512
+#: Bytes of text whose shingles are hashed at once.
+TEXT = 1 << 18
+#: Documents, and bytes of their texts, in a block of the verification (on average; a longer text is whole).
+BLOCK, BLOCK_BYTES = 512, 4 << 20
 #: Candidates up to this many are broadcast to fetch their texts (about 150 bytes each).
 FEW_MEMBERS = 200_000
 #: Dropped ids up to this many are broadcast (8 bytes each).
@@ -88,7 +90,7 @@ def _keys(found: np.ndarray, first: np.ndarray) -> list[str]:
 
 
 def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch, data, at in blocks(batches):
+    for batch, data, at in blocks(batches, limit=TEXT):
         n = batch.num_rows
         found, of = shingles(data, at)
         counts = np.bincount(of, minlength=n)
@@ -110,14 +112,14 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 labels[row] = signature[i].tobytes()
         yield pa.RecordBatch.from_arrays([
             batch.column("doc_id"), pa.array(keys, pa.string()), pa.array(counts.astype(np.int64)),
-            pa.array(labels, pa.binary()),
-        ], names=["doc_id", "key", "n_shingles", "signature"])
+            pa.array(np.diff(at)), pa.array(labels, pa.binary()),
+        ], names=["doc_id", "key", "n_shingles", "n_bytes", "signature"])
 
 
 def encode(docs: DataFrame) -> DataFrame:
-    """``(doc_id, key, n_shingles, signature)``: the class key of the shingle set and the MinHashes."""
+    """``(doc_id, key, n_shingles, n_bytes, signature)``: the class key of the shingle set and the MinHashes."""
     return docs.select("doc_id", "text").mapInArrow(
-        _encode, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, key string, n_shingles long, signature binary")
+        _encode, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, key string, n_shingles long, n_bytes long, signature binary")
 
 
 class _Sets:
@@ -306,13 +308,12 @@ def verified(docs: DataFrame, classes: DataFrame, groups: DataFrame, threshold:
     """
     members = groups.select("node", "root").unionByName(
         groups.select(F.col("root").alias("node"), "root").distinct())
-    sizes = members.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    placed = (
-        classes.join(members, F.col("key") == F.col("node"))
-        .select("key", "rep", "weight", F.col("root").alias("comp"))
-        .join(sizes.withColumnRenamed("root", "comp"), "comp")
-        .withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-    )
+    joined = classes.join(members, F.col("key") == F.col("node")).select(
+        "key", "rep", "weight", "n_bytes", F.col("root").alias("comp"))
+    sizes = joined.groupBy("comp").agg(
+        F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n_bytes") / BLOCK_BYTES)).cast("int").alias("blocks"))
+    placed = join_per_key(joined, sizes, ["comp"], "inner").drop("n_bytes").withColumn(
+        "block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     texts = docs.select("doc_id", "text")
     placed = bounded(written(placed, "placed"), FEW_MEMBERS)
     with_text = texts.join(placed, texts["doc_id"].eqNullSafe(placed["rep"]))
@@ -338,7 +339,8 @@ def join(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     encoded = written(encode(docs), "signatures")
     classes = written(
         encoded.filter("key is not null").groupBy("key").agg(
-            F.min("doc_id").alias("rep"), F.count("*").alias("weight"), F.min("signature").alias("signature")),
+            F.min("doc_id").alias("rep"), F.count("*").alias("weight"), F.max("n_bytes").alias("n_bytes"),
+            F.min("signature").alias("signature")),
         "classes")
     groups = components(candidates(classes, stop))
     found = written(verified(docs, classes.drop("signature"), groups, threshold), "verified")
@@ -351,7 +353,7 @@ def join(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         .withColumn("root", F.coalesce("root", "key"))
     )
     smallest = named.groupBy("root").agg(F.min("rep").alias("class_id"))
-    per_class = named.join(smallest, "root").select(
+    per_class = join_per_key(named, smallest, ["root"], "inner").select(
         "key", "class_id", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
         (F.col("weight") - 1).alias("n_copies"))
     return join_per_key(encoded.select("doc_id", "key"), per_class, ["key"]).select(
@@ -365,26 +367,28 @@ def one_per_group(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     An id with several texts loses only the rows that have a partner elsewhere; of equal rows one stays.
     Rows without a shingle are dropped only as repeats of an equal row.
     """
-    rest = [F.col(c) for c in docs.columns if c not in ("doc_id", "text")]
+    # All columns of a row travel in one struct, so that no name can clash
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    row = F.col("row")
+    rest = [row.getField(c) for c in docs.columns if c not in ("doc_id", "text")]
     names = {
-        "doc_id": F.col("doc_id"), "v": F.xxhash64("text"), "v2": F.xxhash64(F.lit(1), "text"),
-        "empty": F.col("text").isNull(), "row": F.xxhash64(F.to_json(F.struct(*rest)) if rest else F.lit("")),
+        "doc_id": row.getField("doc_id"), "v": F.xxhash64(row.getField("text")),
+        "v2": F.xxhash64(F.lit(1), row.getField("text")), "empty": row.getField("text").isNull(),
+        "other": F.xxhash64(F.to_json(F.struct(*(c.alias(f"c{i}") for i, c in enumerate(rest)))) if rest else F.lit("")),
     }
     # The rows are told apart by a struct, which is never NULL and sorts a NULL id first
-    rows = docs.select(F.struct(*(c.alias(n) for n, c in names.items())).alias("doc_id"), "text")
+    rows = whole.select(F.struct(*(c.alias(n) for n, c in names.items())).alias("doc_id"), row.getField("text").alias("text"))
     found = written(join(rows, threshold).select("doc_id", "class_id"), "grouped")
     stays = F.col("doc_id") == F.col("class_id")
-    marks = found.groupBy("doc_id").agg(F.first(stays).alias("_stays"), F.count("*").alias("_n"))
-    marks = marks.filter("not _stays or _n > 1").select(*(F.col(f"doc_id.{n}").alias(f"_{n}") for n in names), "_stays")
-    marks = written(marks, "dropped")
+    marks = found.groupBy("doc_id").agg(F.first(stays).alias("stays"), F.count("*").alias("n"))
+    marks = written(marks.filter("not stays or n > 1").select("doc_id.*", "stays"), "dropped")
 
-    def same(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    def same(right: DataFrame, how: str) -> DataFrame:
         on = F.lit(True)
         for n, c in names.items():
-            on = on & c.eqNullSafe(F.col(f"_{n}"))
-        return left.join(bounded(right, FEW_IDS), on, how)
+            on = on & c.eqNullSafe(F.col(n))
+        return whole.join(bounded(right, FEW_IDS), on, how)
 
-    repeated = marks.filter("_stays")
-    single = same(docs, marks, "left_anti").select(*docs.columns)
-    several = same(docs, repeated, "inner").dropDuplicates([f"_{n}" for n in names]).select(*docs.columns)
-    return single.unionByName(several)
+    single = same(marks, "left_anti").select("row")
+    several = same(marks.filter("stays"), "inner").dropDuplicates(list(names)).select("row")
+    return single.unionByName(several).select(*(row.getField(c).alias(c) for c in docs.columns))
