@@ -26,10 +26,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluicework.llm.components import written
+from sluicework.operators.matching import join_per_key
 from sluicework.operators.ranking import number_rows
 
 CURVES, AXES, LEVELS = 6, 8, 7
 BLOCK = 2048
+#: Queries compared with a block at once, on average.
+QUERIES = 2048
 SAMPLE, RECALL = 48, 0.96
 K = 10
 
@@ -112,7 +115,7 @@ def _nearest(queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, row_ids: np
 
 
 def _search(size: int, k: int):
-    """Best rows of a block for every query that looks at it; a group is one block of one curve."""
+    """Best rows of a block for every query that looks at it; a group is one block of one curve and a part of its queries."""
 
     def settle(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(parts)
@@ -136,13 +139,13 @@ def _search(size: int, k: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            at = batch.column("curve").to_numpy().astype(np.int64) << 40 | batch.column("block").to_numpy()
-            cuts = [0, *(np.flatnonzero(at[1:] != at[:-1]) + 1).tolist(), len(at)]
+            at = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("curve", "block", "part")], axis=1)
+            cuts = [0, *(np.flatnonzero((at[1:] != at[:-1]).any(axis=1)) + 1).tolist(), len(at)]
             for a, b in zip(cuts, cuts[1:], strict=False):
-                if at[a] != group and parts:
+                if tuple(at[a]) != group and parts:
                     yield settle(parts)
                     parts = []
-                group = at[a]
+                group = tuple(at[a])
                 parts.append(batch.slice(a, b - a))
         if parts:
             yield settle(parts)
@@ -203,8 +206,9 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, curves: int = CURVE
         few.select("vec_id", "vector", F.lit(0).alias("side")).unionByName(
             rows.filter(is_query).distinct().select("vec_id", "vector", F.lit(1).alias("side"))), "vectors")
 
+    kind = both.schema["vector"].dataType.simpleString()
     keyed = both.mapInArrow(
-        _keys(size, spread, curves, seed), "curve int, key long, vec_id long, vector array<float>, side int")
+        _keys(size, spread, curves, seed), f"curve int, key long, vec_id long, vector {kind}, side int")
     numbered = number_rows(keyed, ["curve", "key", "side", "vec_id"], "rn")
     offsets = {r["curve"]: r["first"] for r in numbered.groupBy("curve").agg(F.min("rn").alias("first")).collect()}
     first = F.get(F.array(*(F.lit(offsets.get(c, 0)) for c in range(curves))), F.col("curve"))
@@ -214,11 +218,17 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, curves: int = CURVE
     last = placed.agg(F.max("block")).first()[0] or 0
     low = F.greatest(F.lit(0), F.floor((F.col("rn") - window) / BLOCK)).cast("long")
     high = F.least(F.lit(last), F.floor((F.col("rn") + window) / BLOCK)).cast("long")
-    columns = ["curve", "block", "side", "vec_id", "vector"]
+    columns = ["curve", "block", "part", "side", "vec_id", "vector"]
     asked = placed.filter("side = 1").withColumn("block", F.explode(F.sequence(low, high)))
-    met = placed.filter("side = 0").select(*columns).unionByName(asked.select(*columns))
+    # A block that many queries look at is repeated for parts of them
+    keys = ["curve", "block"]
+    parts = written(asked.groupBy(*keys).agg(F.ceil(F.count("*") / QUERIES).cast("long").alias("parts")), "parts")
+    asked = join_per_key(asked, parts, keys, "inner").withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")))
+    rows_met = join_per_key(placed.filter("side = 0"), parts, keys, "inner").withColumn(
+        "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    met = rows_met.select(*columns).unionByName(asked.select(*columns))
     found = (
-        met.repartition(F.col("curve"), F.col("block")).sortWithinPartitions("curve", "block")
+        met.repartition(*(F.col(c) for c in (*keys, "part"))).sortWithinPartitions(*keys, "part")
         .mapInArrow(_search(size, k), FOUND)
     )
     return ranked(found, k)
