@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluicework.llm.byteconv import Adam, Filters, chunk_bytes, chunk_starts, fresh_taps
@@ -25,7 +25,7 @@ LENGTH = STRIDE = 256
 WIDTHS = {2: 8, 3: 8, 4: 8}
 SPAN = LENGTH + max(WIDTHS) - 1
 #: At most so many documents are learned from, and so many windows of each.
-SAMPLE, SAMPLE_WINDOWS = 4000, 4
+SAMPLE, SAMPLE_WINDOWS = 1000, 4
 EPOCHS, GROUP, RATE = 6, 128, 0.01
 #: A small sample is gone through more often, up to so many steps.
 STEPS = 300
@@ -95,13 +95,18 @@ def train(chunks: np.ndarray, kinds: list[str], first: np.ndarray, seed: int = 1
 
 
 def fit(docs: DataFrame, label: str = "lang", usable: Column | None = None, most: int = SAMPLE) -> Model:
-    """A network learned from at most ``most`` labelled documents, chosen by the hash of their id."""
+    """A network learned from at most ``most`` labelled documents of each language, chosen by the hash of their id.
+
+    So a language with few documents is learned from all of them, however many the others have.
+    """
     rows = docs if usable is None else docs.filter(usable)
-    sample = (
+    known = (
         rows.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
         .groupBy("doc_id").agg(F.min(label).alias("kind"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     )
+    # Spark keeps the first rows of a language in every task before they meet
+    order = Window.partitionBy("kind").orderBy(F.xxhash64("doc_id"), "doc_id")
+    sample = known.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= most).drop("nth")
     chunks, kinds, first = sample_chunks(docs, sample, "string", LENGTH, STRIDE, SPAN, SAMPLE_WINDOWS)
     return train(chunks, kinds, first)
 
