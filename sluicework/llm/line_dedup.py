@@ -95,7 +95,8 @@ def shared_bands(sketch: DataFrame) -> DataFrame:
     rows = sketch.select("k", F.posexplode(_bands()).alias("at", "band")).filter("band is not null")
     ends = rows.groupBy("band").agg(
         F.min("k").alias("low"), F.max("k").alias("high"), F.count("*").alias("n")).filter("low < high")
-    return rows.join(ends, "band")
+    # A band may be that of a third of all lines
+    return join_per_key(rows, ends, ["band"], "inner")
 
 
 def candidate_links(sketch: DataFrame, shared: DataFrame) -> DataFrame:
@@ -238,16 +239,18 @@ def without_repeats(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """
     dropped = (
         line_classes(docs, threshold).filter(~F.col("kept"))
-        .groupBy(F.col("doc_id").alias("_doc"), F.col("version").alias("_version"))
-        .agg(F.collect_set("line_no").alias("_dropped"))
+        .groupBy("doc_id", "version").agg(F.collect_set("line_no").alias("gone"))
     )
-    lines = F.split("text", "\n")
-    joined = docs.withColumn("_text", F.xxhash64("text")).join(
-        dropped, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_text") == F.col("_version")), "left")
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "_dropped")
-    text = F.array_join(F.transform(left, lambda i: F.get(F.col("_lines"), i)), "\n")
-    cleaned = joined.withColumn("_lines", lines).withColumn(
-        "_new", F.when(F.col("_dropped").isNull(), F.col("text")).otherwise(text))
-    stays = F.col("_dropped").isNull() | F.col("_new").rlike(HAS_WORD)
+    # All columns of a row travel in one struct, so that no name can clash
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    whole = docs.select(row, F.xxhash64("text").alias("own"))
+    joined = whole.join(
+        dropped, F.col("row").getField("doc_id").eqNullSafe(F.col("doc_id")) & (F.col("own") == F.col("version")), "left")
+    text = F.col("row").getField("text")
+    parts = joined.select("row", "gone", F.split(text, "\n").alias("lines"))
+    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")
+    rest = F.array_join(F.transform(left, lambda i: F.get(F.col("lines"), i)), "\n")
+    cleaned = parts.select("row", "gone", F.when(F.col("gone").isNull(), text).otherwise(rest).alias("new"))
+    stays = F.col("gone").isNull() | F.col("new").rlike(HAS_WORD)
     return cleaned.filter(stays).select(
-        *(F.col("_new").alias("text") if c == "text" else F.col(c) for c in docs.columns))
+        *((F.col("new") if c == "text" else F.col("row").getField(c)).alias(c) for c in docs.columns))

@@ -344,6 +344,121 @@ def test_neighbours(spark, none):
     assert curve_neighbours.search(table.limit(0), F.lit(True)).count() == 0
 
 
+def test_vectors_of_doubles(spark):
+    rows = [(i, [float(i), 1.0 / 3]) for i in range(30)]
+    table = spark.createDataFrame(rows, "vec_id long, vector array<double>")
+    got = curve_neighbours.search(table, F.col("vec_id") == 0, k=3).collect()
+    assert [(r["vec_id"], r["score"]) for r in sorted(got, key=lambda r: r["rank"])] == [(1, 1.0), (2, 2.0), (3, 3.0)]
+
+
+def test_neighbours_in_parts_of_queries(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(400, 6)))], "vec_id long, vector array<double>")
+    whole = sorted(map(tuple, curve_neighbours.search(table, F.col("vec_id") % 2 == 0).collect()))
+    monkeypatch.setattr(curve_neighbours, "QUERIES", 7)
+    assert sorted(map(tuple, curve_neighbours.search(table, F.col("vec_id") % 2 == 0).collect())) == whole
+
+
+def test_a_rare_language_is_learned(spark):
+    ship(spark)
+    rows = [(i, f"the old house and the green tree {i}", "en") for i in range(300)] + [(1000 + i, "старый дом и зелёное дерево", "ru") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sorted(language_cnn.fit(docs, most=20).languages) == ["en", "ru"]
+
+
+def test_a_cut_row_is_a_beginning_of_its_text(spark):
+    text = "\n one\ttwo \n\nthree  four\x0bfive \n"
+    docs = spark.createDataFrame([(i, text, "a") for i in range(3)] + [(i, "x " * 40, "b") for i in range(9, 12)], "doc_id long, text string, source string")
+    got = [r["text"] for r in source_mix.mixed_rows(docs, (1, 20)).filter("source = 'a'").collect()]
+    cut = [x for x in got if x != text]
+    assert cut and all(text.startswith(x) and x[-1].strip() for x in cut)
+
+
+CLASHING = ("doc_id long, text string, source string, n_chars long, _text string, _lines string, _new string, _doc string, "
+            "_v string, _row string, decoded string, piece_ids string, row string, own string, gone string, at string")
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    import corpus_pipeline
+
+    ship(spark)
+    texts = ["one line here that is long enough to count\nanother of them, all different", None, "", "one line here that is long enough to count\nthird text"]
+    rows = [(i, t, "s", 0, *"abcdefghijkl") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, CLASHING)
+    for stage in (corpus_pipeline.drop_repeated_lines, corpus_pipeline.one_of_each_group, corpus_pipeline.mix_sources):
+        out = stage(spark, docs, SMALL)
+        assert out.schema.names == docs.columns
+        assert {tuple(r)[4:] for r in out.collect()} == {tuple("abcdefghijkl")}
+    out = corpus_pipeline.encode_pieces(spark, docs, SMALL)
+    assert out.columns == [*docs.columns, "piece_ids_", "n_best_scores", "decoded_"]
+    assert all(r["decoded_"] == (r["text"] or "") for r in out.collect())
+
+
+def near(a, b, threshold=0.8):
+    return len(a & b) >= threshold * len(a | b) - 1e-9 and bool(a & b)
+
+
+def brute_lines(rows):
+    """Stage 2 by comparing all lines: ``(doc_id, text, …)`` rows to those that stay, with their new texts."""
+    places = sorted({(r[0], r[1], n, line) for r in rows for n, line in enumerate((r[1] or "").split("\n")) if WORD.search(line)},
+                    key=lambda p: (p[0], p[2]))
+    lines = list(dict.fromkeys(p[3] for p in places))
+    sets = [frozenset(x.encode()[k:k + 8] for k in range(max(1, len(x.encode()) - 7))) for x in lines]
+    roots = union([p for p in itertools.combinations(range(len(sets)), 2) if near(sets[p[0]], sets[p[1]])], range(len(sets)))
+    first = {}
+    for p in places:
+        first.setdefault(roots[lines.index(p[3])], p)
+    kept = {p[:3] for p in first.values()}
+    out = []
+    for r in rows:
+        had = [(n, x) for n, x in enumerate((r[1] or "").split("\n"))]
+        left = [x for n, x in had if not WORD.search(x) or (r[0], r[1], n) in kept]
+        if len(left) == len(had):
+            out.append(r)
+        elif any(WORD.search(x) for x in left):
+            out.append((r[0], "\n".join(left), *r[2:]))
+    return out
+
+
+def brute_groups(rows):
+    """Stage 3 by comparing all documents."""
+    rows = sorted(rows, key=lambda r: r[0])
+    sets = []
+    for r in rows:
+        words = WORD.findall(r[1] or "")
+        sets.append({tuple(words[k:k + 5]) for k in range(len(words) - 4)} or ({tuple(words)} if words else set()))
+    roots = union([p for p in itertools.combinations(range(len(sets)), 2) if near(sets[p[0]], sets[p[1]])], range(len(sets)))
+    return [r for i, r in enumerate(rows) if roots[i] == i and (i == 0 or r not in rows[:i])]
+
+
+def test_stages_equal_brute_force(spark):
+    """Stages 2, 3 and 5 row by row on documents with repeats; stage 4 by its totals."""
+    import corpus_pipeline
+
+    ship(spark)
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "source").filter("doc_id < 60")
+    plain = [tuple(r) for r in docs.collect()]
+    extra = [(200 + i, t + (" one more word" if i % 2 else ""), s) for i, (_, t, s) in enumerate(plain[:8])] + [(300, None, "src0"), (301, "", None)]
+    rows = plain + extra + extra[:2]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    lines = corpus_pipeline.drop_repeated_lines(spark, docs, SMALL)
+    got = collections.Counter(tuple(r) for r in lines.collect())
+    assert got == collections.Counter(brute_lines(rows))
+    groups = collections.Counter(tuple(r) for r in corpus_pipeline.one_of_each_group(spark, docs, SMALL).collect())
+    assert groups == collections.Counter(brute_groups(rows))
+    taken = {r["doc_id"]: r["taken"] for r in source_mix.shares(docs.dropDuplicates(), (5, 2, 1)).collect()}
+    words = collections.Counter()
+    for r in corpus_pipeline.mix_sources(spark, docs.dropDuplicates(), SMALL).collect():
+        words[r["doc_id"]] += len(WORD.findall(r["text"] or ""))
+    assert +words == +collections.Counter(taken)
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    for r in corpus_pipeline.encode_pieces(spark, docs, SMALL).collect():
+        assert r["decoded"] == (r["text"] or "") and (bool(r["piece_ids"]) == bool(r["text"]))
+        assert all(0 <= i < model.get_piece_size() for i in r["piece_ids"])
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
