@@ -1,11 +1,13 @@
 """Quality rules: plain counts, then a hashed n-gram logistic regression with calibrated probabilities.
 
-The features are word 1- and 2-grams and byte 3- and 5-grams, hashed into one table of weights. A
-document's log-odds are the mean weight of each of the four kinds, scaled, so length does not count.
+The features are word 1- and 2-grams and character (code point) 3- and 5-grams, hashed into one table of
+weights. A document's log-odds are the mean weight of each of the four kinds, scaled, so length does not count.
 
 Defined results: a NULL text has no words. A document without an n-gram of some kind gets nothing from
 that kind. Without labelled rows, or with labels of one kind only, every document's probability is the
-smoothed share of label 1 (0.5 without labels). Repeated rows are judged alike, row by row.
+smoothed share of label 1 (0.5 without labels). Repeated rows are judged alike, row by row; scores are
+compared with fixed thresholds, so ties need no rule. An empty table gives an empty table. Very long texts
+are scored whole, alone in their block.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, REPEAT_WINDOW, REPEAT_PERCENT = 20, 8, 30
 
 BITS = 18
-BYTE_GRAMS = (3, 5)
+CHARACTER_GRAMS = (3, 5)
 SCALE = 20.0
 #: At most so many labelled documents of each kind are learned from, by so many spans of so many bytes.
 SAMPLE, SPANS, SPAN = 1000, 6, 512
@@ -80,6 +82,16 @@ def base_counts(data: np.ndarray, at: np.ndarray, words=None) -> dict[str, np.nd
     }
 
 
+def characters(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number for every code point, of its UTF-8 bytes, and its row. Bytes of a cut code point at a row's
+    start belong to none."""
+    lead = np.flatnonzero((data & 0xC0) != 0x80)
+    rows = np.searchsorted(at, lead, side="right") - 1
+    size = np.minimum(np.minimum(np.r_[lead[1:], len(data)], at[rows + 1]) - lead, 4)
+    eight = eight_bytes(np.concatenate([data, np.zeros(8, dtype=np.uint8)]), len(data))
+    return eight[lead] & ((np.uint64(1) << (8 * size).astype(np.uint64)) - np.uint64(1)), rows
+
+
 def features(data: np.ndarray, at: np.ndarray, words) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each kind of n-gram its slots in the weight table and the rows they belong to."""
     _, _, rows, hashes = words
@@ -87,12 +99,10 @@ def features(data: np.ndarray, at: np.ndarray, words) -> list[tuple[np.ndarray,
     found = [(hashes >> shift, rows)]
     pairs, first = window_hashes(hashes, rows, 2)
     found.append((pairs >> shift, rows[first]))
-    eight = eight_bytes(np.concatenate([data, np.zeros(8, dtype=np.uint8)]), len(data))
-    of = np.repeat(np.arange(len(at) - 1), np.diff(at))
-    for n in BYTE_GRAMS:
-        inside = np.arange(len(data)) + n <= at[1:][of]
-        grams = (eight[inside] & np.uint64((1 << (8 * n)) - 1)) * np.uint64(0x9E3779B97F4A7C15 + 2 * n)
-        found.append((grams >> shift, of[inside]))
+    chars, of = characters(data, at)
+    for n in CHARACTER_GRAMS:
+        grams, first = window_hashes(chars, of, n)
+        found.append((grams >> shift, of[first]))
     return [(slots.astype(np.int32), of) for slots, of in found]
 
 
