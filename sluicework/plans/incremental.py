@@ -236,6 +236,31 @@ def publish_batch(t):
     return orders.unionAll(details)
 
 
+@query(
+    "snapshot_read",
+    """SELECT v.version, year(o_orderdate) AS batch_id, o_orderpriority, count(*) AS n_rows,
+              CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total
+       FROM orders JOIN (VALUES (1, 1996), (1, 1998), (2, 1997), (2, 1998)) v(version, shown)
+       ON year(o_orderdate) = v.shown GROUP BY 1, 2, 3""",
+)
+def snapshot_read(t):
+    """Orders in batches by year: 1996 and 1998 are published, then 1997 in place of 1996. Both versions
+    are read after that."""
+    store = BatchStore(t.spark, scratch_path(t.spark, "versions"))
+    store.write_all({"orders": t.orders.select(
+        F.year("o_orderdate").alias("batch_id"), "o_orderpriority",
+        F.col("o_totalprice").cast("decimal(18,2)").alias("price"))})
+    versions = [store.publish([1996, 1998]), store.publish([1997], without=[1996])]
+    first, second = [
+        store.read("orders", version=v).groupBy("batch_id", "o_orderpriority")
+        .agg(F.count("*").alias("n_rows"), F.sum("price").alias("total"))
+        .select(F.lit(v).alias("version"), F.col("batch_id").cast("bigint").alias("batch_id"),
+                "o_orderpriority", "n_rows", "total")
+        for v in versions
+    ]
+    return first.unionAll(second)
+
+
 @query(
     "export_json",
     """SELECT o_orderkey, o_orderpriority, CAST(o_totalprice AS DECIMAL(18,2)) AS o_totalprice, o_orderdate,

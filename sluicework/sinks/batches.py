@@ -1,18 +1,21 @@
 """Several tables as one unit of work.
 
-Every table is written under its batch id. A batch becomes visible when its line in the manifest is
-written, last and by one rename, so a reader sees all tables of a batch or none. A batch written
-again replaces its files: a repeated attempt leaves no copies.
+Every table is written under its batch id. What is visible is a numbered version: a small file with the
+ids of the visible batches, written after their rows. A version is made once, by one publisher; another
+one that wanted the same number starts again from it, so nobody's batch is lost. A reader sees all tables
+of a batch or none, and can stay at a version or go back to one. A batch written again replaces its
+files: a repeated attempt leaves no copies.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluicework.sinks import files
+
 BATCH = "batch_id"
 
 
@@ -24,8 +27,8 @@ class BatchStore:
     def _path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def _manifest(self) -> str:
-        return f"{self.root}/_published"
+    def _versions(self, kind: str = "_versions") -> list[int]:
+        return [int(n) for n in files.names(self.spark, f"{self.root}/{kind}") if n.isdigit()]
 
     def write(self, batch_id: int, tables: Mapping[str, DataFrame]) -> None:
         """Writes the rows of one batch of every table; they stay invisible."""
@@ -45,43 +48,66 @@ class BatchStore:
                 .parquet(self._path(name))
             )
 
-    def publish(self, batch_ids: Sequence[int]) -> None:
-        """Makes batches visible, all at once. Publishing one twice changes nothing."""
-        self.publish_only(set(batch_ids) | set(self.published()))
-
-    def publish_only(self, batch_ids: Iterable[int]) -> None:
-        """Makes exactly these batches visible."""
-        ids = sorted(set(batch_ids))
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self._manifest())
-        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        draft = jvm.org.apache.hadoop.fs.Path(f"{self._manifest()}.{uuid.uuid4().hex}")
-        out = fs.create(draft, True)
-        out.write("\n".join(map(str, ids)).encode())
-        out.close()
-        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-            path.toUri(), self.spark._jsc.hadoopConfiguration()
-        )
-        overwrite = self.spark._sc._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-        overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-        context.rename(fs.makeQualified(draft), fs.makeQualified(path), overwrite)
-
-    def published(self) -> list[int]:
-        """The visible batch ids: one number per batch, never rows."""
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self._manifest())
-        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(path):
+    def publish(self, batch_ids: Iterable[int], without: Iterable[int] = ()) -> int:
+        """Makes batches visible, and those of ``without`` invisible, all at once; gives the version.
+
+        What others published meanwhile stays. A change that is there already makes no new version.
+        """
+        added, removed = set(batch_ids), set(without)
+        return self._change(lambda seen: (seen - removed) | added)
+
+    def publish_only(self, batch_ids: Iterable[int]) -> int:
+        """Makes exactly these batches visible, whatever others published."""
+        only = set(batch_ids)
+        return self._change(lambda seen: only)
+
+    def _change(self, change: Callable[[set[int]], set[int]]) -> int:
+        while True:
+            version = self.version()
+            seen = set(self.published(version))
+            ids = change(seen)
+            if ids == seen:
+                return version
+            path = f"{self.root}/_versions/{version + 1:020d}"
+            if files.create_once(self.spark, path, "\n".join(map(str, sorted(ids)))):
+                return version + 1
+
+    def version(self) -> int:
+        """The number of the last version; 0 before the first."""
+        return max(self._versions(), default=0)
+
+    def published(self, version: int | None = None) -> list[int]:
+        """The batch ids visible at a version (the last one): one number per batch, never rows."""
+        version = self.version() if version is None else version
+        if version == 0:
             return []
-        stream = fs.open(path)
-        text = bytes(stream.readAllBytes()).decode()
-        stream.close()
-        return [int(line) for line in text.split()]
+        if version < max(self._versions("_kept_from"), default=0):
+            raise ValueError(f"the batches of version {version} were removed")
+        return [int(line) for line in files.text_of(self.spark, f"{self.root}/_versions/{version:020d}").split()]
 
-    def read(self, table: str, batch_ids: Sequence[int] | None = None) -> DataFrame:
-        """The published rows of a table; other batches are pruned, not read.
+    def read(self, table: str, batch_ids: Sequence[int] | None = None, version: int | None = None) -> DataFrame:
+        """The published rows of a table at a version; other batches are pruned, not read.
 
-        Give the ids of one ``published()`` call to read several tables of the same state.
+        Give one version, or the ids of one ``published()`` call, to read several tables of the same state.
         """
-        ids = self.published() if batch_ids is None else list(batch_ids)
+        ids = self.published(version) if batch_ids is None else list(batch_ids)
         return self.spark.read.parquet(self._path(table)).filter(F.col(BATCH).isin(ids))
+
+    def remove_unused(self, tables: Iterable[str], keep: int = 1) -> list[int]:
+        """Deletes the batches that none of the last ``keep`` versions shows, and gives their ids.
+
+        Older versions can't be read afterwards. Batches never published are left: they may be in the
+        making. The version files stay (some bytes each), so no number is ever given twice.
+        """
+        versions = sorted(self._versions())
+        floor = max(self._versions("_kept_from"), default=0)
+        old, kept = versions[:-keep], versions[-keep:]
+        if not old or kept[0] <= floor:
+            return []
+        used = {i for v in kept for i in self.published(v)}
+        unused = sorted({i for v in old if v >= floor for i in self.published(v)} - used)
+        files.create_once(self.spark, f"{self.root}/_kept_from/{kept[0]:020d}", "")
+        for i in unused:
+            for name in tables:
+                files.delete(self.spark, f"{self._path(name)}/{BATCH}={i}")
+        return unused

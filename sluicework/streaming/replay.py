@@ -137,7 +137,7 @@ class OrderTables:
             self.STATES: self._states(ids),
             self.APPLIED: merged_ranges(self.store.read(self.APPLIED, ids).select("partition", "first", "last")),
         })
-        self.store.publish_only([target])
+        self.store.publish([target], without=set(ids) - {target})
 
 
 def until_quiet(query: StreamingQuery, seconds: float, poll: float = 0.2) -> None:

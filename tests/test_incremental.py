@@ -1,8 +1,11 @@
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
 from sluicework.operators import incremental as inc
 from sluicework.operators import matching, profile, reconcile
+from sluicework.sinks import files
 from sluicework.sinks.batches import BatchStore
 
 COLUMNS = "id int, v string, n int"
@@ -151,6 +154,53 @@ def test_only_published_partitions_are_read(spark, tmp_path):
     assert "PartitionFilters: [batch_id" in df._jdf.queryExecution().toString()
 
 
+def test_two_publishers_lose_nothing(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "store")
+    ours, theirs = BatchStore(spark, root), BatchStore(spark, root)
+    for batch in (1, 2, 3):
+        ours.write(batch, {"t": frame(spark, (batch, "a", 1))})
+    ours.publish([1])
+    create, tries = files.create_once, []
+
+    def interrupted(session, path, text):
+        tries.append(path)
+        if len(tries) == 1:
+            theirs.publish([2])  # the other publisher takes the number in between
+        return create(session, path, text)
+
+    monkeypatch.setattr(files, "create_once", interrupted)
+    assert ours.publish([3], without=[1]) == 3
+    assert ours.published() == [2, 3] and theirs.published(2) == [1, 2] and len(set(tries)) == 2
+    assert not create(spark, f"{root}/_versions/{3:020d}", "9"), "a version is made once"
+    assert ours.published() == [2, 3]
+    assert files.names(spark, f"{root}/_versions") == [f"{v:020d}" for v in (1, 2, 3)], "no draft is left"
+
+
+def test_many_publishers_at_once(spark, tmp_path):
+    root = str(tmp_path / "store")
+    with ThreadPoolExecutor(8) as pool:
+        versions = list(pool.map(lambda i: BatchStore(spark, root).publish([i]), range(24)))
+    assert sorted(versions) == list(range(1, 25))
+    assert BatchStore(spark, root).published() == list(range(24))
+
+
+def test_older_versions_until_they_are_removed(spark, tmp_path):
+    store = BatchStore(spark, str(tmp_path / "store"))
+    for batch in (1, 2, 3, 4):
+        store.write(batch, {"t": frame(spark, (batch, "a", 1)), "u": frame(spark, (batch, "b", 1))})
+    assert store.published(0) == [] and store.version() == 0
+    assert [store.publish([1, 2]), store.publish([2]), store.publish([3], without=[1, 2])] == [1, 1, 2]
+    assert sorted(r["id"] for r in store.read("t", version=1).collect()) == [1, 2]
+    assert [r["id"] for r in store.read("u").collect()] == [3]
+    assert store.remove_unused(["t", "u"], keep=2) == []
+    assert store.remove_unused(["t", "u"]) == [1, 2] and store.remove_unused(["t", "u"]) == []
+    with pytest.raises(ValueError, match="removed"):
+        store.read("t", version=1)
+    store.publish([4])
+    assert sorted(r["id"] for r in store.read("t").collect()) == [3, 4], "batch 4 was not published then and stays"
+    assert len(list((tmp_path / "store" / "u").glob("batch_id=*"))) == 2
+
+
 def test_full_reload_keeps_the_table(spark, tmp_path):
     path = str(tmp_path / "t")
     for _ in range(2):
