@@ -19,29 +19,29 @@ def top_rows(df: DataFrame, order: Sequence[Column | str], first: int, skip: int
 
 
 def pick_one(df: DataFrame, key: str, seed: int) -> DataFrame:
-    """One row, arbitrary but the same for the same seed."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(1)
+    """One row, arbitrary but the same for the same seed: that of the smallest checksum of key and seed."""
+    mark = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
+    return df.orderBy(mark, F.col(key)).limit(1)
 
 
-def number_rows(df: DataFrame, order: Sequence[Column | str], name: str = "rn") -> DataFrame:
-    """Row numbers 1..n over the whole table.
+def number_rows(
+    df: DataFrame, order: Sequence[Column | str], name: str = "rn", runs: int | None = None
+) -> DataFrame:
+    """Row numbers 1..n over the whole table; without an order as the rows lie.
 
     ``row_number()`` without a partition would sort everything in one task. Here the sorted runs of
     a range shuffle are written once, and each run's number is shifted by the sizes of the runs
     before it. The written table makes run and position the same in both passes. The driver sees one
-    count per run, not rows.
+    count per run, not rows. ``runs`` is the number of sorted runs, about the table's bytes / 128 MB (the
+    session's shuffle partitions, where it is not given).
     """
     spark = df.sparkSession
     path = scratch_path(spark, "numbered")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (
-        df.repartitionByRange(parts, *order)
-        .sortWithinPartitions(*order)
-        .withColumn("_at", F.monotonically_increasing_id())
-        .write.parquet(path)
-    )
-    runs = spark.read.parquet(path).withColumn("_run", F.shiftright("_at", LOCAL_BITS))
-    sizes = {r["_run"]: r["n"] for r in runs.groupBy("_run").agg(F.count("*").alias("n")).collect()}
+    parts = runs or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sorted_runs = df.repartitionByRange(parts, *order).sortWithinPartitions(*order) if order else df
+    sorted_runs.withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
+    numbered = spark.read.parquet(path).withColumn("_run", F.shiftright("_at", LOCAL_BITS))
+    sizes = {r["_run"]: r["n"] for r in numbered.groupBy("_run").agg(F.count("*").alias("n")).collect()}
     starts, before = [], 0
     for run in range(max(sizes, default=-1) + 1):
         starts.append(before)
@@ -51,4 +51,4 @@ def number_rows(df: DataFrame, order: Sequence[Column | str], name: str = "rn")
     shift = F.get(shifts, F.col("_run").cast("int"))
     inside = F.col("_at").bitwiseAND(F.lit((1 << LOCAL_BITS) - 1))
     number = (shift + inside + 1).alias(name)
-    return runs.select(*df.columns, number)
+    return numbered.select(*df.columns, number)

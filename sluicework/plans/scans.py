@@ -275,6 +275,51 @@ def doc_find(t):
     )
 
 
+@query(
+    "doc_skip",
+    """SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus <> 'P'
+       ORDER BY o_totalprice DESC, o_orderkey OFFSET 1000""",
+)
+def doc_skip(t):
+    """All orders but the thousand dearest."""
+    return find(
+        t.orders,
+        filter={"o_orderstatus": {"$ne": "P"}},
+        project=["o_orderkey", "o_custkey", "o_totalprice"],
+        sort=[("o_totalprice", -1), ("o_orderkey", 1)],
+        skip=1000,
+    )
+
+
+@query(
+    "doc_filter",
+    """SELECT o_orderkey, o_custkey, count(*) AS n_lines FROM orders JOIN lineitem ON l_orderkey = o_orderkey
+       WHERE (o_orderpriority IN ('1-URGENT', '2-HIGH') OR o_totalprice >= 250000) AND o_orderstatus <> 'P'
+       GROUP BY 1, 2
+       HAVING count(*) FILTER (l_quantity >= 30 AND l_returnflag = 'R') > 0
+          AND count(*) FILTER (l_returnflag = 'A') = 0 AND count(*) <> 2""",
+)
+def doc_filter(t):
+    """Order documents by conditions on the order and on the elements of its list of lines."""
+    lists = t.lineitem.groupBy("l_orderkey").agg(F.collect_list(F.struct(
+        F.col("l_quantity").alias("quantity"), F.col("l_returnflag").alias("flag"))).alias("lines"))
+    documents = (
+        t.orders.join(lists, F.col("o_orderkey") == F.col("l_orderkey"))
+        .select("o_orderkey", "o_custkey", "lines",
+                F.struct("o_orderpriority", "o_totalprice", "o_orderstatus").alias("head"))
+    )
+    found = find(documents, {
+        "$or": [
+            {"head.o_orderpriority": {"$in": ["1-URGENT", "2-HIGH"]}},
+            {"head.o_totalprice": {"$gte": 250000}},
+        ],
+        "head.o_orderstatus": {"$ne": "P"},
+        "lines": {"$elemMatch": {"quantity": {"$gte": 30}, "flag": "R"}, "$not": {"$size": 2}},
+        "lines.flag": {"$nin": ["A"]},
+    })
+    return found.select("o_orderkey", "o_custkey", F.size("lines").cast("bigint").alias("n_lines"))
+
+
 @query(
     "derive_columns",
     """SELECT event_id, 'events' AS department, event_type AS person,
@@ -346,7 +391,11 @@ def top_k(t):
     )
 
 
-@query("pick_one")
+@query(
+    "pick_one",
+    """SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'O'
+       ORDER BY md5(o_orderkey::VARCHAR || ':7'), o_orderkey LIMIT 1""",
+)
 def pick_one(t):
     unpaid = t.orders.filter(F.col("o_orderstatus") == "O")
     return ranking.pick_one(unpaid.select("o_orderkey", "o_orderstatus"), "o_orderkey", seed=7)
