@@ -29,7 +29,7 @@ def copy(
     spark: SparkSession, source_url: str, target_url: str, target_table: str,
     source_table: str | None = None, query: str | None = None,
     parameters: Mapping[str, object] | None = None, partition_column: str | None = None,
-    parts: int = 8, batch_size: int = 1000, truncate: bool = False,
+    parts: int | None = None, batch_size: int = 1000, truncate: bool = False,
     source_options: Mapping[str, str] | None = None, target_options: Mapping[str, str] | None = None,
 ) -> None:
     """A table or a query result of one system into a table of another.

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime
 import decimal
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,23 +53,88 @@ def with_literals(query: str, parameters: Mapping[str, object] | None) -> str:
     return query if parameters is None else _PARAMETER.sub(put, query)
 
 
+#: Rows of one range where the number of ranges is not given, and ranges counted by one query.
+ROWS_PER_PART, BUCKETS = 1_000_000, 256
+
+Bucket = tuple[int, int, int]
+
+
+def _buckets(
+    spark: SparkSession, url: str, table: str, column: str, low: int, high: int, rows: int, most: int,
+    options: Mapping[str, str],
+) -> list[Bucket]:
+    """``(first, last, rows)`` of neighbouring buckets of the values, each of up to ``most`` rows or one value.
+
+    The source counts them; only the buckets with too many rows are counted again, more finely.
+    """
+    done, crowded = [], [(low, high, rows)]
+    while crowded:
+        finer: list[Bucket] = []
+        for first, last, n in crowded:
+            if n <= most or first == last:
+                done.append((first, last, n))
+                continue
+            width = (last - first) // BUCKETS + 1
+            counted = read_query(spark, url, f"""
+                SELECT MIN(v) AS lo, MAX(v) AS hi, COUNT(*) AS n
+                FROM (SELECT {column} AS v, FLOOR({column} / {width}) AS bucket FROM {table}
+                      WHERE {column} BETWEEN {first} AND {last}) b
+                GROUP BY bucket""", **options)
+            finer += [(int(lo), int(hi), int(n)) for lo, hi, n in counted.collect()]
+        crowded = finer
+    return sorted(done)
+
+
+def equal_ranges(buckets: Sequence[Bucket], column: str, parts: int, n_null: int) -> list[str]:
+    """Conditions that cut the values into up to ``parts`` ranges of similar numbers of rows.
+
+    Together they hold for every row, also for one that came after the counting. Only a value that has more
+    rows than half a range's share makes its range larger than one and a half shares. Many NULLs have a
+    range of their own.
+    """
+    total, before, starts = sum(n for *_, n in buckets), 0, {}
+    for first, _, n in buckets:
+        # By the place of the bucket's middle row
+        starts.setdefault((2 * before + n) * parts // (2 * total), first)
+        before += n
+    starts = list(starts.values())
+    ranges = []
+    for i, first in enumerate(starts):
+        bounds = [f"{column} >= {first}"] if i else []
+        bounds += [f"{column} < {starts[i + 1]}"] if i + 1 < len(starts) else []
+        ranges.append(" AND ".join(bounds))
+    if 2 * n_null * parts > total:
+        return [r or f"{column} IS NOT NULL" for r in ranges] + [f"{column} IS NULL"]
+    return [f"{ranges[0]} OR {column} IS NULL" if ranges[0] else "1 = 1", *ranges[1:]]
+
+
 def read_table(
     spark: SparkSession, url: str, table: str, partition_column: str | None = None,
-    parts: int = 8, quote: str = '"', **options: str,
+    parts: int | None = None, quote: str = '"', **options: str,
 ) -> DataFrame:
     """A whole table. With a numeric or time ``partition_column`` it is read in parallel ranges.
 
-    The bounds of the ranges are one MIN/MAX at the source; they split the work and drop no row.
+    The ranges of a whole number hold similar numbers of rows, however the values lie: the source counts
+    them first. Those of other types are equal steps from MIN to MAX. Ranges split the work and drop no
+    row. Without ``parts`` there is one for each ``ROWS_PER_PART`` rows.
     """
     reader = spark.read.format("jdbc").options(url=url, **options)
     if partition_column is None:
         return reader.option("dbtable", table).load()
     column = f"{quote}{partition_column}{quote}"
-    low, high = read_query(
-        spark, url, f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}", **options
+    low, high, filled, rows = read_query(
+        spark, url,
+        f"SELECT MIN({column}) AS lo, MAX({column}) AS hi, COUNT({column}) AS filled, COUNT(*) AS n FROM {table}",
+        **options,
     ).first()
-    if low is None:
+    parts = parts or max(1, -(-int(rows) // ROWS_PER_PART))
+    if low is None or parts == 1:
         return reader.option("dbtable", table).load()
+    if isinstance(low, int):
+        most = max(1, -(-int(filled) // parts) // 2)
+        buckets = _buckets(spark, url, table, column, low, high, int(filled), most, options)
+        return spark.read.options(**options).jdbc(
+            url, table, predicates=equal_ranges(buckets, column, parts, int(rows - filled)))
     return reader.options(
         dbtable=table, partitionColumn=partition_column, lowerBound=str(low), upperBound=str(high),
         numPartitions=str(parts),

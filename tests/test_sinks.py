@@ -189,3 +189,28 @@ def test_load_metrics(spark, tmp_path):
 def test_load_stamp_is_one_per_query(spark):
     stamped = spark.range(1000, numPartitions=4).withColumn("transfered_at", F.current_timestamp())
     assert stamped.select("transfered_at").distinct().count() == 1
+
+
+def test_ranges_have_similar_numbers_of_rows(spark):
+    url = f"jdbc:derby:memory:d{uuid.uuid4().hex};create=true"
+    # Nine tenths of the keys lie close together, the others far apart, some below zero; some are NULL
+    keys = F.when(F.col("id") < 3600, F.col("id") % 3000 + 10).otherwise((F.col("id") - 3800) * F.lit(10**15))
+    source = spark.range(4000).select(F.when(F.col("id") % 100 != 7, keys).alias("K"), F.col("id").alias("V"))
+    source.write.jdbc(url, "SKEWED")
+    df = read_table(spark, url, "SKEWED", partition_column="K", parts=8)
+    sizes = [n for n in df.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect() if n]
+    assert 6 <= len(sizes) <= 9 and sum(sizes) == 4000 and max(sizes) < 2 * 4000 / len(sizes)
+    assert rows_of(df) == rows_of(source)
+    assert read_table(spark, url, "SKEWED", partition_column="K").rdd.getNumPartitions() == 1
+    # One key and NULL with a third each: they have ranges of their own, nothing is lost or doubled
+    hot = spark.range(900).select(
+        F.when(F.col("id") % 3 == 0, 5).when(F.col("id") % 3 == 1, F.col("id")).cast("int").alias("K"), F.col("id").alias("V"))
+    hot.write.jdbc(url, "HOT")
+    df = read_table(spark, url, "HOT", partition_column="K", parts=6)
+    sizes = sorted(df.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect())
+    assert sum(sizes) == 900 and sizes[-1] <= 305 and len(sizes) >= 5
+    assert rows_of(df) == rows_of(hot)
+
+
+def rows_of(df):
+    return sorted(repr(tuple(r)) for r in df.collect())
