@@ -70,3 +70,20 @@ def iso_timestamp(text: Column) -> Column:
 
 def iso_date(text: Column) -> Column:
     return F.when(F.trim(text).rlike(ISO_DATE), F.trim(text).try_cast("date"))
+
+
+def iso_time(text: Column) -> Column:
+    """An ISO time of day as ``HH:MM:SS.ffffff`` text, which casts to TIME; NULL for what is none.
+
+    ``10``, ``10:11``, ``10:11:12`` and ``10:11:12.5`` (or with a comma), with or without a leading T, and the
+    same without colons. Digits beyond microseconds are cut. A time with an offset is no time of day.
+    """
+    shape = r"^T?([01]\d|2[0-3])(?:(:?)([0-5]\d)(?:\2([0-5]\d)(?:[.,](\d+))?)?)?$"
+
+    def part(group: int) -> Column:
+        return F.regexp_extract(text, shape, group)
+
+    written = F.concat(
+        part(1), F.lit(":"), F.rpad(part(3), 2, "0"), F.lit(":"), F.rpad(part(4), 2, "0"),
+        F.lit("."), F.rpad(part(5), 6, "0"))
+    return F.when(text.rlike(shape), written)

@@ -75,7 +75,7 @@ def folded_json_object(text: Column) -> Column:
 def converted(text: Column, kind: T.DataType, strict: bool = True, what: str = "value") -> Column:
     """Text to ``kind``. A text that does not convert is an error, or NULL when not strict.
 
-    The outcome does not depend on ``spark.sql.ansi.enabled``.
+    The outcome does not depend on ``spark.sql.ansi.enabled``. TIME needs ``spark.sql.timeType.enabled``.
     """
     if isinstance(kind, T.StringType):
         return text
@@ -83,6 +83,8 @@ def converted(text: Column, kind: T.DataType, strict: bool = True, what: str = "
         return as_flag(text)
     if isinstance(kind, T.DateType):
         value = clock.iso_date(text)
+    elif isinstance(kind, T.TimeType):
+        value = clock.iso_time(text).try_cast(kind)
     elif isinstance(kind, (T.TimestampNTZType, T.TimestampType)):
         value = clock.iso_timestamp(text).cast(kind)
     elif isinstance(kind, (T.IntegerType, T.LongType, T.ShortType, T.ByteType,
