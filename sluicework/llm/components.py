@@ -3,7 +3,8 @@
 Every node hooks to its smallest neighbour, chains of hooks are shortened by pointer jumping, and the
 links are rewritten to the trees' roots until none is left between two trees. A node with a third of
 all links is one row after the map-side minimum, and the joins have the many links on the splittable
-left side. Each round is written to the shared scratch folder, so a lost executor repeats one step.
+left side. Each round is written to the shared scratch folder, so a lost executor repeats one step, and
+the tables of the round before are removed once the new ones stand.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluicework.session import scratch_path
+from sluicework.sinks import files
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -21,6 +23,32 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Named tables in the shared scratch folder, removed when nothing reads them any more.
+
+    A name that is written again loses its former table once the new one stands, so the new one may be made
+    of the former. Whoever drops a name must have no lazy rows of it left.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, {}
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        df.write.parquet(path)
+        self.drop(name)
+        self.paths[name] = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            if name in self.paths:
+                files.delete(self.spark, self.paths.pop(name))
+
+    def drop_all(self) -> None:
+        self.drop(*list(self.paths))
+
+
 def _mapped(df: DataFrame, column: str, roots: DataFrame) -> DataFrame:
     to = roots.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
     found = df.join(to, F.col(column) == F.col("_node"), "left")
@@ -34,24 +62,28 @@ def components(links: DataFrame) -> DataFrame:
     end say nothing. An empty table of links gives an empty result.
     """
     spark: SparkSession = links.sparkSession
+    tables = Scratch(spark)
     low, high = F.least("a", "b"), F.greatest("a", "b")
     links = links.filter(F.col("a") != F.col("b"))
-    links = written(links.select(low.alias("lo"), high.alias("hi")).distinct(), "links")
+    links = tables.written(links.select(low.alias("lo"), high.alias("hi")).distinct(), "links")
     labels = None
     while not links.isEmpty():
-        roots = written(links.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("root")), "hooks")
+        roots = tables.written(links.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("root")), "roots")
         while True:
             on = roots.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
-            jumped = written(
+            jumped = tables.written(
                 roots.join(on, F.col("root") == F.col("_node"), "left").select(
                     "node", F.coalesce("_root", "root").alias("root"), F.col("_node").isNotNull().alias("moved")),
-                "jumps")
+                "roots")
             roots = jumped.select("node", "root")
             if jumped.filter("moved").isEmpty():
                 break
         moved = _mapped(_mapped(links, "lo", roots), "hi", roots).filter(F.col("lo") != F.col("hi"))
-        links = written(moved.select(F.least("lo", "hi").alias("lo"), F.greatest("lo", "hi").alias("hi")).distinct(), "links")
-        labels = roots if labels is None else written(_mapped(labels, "root", roots).unionByName(roots), "labels")
+        links = tables.written(
+            moved.select(F.least("lo", "hi").alias("lo"), F.greatest("lo", "hi").alias("hi")).distinct(), "links")
+        labels = tables.written(
+            roots if labels is None else _mapped(labels, "root", roots).unionByName(roots), "labels")
+    tables.drop("links", "roots")
     if labels is None:
         kind = links.schema["lo"].dataType
         return spark.createDataFrame([], f"node {kind.simpleString()}, root {kind.simpleString()}")

@@ -5,8 +5,8 @@ offset (a shorter line is one shingle). One hash per shingle fills ``2 * BANDS``
 minima; two bins make a band. Lines that share a band are compared with that band's smallest and
 largest line: first by their bins, then by the exact Jaccard similarity of the shingle sets. Verified
 links go to the distributed union-find. Where that leaves the members of a band in several components,
-the others are compared too, in pairs of blocks of bounded size, and the links between components found
-there are joined to the first. So every pair that shares a band and agrees in ``AGREE`` bins is verified
+the others are compared too, in pairs of blocks of bounded size: first by a few bits of every bin, then
+those with a likely partner by their texts. The links between components found there are joined to the first. So every pair that shares a band and agrees in ``AGREE`` bins is verified
 or already connected. Of every component the first line stays.
 
 A long line draws its minima from the shingles whose hash is below a limit set by the line's length,
@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluicework.llm.components import bounded, components, written
+from sluicework.llm.components import Scratch, bounded, components
 from sluicework.operators.matching import join_per_key
 
 SHINGLE, BANDS, DRAWN, THRESHOLD = 8, 7, 84, 0.8
@@ -38,6 +38,8 @@ AGREE = 6
 FEW_KEYS = 1_000_000
 #: Lines, and bytes of lines, in a block of the comparison within a band (on average; a longer line is whole).
 BLOCK, BLOCK_BYTES = 64, 1 << 18
+#: Lines in a block of the search for likely partners, which travel without their texts.
+MARKS_BLOCK = 256
 SPAN = 2**31
 HAS_WORD = r"[^\x20\x09-\x0D]"
 
@@ -71,15 +73,16 @@ def _minima(lines: DataFrame, limit: Column) -> DataFrame:
         *(F.min(F.when(F.col("bin") == i, F.col("h"))).alias(f"m{i}") for i in range(2 * BANDS)))
 
 
-def sketches(lines: DataFrame) -> DataFrame:
+def sketches(lines: DataFrame, tables: Scratch | None = None) -> DataFrame:
     """``(k, m0, m1, …)``: the minima of the bins of every different line, over all its shingles."""
+    tables = tables or Scratch(lines.sparkSession)
     n = F.octet_length("line") - (SHINGLE - 1)
     limit = F.when(n > DRAWN, (F.lit(SPAN * DRAWN) / n).cast("long")).otherwise(F.lit(SPAN).cast("long"))
-    drawn = written(_minima(lines, limit), "drawn")
+    drawn = tables.written(_minima(lines, limit), "drawn")
     empty = sum(F.col(f"m{i}").isNull().cast("int") for i in range(2 * BANDS)) > 0
     short = (F.col("limit") < SPAN) & empty
-    keys = bounded(written(drawn.filter(short).select("k"), "short"), FEW_KEYS)
-    whole = written(_minima(lines.join(keys, "k", "left_semi"), F.lit(SPAN).cast("long")), "whole")
+    keys = bounded(tables.written(drawn.filter(short).select("k"), "short"), FEW_KEYS)
+    whole = tables.written(_minima(lines.join(keys, "k", "left_semi"), F.lit(SPAN).cast("long")), "whole")
     return drawn.filter(~short).unionByName(whole).drop("limit")
 
 
@@ -111,17 +114,18 @@ def candidate_links(sketch: DataFrame, shared: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").filter(agree >= AGREE).select("a", "b")
 
 
-def _texts(lines: DataFrame, keys: DataFrame) -> DataFrame:
+def _texts(lines: DataFrame, keys: DataFrame, tables: Scratch) -> DataFrame:
     """``(k, b)``: the bytes of the lines with these keys."""
-    keys = written(keys.distinct(), "keys")
-    return written(
+    keys = tables.written(keys.distinct(), "keys")
+    return tables.written(
         lines.select("k", "line").join(bounded(keys, FEW_KEYS), "k")
         .groupBy("k").agg(F.min("line").alias("line")).select("k", F.col("line").cast("binary").alias("b")), "texts")
 
 
-def verified_links(lines: DataFrame, pairs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def verified_links(
+    lines: DataFrame, pairs: DataFrame, threshold: float = THRESHOLD, tables: Scratch | None = None) -> DataFrame:
     """The pairs whose shingle sets have at least the Jaccard similarity."""
-    texts = _texts(lines, pairs.select(F.explode(F.array("a", "b")).alias("k")))
+    texts = _texts(lines, pairs.select(F.explode(F.array("a", "b")).alias("k")), tables or Scratch(lines.sparkSession))
     # The texts travel, their shingles (eight times as long) are made where they are compared
     both = pairs.join(texts.select(F.col("k").alias("a"), F.col("b").alias("ta")), "a").join(
         texts.select(F.col("k").alias("b"), F.col("b").alias("tb")), "b")
@@ -134,60 +138,93 @@ def verified_links(lines: DataFrame, pairs: DataFrame, threshold: float = THRESH
     return sets.filter(shared >= threshold * all_ - 1e-9).select("a", "b")
 
 
-def open_members(shared: DataFrame, roots: DataFrame) -> DataFrame:
+def open_members(shared: DataFrame, roots: DataFrame, tables: Scratch | None = None) -> DataFrame:
     """``(band, at, k, c)``: the lines between the ends of a band, where they lie in several components."""
+    tables = tables or Scratch(shared.sparkSession)
     # Of up to three lines every pair has an end in it
     rows = shared.filter("n > 3 and k <> low and k <> high").select("band", "at", "k")
     rows = rows.join(roots.withColumnRenamed("node", "k"), "k", "left").select("band", "at", "k", F.coalesce("root", "k").alias("c"))
-    rows = written(rows, "between")
+    rows = tables.written(rows, "between")
     open_ = rows.groupBy("band").agg(F.min("c").alias("c_low"), F.max("c").alias("c_high")).filter("c_low < c_high")
     return join_per_key(rows, open_, ["band"], "inner").select("band", "at", "k", "c")
 
 
-def links_within(lines: DataFrame, sketch: DataFrame, members: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``(a, b)``: components joined by a verified pair of lines of one band, each pair of blocks on its own."""
-    width = 64 // (2 * BANDS)
-    # A few bits of every bin: bins that agree have equal bits, so no candidate is missed by them
+MARKS = ("k", "c", "bits", "bands")
+BIN_BITS = 64 // (2 * BANDS)
+
+
+def _marks(sketch: DataFrame) -> DataFrame:
+    """``(k, bands, bits)``: a few bits of every bin; bins that agree have equal bits, so they miss no candidate."""
     bits = F.lit(0).cast("long")
     for i in range(2 * BANDS):
-        bits = F.shiftleft(bits, width).bitwiseOR(
-            F.pmod(F.xxhash64(F.coalesce(f"m{i}", F.lit(-1))), F.lit(2**width)))
-    members = written(members, "members")
-    texts = _texts(lines, members.select("k"))
-    marks = sketch.join(bounded(texts.select("k"), FEW_KEYS), "k").select("k", _bands().alias("bands"), bits.alias("bits"))
-    members = written(members.join(texts.join(marks, "k"), "k"), "open")
-    parts = members.groupBy("band").agg(F.ceil(F.greatest(
-        F.count("*") / BLOCK, F.sum(F.length("b")) / BLOCK_BYTES)).cast("int").alias("blocks"))
+        bits = F.shiftleft(bits, BIN_BITS).bitwiseOR(
+            F.pmod(F.xxhash64(F.coalesce(f"m{i}", F.lit(-1))), F.lit(2**BIN_BITS)))
+    return sketch.select("k", _bands().alias("bands"), bits.alias("bits"))
+
+
+def _met(members: DataFrame, blocks: Column, fields: tuple[str, ...]) -> DataFrame:
+    """``(band, at, i, j, xs)``: the members of a band in pairs of blocks, their fields and side in ``xs``."""
+    parts = members.groupBy("band").agg(F.ceil(blocks).cast("int").alias("blocks"))
     placed = join_per_key(members, parts, ["band"], "inner").withColumn(
         "block", F.pmod(F.xxhash64("k", "band"), F.col("blocks")).cast("int"))
     spread = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
         "band", "at", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        F.struct((F.col("block") > F.col("other")).alias("side"), "k", "c", "bits", "bands", "b").alias("x"))
-    met = spread.groupBy("band", "at", "i", "j").agg(F.collect_list("x").alias("xs")).filter(F.size("xs") > 1)
-    ones = sum(1 << (width * i) for i in range(2 * BANDS))
-
-    def likely(x: Column, y: Column) -> Column:
-        apart = x["bits"].bitwiseXOR(y["bits"])
-        for step in (1, 2):
-            apart = apart.bitwiseOR(F.shiftrightunsigned(apart, step))
-        agree = 2 * BANDS - F.bit_count(apart.bitwiseAND(F.lit(ones)))
-        # Lines that share several bands meet in the first of them
-        before = F.arrays_overlap(F.slice(x["bands"], 1, F.col("at")), F.slice(y["bands"], 1, F.col("at")))
-        return (
-            (x["c"] != y["c"]) & ((x["side"] != y["side"]) | (F.col("i") == F.col("j"))) & (agree >= AGREE)
-            & ~F.coalesce(before, F.lit(False)))
+        F.struct((F.col("block") > F.col("other")).alias("side"), *fields).alias("x"))
+    return spread.groupBy("band", "at", "i", "j").agg(F.collect_list("x").alias("xs")).filter(F.size("xs") > 1)
+
+
+def _likely(x: Column, y: Column) -> Column:
+    """Members of different components that may agree in ``AGREE`` bins."""
+    ones = sum(1 << (BIN_BITS * i) for i in range(2 * BANDS))
+    apart = x["bits"].bitwiseXOR(y["bits"])
+    for step in (1, 2):
+        apart = apart.bitwiseOR(F.shiftrightunsigned(apart, step))
+    agree = 2 * BANDS - F.bit_count(apart.bitwiseAND(F.lit(ones)))
+    # Lines that share several bands meet in the first of them
+    before = F.arrays_overlap(F.slice(x["bands"], 1, F.col("at")), F.slice(y["bands"], 1, F.col("at")))
+    return (
+        (x["c"] != y["c"]) & ((x["side"] != y["side"]) | (F.col("i") == F.col("j"))) & (agree >= AGREE)
+        & ~F.coalesce(before, F.lit(False)))
+
+
+def _with_partner(xs: str) -> Column:
+    return F.filter(xs, lambda x: F.exists(xs, lambda y: _likely(x, y)))
+
+
+def likely_members(sketch: DataFrame, members: DataFrame, tables: Scratch | None = None) -> DataFrame:
+    """``(band, at, k, c, bits, bands)``: the members with a likely partner in their band.
+
+    What travels here has no text, however long the lines are.
+    """
+    tables = tables or Scratch(members.sparkSession)
+    keys = bounded(tables.written(members.select("k").distinct(), "open_keys"), FEW_KEYS)
+    marks = _marks(sketch.join(keys, "k", "left_semi"))
+    members = tables.written(members.join(marks, "k"), "marked")
+    met = _met(members, F.count("*") / MARKS_BLOCK, MARKS)
+    likely = met.select("band", F.explode(_with_partner("xs")).alias("x")).select("band", "x.k").distinct()
+    return members.join(tables.written(likely, "likely"), ["band", "k"], "left_semi")
+
+
+def links_within(
+    lines: DataFrame, sketch: DataFrame, members: DataFrame, threshold: float = THRESHOLD, tables: Scratch | None = None,
+) -> DataFrame:
+    """``(a, b)``: components joined by a verified pair of lines of one band, each pair of blocks on its own."""
+    tables = tables or Scratch(lines.sparkSession)
+    members = tables.written(likely_members(sketch, members, tables), "likely_members")
+    texts = _texts(lines, members.select("k"), tables)
+    members = tables.written(members.join(texts, "k"), "open")
+    met = _met(members, F.greatest(F.count("*") / BLOCK, F.sum(F.length("b")) / BLOCK_BYTES), (*MARKS, "b"))
 
     def once(column: Column) -> Column:
         # An explode keeps what is made once per row out of the lambdas that use it again and again
         return F.explode(F.array(column))
 
-    near = met.select("at", "i", "j", once(F.filter("xs", lambda x: F.exists("xs", lambda y: likely(x, y)))).alias("xs"))
-    near = near.filter(F.size("xs") > 1)
+    near = met.select("at", "i", "j", once(_with_partner("xs")).alias("xs")).filter(F.size("xs") > 1)
 
     def shingled(x: Column) -> Column:
         places = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(x["b"]) - (SHINGLE - 1)))
         s = F.array_distinct(F.transform(places, lambda at: F.xxhash64(x["b"].substr(at, F.lit(SHINGLE)))))
-        return F.struct(*(x[name].alias(name) for name in ("side", "k", "c", "bits", "bands")), s.alias("s"))
+        return F.struct(*(x[name].alias(name) for name in ("side", *MARKS)), s.alias("s"))
 
     sets = near.select("at", "i", "j", once(F.transform("xs", shingled)).alias("xs"))
 
@@ -195,7 +232,7 @@ def links_within(lines: DataFrame, sketch: DataFrame, members: DataFrame, thresh
         both = F.size(x["s"]) + F.size(y["s"])
         shared = F.size(F.array_intersect(x["s"], y["s"]))
         sized = F.least(F.size(x["s"]), F.size(y["s"])) >= threshold * F.greatest(F.size(x["s"]), F.size(y["s"])) - 1e-9
-        return (x["k"] < y["k"]) & likely(x, y) & sized & (shared >= threshold * (both - shared) - 1e-9)
+        return (x["k"] < y["k"]) & _likely(x, y) & sized & (shared >= threshold * (both - shared) - 1e-9)
 
     links = F.flatten(F.transform("xs", lambda x: F.transform(
         F.filter("xs", lambda y: alike(x, y)),
@@ -209,15 +246,21 @@ def line_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     Columns ``doc_id``, ``version`` (hash of the text), ``line_no`` (from 0), ``first`` (a struct of
     the three), ``n_class`` (lines in the class), ``kept``.
     """
+    tables, last = Scratch(docs.sparkSession), Scratch(docs.sparkSession)
     lines = lines_of(docs)
-    sketch = sketches(lines)
-    shared = written(shared_bands(sketch), "shared")
-    pairs = written(candidate_links(sketch, shared), "pairs")
-    roots = components(verified_links(lines, pairs, threshold))
+    sketch = sketches(lines, tables)
+    shared = tables.written(shared_bands(sketch), "shared")
+    pairs = tables.written(candidate_links(sketch, shared), "pairs")
+    roots = components(verified_links(lines, pairs, threshold, tables))
+    tables.drop("pairs", "keys", "texts")
     # Links between components name them by their roots
-    more = components(links_within(lines, sketch, open_members(shared, roots), threshold))
+    members = last.written(open_members(shared, roots, tables), "open_members")
+    tables.drop("shared", "between")
+    more = components(links_within(lines, sketch, members, threshold, tables))
+    tables.drop_all()
+    last.drop("open_members")
     to = more.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
-    roots = written(
+    roots = last.written(
         roots.join(to, F.col("root") == F.col("_node"), "left")
         .select("node", F.coalesce("_root", "root").alias("root")).unionByName(more), "roots")
     nodes = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
@@ -226,7 +269,7 @@ def line_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     placed = lines.drop("line").join(nodes, F.col("k") == F.col("node"), "left").select(
         "doc_id", "version", "line_no", F.coalesce("root", "k").alias("c"),
         F.when(F.col("root").isNull(), F.col("k2")).otherwise(F.lit(0)).alias("c2"))
-    placed = written(placed, "placed")
+    placed = last.written(placed, "placed")
     firsts = placed.groupBy("c", "c2").agg(F.min(place).alias("first"), F.count("*").alias("n_class"))
     return join_per_key(placed, firsts, ["c", "c2"], "inner").select(
         "doc_id", "version", "line_no", "first", "n_class", place.eqNullSafe(F.col("first")).alias("kept"))

@@ -2,8 +2,10 @@
 
 import collections
 import itertools
+import random
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -467,3 +469,32 @@ def test_pipeline(spark):
     out = corpus_pipeline.run(spark, SMALL)
     rows = out.collect()
     assert rows and set(docs.columns) < set(out.columns) and all(r["decoded"] == r["text"] for r in rows)
+
+
+def test_scratch_keeps_only_the_last_table_of_a_name(spark):
+    tables = components.Scratch(spark)
+    once = tables.written(spark.range(5), "t")
+    first = tables.paths["t"]
+    twice = tables.written(once.selectExpr("id * 2 AS id"), "t")
+    assert sorted(r["id"] for r in twice.collect()) == [0, 2, 4, 6, 8]
+    assert not Path(first).exists() and Path(tables.paths["t"]).exists()
+    last = tables.paths["t"]
+    tables.drop_all()
+    assert not Path(last).exists() and not tables.paths
+
+
+@pytest.mark.parametrize("block", [2, 256])
+def test_likely_members_are_those_with_a_partner_in_another_component(spark, monkeypatch, block):
+    monkeypatch.setattr(line_dedup, "MARKS_BLOCK", block)
+    bins = [f"m{i}" for i in range(2 * line_dedup.BANDS)]
+    rng, rows = random.Random(3), []
+    for k in range(40):
+        rows.append([k, 7, 9] + [rng.choice([1, 2, None]) for _ in bins[2:]])
+    sketch = spark.createDataFrame(rows, "k long, " + ", ".join(f"{m} int" for m in bins))
+    component = {k: k // 3 for k in range(40)}
+    members = spark.createDataFrame([(5, 0, k, c) for k, c in component.items()], "band long, at int, k long, c long")
+    got = {r["k"] for r in line_dedup.likely_members(sketch, members).collect()}
+    want = {a[0] for a in rows for b in rows if component[a[0]] != component[b[0]]
+            and sum(x == y for x, y in zip(a[1:], b[1:])) >= line_dedup.AGREE}
+    # The few bits of a bin may make more members likely, never fewer
+    assert want and want <= got
