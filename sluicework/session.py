@@ -5,9 +5,14 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
+from sluicework.sinks import files
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -17,6 +22,7 @@ SETTINGS = {
 }
 
 _local_roots: dict[str, str] = {}
+_owned: ContextVar[tuple[list[str], ...]] = ContextVar("_owned", default=())
 
 
 def local_session(cpus: int | str = 8, app: str = "sluicework", **extra: str) -> SparkSession:
@@ -55,4 +61,24 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder; never the same twice."""
-    return f"{scratch_root(spark)}/sluicework/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/sluicework/{name}-{uuid.uuid4().hex}"
+    for owner in _owned.get()[-1:]:
+        owner.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Owns the scratch tables made inside, and removes them when it ends, also after an error.
+
+    Results that read them are lazy, so write or collect what is to stay before the end. Scopes can be
+    nested: a table belongs to the innermost one.
+    """
+    paths: list[str] = []
+    token = _owned.set((*_owned.get(), paths))
+    try:
+        yield
+    finally:
+        _owned.reset(token)
+        for path in paths:
+            files.delete(spark, path)

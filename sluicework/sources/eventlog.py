@@ -60,11 +60,14 @@ def _per_partition(values: Positions, partition: str, otherwise: int) -> Column:
     return F.coalesce(F.try_element_at(entries, F.col(partition).cast("int")), F.lit(otherwise)).cast("bigint")
 
 
-def _from(log: DataFrame, start: Positions | int, offset: str, partition: str) -> DataFrame:
+def since(
+    log: DataFrame, start: Positions | int, offset: str = "offset", partition: str = "partition",
+) -> DataFrame:
+    """The records from a reader's next offsets on; all of a partition in which it has none."""
     if isinstance(start, int):
         return log.filter(F.col(offset) >= start)
-    # The least position is a plain comparison, which reaches the source
-    return log.filter((F.col(offset) >= min(start.values(), default=0)) & (F.col(offset) >= _per_partition(start, partition, 0)))
+    # No least position of all: a partition without a position starts at 0
+    return log.filter(F.col(offset) >= _per_partition(start, partition, 0))
 
 
 def bite_ends(
@@ -79,7 +82,7 @@ def bite_ends(
     """
     if partition not in log.columns:
         log = log.withColumn(partition, F.lit(0))
-    rows = _from(log, start, offset, partition)
+    rows = since(log, start, offset, partition)
     totals = rows.groupBy(partition).agg(F.count("*").alias("n"), F.max(offset).alias("last")).orderBy(partition).collect()
     ends: dict[int, int] = {}
     left = first
@@ -112,7 +115,7 @@ def bite(
     ``bite_ends`` gives where the reader stands afterwards.
     """
     ends = bite_ends(log, start, first, offset, partition)
-    rows = _from(log, start, offset, partition)
+    rows = since(log, start, offset, partition)
     if partition not in log.columns:
         return rows.filter(F.col(offset) < ends.get(0, 0))
     return replay(rows, ends, offset, partition)

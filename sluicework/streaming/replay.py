@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sluicework.sinks.batches import BatchStore
+from sluicework.sources import eventlog
 from sluicework.streaming import fold
 from sluicework.streaming.envelope import decode
 
@@ -83,8 +84,8 @@ class OrderTables:
             self.store.write(batch_id, {self.EVENTS: decode(fresh), self.APPLIED: ranges_of(fresh)})
         finally:
             fresh.unpersist()
-        # The rows written are looked at, so the batch is read once
-        if not ids or not self.store.read(self.EVENTS, [batch_id]).isEmpty():
+        # The rows written are looked at, so the batch is read once; records that are no events count as applied
+        if not ids or not self.store.read(self.APPLIED, [batch_id]).isEmpty():
             self.store.publish([batch_id])
 
     def follow(
@@ -101,6 +102,40 @@ class OrderTables:
             .start()
         )
 
+    def positions(self) -> dict[int, int]:
+        """The next offset by log partition: one past the last applied one. A number per partition."""
+        ids = self.store.published()
+        if not ids:
+            return {}
+        rows = self.store.read(self.APPLIED, ids).groupBy("partition").agg((F.max("last") + 1).alias("next"))
+        return {r["partition"]: r["next"] for r in rows.collect()}
+
+    def apply_bite(self, log: DataFrame, first: int) -> dict[int, int]:
+        """Applies the next ``first`` records of a log, exactly, or all that are left; gives where that ends.
+
+        The reader stands where the stored positions are, which are published together with the events.
+        So a reader that is started again goes on there, and a bite that failed before it was published is
+        taken again. Records count in the order of partition and offset. Nothing left gives no positions.
+        """
+        if first < 1:
+            raise ValueError("a bite has at least one record")
+        start = self.positions()
+        ends = eventlog.bite_ends(log, start, first)
+        if ends:
+            self.apply(eventlog.replay(eventlog.since(log, start), ends), max(self.store.published(), default=-1) + 1)
+        return ends
+
+    def apply_bites(self, log: DataFrame, first: int, ends: Mapping[int, int] | None = None) -> int:
+        """Applies a log in bites of ``first`` records up to its watermark now; gives how many bites.
+
+        ``ends`` is a watermark taken earlier. Records that come after it wait for the next call.
+        """
+        log = eventlog.replay(log, eventlog.high_watermarks(log) if ends is None else ends)
+        bites = 0
+        while self.apply_bite(log, first):
+            bites += 1
+        return bites
+
     def _compacted(self) -> int:
         # A compacted batch is named after the last batch in it: -n - 1 holds everything up to n
         return max((-i - 1 for i in self.store.published() if i < 0), default=-1)

@@ -163,3 +163,39 @@ def test_indented_objects_count_from_the_telling_line_on(spark, tmp_path):
     assert sorted(r["id"] for r in together.collect()) == [1, 2, 3, 4, 5, 11, 12]
     with pytest.raises(Exception, match="[Mm]alformed|MALFORMED|row"):
         lines.import_files(spark, str(tmp_path / "c.txt"), ID).collect()
+
+
+def test_a_partition_without_a_position_is_read_from_its_start(spark):
+    log = spark.createDataFrame([(0, 5, "a"), (0, 90, "b"), (1, 0, "c"), (1, 7, "d")], LOG)
+    assert sorted(r["value"] for r in eventlog.since(log, {0: 50}).collect()) == ["b", "c", "d"]
+    assert sorted(r["value"] for r in eventlog.bite(log, {0: 50}, 2).collect()) == ["b", "c"]
+
+
+@pytest.mark.parametrize("first", [1, 4, 7, 100])
+def test_bites_are_exact_and_a_new_reader_goes_on(spark, tmp_path, first):
+    log = records(spark, ENTRIES)
+    want, at = folded(fold.order_headers(envelope.decode(log))), str(tmp_path / "tables")
+    sizes, stored = [], 0
+    while OrderTables(spark, at).apply_bite(log, first):
+        tables = OrderTables(spark, at)
+        now = tables.store.read(tables.APPLIED).agg(F.sum(F.col("last") - F.col("first") + 1)).first()[0]
+        sizes.append(now - stored)
+        stored = now
+        if len(sizes) == 3:
+            tables.compact()
+    assert all(n == first for n in sizes[:-1]) and 0 < sizes[-1] <= first and stored == len(ENTRIES)
+    assert folded(OrderTables(spark, at).order_headers()) == want
+    assert OrderTables(spark, at).positions() == eventlog.high_watermarks(log)
+
+
+def test_bites_end_at_the_watermark_and_pass_over_what_is_no_event(spark, tmp_path):
+    log = records(spark, ENTRIES)
+    odd = spark.createDataFrame([(None, "{}", 3, 0), (None, "{}", 3, 9)], "key string, value string, partition int, offset bigint")
+    grown = log.unionByName(odd, allowMissingColumns=True)
+    tables = OrderTables(spark, str(tmp_path / "tables"))
+    assert tables.apply_bites(grown, 10, eventlog.high_watermarks(log)) == -(-len(ENTRIES) // 10)
+    assert 3 not in tables.positions()
+    assert tables.apply_bites(grown, 1) == 2 and tables.positions()[3] == 10 and tables.apply_bites(grown, 5) == 0
+    assert OrderTables(spark, str(tmp_path / "none")).apply_bites(log.limit(0), 5) == 0
+    with pytest.raises(ValueError):
+        tables.apply_bite(log, 0)

@@ -9,6 +9,8 @@ from conftest import duck_rows, spark_rows
 from sluicework.operators import incremental, matching, nested, profile, quality, ranking, reconcile
 from sluicework.plans.registry import TABLES, Tables
 from sluicework.plans.reports import order_documents_of
+from sluicework.session import scratch_root, scratch_scope
+from sluicework.sinks import files
 from sluicework.sinks import tables as table_sinks
 
 SOURCE = "/root/testdata/sf0.001"
@@ -208,6 +210,30 @@ def test_row_numbers_are_spread_over_tasks(spark):
     assert len(sizes) >= 4 and max(sizes) < 10000
 
 
+def test_row_numbers_leave_nothing_behind_their_scope(spark, tmp_path):
+    df, kept = spark.range(0, 5000, 1, 4).select((F.col("id") % 50).alias("v"), "id"), str(tmp_path / "kept")
+    root = f"{scratch_root(spark)}/sluicework"
+    before = files.names(spark, root)
+    with scratch_scope(spark):
+        ranking.number_rows(df, ["v", "id"], unique=["v", "id"]).write.parquet(kept)
+        assert len(files.names(spark, root)) == len(before) + 1
+    with pytest.raises(ValueError, match="not unique: v"), scratch_scope(spark):
+        ranking.number_rows(df, ["v"], unique=["v"])
+    assert files.names(spark, root) == before
+    assert spark.read.parquet(kept).agg(F.count_distinct("rn"), F.max("rn")).first()[:] == (5000, 5000)
+
+
+def test_runs_follow_the_bytes_of_the_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(0, 40_000, 1, 4).write.parquet(path)
+    df = spark.read.parquet(path)
+    n_bytes = profile.table_bytes({"t": df}).first()["n_bytes"]
+    assert ranking.runs_for(df) == 1 and ranking.runs_for(df, n_bytes // 3) in (3, 4)
+    assert ranking.runs_for(spark.range(5)) is None
+    numbered = ranking.number_rows(df, ["id"], runs=ranking.runs_for(df, n_bytes // 3))
+    assert numbered.filter("rn <> id + 1").isEmpty() and numbered.select(F.input_file_name()).distinct().count() >= 3
+
+
 def test_split_by_key_keeps_every_row(spark, tmp_path):
     df = spark.range(9000).select(
         F.when(F.col("id") % 3 == 0, "a").otherwise(F.concat(F.lit("p"), F.col("id") % 5)).alias("Department"),
