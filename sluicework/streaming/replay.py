@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -15,49 +15,110 @@ from sluicework.streaming import fold
 from sluicework.streaming.envelope import decode
 
 
+#: Offsets from one multiple of ``eventlog.RANGE`` to the next are a block, the unit in which a log partition is looked at.
+BLOCK_BITS = eventlog.RANGE.bit_length() - 1
+
+
+def _block(offset: Column | str) -> Column:
+    return F.shiftright(offset, BLOCK_BITS).cast("bigint")
+
+
 def ranges_of(records: DataFrame) -> DataFrame:
     """``(partition, first, last)``: the offsets of every log partition as ranges without gaps."""
-    order = Window.partitionBy("partition").orderBy("offset")
-    at = records.select("partition", "offset").distinct()
-    return (
-        at.withColumn("_run", F.col("offset") - F.row_number().over(order))
-        .groupBy("partition", "_run").agg(F.min("offset").alias("first"), F.max("offset").alias("last")).drop("_run")
-    )
+    return merged_ranges(records.select("partition", F.col("offset").alias("first"), F.col("offset").alias("last")))
 
 
-def merged_ranges(ranges: DataFrame) -> DataFrame:
-    """The same offsets in as few ranges as they have gaps."""
-    order = Window.partitionBy("partition").orderBy("first", "last")
+def _merged_in_blocks(ranges: DataFrame) -> DataFrame:
+    """Merges the ranges that have the same ``_block``."""
+    order = Window.partitionBy("partition", "_block").orderBy("first", "last")
     reached = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
     starts = F.when(reached.isNull() | (F.col("first") > reached + 1), 1).otherwise(0)
     runs = ranges.withColumn("_new", starts).withColumn("_run", F.sum("_new").over(order))
-    return runs.groupBy("partition", "_run").agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("_run")
+    return runs.groupBy("partition", "_block", "_run").agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("_run")
 
 
-def not_within(records: DataFrame, ranges: DataFrame) -> DataFrame:
-    """The records whose offset lies in no range of their partition.
+def merged_ranges(ranges: DataFrame) -> DataFrame:
+    """The same offsets in as few ranges as they have gaps.
 
-    Ranges and records of a partition pass by in the order of their offsets, so there is no comparison of
-    all with all, however many ranges there are.
+    First the ranges that begin in one block of offsets are merged. Every block then gets the range that is
+    open where it begins, found from one row per block, and merges it with its own.
+    """
+    inside = _merged_in_blocks(ranges.select("partition", _block("first").alias("_block"), "first", "last"))
+    before = Window.partitionBy("partition").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    opened = F.when(F.col("_reached").isNull() | (F.col("_top") > F.col("_reached") + 1), F.col("_top"))
+    open_ = (
+        inside.groupBy("partition", "_block").agg(F.max("last").alias("_last"), F.max("first").alias("_top"))
+        .withColumn("_reached", F.max("_last").over(before))
+        .withColumn("_opened", opened)
+        .withColumn("first", F.max("_opened").over(before))
+        .filter(F.col("_reached") + 1 >= F.col("_block") * eventlog.RANGE)
+        .select("partition", "_block", "first", F.col("_reached").alias("last"))
+    )
+    return _merged_in_blocks(inside.unionByName(open_)).groupBy("partition", "first").agg(F.max("last").alias("last"))
+
+
+def not_within(records: DataFrame, ranges: DataFrame, once: bool = False) -> DataFrame:
+    """The records whose offset lies in no range of their partition; with ``once`` one of each offset.
+
+    Ranges and records pass by in the order of their offsets, block by block, so there is no comparison of
+    all with all, however many ranges there are, and no task has more than its blocks. A range counts in
+    every block it reaches: one more row for each ``eventlog.RANGE`` offsets in it.
     """
     names = [c for c in records.columns if c not in ("partition", "offset")]
-    rows = records.select("partition", "offset", F.struct(*names).alias("_row"), F.lit(None).cast("bigint").alias("_last"))
-    known = ranges.select(
-        F.col("partition").cast(records.schema["partition"].dataType), F.col("first").alias("offset"),
+    rows = records.select(
+        "partition", _block("offset").alias("_block"), "offset", F.struct(*names).alias("_row"),
+        F.lit(None).cast("bigint").alias("_last"))
+    blocks = ranges.withColumn("_block", F.explode(F.sequence(_block("first"), _block("last"))))
+    known = blocks.select(
+        F.col("partition").cast(records.schema["partition"].dataType), "_block",
+        F.greatest(F.col("first"), F.col("_block") * eventlog.RANGE).alias("offset"),
         F.lit(None).cast(rows.schema["_row"].dataType).alias("_row"), F.col("last").alias("_last"))
     # At one offset a range's start comes before a record
-    order = Window.partitionBy("partition").orderBy("offset", F.col("_last").isNull())
+    start_first = F.col("_last").isNull()
+    order = Window.partitionBy("partition", "_block").orderBy("offset", start_first)
     reached = F.max("_last").over(order.rowsBetween(Window.unboundedPreceding, 0))
     marked = rows.unionByName(known).withColumn("_reached", reached)
+    if once:
+        same = Window.partitionBy("partition", "_block", "offset").orderBy(start_first)
+        marked = marked.withColumn("_nth", F.row_number().over(same)).filter(F.col("_last").isNotNull() | (F.col("_nth") == 1))
     fresh = marked.filter(F.col("_last").isNull() & (F.col("_reached").isNull() | (F.col("_reached") < F.col("offset"))))
     return fresh.select("partition", "offset", "_row.*").select(*records.columns)
 
 
+Bounds = Mapping[int | None, tuple[int, int]]
+
+
+def bounds_of(records: DataFrame) -> Bounds:
+    """The least and the last offset by log partition: two numbers per partition."""
+    rows = records.groupBy("partition").agg(F.min("offset").alias("low"), F.max("offset").alias("high")).collect()
+    return {r["partition"]: (r["low"], r["high"]) for r in rows if r["low"] is not None}
+
+
+def ranges_near(ranges: DataFrame, bounds: Bounds) -> DataFrame:
+    """The ranges that meet the bounds of their partition; the files' statistics pass over the others."""
+    if not bounds:
+        return ranges.limit(0)
+    kind = ranges.schema["partition"].dataType
+    known = {p: b for p, b in bounds.items() if p is not None}
+
+    def at(side: int) -> Column:
+        entries = F.create_map(*[c for p, b in known.items() for c in (F.lit(p).cast(kind), F.lit(b[side]).cast("bigint"))])
+        return F.try_element_at(entries, F.col("partition"))
+
+    near = F.lit(False)
+    if known:
+        near = F.coalesce((F.col("first") <= at(1)) & (F.col("last") >= at(0)), F.lit(False))
+    if None in bounds:
+        near = near | F.col("partition").isNull()
+    lows, highs = zip(*bounds.values(), strict=True)
+    return ranges.filter((F.col("first") <= max(highs)) & (F.col("last") >= min(lows))).filter(near)
+
+
 class OrderTables:
     """Customer, order_header and order_detail, kept as decoded events in published batches.
 
     A batch stores its events, and the offsets it brought as ranges; of what is stored it reads the ranges
-    only, which ``compact`` merges. An event is known by its partition and offset: whatever reader brings
+    near its own offsets only, which ``compact`` merges. An event is known by its partition and offset: whatever reader brings
     it again, under whatever batch id, or twice in one batch, it is stored once. The fold happens on reading.
 
     ``compact`` replaces the events of an order by its state, in which every field has the position that
@@ -72,18 +133,29 @@ class OrderTables:
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         """One micro-batch: the function for ``foreachBatch``."""
+        self._apply(batch, batch_id, None)
+
+    def _apply(self, batch: DataFrame, batch_id: int, bounds: Bounds | None) -> None:
+        """``bounds`` are the batch's least and last offsets, where they are known."""
         ids = self.store.published()
-        fresh = batch.dropDuplicates(["partition", "offset"])
-        if ids:
-            fresh = not_within(fresh, self.store.read(self.APPLIED, ids).select("partition", "first", "last"))
-            # The id may be another reader's, or within the compacted batch
-            if batch_id in ids or batch_id <= self._compacted():
-                batch_id = max(*ids, self._compacted()) + 1
-        fresh = fresh.persist()
+        # The source is read once, for the bounds and the rows
+        read = batch.persist() if ids and bounds is None else None
         try:
-            self.store.write(batch_id, {self.EVENTS: decode(fresh), self.APPLIED: ranges_of(fresh)})
+            fresh = batch.dropDuplicates(["partition", "offset"])
+            if ids:
+                applied = self.store.read(self.APPLIED, ids).select("partition", "first", "last")
+                fresh = not_within(batch, ranges_near(applied, bounds_of(batch) if bounds is None else bounds), once=True)
+                # The id may be another reader's, or within the compacted batch
+                if batch_id in ids or batch_id <= self._compacted():
+                    batch_id = max(*ids, self._compacted()) + 1
+            fresh = fresh.persist()
+            try:
+                self.store.write(batch_id, {self.EVENTS: decode(fresh), self.APPLIED: ranges_of(fresh)})
+            finally:
+                fresh.unpersist()
         finally:
-            fresh.unpersist()
+            if read is not None:
+                read.unpersist()
         # The rows written are looked at, so the batch is read once; records that are no events count as applied
         if not ids or not self.store.read(self.APPLIED, [batch_id]).isEmpty():
             self.store.publish([batch_id])
@@ -122,7 +194,9 @@ class OrderTables:
         start = self.positions()
         ends = eventlog.bite_ends(log, start, first)
         if ends:
-            self.apply(eventlog.replay(eventlog.since(log, start), ends), max(self.store.published(), default=-1) + 1)
+            bounds = {p: (start.get(p, 0), end - 1) for p, end in ends.items()}
+            self._apply(
+                eventlog.replay(eventlog.since(log, start), ends), max(self.store.published(), default=-1) + 1, bounds)
         return ends
 
     def apply_bites(self, log: DataFrame, first: int, ends: Mapping[int, int] | None = None) -> int:

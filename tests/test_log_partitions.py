@@ -199,3 +199,63 @@ def test_bites_end_at_the_watermark_and_pass_over_what_is_no_event(spark, tmp_pa
     assert OrderTables(spark, str(tmp_path / "none")).apply_bites(log.limit(0), 5) == 0
     with pytest.raises(ValueError):
         tables.apply_bite(log, 0)
+
+
+def test_many_ranges_over_many_blocks_against_plain_loops(spark):
+    rng = random.Random(7)
+    width = eventlog.RANGE
+    ranges = []
+    for p in (0, 1):
+        at = rng.randrange(width)
+        for _ in range(300):
+            size = rng.choice([1, 1, 3, 500, width // 2, 3 * width])
+            ranges.append((p, at, at + size - 1))
+            # Next to it, within it, or after a gap
+            at = max(at + rng.choice([size, size, size // 2, size + 1, size + 5, size + 2 * width]), 0)
+    ranges += [(1, width, width), (1, 0, 4 * width), (2, width - 1, width - 1), (2, width, width)]
+    want = []
+    for p, a, b in sorted(ranges):
+        if want and want[-1][0] == p and a <= want[-1][2] + 1:
+            want[-1][2] = max(want[-1][2], b)
+        else:
+            want.append([p, a, b])
+    stored = spark.createDataFrame(ranges, "partition int, first bigint, last bigint")
+    assert sorted(map(list, replay.merged_ranges(stored).collect())) == want
+    tries = sorted({(p, o + d) for p, a, b in ranges for o in (a, b) for d in (-1, 0, 1)} | {(3, 5), (0, 10**9)})
+    fresh = [(p, o) for p, o in tries if not any(q == p and a <= o <= b for q, a, b in want)]
+    log = spark.createDataFrame([(p, o, "v") for p, o in tries], "partition int, offset bigint, value string")
+    assert sorted((r["partition"], r["offset"]) for r in replay.not_within(log, stored).collect()) == fresh
+    twice = replay.not_within(log.unionAll(log), stored, once=True)
+    assert sorted((r["partition"], r["offset"]) for r in twice.collect()) == fresh
+    singles = spark.createDataFrame([(0, width - 2), (0, width - 1), (0, width), (0, width), (0, width + 2)], "partition int, offset bigint")
+    assert sorted(tuple(r) for r in replay.ranges_of(singles).collect()) == [(0, width - 2, width), (0, width + 2, width + 2)]
+
+
+def test_a_log_partition_is_many_tasks(spark):
+    log = spark.range(20 * eventlog.RANGE).filter("id % 1000 = 0").select(F.lit(0).alias("partition"), F.col("id").alias("offset"), F.lit("v").alias("value"))
+    ranges = log.filter("offset % 3000 = 0").select("partition", F.col("offset").alias("first"), F.col("offset").alias("last"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        per_task = replay.not_within(log, ranges).groupBy(F.spark_partition_id().alias("t")).agg(F.count("*").alias("n")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(per_task) > 1 and max(r["n"] for r in per_task) < sum(r["n"] for r in per_task)
+
+
+def test_a_batch_reads_the_ranges_near_it(spark, tmp_path, monkeypatch):
+    tables, read = OrderTables(spark, str(tmp_path / "tables")), []
+    plain = replay.not_within
+
+    def counting(records, ranges, once=False):
+        read.append(ranges.count())
+        return plain(records, ranges, once)
+
+    monkeypatch.setattr(replay, "not_within", counting)
+    for batch, offsets in enumerate([(0, 2, 4), (10, 12), (4, 10, 20), (30,)]):
+        tables.apply(records(spark, [(p, o, *HISTORY[0]) for p in (0, 1) for o in offsets]), batch)
+    # 4 and 10 lie in it, nothing else from 4 to 20 but 12
+    assert read == [0, 6, 0]
+    assert tables.events().count() == 14
+    odd = spark.createDataFrame([(None, 1, 2), (0, 5, 6), (1, 5, 6), (2, 5, 6)], "partition int, first bigint, last bigint")
+    near = replay.ranges_near(odd, {0: (6, 9), 1: (7, 9), None: (0, 3)})
+    assert sorted(map(str, (r["partition"] for r in near.collect()))) == ["0", "None"]
