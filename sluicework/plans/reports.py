@@ -3,10 +3,12 @@
 from pyspark.sql import functions as F
 
 from sluicework.functions import clock, text
-from sluicework.operators import matching, nested, profile
+from sluicework.operators import matching, nested, profile, ranking
 from sluicework.operators.reconcile import content_fingerprint
 from sluicework.plans.registry import query
 
+# Bytes of line files whose entries of an order one task sums and joins
+ENTRY_BYTES = 8 << 20
 MINUTES = "date_diff('minute', o_orderdate, l_shipdate)"
 
 
@@ -208,10 +210,15 @@ def explode_lines(t):
        GROUP BY o_orderpriority, p_brand""",
 )
 def three_way_join(t):
-    """Lines are summed per part and order before each join, so hot parts and orders arrive small."""
+    """Lines are summed per part and order before each join, so hot parts and orders arrive small.
+
+    Entries of an order meet once, for the second sum and the join, in parts that follow the bytes of the lines.
+    """
     entries = order_entries(t)
+    parts = max(ranking.runs_for(t.lineitem, ENTRY_BYTES) or 1, int(t.spark.conf.get("spark.sql.shuffle.partitions")))
     branded = (
         entries.join(t.part, F.col("photo_id") == F.col("p_partkey"))
+        .repartition(parts, "order_id")
         .groupBy("order_id", "p_brand")
         .agg(F.sum("quantity").alias("n"), F.sum("price").alias("total"))
     )
