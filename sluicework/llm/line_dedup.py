@@ -5,9 +5,12 @@ offset (a shorter line is one shingle). One hash per shingle fills ``2 * BANDS``
 minima; two bins make a band. Lines that share a band are compared with that band's smallest and
 largest line: first by their bins, then by the exact Jaccard similarity of the shingle sets. Verified
 links go to the distributed union-find. Where that leaves the members of a band in several components,
-the others are compared too, in pairs of blocks of bounded size: first by a few bits of every bin, then
-those with a likely partner by their texts. The links between components found there are joined to the first. So every pair that shares a band and agrees in ``AGREE`` bins is verified
-or already connected. Of every component the first line stays.
+the others are compared too, in pairs of blocks of bounded size and without their texts: first by a few
+bits of every bin, then those with a likely partner by the parity of their shingles in 512 bins, which
+bounds the similarity from above. A few pivots of each band come first, then all the pairs that are left
+in different components; what neither bound excludes is compared by its texts. The links between
+components found there are joined to the first. So every pair that shares a band and agrees in ``AGREE``
+bins is verified, excluded by a bound on its similarity, or already connected. Of every component the first line stays.
 
 A long line draws its minima from the shingles whose hash is below a limit set by the line's length,
 at most about ``DRAWN`` of them: the minimum of a bin that drew one is the same with or without the
@@ -15,8 +18,7 @@ others. A line with a bin that drew none uses all its shingles, as repetitive li
 depends on nothing but the set of shingles. Verification uses all of them always.
 
 Equal lines are one node from the start, so a line with a third of all copies is one row. A band gives
-two candidate links per line as rows; what its blocks compare stays within a row, and only links between
-different components come out.
+two candidate links per line as rows, and what the bounds leave of the others.
 
 Defined results: lines without a word are left alone and never dropped; NULL and empty texts have no
 lines. "First" is by document id (NULL first), then the text's hash, then the line's place, so rows
@@ -36,10 +38,10 @@ SHINGLE, BANDS, DRAWN, THRESHOLD = 8, 7, 84, 0.8
 AGREE = 6
 #: Line keys up to this many are broadcast to fetch their texts (8 bytes each).
 FEW_KEYS = 1_000_000
-#: Lines, and bytes of lines, in a block of the comparison within a band (on average; a longer line is whole).
-BLOCK, BLOCK_BYTES = 64, 1 << 18
-#: Lines in a block of the search for likely partners, which travel without their texts.
-MARKS_BLOCK = 256
+#: Lines in a block of the search for likely partners, and of that for possible pairs (on average). None travels with its text.
+MARKS_BLOCK = BLOCK = 2048
+#: Lines of a band that its members are compared with before all pairs are searched.
+PIVOTS = 16
 SPAN = 2**31
 HAS_WORD = r"[^\x20\x09-\x0D]"
 
@@ -94,8 +96,8 @@ def _bands() -> Column:
 
 
 def shared_bands(sketch: DataFrame) -> DataFrame:
-    """``(band, at, k, low, high, n)``: the bands of several lines, with their two ends and how many they are."""
-    rows = sketch.select("k", F.posexplode(_bands()).alias("at", "band")).filter("band is not null")
+    """``(band, k, bits, low, high, n)``: the bands of several lines, with their two ends and how many they are."""
+    rows = sketch.select("k", _bits().alias("bits"), F.explode(_bands()).alias("band")).filter("band is not null")
     ends = rows.groupBy("band").agg(
         F.min("k").alias("low"), F.max("k").alias("high"), F.count("*").alias("n")).filter("low < high")
     # A band may be that of a third of all lines
@@ -126,6 +128,10 @@ def verified_links(
     lines: DataFrame, pairs: DataFrame, threshold: float = THRESHOLD, tables: Scratch | None = None) -> DataFrame:
     """The pairs whose shingle sets have at least the Jaccard similarity."""
     texts = _texts(lines, pairs.select(F.explode(F.array("a", "b")).alias("k")), tables or Scratch(lines.sparkSession))
+    return _verified(pairs, texts, threshold).select("a", "b")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     # The texts travel, their shingles (eight times as long) are made where they are compared
     both = pairs.join(texts.select(F.col("k").alias("a"), F.col("b").alias("ta")), "a").join(
         texts.select(F.col("k").alias("b"), F.col("b").alias("tb")), "b")
@@ -133,111 +139,152 @@ def verified_links(
     def shingles(text: str) -> Column:
         return F.transform(_places(text), lambda at: F.xxhash64(F.col(text).substr(at, F.lit(SHINGLE))))
 
-    sets = both.select("a", "b", shingles("ta").alias("sa"), shingles("tb").alias("sb"))
+    sets = both.select(*pairs.columns, shingles("ta").alias("sa"), shingles("tb").alias("sb"))
     shared, all_ = F.size(F.array_intersect("sa", "sb")), F.size(F.array_union("sa", "sb"))
-    return sets.filter(shared >= threshold * all_ - 1e-9).select("a", "b")
+    return sets.filter(shared >= threshold * all_ - 1e-9).select(*pairs.columns)
 
 
 def open_members(shared: DataFrame, roots: DataFrame, tables: Scratch | None = None) -> DataFrame:
-    """``(band, at, k, c)``: the lines between the ends of a band, where they lie in several components."""
+    """``(band, k, bits, c)``: the lines between the ends of a band, where they lie in several components."""
     tables = tables or Scratch(shared.sparkSession)
     # Of up to three lines every pair has an end in it
-    rows = shared.filter("n > 3 and k <> low and k <> high").select("band", "at", "k")
-    rows = rows.join(roots.withColumnRenamed("node", "k"), "k", "left").select("band", "at", "k", F.coalesce("root", "k").alias("c"))
+    rows = shared.filter("n > 3 and k <> low and k <> high").select("band", "k", "bits")
+    rows = rows.join(roots.withColumnRenamed("node", "k"), "k", "left").select("band", "k", "bits", F.coalesce("root", "k").alias("c"))
     rows = tables.written(rows, "between")
     open_ = rows.groupBy("band").agg(F.min("c").alias("c_low"), F.max("c").alias("c_high")).filter("c_low < c_high")
-    return join_per_key(rows, open_, ["band"], "inner").select("band", "at", "k", "c")
+    return join_per_key(rows, open_, ["band"], "inner").select("band", "k", "bits", "c")
 
 
-MARKS = ("k", "c", "bits", "bands")
 BIN_BITS = 64 // (2 * BANDS)
 
 
-def _marks(sketch: DataFrame) -> DataFrame:
-    """``(k, bands, bits)``: a few bits of every bin; bins that agree have equal bits, so they miss no candidate."""
+def _bits() -> Column:
+    """A few bits of every bin; bins that agree have equal bits, so they miss no candidate."""
     bits = F.lit(0).cast("long")
     for i in range(2 * BANDS):
         bits = F.shiftleft(bits, BIN_BITS).bitwiseOR(
             F.pmod(F.xxhash64(F.coalesce(f"m{i}", F.lit(-1))), F.lit(2**BIN_BITS)))
-    return sketch.select("k", _bands().alias("bands"), bits.alias("bits"))
+    return bits
+
+
+def _met(members: DataFrame, block: int, fields: tuple[str, ...], tables: Scratch) -> tuple[DataFrame, DataFrame, Column]:
+    """The members of a band on two sides, ``x`` and ``y``, and what says that two of them may be compared.
 
+    Those of another component meet, each pair of blocks of a band on its own.
+    """
+    parts = members.groupBy("band").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    placed = tables.written(join_per_key(members, parts, ["band"], "inner").select(
+        "band", "c", *fields, "blocks", F.pmod(F.xxhash64("k", "band"), F.col("blocks")).cast("int").alias("block")), "placed")
+    spread = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+
+    def side(name: str, i: str, j: str) -> DataFrame:
+        named = {"band": "band", i: "i", j: "j", "c": "c", **{f: f for f in fields}}
+        return spread.select(*(F.col(c).alias(f"{name}_{to}") for c, to in named.items()))
 
-def _met(members: DataFrame, blocks: Column, fields: tuple[str, ...]) -> DataFrame:
-    """``(band, at, i, j, xs)``: the members of a band in pairs of blocks, their fields and side in ``xs``."""
-    parts = members.groupBy("band").agg(F.ceil(blocks).cast("int").alias("blocks"))
-    placed = join_per_key(members, parts, ["band"], "inner").withColumn(
-        "block", F.pmod(F.xxhash64("k", "band"), F.col("blocks")).cast("int"))
-    spread = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
-        "band", "at", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        F.struct((F.col("block") > F.col("other")).alias("side"), *fields).alias("x"))
-    return spread.groupBy("band", "at", "i", "j").agg(F.collect_list("x").alias("xs")).filter(F.size("xs") > 1)
+    on = F.col("x_c") != F.col("y_c")
+    for key in ("band", "i", "j"):
+        on = (F.col(f"x_{key}") == F.col(f"y_{key}")) & on
+    # Without the hint a side of a few MB would go through the driver
+    return side("x", "block", "other"), side("y", "other", "block").hint("merge"), on
 
 
-def _likely(x: Column, y: Column) -> Column:
-    """Members of different components that may agree in ``AGREE`` bins."""
+def _may_agree(x: Column, y: Column) -> Column:
+    """The bits of two lines that may agree in ``AGREE`` bins."""
     ones = sum(1 << (BIN_BITS * i) for i in range(2 * BANDS))
-    apart = x["bits"].bitwiseXOR(y["bits"])
+    apart = x.bitwiseXOR(y)
     for step in (1, 2):
         apart = apart.bitwiseOR(F.shiftrightunsigned(apart, step))
-    agree = 2 * BANDS - F.bit_count(apart.bitwiseAND(F.lit(ones)))
-    # Lines that share several bands meet in the first of them
-    before = F.arrays_overlap(F.slice(x["bands"], 1, F.col("at")), F.slice(y["bands"], 1, F.col("at")))
-    return (
-        (x["c"] != y["c"]) & ((x["side"] != y["side"]) | (F.col("i") == F.col("j"))) & (agree >= AGREE)
-        & ~F.coalesce(before, F.lit(False)))
-
-
-def _with_partner(xs: str) -> Column:
-    return F.filter(xs, lambda x: F.exists(xs, lambda y: _likely(x, y)))
+    return F.bit_count(apart.bitwiseAND(F.lit(ones))) <= 2 * BANDS - AGREE
 
 
 def likely_members(sketch: DataFrame, members: DataFrame, tables: Scratch | None = None) -> DataFrame:
-    """``(band, at, k, c, bits, bands)``: the members with a likely partner in their band.
+    """``(band, k, c, bits)``: the members with a likely partner in their band.
 
     What travels here has no text, however long the lines are.
     """
     tables = tables or Scratch(members.sparkSession)
-    keys = bounded(tables.written(members.select("k").distinct(), "open_keys"), FEW_KEYS)
-    marks = _marks(sketch.join(keys, "k", "left_semi"))
-    members = tables.written(members.join(marks, "k"), "marked")
-    met = _met(members, F.count("*") / MARKS_BLOCK, MARKS)
-    likely = met.select("band", F.explode(_with_partner("xs")).alias("x")).select("band", "x.k").distinct()
-    return members.join(tables.written(likely, "likely"), ["band", "k"], "left_semi")
+    if "bits" not in members.columns:
+        members = members.join(sketch.select("k", _bits().alias("bits")), "k")
+    x, y, on = _met(members, MARKS_BLOCK, ("k", "bits"), tables)
+    likely = x.join(y, on & _may_agree(F.col("x_bits"), F.col("y_bits")), "left_semi")
+    return likely.select(*(F.col(f"x_{c}").alias(c) for c in ("band", "k", "c", "bits"))).distinct()
 
 
-def links_within(
-    lines: DataFrame, sketch: DataFrame, members: DataFrame, threshold: float = THRESHOLD, tables: Scratch | None = None,
-) -> DataFrame:
-    """``(a, b)``: components joined by a verified pair of lines of one band, each pair of blocks on its own."""
-    tables = tables or Scratch(lines.sparkSession)
-    members = tables.written(likely_members(sketch, members, tables), "likely_members")
-    texts = _texts(lines, members.select("k"), tables)
-    members = tables.written(members.join(texts, "k"), "open")
-    met = _met(members, F.greatest(F.count("*") / BLOCK, F.sum(F.length("b")) / BLOCK_BYTES), (*MARKS, "b"))
+ODD = tuple(f"o{i}" for i in range(8))
+
+
+def _hashes(text: str) -> Column:
+    """The shingles of a text, each once."""
+    return F.array_distinct(F.transform(_places(text), lambda at: F.xxhash64(F.col(text).substr(at, F.lit(SHINGLE)))))
 
-    def once(column: Column) -> Column:
-        # An explode keeps what is made once per row out of the lambdas that use it again and again
-        return F.explode(F.array(column))
 
-    near = met.select("at", "i", "j", once(_with_partner("xs")).alias("xs")).filter(F.size("xs") > 1)
+def odd_sketches(texts: DataFrame) -> DataFrame:
+    """``(k, n, o0, o1, …)``: how many shingles a line has, and for each of 512 bins whether it drew an odd number of them.
+
+    A shingle that only one of two lines has makes one bin differ, or evens out another, so at least as
+    many shingles differ as bins do.
+    """
+    rows = texts.select("k", F.explode(_hashes("b")).alias("h")).withColumn(
+        "bit", F.expr("shiftleft(1L, cast(h & 63 as int))")).withColumn("word", F.expr("shiftrightunsigned(h, 6) & 7"))
+    return rows.groupBy("k").agg(F.count("*").alias("n"), *(
+        F.bit_xor(F.when(F.col("word") == i, F.col("bit")).otherwise(F.lit(0).cast("long"))).alias(o) for i, o in enumerate(ODD)))
+
+
+def _possible(on: Column, threshold: float) -> Column:
+    """Likely pairs of two sides whose odd bins leave room for the similarity."""
+    apart = sum(F.bit_count(F.col(f"x_{o}").bitwiseXOR(F.col(f"y_{o}"))) for o in ODD)
+    # Of S shingles in two sets at most S * (1 - t) / (1 + t) are in one of them alone
+    room = (F.col("x_n") + F.col("y_n")) * ((1 - threshold) / (1 + threshold)) + 1e-6
+    return on & _may_agree(F.col("x_bits"), F.col("y_bits")) & (apart <= room)
+
+
+def _pairs(x: DataFrame, y: DataFrame, on: Column) -> DataFrame:
+    """``(a, b, ca, cb)``: the two sides' lines that go together, with their components."""
+    ends = [F.struct(F.col(f"{side}_k").alias("k"), F.col(f"{side}_c").alias("c")) for side in "xy"]
+    both = x.join(y, on).select(F.least(*ends).alias("low"), F.greatest(*ends).alias("high"))
+    return both.select(
+        F.col("low.k").alias("a"), F.col("high.k").alias("b"), F.col("low.c").alias("ca"), F.col("high.c").alias("cb"))
+
+
+def pivot_pairs(members: DataFrame, threshold: float, tables: Scratch) -> DataFrame:
+    """The possible pairs of every member with some lines of its band."""
+    slot = F.pmod(F.xxhash64("k", "band"), F.lit(PIVOTS))
+    chosen = members.groupBy("band", slot.alias("slot")).agg(F.min("k").alias("k")).select("band", "k")
+    pivots = tables.written(members.join(chosen, ["band", "k"], "left_semi"), "pivots")
+    x, y = (df.select(*(F.col(c).alias(f"{side}_{c}") for c in df.columns)) for side, df in (("x", members), ("y", pivots)))
+    on = (F.col("x_band") == F.col("y_band")) & (F.col("x_c") != F.col("y_c"))
+    return _pairs(x, y.hint("merge"), _possible(on, threshold)).distinct()
 
-    def shingled(x: Column) -> Column:
-        places = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(x["b"]) - (SHINGLE - 1)))
-        s = F.array_distinct(F.transform(places, lambda at: F.xxhash64(x["b"].substr(at, F.lit(SHINGLE)))))
-        return F.struct(*(x[name].alias(name) for name in ("side", *MARKS)), s.alias("s"))
 
-    sets = near.select("at", "i", "j", once(F.transform("xs", shingled)).alias("xs"))
+def possible_pairs(members: DataFrame, threshold: float, tables: Scratch) -> DataFrame:
+    """The possible pairs of all members."""
+    x, y, on = _met(members, BLOCK, ("k", "bits", "n", "bands", *ODD), tables)
+    # Lines that share several bands meet in one of them
+    here = F.array_min(F.array_intersect("x_bands", "y_bands")) == F.col("x_band")
+    return _pairs(x, y, _possible(on & (F.col("x_k") < F.col("y_k")), threshold) & here)
 
-    def alike(x: Column, y: Column) -> Column:
-        both = F.size(x["s"]) + F.size(y["s"])
-        shared = F.size(F.array_intersect(x["s"], y["s"]))
-        sized = F.least(F.size(x["s"]), F.size(y["s"])) >= threshold * F.greatest(F.size(x["s"]), F.size(y["s"])) - 1e-9
-        return (x["k"] < y["k"]) & _likely(x, y) & sized & (shared >= threshold * (both - shared) - 1e-9)
 
-    links = F.flatten(F.transform("xs", lambda x: F.transform(
-        F.filter("xs", lambda y: alike(x, y)),
-        lambda y: F.struct(F.least(x["c"], y["c"]).alias("a"), F.greatest(x["c"], y["c"]).alias("b")))))
-    return sets.select(F.inline(F.array_distinct(links)))
+def links_within(
+    lines: DataFrame, sketch: DataFrame, members: DataFrame, threshold: float = THRESHOLD, tables: Scratch | None = None,
+) -> DataFrame:
+    """``(a, b)``: components joined by a verified pair of lines of one band.
+
+    Pairs with a few pivots of a band come first. Near copies of one line are one component then, so
+    that the pairs left for the second search don't grow with the square of their number.
+    """
+    tables = tables or Scratch(lines.sparkSession)
+    members = tables.written(likely_members(sketch, members, tables), "likely_members")
+    texts = _texts(lines, members.select("k"), tables)
+    bands = members.groupBy("k").agg(F.collect_list("band").alias("bands"))
+    members = tables.written(members.join(odd_sketches(texts).join(bands, "k"), "k"), "odd")
+    tried = tables.written(pivot_pairs(members, threshold, tables), "tried")
+    ends = (F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b"))
+    first = tables.written(_verified(tried, texts, threshold).select(*ends).distinct(), "first")
+    to = components(first).select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+    members = members.join(to, F.col("c") == F.col("_node"), "left").withColumn("c", F.coalesce("_root", "c")).drop("_node", "_root")
+    pairs = possible_pairs(members, threshold, tables).join(tried.select("a", "b"), ["a", "b"], "left_anti")
+    pairs = tables.written(pairs, "possible")
+    return first.unionByName(_verified(pairs, texts, threshold).select(*ends).distinct())
 
 
 def line_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

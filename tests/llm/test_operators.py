@@ -498,3 +498,29 @@ def test_likely_members_are_those_with_a_partner_in_another_component(spark, mon
             and sum(x == y for x, y in zip(a[1:], b[1:])) >= line_dedup.AGREE}
     # The few bits of a bin may make more members likely, never fewer
     assert want and want <= got
+
+
+@pytest.mark.parametrize("block", [7, 2048])
+def test_possible_pairs_are_few_and_miss_no_near_pair(spark, monkeypatch, block):
+    monkeypatch.setattr(line_dedup, "BLOCK", block)
+    rng, texts = random.Random(5), []
+    original = "".join(rng.choices("abcdefghij", k=200))
+    for edits in [0, 1, 2, 3, 5, 8, 12, 20] * 5:
+        copy = list(original)
+        for at in rng.sample(range(200), edits):
+            copy[at] = rng.choice("#%&$")
+        texts.append("".join(copy))
+    texts = list(dict.fromkeys(texts))
+    sets = [{x[k:k + 8] for k in range(len(x) - 7)} for x in texts]
+    alike = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a, b in itertools.combinations(range(len(texts)), 2)}
+    odd = line_dedup.odd_sketches(spark.createDataFrame([(k, x.encode()) for k, x in enumerate(texts)], "k long, b binary"))
+    # All lines share two bands, and their bits exclude no pair
+    members = spark.createDataFrame(
+        [(band, k, k, 0, [3, 4]) for band in (3, 4) for k in range(len(texts))],
+        "band long, k long, c long, bits long, bands array<long>").join(odd, "k")
+    assert {r["k"]: r["n"] for r in odd.collect()} == {k: len(x) for k, x in enumerate(sets)}
+    rows = [(r["a"], r["b"]) for r in line_dedup.possible_pairs(members, 0.8, components.Scratch(spark)).collect()]
+    assert len(rows) == len(set(rows)) and {p for p, s in alike.items() if s >= 0.8} <= set(rows)
+    assert all(alike[p] > 0.65 for p in rows) and len(rows) < len(alike) / 2
+    pivots = [(r["a"], r["b"]) for r in line_dedup.pivot_pairs(members, 0.8, components.Scratch(spark)).collect()]
+    assert len(pivots) == len(set(pivots)) and set(pivots) <= set(rows)
