@@ -55,6 +55,13 @@ def _mapped(df: DataFrame, column: str, roots: DataFrame) -> DataFrame:
     return found.withColumn(column, F.coalesce("_root", column)).drop("_node", "_root")
 
 
+def _jumped(roots: DataFrame) -> DataFrame:
+    """``(node, root, moved)``: every node with its root's root."""
+    on = roots.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+    return roots.join(on, F.col("root") == F.col("_node"), "left").select(
+        "node", F.coalesce("_root", "root").alias("root"), F.col("_node").isNotNull().alias("moved"))
+
+
 def components(links: DataFrame) -> DataFrame:
     """``(node, root)`` for every node of the links ``(a, b)`` but the roots themselves.
 
@@ -70,11 +77,8 @@ def components(links: DataFrame) -> DataFrame:
     while not links.isEmpty():
         roots = tables.written(links.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("root")), "roots")
         while True:
-            on = roots.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
-            jumped = tables.written(
-                roots.join(on, F.col("root") == F.col("_node"), "left").select(
-                    "node", F.coalesce("_root", "root").alias("root"), F.col("_node").isNotNull().alias("moved")),
-                "roots")
+            # Two jumps a table: the chains are short, and every job costs the driver a plan
+            jumped = tables.written(_jumped(_jumped(roots).select("node", "root")), "roots")
             roots = jumped.select("node", "root")
             if jumped.filter("moved").isEmpty():
                 break

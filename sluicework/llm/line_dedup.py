@@ -303,7 +303,7 @@ def line_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     # Links between components name them by their roots
     members = last.written(open_members(shared, roots, tables), "open_members")
     tables.drop("shared", "between")
-    more = components(links_within(lines, sketch, members, threshold, tables))
+    more = roots.limit(0) if members.isEmpty() else components(links_within(lines, sketch, members, threshold, tables))
     tables.drop_all()
     last.drop("open_members")
     to = more.select(F.col("node").alias("_node"), F.col("root").alias("_root"))

@@ -524,3 +524,22 @@ def test_possible_pairs_are_few_and_miss_no_near_pair(spark, monkeypatch, block)
     assert all(alike[p] > 0.65 for p in rows) and len(rows) < len(alike) / 2
     pivots = [(r["a"], r["b"]) for r in line_dedup.pivot_pairs(members, 0.8, components.Scratch(spark)).collect()]
     assert len(pivots) == len(set(pivots)) and set(pivots) <= set(rows)
+
+
+def test_components_shorten_long_chains_in_few_tables(spark, monkeypatch):
+    names, written = [], components.Scratch.written
+    monkeypatch.setattr(components.Scratch, "written", lambda self, df, name: names.append(name) or written(self, df, name))
+    links = spark.createDataFrame([(k, k + 1) for k in range(64)], "a long, b long")
+    assert {(r["node"], r["root"]) for r in components.components(links).collect()} == {(k, 0) for k in range(1, 65)}
+    # A table of hooks, and one for each two of the seven jumps
+    assert names.count("roots") <= 5
+
+
+def test_lines_without_open_bands_are_not_searched_again(spark, monkeypatch):
+    def searched(*_):
+        raise AssertionError("there is nothing to search")
+
+    monkeypatch.setattr(line_dedup, "links_within", searched)
+    one = "A line that is about as long as most lines are, number one."
+    assert found_line_classes(spark, [one, one.replace("one.", "one!"), "Another line.", ""]) == 2
+    assert found_line_classes(spark, [""]) == 0
