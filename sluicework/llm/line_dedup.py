@@ -6,7 +6,7 @@ minima; two bins make a band. Lines that share a band are compared with that ban
 largest line: first by their bins, then by the exact Jaccard similarity of the shingle sets. Verified
 links go to the distributed union-find. Where that leaves the members of a band in several components,
 the others are compared too, in pairs of blocks of bounded size and without their texts: first by a few
-bits of every bin, then those with a likely partner by the parity of their shingles in 512 bins, which
+bits of every bin, then those with a likely partner by the parity of their shingles in 1024 bins, which
 bounds the similarity from above. A few pivots of each band come first, then all the pairs that are left
 in different components; what neither bound excludes is compared by its texts. The links between
 components found there are joined to the first. So every pair that shares a band and agrees in ``AGREE``
@@ -58,6 +58,11 @@ def _places(binary: str) -> Column:
     return F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(binary) - (SHINGLE - 1)))
 
 
+def _shingles(text: str) -> Column:
+    """The hash of the shingle at every place of a text."""
+    return F.transform(_places(text), lambda at: F.xxhash64(F.col(text).substr(at, F.lit(SHINGLE))))
+
+
 def _minima(lines: DataFrame, limit: Column) -> DataFrame:
     """``(k, limit, m0, m1, …)``: the minima below the limit; a line has its row even if it draws none."""
     # Generated code computes what the sequence refers to once per line, and any other column again in
@@ -95,13 +100,23 @@ def _bands() -> Column:
         for i in range(BANDS)))
 
 
-def shared_bands(sketch: DataFrame) -> DataFrame:
-    """``(band, k, bits, low, high, n)``: the bands of several lines, with their two ends and how many they are."""
-    rows = sketch.select("k", _bits().alias("bits"), F.explode(_bands()).alias("band")).filter("band is not null")
-    ends = rows.groupBy("band").agg(
-        F.min("k").alias("low"), F.max("k").alias("high"), F.count("*").alias("n")).filter("low < high")
+def shared_bands(sketch: DataFrame, tables: Scratch | None = None) -> DataFrame:
+    """``(band, k, bits, low, high, n)``: the bands of several lines, with their two ends and how many they are.
+
+    Of two lines both are ends, so their band is a row of ``low`` without ``bits``, which only lines between ends need.
+    """
+    tables = tables or Scratch(sketch.sparkSession)
+    rows = sketch.select("k", F.explode(_bands()).alias("band")).filter("band is not null")
+    ends = tables.written(rows.groupBy("band").agg(
+        F.min("k").alias("low"), F.max("k").alias("high"), F.count("*").alias("n")).filter("low < high"), "ends")
+    several = ends.filter("n > 2")
+    # Most bands have one or two lines: the others' lines go alone to their ends, by a few keys if that is what they are
+    rows = sketch.select("k", _bits().alias("bits"), F.explode(_bands()).alias("band")).join(
+        bounded(several.select("band"), FEW_KEYS), "band", "left_semi")
     # A band may be that of a third of all lines
-    return join_per_key(rows, ends, ["band"], "inner")
+    between = join_per_key(rows, several, ["band"], "inner").select("band", "k", "bits", "low", "high", "n")
+    two = ends.filter("n = 2").select("band", F.col("low").alias("k"), F.lit(None).cast("long").alias("bits"), "low", "high", "n")
+    return between.unionByName(two)
 
 
 def candidate_links(sketch: DataFrame, shared: DataFrame) -> DataFrame:
@@ -135,11 +150,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     # The texts travel, their shingles (eight times as long) are made where they are compared
     both = pairs.join(texts.select(F.col("k").alias("a"), F.col("b").alias("ta")), "a").join(
         texts.select(F.col("k").alias("b"), F.col("b").alias("tb")), "b")
-
-    def shingles(text: str) -> Column:
-        return F.transform(_places(text), lambda at: F.xxhash64(F.col(text).substr(at, F.lit(SHINGLE))))
-
-    sets = both.select(*pairs.columns, shingles("ta").alias("sa"), shingles("tb").alias("sb"))
+    # As a generator's columns the shingles are made once per pair, not again wherever the filter names them
+    sets = both.select(*pairs.columns, F.inline(F.array(F.struct(_shingles("ta").alias("sa"), _shingles("tb").alias("sb")))))
     shared, all_ = F.size(F.array_intersect("sa", "sb")), F.size(F.array_union("sa", "sb"))
     return sets.filter(shared >= threshold * all_ - 1e-9).select(*pairs.columns)
 
@@ -210,22 +222,19 @@ def likely_members(sketch: DataFrame, members: DataFrame, tables: Scratch | None
     return likely.select(*(F.col(f"x_{c}").alias(c) for c in ("band", "k", "c", "bits"))).distinct()
 
 
-ODD = tuple(f"o{i}" for i in range(8))
-
-
-def _hashes(text: str) -> Column:
-    """The shingles of a text, each once."""
-    return F.array_distinct(F.transform(_places(text), lambda at: F.xxhash64(F.col(text).substr(at, F.lit(SHINGLE)))))
+ODD = tuple(f"o{i}" for i in range(16))
 
 
 def odd_sketches(texts: DataFrame) -> DataFrame:
-    """``(k, n, o0, o1, …)``: how many shingles a line has, and for each of 512 bins whether it drew an odd number of them.
+    """``(k, n, o0, o1, …)``: how many shingles a line has, and for each of 1024 bins whether it drew an odd number of them.
 
     A shingle that only one of two lines has makes one bin differ, or evens out another, so at least as
     many shingles differ as bins do.
     """
-    rows = texts.select("k", F.explode(_hashes("b")).alias("h")).withColumn(
-        "bit", F.expr("shiftleft(1L, cast(h & 63 as int))")).withColumn("word", F.expr("shiftrightunsigned(h, 6) & 7"))
+    # As a generator's column the shingles are an array of plain numbers, where generated code tells the different ones
+    hashes = texts.select("k", F.inline(F.array(F.struct(_shingles("b").alias("hashes")))))
+    rows = hashes.select("k", F.array_distinct("hashes").alias("hashes")).select("k", F.explode("hashes").alias("h")).withColumn(
+        "bit", F.expr("shiftleft(1L, cast(h & 63 as int))")).withColumn("word", F.expr(f"shiftrightunsigned(h, 6) & {len(ODD) - 1}"))
     return rows.groupBy("k").agg(F.count("*").alias("n"), *(
         F.bit_xor(F.when(F.col("word") == i, F.col("bit")).otherwise(F.lit(0).cast("long"))).alias(o) for i, o in enumerate(ODD)))
 
@@ -296,7 +305,8 @@ def line_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     tables, last = Scratch(docs.sparkSession), Scratch(docs.sparkSession)
     lines = lines_of(docs)
     sketch = sketches(lines, tables)
-    shared = tables.written(shared_bands(sketch), "shared")
+    shared = tables.written(shared_bands(sketch, tables), "shared")
+    tables.drop("ends")
     pairs = tables.written(candidate_links(sketch, shared), "pairs")
     roots = components(verified_links(lines, pairs, threshold, tables))
     tables.drop("pairs", "keys", "texts")

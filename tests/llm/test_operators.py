@@ -543,3 +543,29 @@ def test_lines_without_open_bands_are_not_searched_again(spark, monkeypatch):
     one = "A line that is about as long as most lines are, number one."
     assert found_line_classes(spark, [one, one.replace("one.", "one!"), "Another line.", ""]) == 2
     assert found_line_classes(spark, [""]) == 0
+
+
+def test_a_band_of_two_lines_is_one_row_and_larger_ones_are_whole(spark):
+    bins = [f"m{i}" for i in range(2 * line_dedup.BANDS)]
+    rng = random.Random(4)
+    rows = [[k, *(rng.choice([1, 2, 3, None]) for _ in bins)] for k in range(60)]
+    sketch = spark.createDataFrame(rows, "k long, " + ", ".join(f"{m} int" for m in bins))
+    want = collections.defaultdict(set)
+    for k, *m in rows:
+        for i in range(line_dedup.BANDS):
+            if (ends := (m[2 * i], m[2 * i + 1])) != (None, None):
+                want[i, ends].add(k)
+    got = collections.defaultdict(list)
+    for r in line_dedup.shared_bands(sketch).collect():
+        got[r["band"]].append((r["k"], r["low"], r["high"], r["n"], r["bits"] is None))
+    assert sorted(sorted(x) for x in got.values()) == sorted(
+        sorted((k, min(ks), max(ks), len(ks), len(ks) == 2) for k in (ks if len(ks) > 2 else [min(ks)]))
+        for ks in want.values() if len(ks) > 1)
+
+
+def test_the_shingles_of_a_pair_are_made_once(spark):
+    pairs = spark.createDataFrame([(1, 2), (1, 3)], "a long, b long")
+    texts = spark.createDataFrame([(1, b"0123456789abcdefgh"), (2, b"0123456789abcdefghi"), (3, b"other text")], "k long, b binary")
+    verified = line_dedup._verified(pairs, texts, 0.8)
+    assert [tuple(r) for r in verified.collect()] == [(1, 2)]
+    assert verified._jdf.queryExecution().optimizedPlan().toString().count("lambdafunction") == 2
