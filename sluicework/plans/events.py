@@ -212,14 +212,16 @@ def replay_twice(t):
     late = F.pmod(F.xxhash64("partition", "offset"), F.lit(3)) == 0
     again = F.pmod(F.xxhash64("offset"), F.lit(5)) == 0
     on_time = log.filter(~late)
-    on_time.unionAll(on_time.filter(again)).write.json(f"{root}/log")
+    producing.write_log(on_time.unionAll(on_time.filter(again)), f"{root}/log")
     tables = OrderTables(t.spark, f"{root}/tables")
     stream = eventlog.stream_log(t.spark, f"{root}/log", files_per_bite=8)
     tables.follow(stream, f"{root}/first").awaitTermination()
     tables.compact()
-    log.filter(late).write.mode("append").json(f"{root}/log")
+    tables.remove_unused()
+    producing.write_log(log.filter(late), f"{root}/log")
     tables.follow(eventlog.stream_log(t.spark, f"{root}/log"), f"{root}/second").awaitTermination()
     tables.compact()
+    tables.remove_unused()
     tables.follow(stream, f"{root}/first").awaitTermination()
     return tables.order_headers()
 

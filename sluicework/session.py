@@ -82,3 +82,21 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
         _owned.reset(token)
         for path in paths:
             files.delete(spark, path)
+
+
+#: Whether Spark removes the shuffle files of an action when it ends; a release that does not know it ignores it.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of the actions inside go when each ends, not when the driver's JVM collects its garbage."""
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(FREE_SHUFFLES)
+        else:
+            spark.conf.set(FREE_SHUFFLES, before)

@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluicework.session import shuffles_freed
 from sluicework.sinks import files
 
 BATCH = "batch_id"
@@ -31,9 +32,18 @@ class BatchStore:
         return [int(n) for n in files.names(self.spark, f"{self.root}/{kind}") if n.isdigit()]
 
     def write(self, batch_id: int, tables: Mapping[str, DataFrame]) -> None:
-        """Writes the rows of one batch of every table; they stay invisible."""
+        """Writes the rows of one batch of every table; they stay invisible.
+
+        What a table was shuffled for goes before the next table is written.
+        """
         for name, df in tables.items():
-            df.drop(BATCH).write.mode("overwrite").parquet(f"{self._path(name)}/{BATCH}={batch_id}")
+            with shuffles_freed(df.sparkSession):
+                df.drop(BATCH).write.mode("overwrite").parquet(f"{self._path(name)}/{BATCH}={batch_id}", compression="zstd")
+
+    def discard(self, batch_id: int, tables: Iterable[str]) -> None:
+        """Deletes the rows of one batch in tables that are no part of what readers see."""
+        for name in tables:
+            files.delete(self.spark, f"{self._path(name)}/{BATCH}={batch_id}")
 
     def write_all(self, tables: Mapping[str, DataFrame]) -> None:
         """Writes rows that carry their batch id. Only the batches that occur are replaced.

@@ -11,6 +11,9 @@ from sluicework.functions.content import row_json
 from sluicework.operators.ranking import number_rows
 from sluicework.sources.eventlog import RECORD
 
+#: A compressed file is read by one task.
+FILE_RECORDS = 4_000_000
+
 
 def encode(df: DataFrame, key: str | None = None) -> DataFrame:
     """Rows as (key, value): JSON with times and decimals as text."""
@@ -61,6 +64,11 @@ def append_log(
     records(encoded, order, parts, start, stamp).write.mode("append").json(path)
 
 
+def write_log(log: DataFrame, path: str) -> None:
+    """Adds records to a directory log as compressed JSON lines, in files of ``FILE_RECORDS`` at most."""
+    log.write.mode("append").option("maxRecordsPerFile", FILE_RECORDS).json(path, compression="gzip")
+
+
 def _refuse_empty(df: DataFrame) -> None:
     if df.isEmpty():
         raise ValueError("no messages to produce, data is empty")

@@ -23,6 +23,9 @@ RECORD = T.StructType([
 #: Offsets counted together when a bite ends within a partition.
 RANGE = 1 << 16
 
+#: Files of a streamed log that are taken at once, where no number of files is given.
+BITE_BYTES = 1 << 30
+
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """The whole directory log as it is now."""
@@ -30,10 +33,15 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stream_log(spark: SparkSession, path: str, files_per_bite: int | None = None) -> DataFrame:
-    """The directory log as a stream; where a reader stands is kept in its checkpoint."""
+    """The directory log as a stream; where a reader stands is kept in its checkpoint.
+
+    Without ``files_per_bite`` a bite ends after about ``BITE_BYTES`` of files, so that a long log is not one batch.
+    """
     reader = spark.readStream.schema(RECORD).option("mode", "FAILFAST")
     if files_per_bite:
         reader = reader.option("maxFilesPerTrigger", files_per_bite)
+    else:
+        reader = reader.option("maxBytesPerTrigger", BITE_BYTES)
     return reader.json(path)
 
 

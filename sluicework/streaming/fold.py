@@ -29,26 +29,30 @@ def latest_values(
     ])
 
 
+def event_states(events: DataFrame) -> DataFrame:
+    """The state that every event makes by itself, of the columns of ``order_states``; an order has several rows."""
+    order_id = F.coalesce(F.col("header.id"), F.col("change.order_id")).alias("id")
+
+    def placed(value: Column, name: str) -> Column:
+        return F.when(value.isNotNull(), F.struct(position().alias("at"), value.alias("value"))).alias(name)
+
+    return events.filter(F.col("kind").isin("header", "change")).select(
+        order_id,
+        placed(F.col("header"), "h"),
+        placed(F.col("change.updated_at"), "u"),
+        placed(F.col("change.payment_uuid"), "p"),
+        placed(F.col("change.shipment_uuid"), "s"),
+        F.col("change").isNotNull().cast("bigint").alias("n_changes"),
+    )
+
+
 def order_states(events: DataFrame) -> DataFrame:
     """What is known of every order, each field with the position it was set at.
 
     Columns ``id``, ``h`` (the last header), ``u``, ``p``, ``s`` (the last ``updated_at``, payment and
     shipment of a change), all structs with ``at``, and ``n_changes``. Orders without a header have a row.
     """
-    at = position()
-    order_id = F.coalesce(F.col("header.id"), F.col("change.order_id")).alias("id")
-    picked = events.filter(F.col("kind").isin("header", "change")).select(order_id, at.alias("at"), "header", "change")
-
-    def last(value: Column) -> Column:
-        return F.max_by(F.struct(F.col("at"), value.alias("value")), F.when(value.isNotNull(), F.col("at")))
-
-    return picked.groupBy("id").agg(
-        last(F.col("header")).alias("h"),
-        last(F.col("change.updated_at")).alias("u"),
-        last(F.col("change.payment_uuid")).alias("p"),
-        last(F.col("change.shipment_uuid")).alias("s"),
-        F.count("change").alias("n_changes"),
-    )
+    return merged_states(event_states(events))
 
 
 def merged_states(states: DataFrame) -> DataFrame:

@@ -57,8 +57,11 @@ def merged_ranges(ranges: DataFrame) -> DataFrame:
     return _merged_in_blocks(inside.unionByName(open_)).groupBy("partition", "first").agg(F.max("last").alias("last"))
 
 
-def not_within(records: DataFrame, ranges: DataFrame, once: bool = False) -> DataFrame:
-    """The records whose offset lies in no range of their partition; with ``once`` one of each offset.
+def _reached(records: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Records and ranges together, with ``_reached``: where the ranges end that begin at a row's offset or before.
+
+    Columns ``partition``, ``_block``, ``offset``, ``_row`` (a record's other columns), ``_last`` (the end of a range,
+    NULL for a record) and ``_reached``.
 
     Ranges and records pass by in the order of their offsets, block by block, so there is no comparison of
     all with all, however many ranges there are, and no task has more than its blocks. A range counts in
@@ -66,7 +69,7 @@ def not_within(records: DataFrame, ranges: DataFrame, once: bool = False) -> Dat
     """
     names = [c for c in records.columns if c not in ("partition", "offset")]
     rows = records.select(
-        "partition", _block("offset").alias("_block"), "offset", F.struct(*names).alias("_row"),
+        "partition", _block("offset").alias("_block"), "offset", F.struct(*map(F.col, names)).alias("_row"),
         F.lit(None).cast("bigint").alias("_last"))
     blocks = ranges.withColumn("_block", F.explode(F.sequence(_block("first"), _block("last"))))
     known = blocks.select(
@@ -74,17 +77,33 @@ def not_within(records: DataFrame, ranges: DataFrame, once: bool = False) -> Dat
         F.greatest(F.col("first"), F.col("_block") * eventlog.RANGE).alias("offset"),
         F.lit(None).cast(rows.schema["_row"].dataType).alias("_row"), F.col("last").alias("_last"))
     # At one offset a range's start comes before a record
-    start_first = F.col("_last").isNull()
-    order = Window.partitionBy("partition", "_block").orderBy("offset", start_first)
+    order = Window.partitionBy("partition", "_block").orderBy("offset", F.col("_last").isNull())
     reached = F.max("_last").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    marked = rows.unionByName(known).withColumn("_reached", reached)
+    return rows.unionByName(known).withColumn("_reached", reached)
+
+
+def _first_of_each() -> Column:
+    same = Window.partitionBy("partition", "_block", "offset").orderBy(F.col("_last").isNull())
+    return F.row_number().over(same)
+
+
+def not_within(records: DataFrame, ranges: DataFrame, once: bool = False) -> DataFrame:
+    """The records whose offset lies in no range of their partition; with ``once`` one of each offset."""
+    marked = _reached(records, ranges)
     if once:
-        same = Window.partitionBy("partition", "_block", "offset").orderBy(start_first)
-        marked = marked.withColumn("_nth", F.row_number().over(same)).filter(F.col("_last").isNotNull() | (F.col("_nth") == 1))
+        marked = marked.withColumn("_nth", _first_of_each()).filter(F.col("_last").isNotNull() | (F.col("_nth") == 1))
     fresh = marked.filter(F.col("_last").isNull() & (F.col("_reached").isNull() | (F.col("_reached") < F.col("offset"))))
     return fresh.select("partition", "offset", "_row.*").select(*records.columns)
 
 
+def within(records: DataFrame, ranges: DataFrame) -> DataFrame:
+    """One record of each offset that lies in a range of its partition, and one without an offset."""
+    inside = F.col("offset").isNull() | (F.col("_reached") >= F.col("offset"))
+    marked = _reached(records, ranges).filter(F.col("_last").isNull() & inside)
+    once = marked.withColumn("_nth", _first_of_each()).filter("_nth = 1")
+    return once.select("partition", "offset", "_row.*").select(*records.columns)
+
+
 Bounds = Mapping[int | None, tuple[int, int]]
 
 
@@ -127,6 +146,8 @@ class OrderTables:
     """
 
     EVENTS, APPLIED, STATES = "events", "applied", "states"
+    #: A batch as it came, while it is applied
+    TAKEN = "taken"
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.store = BatchStore(spark, root)
@@ -136,29 +157,30 @@ class OrderTables:
         self._apply(batch, batch_id, None)
 
     def _apply(self, batch: DataFrame, batch_id: int, bounds: Bounds | None) -> None:
-        """``bounds`` are the batch's least and last offsets, where they are known."""
+        """``bounds`` are the batch's least and last offsets, where they are known.
+
+        The source is read once, into compressed files that go at the end. First the offsets alone are compared
+        with the stored ones, and the ranges that are new are written; then the rows in these, if there are any.
+        """
         ids = self.store.published()
-        # The source is read once, for the bounds and the rows
-        read = batch.persist() if ids and bounds is None else None
+        # The id may be another reader's, or within the compacted batch
+        if ids and (batch_id in ids or batch_id <= self._compacted()):
+            batch_id = max(*ids, self._compacted()) + 1
         try:
-            fresh = batch.dropDuplicates(["partition", "offset"])
+            self.store.write(batch_id, {self.TAKEN: batch.select("partition", "offset", "value")})
+            taken = self.store.read(self.TAKEN, [batch_id]).drop("batch_id")
+            offsets = taken.select("partition", "offset")
             if ids:
                 applied = self.store.read(self.APPLIED, ids).select("partition", "first", "last")
-                fresh = not_within(batch, ranges_near(applied, bounds_of(batch) if bounds is None else bounds), once=True)
-                # The id may be another reader's, or within the compacted batch
-                if batch_id in ids or batch_id <= self._compacted():
-                    batch_id = max(*ids, self._compacted()) + 1
-            fresh = fresh.persist()
-            try:
-                self.store.write(batch_id, {self.EVENTS: decode(fresh), self.APPLIED: ranges_of(fresh)})
-            finally:
-                fresh.unpersist()
+                offsets = not_within(offsets, ranges_near(applied, bounds_of(offsets) if bounds is None else bounds))
+            self.store.write(batch_id, {self.APPLIED: ranges_of(offsets)})
+            brought = self.store.read(self.APPLIED, [batch_id]).select("partition", "first", "last")
+            # Records that are no events count as applied
+            if not ids or not brought.isEmpty():
+                self.store.write(batch_id, {self.EVENTS: decode(within(taken, brought))})
+                self.store.publish([batch_id])
         finally:
-            if read is not None:
-                read.unpersist()
-        # The rows written are looked at, so the batch is read once; records that are no events count as applied
-        if not ids or not self.store.read(self.APPLIED, [batch_id]).isEmpty():
-            self.store.publish([batch_id])
+            self.store.discard(batch_id, [self.TAKEN])
 
     def follow(
         self, log: DataFrame, checkpoint: str, **trigger: object
@@ -215,11 +237,15 @@ class OrderTables:
         return max((-i - 1 for i in self.store.published() if i < 0), default=-1)
 
     def _states(self, ids: list[int]) -> DataFrame:
-        states = fold.order_states(self.store.read(self.EVENTS, ids))
         compacted = [i for i in ids if i < 0]
         if not compacted:
-            return states
-        return fold.merged_states(states.unionByName(self.store.read(self.STATES, compacted).drop("batch_id")))
+            return fold.order_states(self.store.read(self.EVENTS, ids))
+        stored = self.store.read(self.STATES, compacted).drop("batch_id")
+        if len(ids) == 1:
+            # One compacted batch has a state per order
+            return stored
+        # Events and stored states meet in one shuffle
+        return fold.merged_states(fold.event_states(self.store.read(self.EVENTS, ids)).unionByName(stored))
 
     def events(self) -> DataFrame:
         """The stored events; those of compacted orders are in their states."""
@@ -236,7 +262,10 @@ class OrderTables:
         return fold.order_lines(self.events())
 
     def compact(self) -> None:
-        """Replaces all published batches by one with a state per order. Not while a stream is writing."""
+        """Replaces all published batches by one with a state per order. Not while a stream is writing.
+
+        The files of the replaced batches stay until ``remove_unused``.
+        """
         ids = self.store.published()
         if len(ids) < 2:
             return
@@ -248,6 +277,10 @@ class OrderTables:
         })
         self.store.publish([target], without=set(ids) - {target})
 
+    def remove_unused(self, keep: int = 1) -> list[int]:
+        """Deletes the files of batches that none of the last ``keep`` versions shows, and gives their ids."""
+        return self.store.remove_unused((self.EVENTS, self.STATES, self.APPLIED), keep)
+
 
 def until_quiet(query: StreamingQuery, seconds: float, poll: float = 0.2) -> None:
     """Waits until no record has come for ``seconds``, then stops the query between two batches."""
